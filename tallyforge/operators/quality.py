@@ -241,19 +241,15 @@ def conflicting_records(df: DataFrame) -> DataFrame:
     school, district = F.col("bcrxid_attend"), F.col("dcrxid_attend")
     no_home = F.rtrim("dcrxid_home") == ""
     vocational = F.col("schtype_attend") == "J"
-    tests = [
-        ((school == district) & vocational, "DCRXID=BCRXID for JVS schools", "Not Fixed"),
-        (no_home & vocational, "Missing dcrxid_home", "Not Fixed"),
-        (no_home & ~vocational, "", ""),
-        ((F.col("schtype_attend") == "N") & (school != district), "School type N has bcrxid <> dcrxid", "Fixed"),
-    ]
-    found = F.filter(F.array(*[
-        F.when(F.coalesce(t, F.lit(False)), F.struct(F.lit(r).alias("Reason"), F.lit(s).alias("Resolution")))
-        for t, r, s in tests]), lambda x: x.isNotNull())
-    # A record without home district and a vocational conflict is listed once.
-    merged = F.filter(F.transform(found, lambda x: x), lambda x: x.isNotNull())
-    last_vocational = F.when(F.size(merged) > 0, F.array(F.element_at(merged, -1)))
-    return df.select(*df.columns, F.inline(last_vocational))
+    same_id = (school == district) & vocational
+    reason = F.when(no_home & vocational, "Missing dcrxid_home").when(
+        same_id, "DCRXID=BCRXID for JVS schools").otherwise("")
+    first = F.struct(reason.alias("Reason"), F.when(reason != "", "Not Fixed").otherwise("").alias("Resolution"))
+    second = F.struct(F.lit("School type N has bcrxid <> dcrxid").alias("Reason"), F.lit("Fixed").alias("Resolution"))
+    found = F.array(
+        F.when(same_id | no_home, first),
+        F.when((F.col("schtype_attend") == "N") & (school != district), second))
+    return df.select(*df.columns, F.inline(F.filter(found, lambda x: x.isNotNull())))
 
 
 class MissingReferences(NamedTuple):
