@@ -1 +1,255 @@
-"""Pending."""
+"""Merges, dimension joins, complementary merge, linkage."""
+
+from pyspark.sql import functions as F
+
+from ..operators import attempts, complementary, linkage, merge
+from .registry import BOOKMAP_SQL, ITEMS, ITEMS_SQL, MASTER_SQL, STUDENTS_SQL, Tables, bookmap, master, query, rounded, students
+
+# Two overlapping views of the orders with made gaps, duplicates and changes.
+_LEFT = ("SELECT o_orderkey AS lid, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 9000 END AS k, o_orderstatus AS st, o_orderpriority AS pr, "
+         "CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderpriority END AS a, o_totalprice AS price FROM orders")
+_RIGHT = ("SELECT o_orderkey AS rid, o_orderkey % 6000 AS k, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderstatus END AS st, "
+          "CASE WHEN o_orderkey % 5 = 0 THEN concat(o_orderpriority, 'X') ELSE o_orderpriority END AS pr, o_orderpriority AS a, "
+          "o_custkey AS cust FROM orders WHERE o_orderkey % 10 < 7")
+
+_MERGE = f"""
+WITH l AS ({_LEFT}), r AS ({_RIGHT}),
+lc AS (SELECT k, count(*) nl FROM l WHERE k IS NOT NULL GROUP BY k), rc AS (SELECT k, count(*) nr FROM r WHERE k IS NOT NULL GROUP BY k),
+i AS (SELECT coalesce(lc.k, rc.k) AS k, nl, nr, coalesce(nl > 1 AND nr > 1, false) AS both_dup FROM lc FULL JOIN rc ON lc.k = rc.k),
+p AS (SELECT l.*, r.rid, r.st AS rst, r.pr AS rpr, r.a AS ra, r.cust FROM l JOIN i ON l.k = i.k AND nl IS NOT NULL AND nr IS NOT NULL AND NOT both_dup JOIN r ON r.k = i.k),
+s AS (SELECT *, 1.0 - levenshtein(upper(pr) || ' NULL', upper(rpr) || ' NULL')::DOUBLE / greatest(length(pr), length(rpr)) * 0 - 0 AS dummy,
+  1.0 - least(levenshtein(upper(pr) || ' NULL', upper(rpr) || ' NULL'), levenshtein('NULL ' || upper(pr), upper(rpr) || ' NULL'))::DOUBLE
+    / greatest(length(pr) + 5, length(rpr) + 5) AS sim FROM p),
+q AS (SELECT *, CASE WHEN st <> rst THEN 'Optional key mismatch ("' || st || '" vs "' || coalesce(rst, '{{NULL}}') || '")' END AS r1,
+  CASE WHEN sim <= 0.8 THEN 'Fuzzy key mismatch ("' || pr || ' {{NULL}}" vs "' || rpr || ' {{NULL}}")' END AS r2 FROM s),
+t AS (SELECT *, CASE WHEN r1 IS NOT NULL AND r2 IS NOT NULL THEN r1 || '; ' || r2 ELSE coalesce(r1, r2) END AS reason FROM q)""".replace("{{", "{").replace("}}", "}").replace(
+    "1.0 - levenshtein(upper(pr) || ' NULL', upper(rpr) || ' NULL')::DOUBLE / greatest(length(pr), length(rpr)) * 0 - 0 AS dummy,\n  ", "")
+
+
+def _merged(t: Tables, join_type: str = "I"):
+    left = t.spark.sql(_LEFT.replace("FROM orders", "FROM {o}"), o=t.orders)
+    right = t.spark.sql(_RIGHT.replace("FROM orders", "FROM {o}"), o=t.orders)
+    fields = [merge.MergeField("k", "k", "k", "L"), merge.MergeField("st", "st", "st", "RN"), merge.MergeField("a", "a", "a", "LN"),
+              merge.MergeField("price", "price", None, "LO"), merge.MergeField("cust", None, "cust", "RO")]
+    return merge.keyed_merge(left, right, "lid", "rid", ["k"], ["st"], ["pr"], 0.8, fields, join_type,
+                             allow_dups_left=True, allow_dups_right=True)
+
+
+_MELD = "lid AS fk_left, rid AS fk_right, k, coalesce(rst, st) AS st, CASE WHEN a = '' THEN ra ELSE a END AS a, price, cust"
+
+
+@query("keyed_merge", _MERGE + f" SELECT {_MELD} FROM t WHERE reason IS NULL")
+def keyed_merge(t: Tables):
+    return rounded(_merged(t).output)
+
+
+@query("keyed_merge_full", _MERGE + f""" SELECT {_MELD} FROM t WHERE reason IS NULL
+UNION ALL SELECT lid, NULL, k, st, a, price, NULL FROM l WHERE lid NOT IN (SELECT lid FROM t WHERE reason IS NULL)
+UNION ALL SELECT NULL, rid, k, st, a, NULL, cust FROM r WHERE rid NOT IN (SELECT rid FROM t WHERE reason IS NULL)""")
+def keyed_merge_full(t: Tables):
+    return rounded(_merged(t, "F").output)
+
+
+@query("keyed_merge_left_remainder", _MERGE + """
+SELECT lid AS fk_left, k, st, a, price, cast(NULL AS BIGINT) AS cust, reason AS merge_report FROM (
+  SELECT lid, k, st, a, price, 'Missing required key on left' AS reason FROM l WHERE k IS NULL
+  UNION ALL SELECT lid, l.k, st, a, price, CASE WHEN both_dup THEN 'Duplicate required key on both sides' ELSE 'No required key match' END FROM l JOIN i ON l.k = i.k
+    WHERE both_dup OR nr IS NULL
+  UNION ALL SELECT lid, k, st, a, price, reason FROM t WHERE reason IS NOT NULL)""")
+def keyed_merge_left_remainder(t: Tables):
+    return rounded(_merged(t).left_remainder)
+
+
+@query("keyed_merge_right_remainder", _MERGE + """
+SELECT rid AS fk_right, k, st, a, cast(NULL AS DOUBLE) AS price, cust, reason AS merge_report FROM (
+  SELECT rid, r.k, st, a, cust, CASE WHEN both_dup THEN 'Duplicate required key on both sides' ELSE 'No required key match' END AS reason FROM r JOIN i ON r.k = i.k
+    WHERE both_dup OR nl IS NULL
+  UNION ALL SELECT rid, k, rst, ra, cust, reason FROM t WHERE reason IS NOT NULL)""")
+def keyed_merge_right_remainder(t: Tables):
+    return rounded(_merged(t).right_remainder)
+
+
+@query("keyed_merge_fuzzy_report", _MERGE + """
+SELECT k, lid AS fk_left, rid AS fk_right, round(sim, 6) AS similarity_1, pr AS lfuzzykey_1_1, cast(NULL AS VARCHAR) AS lfuzzykey_1_2, rpr AS rfuzzykey_1_1,
+  cast(NULL AS VARCHAR) AS rfuzzykey_1_2 FROM t WHERE r1 IS NULL""")
+def keyed_merge_fuzzy_report(t: Tables):
+    return rounded(_merged(t).fuzzy_report)
+
+
+@query("read_merge_spec", """
+SELECT l.c_custkey AS fk_left, r.s_suppkey AS fk_right, l.c_custkey AS id, coalesce(r.s_name, l.c_name) AS name, l.c_acctbal AS left_balance,
+  r.s_acctbal AS right_balance FROM customer l JOIN supplier r ON l.c_custkey = r.s_suppkey AND l.c_nationkey = r.s_nationkey""")
+def read_merge_spec(t: Tables):
+    def row(name, new, priority="", keys=""):
+        return {"variable name": name, "newname": new, "priority": priority, "keys": keys, "length": None, "vartype": None}
+
+    left_sheet = [row("c_custkey", "id", "first", "primary1"), row("c_name", "name", "second"), row("c_nationkey", "<drop>", "", "secondary1"),
+                  row("c_acctbal", "left_balance"), row("c_mktsegment", "<drop>")]
+    right_sheet = [row("s_suppkey", "id", "second", "primary1"), row("s_name", "name", "first non-missing"),
+                   row("s_nationkey", "<drop>", "", "secondary1"), row("s_acctbal", "right_balance")]
+    spec = merge.read_merge_spec(left_sheet, right_sheet, t.customer, t.supplier)
+    out = merge.keyed_merge(t.customer, t.supplier, "c_custkey", "s_suppkey", spec.required, spec.optional, fields=spec.fields)
+    return rounded(out.output)
+
+
+@query("sas_merge", """
+WITH l AS (SELECT c_custkey AS k, c_name AS name, c_acctbal AS a FROM customer WHERE c_custkey % 3 <> 0),
+r AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE s_name END AS name, s_acctbal AS b FROM supplier)
+SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NOT NULL THEN r.name ELSE l.name END AS name, a, b FROM l FULL JOIN r ON l.k = r.k""")
+def sas_merge(t: Tables):
+    left = t.customer.where("c_custkey % 3 <> 0").selectExpr("c_custkey AS k", "c_name AS name", "c_acctbal AS a")
+    right = t.supplier.selectExpr("s_suppkey AS k", "CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE s_name END AS name", "s_acctbal AS b")
+    return merge.sas_merge(left, right, ["k"])
+
+
+@query("attach_dimension", f"""
+WITH s AS ({STUDENTS_SQL}), m AS (SELECT * FROM ({MASTER_SQL}) QUALIFY row_number() OVER (PARTITION BY dcrxid_c ORDER BY bcrxid_c) = 1)
+SELECT id, CASE WHEN trim(county) <> '' THEN county ELSE coalesce(m.dcxx_county, county) END AS county, m.dcrxnm AS home_name
+FROM (SELECT id, dcrxid_home, CASE WHEN id % 2 = 0 THEN dcxx_county ELSE '' END AS county FROM s) x LEFT JOIN m ON x.dcrxid_home = m.dcrxid_c""")
+def attach_dimension(t: Tables):
+    rows = students(t).select("id", "dcrxid_home", F.when(F.col("id") % 2 == 0, F.col("dcxx_county")).otherwise("").alias("county"))
+    out = merge.attach_dimension(rows, master(t), {"dcrxid_home": "dcrxid_c"}, {"home_name": "dcrxnm"}, ["bcrxid_c"], {"county": "dcxx_county"})
+    return rounded(out.drop("dcrxid_home"))
+
+
+@query("join_parts", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def join_parts(t: Tables):
+    c = t.customer
+    return merge.join_parts([c.select("c_custkey", "c_name"), c.select("c_custkey", "c_name", "c_acctbal"),
+                             c.select("c_custkey", "c_mktsegment")], "c_custkey")
+
+
+@query("missing_from_dimension", """
+SELECT c_custkey, 'missing' AS side FROM customer WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_suppkey % 2 = 0)
+UNION ALL SELECT c_custkey, 'present' FROM customer WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_suppkey % 2 = 0)""")
+def missing_from_dimension(t: Tables):
+    dim, on = t.supplier.where("s_suppkey % 2 = 0"), {"c_nationkey": "s_nationkey"}
+    gone = merge.missing_from_dimension(t.customer, dim, on).select("c_custkey", F.lit("missing").alias("side"))
+    here = merge.missing_from_dimension(t.customer, dim, on, present=True).select("c_custkey", F.lit("present").alias("side"))
+    return gone.unionByName(here)
+
+
+_RULES = [
+    {"variable_name": "person", "resolution_rule": "common", "keys": "primary"},
+    {"variable_name": "room", "resolution_rule": "common, non-missing", "keys": "secondary"},
+    {"variable_name": "barcode", "resolution_rule": "common", "keys": "sort"},
+    {"variable_name": "vp", "resolution_rule": "variable priority", "keys": ""},
+    {"variable_name": "rp", "resolution_rule": "record priority", "keys": ""},
+    *[{"variable_name": f"u{i}", "resolution_rule": f"unit {i} indicator", "keys": ""} for i in (1, 2, 3)],
+    *[{"variable_name": f"s{i}", "resolution_rule": f"test unit {i}", "keys": ""} for i in (1, 2, 3)],
+]
+
+
+def _partial_records(t: Tables):
+    """Events as partial records: a person is a user within an hour, the unit
+    is the event type, the room is missing on some records."""
+    kinds = {1: "('click', 'error')", 2: "('view')", 3: "('purchase', 'signup')"}
+    return t.events.selectExpr(
+        "event_id AS id", "concat(cast(user_id AS STRING), '-', date_format(ts, 'yyyyMMddHH')) AS person",
+        "CASE WHEN event_id % 3 = 0 THEN NULL ELSE cast(event_id % 2 AS STRING) END AS room",
+        "CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id END AS barcode", "cast(event_id % 4 AS INT) AS vp",
+        "CASE WHEN event_id % 40 = 0 THEN 1000 + cast(event_id % 7 AS INT) ELSE cast(event_id % 5 AS INT) END AS rp",
+        *[f"CASE WHEN event_type IN {k} THEN 1 ELSE 0 END AS u{i}" for i, k in kinds.items()],
+        *[f"CASE WHEN event_type IN {k} THEN value END AS s{i}" for i, k in kinds.items()])
+
+
+@query("complementary_merge")
+def complementary_merge(t: Tables):
+    return rounded(complementary.complementary_merge(_partial_records(t), _RULES).flat)
+
+
+@query("complementary_merge_forced")
+def complementary_merge_forced(t: Tables):
+    return rounded(complementary.complementary_merge(_partial_records(t), _RULES, force_one=True).flat)
+
+
+@query("complementary_merge_pairs", """
+WITH e AS (SELECT event_id AS id, 'u' || user_id || event_type AS person, value AS v, event_type AS kind,
+    row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events)
+SELECT min_by(id, rn) AS id, person, min(id) AS barcode, max(id % 4) AS vp,
+  max_by(v, vp2) AS v, coalesce(min_by(CASE WHEN id % 3 <> 0 THEN kind END, rn), '') AS note
+FROM (SELECT *, (id % 4) * 1000000000 - rn AS vp2 FROM e) GROUP BY person""")
+def complementary_merge_pairs(t: Tables):
+    """No unit indicators: all records of a person fold into the first; the
+    value follows the first record of the highest priority."""
+    rules = [{"variable_name": "person", "resolution_rule": "common", "keys": "primary"},
+             {"variable_name": "barcode", "resolution_rule": "or", "keys": "sort"},
+             {"variable_name": "vp", "resolution_rule": "variable priority", "keys": ""},
+             {"variable_name": "v", "resolution_rule": "common", "keys": ""},
+             {"variable_name": "note", "resolution_rule": "or", "keys": ""}]
+    rows = t.events.selectExpr("event_id AS id", "concat('u', cast(user_id AS STRING), event_type) AS person", "event_id + 1 AS barcode",
+                               "event_id % 4 AS vp", "value AS v", "CASE WHEN event_id % 3 <> 0 THEN event_type ELSE '' END AS note")
+    out = complementary.complementary_merge(rows, rules).flat
+    return rounded(out.select("id", "person", (F.col("barcode") - 1).alias("barcode"), "vp", "v", "note"))
+
+
+_ATTEMPTS = f"""
+WITH s AS ({STUDENTS_SQL}), i AS ({ITEMS_SQL}), b AS ({BOOKMAP_SQL}),
+p AS (SELECT DISTINCT "item position" AS pos, "item format" AS f FROM b),
+a AS (SELECT flat_table_id, max(CASE WHEN f = 'MC' AND answer NOT IN ('', '-') OR f <> 'MC' AND oe_final NOT IN ('A', 'B', '') THEN 1 ELSE 0 END) AS hit
+  FROM i JOIN p ON i.id = p.pos GROUP BY flat_table_id)"""
+
+
+def _with_items(t: Tables):
+    items = t.derived("lineitem", ITEMS).select("flat_table_id", "id", F.col("answer").alias("upmx_raw_item"), F.col("oe_final").alias("upmx_oe_final"))
+    return students(t), {"m": items}
+
+
+@query("derive_attempt_flags", _ATTEMPTS + """
+SELECT s.id, CASE WHEN ufmx_invalid = '1' THEN 0 ELSE coalesce(hit, 0) END AS attempt_m,
+  CASE WHEN try_cast(ucrxgen AS DOUBLE) = 1 THEN '1' WHEN try_cast(ucrxgen AS DOUBLE) = 2 THEN '2' ELSE '' END AS gender,
+  try_cast(CASE WHEN dob_year = '' THEN NULL ELSE dob_year || '-' || lpad(dob_month, 2, '0') || '-' || lpad(dob_day, 2, '0') END AS DATE) AS dob,
+  preidflag * 10 + CASE WHEN ufmx_invalid = '1' THEN 0 ELSE coalesce(hit, 0) END AS variable_priority
+FROM s LEFT JOIN a ON s.id = a.flat_table_id""")
+def derive_attempt_flags(t: Tables):
+    flat, items = _with_items(t)
+    out = attempts.derive_attempt_flags(flat, items, bookmap(t), grade="10")
+    return rounded(out.select("id", "attempt_m", "gender", "dob", "variable_priority"))
+
+
+# Needles: the suppliers; haystack: the customers.
+_NEEDLES = ("SELECT s_nationkey AS nation, cast(floor(s_acctbal / 1000) AS INT) AS band, s_suppkey % 10 AS digit, replace(s_name, 'Supplier', 'Customer') AS fnm, "
+            "concat('x', cast(s_suppkey AS STRING)) AS lnm FROM supplier")
+_HAYSTACK = ("SELECT c_custkey AS hid, c_nationkey AS nation, cast(floor(c_acctbal / 1000) AS INT) AS band, c_custkey % 10 AS digit, "
+             "c_name AS fnm, concat('x', cast(c_custkey AS STRING)) AS lnm FROM customer")
+_SIM = ("round(20 * (1.0 - least(levenshtein(upper({0}.fnm) || ' ' || upper({0}.lnm), upper({1}.fnm) || ' ' || upper({1}.lnm)), "
+        "levenshtein(upper({0}.lnm) || ' ' || upper({0}.fnm), upper({1}.fnm) || ' ' || upper({1}.lnm)))::DOUBLE "
+        "/ greatest(length({0}.fnm || ' ' || {0}.lnm), length({1}.fnm || ' ' || {1}.lnm))))::INT")
+_LINK = f"""
+WITH n AS (SELECT DISTINCT * FROM ({_NEEDLES})), h AS ({_HAYSTACK}),
+top AS (SELECT fnm, lnm FROM h ORDER BY hid LIMIT 20),
+cal AS (SELECT {_SIM.format('top', 'h')} AS sim, count(*) c FROM top, h GROUP BY 1),
+steps AS (SELECT i AS sim, pow((SELECT coalesce(sum(c), 0) FROM cal WHERE sim >= i)::DOUBLE / (SELECT sum(c) FROM cal), 1.5) AS chance FROM range(21) v(i)),
+fn AS (SELECT nation, pow(count(*)::DOUBLE / (SELECT count(*) FROM h), 1.0) f FROM h GROUP BY nation),
+fb AS (SELECT band, pow(count(*)::DOUBLE / (SELECT count(*) FROM h), 1.0) f FROM h GROUP BY band),
+fd AS (SELECT pow(1.0 / count(DISTINCT digit), 1.5) f FROM h),
+p AS (SELECT n.*, hid, CASE WHEN n.nation = h.nation THEN coalesce(fn.f, 1) ELSE 1 END * CASE WHEN n.band = h.band THEN coalesce(fb.f, 1) ELSE 1 END
+    * CASE WHEN n.digit = h.digit THEN fd.f ELSE 1 END AS agree, {_SIM.format('h', 'n')} AS sim
+  FROM n LEFT JOIN fn ON n.nation = fn.nation LEFT JOIN fb ON n.band = fb.band, fd, h {{}}),
+q AS (SELECT p.*, agree * chance AS prob FROM p JOIN steps ON p.sim = steps.sim),
+r AS (SELECT *, rank() OVER (PARTITION BY nation, band, digit, fnm, lnm ORDER BY round(prob, 12)) AS rank FROM q WHERE prob < {{}})
+SELECT fnm AS n_fnm, hid, round(prob, 9) AS prob, rank FROM r WHERE rank <= 2"""
+
+
+def _linked(t: Tables, cut: float, **options):
+    needles = t.spark.sql(_NEEDLES.replace("FROM supplier", "FROM {x}"), x=t.supplier)
+    haystack = t.spark.sql(_HAYSTACK.replace("FROM customer", "FROM {x}"), x=t.customer)
+    out = linkage.find_matches(needles, haystack, {"nation": 1.0, "band": 1.0}, {"digit": 1.5}, ("fnm", "lnm"), 1.5, "hid", cut, 2,
+                               ["hid"], **options)
+    return out.select(F.col("N_fnm").alias("n_fnm"), "hid", F.round("prob", 9).alias("prob"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("find_matches", _LINK.format("", "1e-5"))
+def find_matches(t: Tables):
+    return _linked(t, 1e-5)
+
+
+@query("find_matches_blocked", _LINK.format("WHERE n.nation = h.nation", "1e-3"))
+def find_matches_blocked(t: Tables):
+    return _linked(t, 1e-3, blocking=["nation"])
+
+
+@query("nominal_frequencies", """
+SELECT c_mktsegment AS value, round(pow(count(*)::DOUBLE / (SELECT count(*) FROM customer), 1.5), 9) AS freq FROM customer GROUP BY c_mktsegment""")
+def nominal_frequencies(t: Tables):
+    return rounded(linkage.nominal_frequencies(t.customer, "c_mktsegment", 1.5), 9)

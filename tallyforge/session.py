@@ -19,6 +19,7 @@ def local_session(cpus: int | str = 8, app: str = "tallyforge", **conf) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
     )
     for key, value in conf.items():
