@@ -34,6 +34,13 @@ _WHOLE = (
 )
 
 
+def _as_date(text):
+    """Timestamp of a date text; only text that looks like a date is parsed."""
+    forms = ((r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$", "yyyy-MM-dd HH:mm:ss"), (r"^\d{4}-\d\d-\d\d$", "yyyy-MM-dd"),
+             (r"^\d\d/\d\d/\d{4}$", "MM/dd/yyyy"))
+    return F.coalesce(*[F.when(text.rlike(r), F.try_to_timestamp(text, F.lit(p))) for r, p in forms])
+
+
 def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str, ColumnGuess], DataFrame]:
     """Narrowest type of each text column, and the cast table.
 
@@ -42,22 +49,26 @@ def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str
     narrowest range that holds them.
     """
     source = df.limit(rows) if rows else df
-    aggs = []
+    # Each cell is parsed once, in a projection below the aggregate.
+    parsed, aggs = {}, []
     for i, c in enumerate(df.columns):
         text = F.trim(F.col(c).cast("string"))
-        full = F.col(c).isNotNull() & (text != "")
-        number, whole = text.try_cast("double"), text.try_cast("bigint")
-        date = F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(text, F.lit("yyyy-MM-dd")),
-                          F.try_to_timestamp(text, F.lit("MM/dd/yyyy")))
+        number = text.try_cast("double")
+        parsed[f"_full{i}"] = F.col(c).isNotNull() & (text != "")
+        parsed[f"_num{i}"] = number
         # 3.0 counts as a whole number, as spreadsheets store every number as a double
-        as_whole = F.coalesce(whole, F.when(number == F.floor(number), number.try_cast("bigint")))
+        parsed[f"_int{i}"] = F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
+        parsed[f"_date{i}"] = _as_date(text).isNotNull()
+        parsed[f"_len{i}"] = F.length(F.col(c).cast("string"))
+    source = source.select(*[v.alias(k) for k, v in parsed.items()])
+    for i in range(len(df.columns)):
+        full, number, whole, date = (F.col(f"_{k}{i}") for k in ("full", "num", "int", "date"))
         aggs += [
-            F.max(F.when(full, (number.isNull() & date.isNull()).cast("int"))).alias(f"s{i}"),
-            F.max(F.when(full, date.isNotNull().cast("int"))).alias(f"d{i}"),
+            F.max(F.when(full, (number.isNull() & ~date).cast("int"))).alias(f"s{i}"),
+            F.max(F.when(full, date.cast("int"))).alias(f"d{i}"),
             F.max(F.when(full, number.isNotNull().cast("int"))).alias(f"n{i}"),
-            F.max(F.when(full & number.isNotNull(), as_whole.isNull().cast("int"))).alias(f"f{i}"),
-            F.max(F.length(F.col(c).cast("string"))).alias(f"l{i}"),
-            F.min(as_whole).alias(f"lo{i}"), F.max(as_whole).alias(f"hi{i}"),
+            F.max(F.when(full & number.isNotNull(), whole.isNull().cast("int"))).alias(f"f{i}"),
+            F.max(f"_len{i}").alias(f"l{i}"), F.min(whole).alias(f"lo{i}"), F.max(whole).alias(f"hi{i}"),
         ]
     seen = source.agg(*aggs).first()
     guesses, columns = {}, []
@@ -70,8 +81,7 @@ def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str
             guess, column = ColumnGuess("nvarchar", T.StringType(), length), F.col(c).cast("string")
         elif date:
             guess = ColumnGuess("datetime", T.TimestampType(), length)
-            column = F.coalesce(*[F.try_to_timestamp(value, F.lit(p)) for p in (
-                "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy")])
+            column = _as_date(value)
         elif fraction:
             guess, column = ColumnGuess("float", T.DoubleType(), length), value.try_cast("double")
         else:
