@@ -23,6 +23,7 @@ from .keys import (
     min3,
     trim_float_text,
 )
+from .numbers import to_number, to_whole
 from .names import normalize_column_names, select_columns_like
 from .sqlnames import register_sql_functions
 from .text import (
@@ -41,6 +42,6 @@ __all__ = [
     "decode_intensity", "grade_or_default", "is_numeric", "letters_to_null",
     "levenshtein_distance", "median3", "min3", "name_similarity", "normalize_column_names",
     "pass_flag", "proper_case_words", "recode_levels", "register_sql_functions",
-    "report_level", "select_columns_like", "sentinel_to_null", "to_number_or_zero",
-    "to_proper_case", "trim_float_text",
+    "report_level", "select_columns_like", "sentinel_to_null", "to_number", "to_number_or_zero",
+    "to_proper_case", "to_whole", "trim_float_text",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbers import to_number
 from .text import _c
 
 # Fixed values of the named report formats: value -> text, then the text for
@@ -40,7 +41,7 @@ def apply_value_format(value: Column | str, name: str) -> Column:
     except KeyError:
         raise ValueError(f"unknown value format {name!r}") from None
     text = _c(value).cast("string")
-    number = F.trim(text).try_cast("double")
+    number = to_number(text)
     if "times" in rule:
         number = number * F.lit(rule["times"])
     whole = number.try_cast("bigint")
@@ -58,11 +59,11 @@ def apply_value_format(value: Column | str, name: str) -> Column:
 
 def is_numeric(value: Column | str) -> Column:
     """True for text that parses as a number (lone ``-``, ``$`` and ``.`` do not)."""
-    return F.trim(_c(value).cast("string")).try_cast("double").isNotNull()
+    return to_number(value).isNotNull()
 
 
 def to_number_or_zero(value: Column | str) -> Column:
-    return F.coalesce(F.trim(_c(value).cast("string")).try_cast("double"), F.lit(0.0))
+    return F.coalesce(to_number(value), F.lit(0.0))
 
 
 def decode_intensity(value: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import to_number
 from .text import _c
 
 
@@ -21,13 +22,13 @@ def composite_key(*columns: Column | str, delimiter: str = "_") -> Column:
 
 def grade_or_default(grade: Column | str, default: str = "99") -> Column:
     """Whole number text of a grade, or the default when it is not a number."""
-    number = F.trim(_c(grade).cast("string")).try_cast("double")
+    number = to_number(grade)
     return F.coalesce(number.try_cast("int").cast("string"), F.lit(default))
 
 
 def compose_date(year, month, day, text: bool = False, year_range: tuple[int, int] | None = None) -> Column:
     """Validated date of three parts, else NULL (``text`` gives ``MM/DD/YYYY``)."""
-    y, m, d = (F.trim(_c(p).cast("string")).try_cast("double").try_cast("int") for p in (year, month, day))
+    y, m, d = (to_number(p).try_cast("int") for p in (year, month, day))
     if year_range is not None:
         y = F.when(y.between(*year_range), y)
     date = F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")
@@ -61,7 +62,7 @@ def clean_label(value: Column | str) -> Column:
 def trim_float_text(value: Column | str) -> Column:
     """``3.0`` becomes ``3`` so that levels of two sources match; NULL becomes empty."""
     text = _c(value).cast("string")
-    number = text.try_cast("double")
+    number = to_number(text)
     whole = text.contains(".") & number.isNotNull() & (number == F.floor(number)) & (F.abs(number) < 1e15)
     return F.when(text.isNull() | (text == "None"), F.lit("")).when(
         whole, number.try_cast("bigint").cast("string")).otherwise(text)

@@ -30,9 +30,19 @@ def name_similarity(first1, last1, first2, last2, null_as_text: bool = True) ->
     One minus the smaller edit distance over the longer text.  An absent part
     reads as the text ``NULL`` unless ``null_as_text`` is off.
     """
-    f1, l1, f2, l2 = (_name_part(p, null_as_text) for p in (first1, last1, first2, last2))
-    blank = F.lit(" ")
-    straight, swapped, other = F.concat(f1, blank, l1), F.concat(l1, blank, f1), F.concat(f2, blank, l2)
+    straight, swapped = clean_names(first1, last1, null_as_text)
+    other, _ = clean_names(first2, last2, null_as_text)
+    return clean_similarity(straight, swapped, other)
+
+
+def clean_names(first, last, null_as_text: bool = True) -> tuple[Column, Column]:
+    """Cleaned full name with the first name first, and with the last name first."""
+    f, l = (_name_part(p, null_as_text) for p in (first, last))
+    return F.concat(f, F.lit(" "), l), F.concat(l, F.lit(" "), f)
+
+
+def clean_similarity(straight: Column, swapped: Column, other: Column) -> Column:
+    """Similarity of cleaned full names (see :func:`name_similarity`)."""
     distance = F.least(F.levenshtein(straight, other), F.levenshtein(swapped, other))
     longest = F.greatest(F.length(straight), F.length(other))
     return F.lit(1.0) - distance.cast("double") / longest.cast("double")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import compose_date
+from ..functions.numbers import to_number
 from ..functions.text import to_proper_case
 from ..session import maybe_broadcast
 
@@ -53,11 +54,11 @@ def derive_attempt_flags(flat: DataFrame, items: Mapping[str, DataFrame], bookma
             .groupBy("_fid")
             .agg(F.max(answered(F.col("_format"), F.col("_raw"), F.col("_final")).cast("int")).alias("_any"))
         )
-        invalid = F.coalesce(F.col(f"uf{subject}x_invalid").cast("string").try_cast("double") == 1, F.lit(False))
+        invalid = F.coalesce(to_number(f"uf{subject}x_invalid") == 1, F.lit(False))
         out = out.join(flags, out["id"] == flags["_fid"], "left").drop("_fid").withColumn(
             f"attempt_{subject}", F.when(invalid, 0).otherwise(F.coalesce("_any", F.lit(0)))).drop("_any")
-    gender = F.col("ucrxgen").cast("string").try_cast("double")
-    preid = F.coalesce(F.col("preidflag").cast("string").try_cast("double") == 1, F.lit(False))
+    gender = to_number("ucrxgen")
+    preid = F.coalesce(to_number("preidflag") == 1, F.lit(False))
     attempts = F.lit(0)
     for subject in items:
         attempts = attempts + F.col(f"attempt_{subject}")

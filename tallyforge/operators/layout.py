@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from ..functions.numbers import to_number
 from .predicates import field_type, sheet_rows, text_of
 
 REQUIRED_COLUMNS = ("start", "end", "type", "min", "max", "nominal_values", "std_code", "variable_name",
@@ -31,7 +32,7 @@ def check_layout(layout: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
         raise ValueError(f"layout lacks required columns: {', '.join(absent)}")
     text = {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
             for c in ("start", "end", "type", "nominal_values", "comments", "variable_name", "std_code")}
-    start, end = text["start"].try_cast("double"), text["end"].try_cast("double")
+    start, end = to_number(text["start"]), to_number(text["end"])
     name = text["variable_name"]
     rows = layout.select(
         F.col("import_order").cast("bigint").alias("import_order"), name.alias("variable_name"),
@@ -151,7 +152,7 @@ def _value_tests(fields: Sequence[LayoutField]) -> list[tuple[str, Column, Colum
     tests = []
     for f in fields:
         v = F.col(f.name)
-        number = F.trim(v.cast("string")).try_cast("double")
+        number = to_number(v)
         if f.regex:
             # a pattern has to match from the start of the value, not all of it
             tests.append((f.name, v, ~v.cast("string").rlike("^(?:" + f.regex + ")"), "Regular Expression"))
@@ -191,7 +192,7 @@ def apply_layout_types(df: DataFrame, layout, line: str = "line_number") -> Type
             continue
         cast = parse_us_date(value, f.informat) if isinstance(f.type, T.TimestampType) else value.try_cast(f.type)
         if isinstance(f.type, (T.ShortType, T.IntegerType, T.LongType)):
-            cast = F.coalesce(cast, value.try_cast("double").try_cast(f.type))
+            cast = F.coalesce(cast, to_number(value).try_cast(f.type))
         columns.append(cast.alias(f.name))
         tests.append((f.name, value, value.isNotNull() & cast.isNull(), "Error inserting data"))
     keep = [F.col(line)] if line in df.columns else []
@@ -253,7 +254,7 @@ def recode_values(df: DataFrame, layout, reference_divisor: bool = True) -> Data
             pairs = [F.lit(x).cast("string") for pair in table.items() for x in pair]
             value = F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
         if kind not in ("STRING", "NOMINAL", "NOMINAL_ID1", "NOMINAL_ID2"):
-            number = F.trim(value).try_cast("double")
+            number = to_number(value)
             value = F.when(value == ".", F.lit(" ")).when(number.isNotNull(), value)
         if re.fullmatch(r"(NOMINAL_)?ID[0-9]", kind):
             value = implied_decimal(value, kind, reference_divisor)

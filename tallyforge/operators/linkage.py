@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import name_similarity
+from ..functions.text import clean_names, clean_similarity
 from ..session import maybe_broadcast
 from .windows import rank_in_group
 
@@ -45,14 +46,12 @@ def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weigh
         haystack.where(F.col(key).isNotNull()).orderBy(F.col(key), F.col(first), F.col(last))
         .select(first, last).limit(CALIBRATION_NAMES).collect()
     )
-    text = "string"
-    names = F.array(*[
-        F.struct(F.lit(r[0]).cast(text).alias("f"), F.lit(r[1]).cast(text).alias("l")) for r in sample])
-    counts = (
-        haystack.select(first, last, F.explode(names).alias("s"))
-        .groupBy(_step(F.col("s.f"), F.col("s.l"), F.col(first), F.col(last)).alias("step"))
-        .count().collect()
-    )
+    names = _constant([list(r) for r in sample], "array<array<string>>")
+    straight, _ = clean_names(first, last)
+    # cleaned once per row and once per sample name, not once per comparison
+    rows = haystack.select(straight.alias("_h")).withColumn("_s", F.explode(
+        F.transform(names, lambda r: F.struct(*[c.alias(n) for c, n in zip(clean_names(r[0], r[1]), "sx")]))))
+    counts = rows.groupBy(_step(F.col("_s.s"), F.col("_s.x"), F.col("_h")).alias("step")).count().collect()
     by_step = {int(r["step"]): r["count"] for r in counts}
     total, upto, out = sum(by_step.values()), 0, [0.0] * (SIMILARITY_STEPS + 1)
     for step in range(SIMILARITY_STEPS, -1, -1):
@@ -61,8 +60,13 @@ def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weigh
     return out
 
 
-def _step(f1, l1, f2, l2) -> Column:
-    return F.round(F.lit(float(SIMILARITY_STEPS)) * name_similarity(f1, l1, f2, l2), 0).cast("int")
+def _step(straight: Column, swapped: Column, other: Column) -> Column:
+    return F.round(F.lit(float(SIMILARITY_STEPS)) * clean_similarity(straight, swapped, other), 0).cast("int")
+
+
+def _constant(values, schema: str) -> Column:
+    """A constant array or struct (folded into the plan as one literal)."""
+    return F.from_json(F.lit(json.dumps(values, default=str)), schema)
 
 
 def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str, float],
@@ -91,15 +95,20 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
         freq = nominal_frequencies(haystack, c, w).select(F.col("value").alias(f"N_{c}"), F.col("freq").alias(f"_w_{c}"))
         n = n.join(freq, f"N_{c}", "left").withColumn(f"_w_{c}", F.coalesce(f"_w_{c}", F.lit(1.0)))
     n = n.withColumns({f"_w_{c}": F.lit(f) for c, f in big.items()})
+    straight, swapped = clean_names(f"N_{first}", f"N_{last}")
+    n = n.withColumns({"_ns": straight, "_nx": swapped})
     h = haystack.select(*[F.col(c).alias(f"H_{c}") for c in dict.fromkeys([*used, *out_columns])])
+    h = h.withColumn("_hs", clean_names(f"H_{first}", f"H_{last}")[0])
+    least_chance = min(calibration)
 
     def score(get_n, get_h) -> Column:
+        """Product of a pair; names are compared only if they can matter."""
         product = F.lit(1.0)
         for c in [*nominal, *big_nominal]:
             product = product * F.when(get_n(f"N_{c}") == get_h(f"H_{c}"), get_n(f"_w_{c}")).otherwise(F.lit(1.0))
         chances = F.array(*[F.lit(p) for p in calibration])
-        step = _step(get_h(f"H_{first}"), get_h(f"H_{last}"), get_n(f"N_{first}"), get_n(f"N_{last}"))
-        return product * F.element_at(chances, step + 1)
+        step = _step(get_n("_ns"), get_n("_nx"), get_h("_hs"))
+        return F.when(product * F.lit(least_chance) < F.lit(cut), product * F.element_at(chances, step + 1))
 
     need = -math.log(cut) + min((math.log(p) for p in calibration if p > 0), default=0.0)
     if min(calibration) <= 0:
@@ -114,15 +123,15 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
         share = math.exp(-need / len(columns))
         pairs = _rare_value_pairs(n, h, columns, share)
     else:
-        size = n.limit(FULL_SCAN_NEEDLES + 1).count()
-        if size > FULL_SCAN_NEEDLES:
+        listed = n.limit(FULL_SCAN_NEEDLES + 1).toJSON().collect()
+        if len(listed) > FULL_SCAN_NEEDLES:
             raise ValueError(
                 f"more than {FULL_SCAN_NEEDLES} needles and a cut that names alone can reach: "
                 "give blocking columns or a smaller cut")
         # Each haystack row filters the bounded needle list in place; only
         # pairs that pass leave the row.
-        listed = n.agg(F.collect_list(F.struct(*n.columns))).scalar()
-        found = F.filter(listed, lambda x: score(lambda c: x[c], F.col) < F.lit(cut))
+        needle_list = _constant([json.loads(r) for r in listed], f"array<{n.schema.simpleString()}>")
+        found = F.filter(needle_list, lambda x: score(lambda c: x[c], F.col) < F.lit(cut))
         pairs = h.withColumn("_n", F.explode(found)).select(*h.columns, "_n.*")
     scored = pairs.withColumn("prob", score(F.col, F.col)).where(F.col("prob") < cut)
     needle_columns = [f"N_{c}" for c in used]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import to_number
 from ..session import maybe_broadcast
 from .predicates import require_columns, sheet_rows, text_of
 from .stats import group_stats
@@ -24,7 +25,7 @@ def peer_join(df: DataFrame, peers: DataFrame, on: str, focal: str = "F1",
         typed.unpivot([focal], columns, "_position", "_peer").where(F.col("_peer").isNotNull())
         .select(focal, "_peer").distinct()
     )
-    key = F.trim(F.col(on).cast("string")).try_cast("double")
+    key = to_number(on)
     return df.withColumn("_peer", key).join(maybe_broadcast(long), "_peer").select(focal, *df.columns)
 
 
@@ -78,7 +79,7 @@ def peer_compare(df: DataFrame, sheet, peers: DataFrame, district: str = "dcrxid
         n = F.col("_count_" + subject)
         columns["_pred_" + output] = F.when(n != 0, F.col(f"_total_{output}") / n)
     pooled = pooled.withColumns(columns)
-    table = own.withColumn(focal, F.trim(F.col(district).cast("string")).try_cast("double")).join(pooled, focal)
+    table = own.withColumn(focal, to_number(district)).join(pooled, focal)
     chosen = [F.col(district)]
     for output, *_ in mean_rows:
         chosen.append(F.round(F.col("_pred_" + output) + F.lit(1e-10), 0).alias(output))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numbers import to_number
 from ..session import maybe_broadcast
 
 
@@ -141,7 +142,7 @@ def drop_unattempted(df: DataFrame, attempt_columns: Sequence[str], type_column:
                      dropped_types: Sequence[str] = ("H",)) -> DataFrame:
     """Drop rows whose attempt flags are all 0, and rows of the dropped types."""
     attempted = reduce(lambda a, b: a | b, [
-        F.coalesce(F.col(c).cast("string").try_cast("double").try_cast("int"), F.lit(0)) != 0
+        F.coalesce(to_number(c).try_cast("int"), F.lit(0)) != 0
         for c in attempt_columns
     ])
     out = df.where(attempted)

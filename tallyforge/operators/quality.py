@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import blank
+from ..functions.numbers import to_number
 from ..session import maybe_broadcast
 from .predicates import field_type, require_columns, sheet_rows, text_of
 from .skew import HOT_ROWS, hot_keys, join_on_keys
@@ -147,13 +148,13 @@ def compare_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], exclu
 
 def differs_as_integer(left: Column, right: Column) -> Column:
     """Values differ after rounding to whole numbers."""
-    return ~F.round(left.try_cast("double"), 0).eqNullSafe(F.round(right.try_cast("double"), 0))
+    return ~F.round(to_number(left), 0).eqNullSafe(F.round(to_number(right), 0))
 
 
 def differs_as_mixed(left: Column, right: Column) -> Column:
     """Numbers compare as numbers, everything else as trimmed text."""
     a, b = left.cast("string"), right.cast("string")
-    x, y = a.try_cast("double"), b.try_cast("double")
+    x, y = to_number(a), to_number(b)
     same = F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise(
         F.coalesce(F.trim(a), F.lit("")) == F.coalesce(F.trim(b), F.lit("")))
     return ~same

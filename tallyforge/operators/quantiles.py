@@ -46,12 +46,16 @@ def exact_group_quantiles(df: DataFrame, keys: Sequence[str], value: Column, pro
     condition = matches[0]
     for m in matches[1:]:
         condition = condition & m
-    # width_bucket over an ordered array is a binary search in the JVM:
-    # array_size of the cuts below the value, found without scanning the group.
     bucketed = data.alias("d").join(cuts.alias("c"), condition).select(
-        *[F.col("d." + k).alias(k) for k in keys], "_x", "_n",
-        F.size(F.filter("_cuts", lambda cut: cut < F.col("_x"))).alias("_b"),
-    )
+        *[F.col("d." + k).alias(k) for k in keys], "_x", "_n", "_cuts", F.lit(0).alias("_b"))
+    # Number of cuts below the value by binary search: one projection per
+    # halving, so a row costs log2(buckets) comparisons.
+    step = 1 << max(buckets - 1, 1).bit_length() - 1
+    while step:
+        higher = F.try_element_at("_cuts", F.col("_b") + step) < F.col("_x")
+        bucketed = bucketed.withColumn("_b", F.col("_b") + F.when(higher, step).otherwise(0))
+        step >>= 1
+    bucketed = bucketed.drop("_cuts")
     totals = bucketed.groupBy(*keys, "_b").agg(F.count("_x").alias("_bn"), F.first("_n").alias("_n"))
     running = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
     totals = totals.withColumn("_before", F.sum("_bn").over(running) - F.col("_bn"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import is_numeric
 from ..functions.keys import median3, min3
+from ..functions.numbers import to_number
 from ..session import maybe_broadcast
 from .attempts import operational_items
 from .predicates import field_type
@@ -25,7 +26,7 @@ class RescoreResult(NamedTuple):
 
 
 def _whole_text(value: Column) -> Column:
-    return F.trim(value.cast("string")).try_cast("double").try_cast("bigint")
+    return to_number(value).try_cast("bigint")
 
 
 def rescore_check(responses: DataFrame, key: DataFrame) -> RescoreResult:
@@ -93,7 +94,7 @@ def score_conversion_check(df: DataFrame, conversions: DataFrame, raw_variables:
                  F.col(column).cast("string").alias("data_text"))
         for raw, targets in raw_variables.items() for column, measure in targets.items()])
     long = df.select(F.col(row_id).alias("id"), F.inline(cells)).withColumns({
-        "raw_score": F.trim("raw_text").try_cast("double"), "data_value": F.trim("data_text").try_cast("double")})
+        "raw_score": to_number("raw_text"), "data_value": to_number("data_text")})
     table = conversions.select(
         "raw_variable", F.col("raw_score").cast("double").alias("raw_score"), "measure",
         F.col("value").cast("double").alias("correct_value"), F.lit(True).alias("_known"))
@@ -134,11 +135,11 @@ def conversion_output_wide(result: ConversionResult, raw_variables: Mapping[str,
 
 def sum_check(df: DataFrame, parts: Sequence[str], total: str, row_id: str = "id") -> RescoreResult:
     """Strand scores must add up to the total; unreadable strands are reported."""
-    numbers = [F.trim(F.col(p).cast("string")).try_cast("double") for p in parts]
+    numbers = [to_number(p) for p in parts]
     correct = reduce(lambda a, b: a + b, numbers)
     rows = df.select(
         F.col(row_id).alias("id"), *[F.col(p) for p in parts], F.col(total).alias("total"), correct.alias("correct_total"))
-    given = F.trim(F.col("total").cast("string")).try_cast("double")
+    given = to_number("total")
     bad_parts = F.concat_ws(", ", *[F.when(n.isNull(), F.lit(p)) for n, p in zip(numbers, parts)])
     message = F.when(F.col("correct_total").isNull(), F.concat(F.lit("not a number: "), bad_parts)).when(
         given.isNull() | (given != F.col("correct_total")), F.lit("total differs from the sum of its parts"))
@@ -177,7 +178,7 @@ def attempt_check(flat: DataFrame, items: DataFrame, bookmap: DataFrame, subject
         F.coalesce((~F.rtrim(final).isin("A", "B", "")).cast("int"), F.lit(0)).alias("oe_items"))
     joined = marked.join(records.select("flat_table_id", "_form"), "flat_table_id").join(keys, ["_position", "_form"])
     counts = joined.groupBy("flat_table_id").agg(F.sum(F.col("mc_items") + F.col("oe_items")).alias("answered"))
-    raw = F.trim(F.col("raw").cast("string")).try_cast("double")
+    raw = to_number("raw")
     found = counts.join(records, "flat_table_id").withColumn(
         "calc_attempt", F.when(F.col("answered") >= threshold, 1).when(raw >= threshold, 1).otherwise(0)
     ).where(F.col("calc_attempt") != F.col("attempt_value"))
@@ -191,7 +192,7 @@ def attempt_check(flat: DataFrame, items: DataFrame, bookmap: DataFrame, subject
 def resolved_score(first: Column, second: Column, third: Column, final: Column, resolution: Column,
                    rule: str) -> Column:
     """Final score by the rule set ``short``, ``writing`` or ``extended``."""
-    f, s, t, e = (F.trim(c).try_cast("double") for c in (first, second, third, final))
+    f, s, t, e = (to_number(c) for c in (first, second, third, final))
     d12, d13, d23 = F.abs(f - s), F.abs(f - t), F.abs(s - t)
     text = lambda c: c.cast("string")
     if rule == "short":
@@ -212,7 +213,7 @@ def resolved_score(first: Column, second: Column, third: Column, final: Column,
             .when(first == third, text(f + t)).when(second == third, text(s + t))
             .when((d13 == 1) & (d23 == 1) & (smallest != 0), text(t * 2))
             .when(d13 == 1, text(f + t)).when(d23 == 1, text(s + t))
-            .otherwise(text(F.trim(resolution).try_cast("double") * 2)))
+            .otherwise(text(to_number(resolution) * 2)))
         return F.when(f.isNotNull() & s.isNotNull(), numeric).otherwise(F.when(first == second, first))
     raise ValueError("rule must be short, writing or extended")
 
@@ -234,10 +235,10 @@ def handscore_check(flat: DataFrame, items: DataFrame, bookmap: DataFrame, subje
     joined = joined.join(records, "flat_table_id").join(keys, ["_position", "_form"])
     calculated = resolved_score(F.col("oe_first"), F.col("oe_second"), F.col("oe_third"), F.col("oe_final"),
                                 F.col("oe_reso"), rule)
-    number = F.trim(calculated).try_cast("double")
+    number = to_number(calculated)
     shown = F.when(number.isNotNull(), F.round(number, 1).cast("decimal(6,1)").cast("string")).otherwise(calculated)
     joined = joined.withColumn("calc_oe_final", shown)
-    final, calc = F.trim(F.col("oe_final")).try_cast("double"), F.col("calc_oe_final").try_cast("double")
+    final, calc = to_number("oe_final"), to_number("calc_oe_final")
     differs = F.when(final.isNotNull() & calc.isNotNull(), F.round(final, 1) != calc).otherwise(
         F.col("oe_final") != F.col("calc_oe_final"))
     return joined.where(differs).select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import letters_to_null, pass_flag
 from ..functions.keys import composite_key, grade_or_default
+from ..functions.numbers import to_number
 from ..functions.text import compose_name, proper_case_words
 from ..operators.predicates import drop_unattempted, split_by_flag
 from ..operators.stats import distinct_cut
@@ -43,7 +44,7 @@ def student_derivations(df: DataFrame, strands: Mapping[str, Sequence[str]], sub
     """
     rows = drop_unattempted(df, [f"uf{s}x_attempt" for s in subjects])
     name = compose_name("ucrxfnm", "studentmid", "ucrxlnm")
-    parts = [F.trim(F.col(c).cast("string")).try_cast("double").try_cast("int") for c in ("dob_month", "dob_day", "dob_year")]
+    parts = [to_number(c).try_cast("int") for c in ("dob_month", "dob_day", "dob_year")]
     given = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
     rows = rows.withColumns({
         "student_name": name,
@@ -89,7 +90,7 @@ def student_derivations(df: DataFrame, strands: Mapping[str, Sequence[str]], sub
         made[f"proforhigher{s}"] = F.when(lev.isin("3", "4", "5"), "100").when(lev.isin("1", "2"), "0").otherwise(MISSING)
         made[f"belowprof{s}"] = F.when(lev.isin("3", "4", "5"), "0").when(lev.isin("1", "2"), "100").otherwise(MISSING)
         made[f"advacc{s}"] = F.when(lev.isin("4", "5"), "100").when(lev.isin("1", "2", "3"), "0").otherwise(MISSING)
-        number = lambda c: c.try_cast("double").try_cast("int")
+        number = lambda c: to_number(c).try_cast("int")
         made[f"inclusionflag{s}"] = _flag(
             (number(attempt) == 1) & (F.coalesce(number(invalid), F.lit(0)) != 1)
             & (F.coalesce(F.col("schtype"), F.lit("")) != "H"))

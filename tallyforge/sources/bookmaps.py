@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import normalize_column_names
+from ..functions.numbers import to_number
 from ..operators.predicates import sheet_rows, text_of
 
 LOCATION_COLUMNS = ("location", "grade_values", "subject", "subject_values", "form_values")
@@ -72,7 +72,7 @@ def read_bookmaps(locations, reader: Callable[[str], DataFrame], substitutions=(
 def bookmap_item_lists(bookmaps: DataFrame) -> DataFrame:
     """Per subject, grade and form: released multiple-choice items, items not
     released, and the highest item number (operational items)."""
-    position = F.col("`item position`").cast("string").try_cast("double").try_cast("int")
+    position = to_number("`item position`").try_cast("int")
     operational = F.upper(F.trim("role")) == "OPERATIONAL"
     released = F.upper(F.trim("`tagged for release`")).isin("Y", "YES", "1", "TRUE", "X")
     choice = F.upper(F.trim("`item format`")) == "MC"

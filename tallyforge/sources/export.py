@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import apply_value_format
+from ..functions.numbers import to_number
 from ..operators.predicates import sheet_rows, text_of
 from .delimited import column_type
 from .lines import add_import_order
@@ -79,7 +80,7 @@ def fixed_width_line(layout, zero_padded: Sequence[str] = ()) -> Column:
         if r["name"].lower() == "filler":
             parts.append(F.lit(" " * width))
         elif r["name"].lower() in padded:
-            whole = F.trim(F.col(r["name"]).cast("string")).try_cast("double").try_cast("bigint").cast("string")
+            whole = to_number(r["name"]).try_cast("bigint").cast("string")
             parts.append(F.coalesce(F.lpad(whole, width, "0"), F.lpad(F.lit("."), width, " ")))
         else:
             text = F.substring(F.coalesce(F.col(r["name"]).cast("string"), F.lit("")), 1, width)

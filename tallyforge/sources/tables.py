@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import blank
+from ..functions.numbers import to_number, to_whole
 from ..operators.windows import union_all
 from .lines import add_import_order
 
@@ -53,11 +54,11 @@ def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str
     parsed, aggs = {}, []
     for i, c in enumerate(df.columns):
         text = F.trim(F.col(c).cast("string"))
-        number = text.try_cast("double")
+        number = to_number(text)
         parsed[f"_full{i}"] = F.col(c).isNotNull() & (text != "")
         parsed[f"_num{i}"] = number
         # 3.0 counts as a whole number, as spreadsheets store every number as a double
-        parsed[f"_int{i}"] = F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
+        parsed[f"_int{i}"] = F.coalesce(to_whole(text), F.when(number == F.floor(number), number.try_cast("bigint")))
         parsed[f"_date{i}"] = _as_date(text).isNotNull()
         parsed[f"_len{i}"] = F.length(F.col(c).cast("string"))
     source = source.select(*[v.alias(k) for k, v in parsed.items()])
@@ -83,11 +84,11 @@ def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str
             guess = ColumnGuess("datetime", T.TimestampType(), length)
             column = _as_date(value)
         elif fraction:
-            guess, column = ColumnGuess("float", T.DoubleType(), length), value.try_cast("double")
+            guess, column = ColumnGuess("float", T.DoubleType(), length), to_number(value)
         else:
             name, kind = next((n, t) for n, t, lo, hi in _WHOLE if lo <= seen[f"lo{i}"] and seen[f"hi{i}"] <= hi)
             guess = ColumnGuess(name, kind, length)
-            column = F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint")).cast(kind)
+            column = F.coalesce(to_whole(value), to_number(value).try_cast("bigint")).cast(kind)
         guesses[c] = guess
         columns.append(column.alias(c))
     return guesses, df.select(*columns)
