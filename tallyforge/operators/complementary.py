@@ -416,12 +416,12 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
 
         return laid.mapInPandas(ordered, schema)
 
+    # A partner group is part of one primary-key group, so counting those
+    # tells whether any can be very large.
     hot = None
-    if not force_one:
-        hot = hot_keys(rows.where(F.coalesce("_rp", F.lit(0.0)) < RECORD_PRIORITY_THRESHOLD), ["_cluster"], hot_rows)
-        if hot is not None:
-            calm = groups.where(F.coalesce("_max_rp", F.lit(0.0)) < RECORD_PRIORITY_THRESHOLD).select("_cluster")
-            hot = hot.join(calm, "_cluster", "left_semi")
+    if not force_one and hot_keys(narrow, [f"_p{i}" for i in range(len(rules.primary))], hot_rows) is not None:
+        hot = groups.where((F.col("_n") > hot_rows) & (F.coalesce("_max_rp", F.lit(0.0)) < RECORD_PRIORITY_THRESHOLD))
+        hot = checkpointed(hot.select("_cluster"))
     if hot is None:
         events = fold(rows)
     else:

@@ -69,6 +69,20 @@ def _constant(values, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(values, default=str)), schema)
 
 
+def _name_only_limit(n: DataFrame, calibration: Sequence[float], cut: float) -> int:
+    """Largest edit distance at which names alone can reach the cut.
+
+    Similarity s and distance d of a name of length L satisfy
+    d <= (1 - s) / s * L, whatever the length of the other name.
+    """
+    longest = n.agg(F.max(F.length("_ns"))).first()[0] or 0
+    step = next((i for i, p in enumerate(calibration) if p < cut), None)
+    if step is None:
+        return 0
+    least = max((step - 0.5) / SIMILARITY_STEPS, 1e-9)
+    return min(int((1 - least) / least * longest) + 1, 2 * longest + 1)
+
+
 def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str, float],
                  big_nominal: Mapping[str, float], name: tuple[str, str], name_weight: float, calibrate_key: str,
                  cut: float = 1e-16, count: int = 2, out_columns: Sequence[str] = (),
@@ -101,14 +115,19 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
     h = h.withColumn("_hs", clean_names(f"H_{first}", f"H_{last}")[0])
     least_chance = min(calibration)
 
+    limit = _name_only_limit(n, calibration, cut)
+
     def score(get_n, get_h) -> Column:
-        """Product of a pair; names are compared only if they can matter."""
+        """Product of a pair; names are compared only as far as they matter."""
         product = F.lit(1.0)
         for c in [*nominal, *big_nominal]:
             product = product * F.when(get_n(f"N_{c}") == get_h(f"H_{c}"), get_n(f"_w_{c}")).otherwise(F.lit(1.0))
         chances = F.array(*[F.lit(p) for p in calibration])
         step = _step(get_n("_ns"), get_n("_nx"), get_h("_hs"))
-        return F.when(product * F.lit(least_chance) < F.lit(cut), product * F.element_at(chances, step + 1))
+        near = [F.levenshtein(get_n(x), get_h("_hs"), limit) >= 0 for x in ("_ns", "_nx")]
+        # without any shared value the names must be this close (banded distance)
+        hopeless = (product == 1.0) & ~(near[0] | near[1])
+        return F.when((product * F.lit(least_chance) < F.lit(cut)) & ~hopeless, product * F.element_at(chances, step + 1))
 
     need = -math.log(cut) + min((math.log(p) for p in calibration if p > 0), default=0.0)
     if min(calibration) <= 0:
@@ -131,6 +150,8 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
         # Each haystack row filters the bounded needle list in place; only
         # pairs that pass leave the row.
         needle_list = _constant([json.loads(r) for r in listed], f"array<{n.schema.simpleString()}>")
+        # The scan is bound by the comparisons, so it is spread over all cores.
+        h = h.repartition(haystack.sparkSession.sparkContext.defaultParallelism)
         found = F.filter(needle_list, lambda x: score(lambda c: x[c], F.col) < F.lit(cut))
         pairs = h.withColumn("_n", F.explode(found)).select(*h.columns, "_n.*")
     scored = pairs.withColumn("prob", score(F.col, F.col)).where(F.col("prob") < cut)

@@ -82,6 +82,16 @@ def spec_predicate(df: DataFrame, variables, values) -> Column:
     return reduce(lambda a, b: a & b, conditions) if conditions else F.lit(True)
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows where a condition over computed columns holds.
+
+    A plain filter would be pushed below the projections that compute those
+    columns, copying their expressions into every place the condition names
+    them.  Exploding a one-element array keeps each column computed once.
+    """
+    return df.select("*", F.explode(F.when(condition, F.array(F.lit(True)))).alias("_kept")).drop("_kept")
+
+
 def conditional_update(df: DataFrame, rules: Sequence[tuple[Column | str, Mapping[str, Column | str]]],
                        independent: bool = False) -> DataFrame:
     """Apply ordered ``(condition, {column: expression})`` rules.

@@ -14,7 +14,7 @@ from ..functions.keys import median3, min3
 from ..functions.numbers import to_number
 from ..session import maybe_broadcast
 from .attempts import operational_items
-from .predicates import field_type
+from .predicates import where_computed
 
 MISSING_ANSWER = 99
 MISSING_KEY = 98
@@ -62,11 +62,11 @@ def rescore_check(responses: DataFrame, key: DataFrame) -> RescoreResult:
         .when(wrong, F.concat(F.lit("score = "), correct.cast("string"), F.lit(", but input shows "),
                               F.col("_score").cast("string")))
     )
-    report = joined.withColumn("message", message).where(F.col("message").isNotNull()).select(
+    report = where_computed(joined.withColumn("message", message), F.col("message").isNotNull()).select(
         "test_id", F.col("_form").alias("form_id"), F.col("_item").alias("item_id"),
         F.when(wrong, F.col("_answer")).alias("test_answer"), F.when(wrong, F.col("_score")).alias("test_score"),
         F.when(wrong, F.col("_key")).alias("correct_answer"), F.when(wrong, correct).alias("correct_score"), "message")
-    output = joined.where(F.coalesce(usable, F.lit(False))).select(
+    output = where_computed(joined, usable).select(
         "test_id", F.col("_form").alias("form_id"), F.col("_item").alias("item_id"),
         F.col("_answer").alias("finalraw_item"), correct.alias("score_item"))
     return RescoreResult(output, report)
@@ -109,7 +109,7 @@ def score_conversion_check(df: DataFrame, conversions: DataFrame, raw_variables:
         .when(differs, F.concat(F.lit("value of "), "variable", F.lit(" differs from the conversion table")))
     )
     joined = joined.withColumn("message", message)
-    report = joined.where(F.col("message").isNotNull()).select(
+    report = where_computed(joined, F.col("message").isNotNull()).select(
         "id", "raw_variable", "raw_text", "variable", "data_text", "correct_value", "message")
     # A raw variable that cannot be converted is one finding, not one per column.
     single = report.where(raw_bad_text(raw_variables)).dropDuplicates(["id", "raw_variable", "message"])
@@ -189,10 +189,14 @@ def attempt_check(flat: DataFrame, items: DataFrame, bookmap: DataFrame, subject
     return AttemptResult(mismatches, detail)
 
 
-def resolved_score(first: Column, second: Column, third: Column, final: Column, resolution: Column,
-                   rule: str) -> Column:
-    """Final score by the rule set ``short``, ``writing`` or ``extended``."""
-    f, s, t, e = (to_number(c) for c in (first, second, third, final))
+def resolved_score(rule: str) -> Column:
+    """Final score by the rule set ``short``, ``writing`` or ``extended``.
+
+    Reads the texts oe_first .. oe_reso and the numbers _first .. _reso; the
+    numbers are columns, so that each score is parsed once per row.
+    """
+    first, second, third, resolution = (F.col(f"oe_{n}") for n in ("first", "second", "third", "reso"))
+    f, s, t, e, r = (F.col(f"_{n}") for n in ("first", "second", "third", "final", "reso"))
     d12, d13, d23 = F.abs(f - s), F.abs(f - t), F.abs(s - t)
     text = lambda c: c.cast("string")
     if rule == "short":
@@ -213,7 +217,7 @@ def resolved_score(first: Column, second: Column, third: Column, final: Column,
             .when(first == third, text(f + t)).when(second == third, text(s + t))
             .when((d13 == 1) & (d23 == 1) & (smallest != 0), text(t * 2))
             .when(d13 == 1, text(f + t)).when(d23 == 1, text(s + t))
-            .otherwise(text(to_number(resolution) * 2)))
+            .otherwise(text(r * 2)))
         return F.when(f.isNotNull() & s.isNotNull(), numeric).otherwise(F.when(first == second, first))
     raise ValueError("rule must be short, writing or extended")
 
@@ -233,15 +237,14 @@ def handscore_check(flat: DataFrame, items: DataFrame, bookmap: DataFrame, subje
         _form_of(flat, s).alias("_form"))
     joined = rows.join(keys.select("_position").distinct(), "_position", "left_semi")
     joined = joined.join(records, "flat_table_id").join(keys, ["_position", "_form"])
-    calculated = resolved_score(F.col("oe_first"), F.col("oe_second"), F.col("oe_third"), F.col("oe_final"),
-                                F.col("oe_reso"), rule)
-    number = to_number(calculated)
-    shown = F.when(number.isNotNull(), F.round(number, 1).cast("decimal(6,1)").cast("string")).otherwise(calculated)
+    joined = joined.withColumns({f"_{n}": to_number(f"oe_{n}") for n in score})
+    joined = joined.withColumn("_calc", resolved_score(rule)).withColumn("_number", to_number("_calc"))
+    number = F.col("_number")
+    shown = F.when(number.isNotNull(), F.round(number, 1).cast("decimal(6,1)").cast("string")).otherwise(F.col("_calc"))
     joined = joined.withColumn("calc_oe_final", shown)
-    final, calc = to_number("oe_final"), to_number("calc_oe_final")
-    differs = F.when(final.isNotNull() & calc.isNotNull(), F.round(final, 1) != calc).otherwise(
+    differs = F.when(F.col("_final").isNotNull() & number.isNotNull(), F.round("_final", 1) != F.round(number, 1)).otherwise(
         F.col("oe_final") != F.col("calc_oe_final"))
-    return joined.where(differs).select(
+    return where_computed(joined, differs).select(
         "flat_table_id", "item_id", "lithocode", F.col("_form").alias("form"), "oe_first", "oe_second", "oe_third",
         "oe_reso", "oe_final", "calc_oe_final")
 

@@ -54,14 +54,19 @@ def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str
     parsed, aggs = {}, []
     for i, c in enumerate(df.columns):
         text = F.trim(F.col(c).cast("string"))
-        number = to_number(text)
         parsed[f"_full{i}"] = F.col(c).isNotNull() & (text != "")
-        parsed[f"_num{i}"] = number
-        # 3.0 counts as a whole number, as spreadsheets store every number as a double
-        parsed[f"_int{i}"] = F.coalesce(to_whole(text), F.when(number == F.floor(number), number.try_cast("bigint")))
-        parsed[f"_date{i}"] = _as_date(text).isNotNull()
+        parsed[f"_num{i}"] = to_number(text)
+        parsed[f"_text{i}"] = text
         parsed[f"_len{i}"] = F.length(F.col(c).cast("string"))
     source = source.select(*[v.alias(k) for k, v in parsed.items()])
+    second = {}
+    for i in range(len(df.columns)):
+        number, text = F.col(f"_num{i}"), F.col(f"_text{i}")
+        # 3.0 counts as a whole number, as spreadsheets store every number as a double
+        exact = (number == F.floor(number)) & (F.abs(number) < 9e15)
+        second[f"_int{i}"] = F.when(exact, number.try_cast("bigint")).when(number == F.floor(number), to_whole(text))
+        second[f"_date{i}"] = F.when(number.isNull(), _as_date(text).isNotNull()).otherwise(F.lit(False))
+    source = source.withColumns(second)
     for i in range(len(df.columns)):
         full, number, whole, date = (F.col(f"_{k}{i}") for k in ("full", "num", "int", "date"))
         aggs += [
