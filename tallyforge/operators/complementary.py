@@ -180,7 +180,7 @@ EVENT_FIELDS = [
     T.StructField("units", T.ArrayType(T.BooleanType())), T.StructField("report", T.StringType()),
     T.StructField("overlap", T.BooleanType()), T.StructField("forced", T.BooleanType()),
     T.StructField("picked", T.BooleanType()), T.StructField("lost_id", T.LongType()),
-    T.StructField("lead_sort", T.StringType()),
+    T.StructField("lead_sort", T.StringType()), T.StructField("lead_seq", T.LongType()),
 ]
 
 
@@ -199,7 +199,7 @@ def _fold_batches(n_units: int, force: bool, sort_rule: str, flat_units: Sequenc
                     "_id": lead.base, "role": "lead", "kept_id": lead.base, "seq": 0, "prio": False,
                     "units": [False] * n_units, "report": lead.report or None, "overlap": False,
                     "forced": False, "picked": False, "lost_id": None, "lead_sort": lead.sort,
-                    "_cluster": cluster})
+                    "lead_seq": lead.seq, "_cluster": cluster})
 
         for batch in batches:
             out = []
@@ -213,12 +213,12 @@ def _fold_batches(n_units: int, force: bool, sort_rule: str, flat_units: Sequenc
                     continue
                 event = absorb(lead, row_id, sort, rp, vp, units, force, sort_rule, flat_units)
                 if event["role"] != "base":
-                    out.append({"_id": row_id, "lead_sort": lead.sort, "_cluster": cluster, **event})
+                    out.append({"_id": row_id, "lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster, **event})
                 if event["lost_id"] is not None:
                     out.append({"_id": event["lost_id"], "role": "picked_out", "kept_id": None, "seq": 0,
                                 "prio": False, "units": [False] * n_units, "report": None,
                                 "overlap": event["overlap"], "forced": event["forced"], "picked": True,
-                                "lost_id": None, "lead_sort": lead.sort, "_cluster": cluster})
+                                "lost_id": None, "lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster})
             out += closing
             closing = []
             if out:
@@ -404,6 +404,9 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
     fold_columns = ["_cluster", "_id", "_sort", "_rp", "_vp", *[f"_u{i}" for i in range(len(units))]]
     schema = T.StructType([T.StructField("_id", T.LongType())] + EVENT_FIELDS + [T.StructField("_cluster", T.StringType())])
 
+    tie_type = T.StructType([
+        T.StructField("has", T.BooleanType()), T.StructField("at", field_type(flat, rules.sort)), T.StructField("id", T.LongType())])
+
     def fold(frame: DataFrame) -> DataFrame:
         # NULL sort values come first among the partners, the lead before all.
         laid = frame.repartition("_cluster").sortWithinPartitions(
@@ -414,7 +417,8 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
             for out in run(batches):
                 yield out[[f.name for f in schema.fields]]
 
-        return laid.mapInPandas(ordered, schema)
+        # ``tie`` orders rows that share a step; the ordered pass has none.
+        return laid.mapInPandas(ordered, schema).withColumn("tie", F.lit(None).cast(tie_type))
 
     # A partner group is part of one primary-key group, so counting those
     # tells whether any can be very large.
@@ -442,15 +446,16 @@ def _repeat_events(events: DataFrame, first_rows: DataFrame, repeats: DataFrame,
     """
     leads = events.where("role = 'lead'").join(F.broadcast(hot), "_cluster", "left_semi").select(
         "_cluster", F.col("kept_id").alias("_base"))
-    states = first_rows.join(events.select("_id", "lead_sort", "role"), "_id").select(
+    states = first_rows.join(events.select("_id", "lead_sort", "lead_seq", "role"), "_id").select(
         "_cluster", F.struct("_lead_last", F.col("_order").isNotNull().alias("has"), "_order", "_id",
-                             F.when(F.col("role") == "lead", F.col("_sort")).otherwise(F.col("lead_sort")).alias("s")
+                             F.when(F.col("role") == "lead", F.col("_sort")).otherwise(F.col("lead_sort")).alias("s"),
+                             F.when(F.col("role") == "lead", F.lit(0)).otherwise(F.col("lead_seq")).alias("n")
                              ).alias("state"))
     states = states.groupBy("_cluster").agg(F.array_sort(F.collect_list("state")).alias("_states")).join(leads, "_cluster")
     joined = repeats.join(F.broadcast(states), "_cluster")
     mine = F.struct(F.col("_lead_last"), F.col("_order").isNotNull().alias("has"), F.col("_order"), F.col("_id"))
     before = F.filter("_states", lambda s: F.struct(s["_lead_last"], s["has"], s["_order"], s["_id"]) < mine)
-    joined = joined.withColumn("_now", F.element_at(before, -1)["s"])
+    joined = joined.withColumn("_state", F.element_at(before, -1)).withColumn("_now", F.col("_state.s"))
     overlap = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_u{i}") == 1, F.lit(False)) for i in range(n_units)],
                      F.lit(False))
     text = F.concat(F.lit(" Records ["), F.coalesce("_sort", F.lit("None")), F.lit("] and ["),
@@ -458,11 +463,12 @@ def _repeat_events(events: DataFrame, first_rows: DataFrame, repeats: DataFrame,
     return joined.select(
         "_id", F.when(overlap, "kept").otherwise("merged").alias("role"),
         F.when(overlap, F.col("_id")).otherwise(F.col("_base")).alias("kept_id"),
-        F.when(overlap, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("seq"), F.lit(False).alias("prio"),
+        F.when(overlap, F.lit(0)).otherwise(F.col("_state.n")).cast("bigint").alias("seq"), F.lit(False).alias("prio"),
         F.array(*[F.lit(False)] * n_units).cast(T.ArrayType(T.BooleanType())).alias("units"),
         F.when(overlap, text).alias("report"), overlap.alias("overlap"), F.lit(False).alias("forced"),
         F.lit(False).alias("picked"), F.lit(None).cast("bigint").alias("lost_id"),
-        F.col("_now").alias("lead_sort"), "_cluster")
+        F.col("_now").alias("lead_sort"), F.col("_state.n").cast("bigint").alias("lead_seq"), "_cluster",
+        F.struct(F.col("_order").isNotNull().alias("has"), F.col("_order").alias("at"), F.col("_id").alias("id")).alias("tie"))
 
 
 def _truthy(value: Column, kind: T.DataType) -> Column:
@@ -476,33 +482,34 @@ def _truthy(value: Column, kind: T.DataType) -> Column:
 def _resolved_columns(columns: Sequence[T.StructField], rules: MergeRules, units: Sequence[int], skip: set[str]):
     """Aggregates over the members of a merged record, one per column.
 
-    ``seq`` 0 is the base record; ``prio`` and ``units`` say which later
-    member wins under the priority and test-unit rules.
+    ``base`` marks the record merged into; ``prio`` and ``units`` say which
+    later member wins under the priority and test-unit rules.
     """
+    order = F.struct("seq", "tie")
     by_name = {n.lower(): r for n, r in rules.rules.items()}
     aggregates = {}
     for f in columns:
         if f.name.lower() in skip:
             continue
         box = F.struct(F.col(f.name).alias("v"))
-        base = F.max_by(box, F.when(F.col("seq") == 0, F.col("seq")))
+        base = F.max_by(box, F.when(F.col("base"), order))
         rule = by_name.get(f.name.lower(), "")
         unit = TEST_UNIT.match(rule)
         indicator = UNIT_INDICATOR.match(rule)
         full = _truthy(F.col(f.name), f.dataType)
         if unit:
-            taken = F.max_by(box, F.when(F.element_at("units", units.index(int(unit[1])) + 1), F.col("seq")))
+            taken = F.max_by(box, F.when(F.element_at("units", units.index(int(unit[1])) + 1), order))
         elif indicator and any(r == f"test unit {indicator[1]}" for r in rules.rules.values()):
-            taken = F.max_by(box, F.when((F.col("seq") > 0) & (F.col(f.name).try_cast("double") > 0), F.col("seq")))
+            taken = F.max_by(box, F.when(~F.col("base") & (F.col(f.name).try_cast("double") > 0), order))
         elif rule in ("common", "record priority", "variable priority"):
-            taken = F.max_by(box, F.when(F.col("prio"), F.col("seq")))
+            taken = F.max_by(box, F.when(F.col("prio"), order))
         elif rule == "common, non-missing":
             taken = F.coalesce(
-                F.max_by(box, F.when(F.col("prio") & full, F.col("seq"))),
-                F.min_by(box, F.when(full, F.col("seq"))),
-                F.max_by(box, F.when(F.col("prio"), F.col("seq"))))
+                F.max_by(box, F.when(F.col("prio") & full, order)),
+                F.min_by(box, F.when(full, order)),
+                F.max_by(box, F.when(F.col("prio"), order)))
         elif rule == "or":
-            taken = F.coalesce(F.min_by(box, F.when(full, F.col("seq"))), F.max_by(box, F.col("seq")))
+            taken = F.coalesce(F.min_by(box, F.when(full, order)), F.max_by(box, order))
         else:
             taken = base
         aggregates[f.name] = F.coalesce(taken, base)
@@ -514,7 +521,8 @@ def _resolve(flat, items, rules, units, id_col, item_flat_id, item_id, events, u
     leads = events.where("role = 'lead'")
     with_merges = leads.join(merged_bases, leads["kept_id"] == merged_bases["_base"], "left_semi")
     final = with_merges.select(F.col("kept_id").alias("_base"))
-    members = events.where("role in ('lead', 'merged')").select("_id", F.col("kept_id").alias("_base"), "seq", "prio", "units")
+    members = events.where("role in ('lead', 'merged')").select("_id", F.col("kept_id").alias("_base"), "seq", "tie", "prio", "units",
+        (F.col("role") == "lead").alias("base"))
     members = members.join(final, "_base", "left_semi")
     gone = events.where("role in ('merged', 'picked_out')").select("_id").distinct()
     touched = gone.unionByName(final.select(F.col("_base").alias("_id")))
@@ -544,7 +552,7 @@ def _resolve(flat, items, rules, units, id_col, item_flat_id, item_id, events, u
         tagged = frame.withColumn("_id", F.col(item_flat_id).cast("bigint"))
         untouched = tagged.join(touched, "_id", "left_anti").select(*frame.columns)
         aggs = _resolved_columns(fields_of(frame), rules, units, {item_flat_id.lower(), item_id.lower()})
-        has_base = F.max(F.col("seq") == 0).alias("_has_base")
+        has_base = F.max("base").alias("_has_base")
         joined = tagged.join(members, "_id").groupBy("_base", item_id).agg(has_base, *[a.alias(n) for n, a in aggs.items()])
         resolved = joined.where("_has_base").select(*[
             F.col("_base").cast(field_type(frame, item_flat_id)).alias(c) if c == item_flat_id

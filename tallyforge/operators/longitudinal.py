@@ -54,12 +54,12 @@ def likelihood_difference(c0: Column, t0: Column, c1: Column, t1: Column) -> Col
     the probabilities themselves would underflow.
     """
     c0, t0, c1, t1 = (x.cast("double") for x in (c0, t0, c1, t1))
-    pooled = (c0 + c1) / F.nullif(t0 + t1, F.lit(0.0))
+    pooled = F.try_divide(c0 + c1, t0 + t1)
 
     def part(c: Column, t: Column) -> Column:
-        own = c / F.nullif(t, F.lit(0.0))
-        hit = F.when(c > 0, c * F.ln(own / pooled)).otherwise(F.lit(0.0))
-        miss = F.when(t - c > 0, (t - c) * F.ln((F.lit(1.0) - own) / (F.lit(1.0) - pooled))).otherwise(F.lit(0.0))
+        own = F.try_divide(c, t)
+        hit = F.when(c > 0, c * F.ln(F.try_divide(own, pooled))).otherwise(F.lit(0.0))
+        miss = F.when(t - c > 0, (t - c) * F.ln(F.try_divide(F.lit(1.0) - own, F.lit(1.0) - pooled))).otherwise(F.lit(0.0))
         return hit + miss
 
     return F.when((t0 == 0) | (t1 == 0), F.lit(0.0)).otherwise(part(c0, t0) + part(c1, t1))
@@ -97,8 +97,8 @@ def longitudinal_compare(time0: DataFrame, time1: DataFrame, sheet) -> DataFrame
         return value.cast(cast) if cast else value
 
     c0, c1, t0, t1 = (F.col(c) for c in ("count0", "count1", "total0", "total1"))
-    share0 = F.when(t0 == 0, F.lit(0.0)).otherwise(c0 / t0 * 100)
-    share1 = F.when(t1 == 0, F.lit(0.0)).otherwise(c1 / t1 * 100)
+    share0 = F.coalesce(F.try_divide(c0, t0) * 100, F.lit(0.0))
+    share1 = F.coalesce(F.try_divide(c1, t1) * 100, F.lit(0.0))
     is_stat = pick("kind") == "stat"
     two_way = F.element_at(F.array(*[F.lit(r["by"] is not None) for r in reports]), F.col("report") + 1)
     scored = cells.withColumns({

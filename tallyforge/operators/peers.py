@@ -77,7 +77,7 @@ def peer_compare(df: DataFrame, sheet, peers: DataFrame, district: str = "dcrxid
     columns = {}
     for output, _, subject, _ in mean_rows:
         n = F.col("_count_" + subject)
-        columns["_pred_" + output] = F.when(n != 0, F.col(f"_total_{output}") / n)
+        columns["_pred_" + output] = F.try_divide(F.col(f"_total_{output}"), n)
     pooled = pooled.withColumns(columns)
     table = own.withColumn(focal, to_number(district)).join(pooled, focal)
     chosen = [F.col(district)]
@@ -88,9 +88,9 @@ def peer_compare(df: DataFrame, sheet, peers: DataFrame, district: str = "dcrxid
             raise ValueError(f"TTEST row {output} has no Mean row for {source} / {subject}")
         pred = F.col("_pred_" + predictions[(source, subject, where)])
         n, value = F.col("_count_" + subject), F.col(source)
-        inner = (F.col(f"_square_{output}") - n * zero(pred_name(predictions, source, subject, where)) ** 2) / n / (n - 1)
+        inner = F.try_divide(F.col(f"_square_{output}") - n * zero(pred_name(predictions, source, subject, where)) ** 2, n * (n - 1))
         error = F.when(n > 1, F.sqrt(F.greatest(inner, F.lit(0.0))))
-        t = (value - pred) / error
+        t = F.try_divide(value - pred, error)
         by_sign = F.when(value > pred, 3).when(value < pred, 1).otherwise(2)
         code = (
             F.when(F.round(value, 0) == F.round(pred, 0), 2)

@@ -138,7 +138,7 @@ def student_t_quantile(degrees: Column, two_sided: float = 0.05) -> Column:
         (5 * z**5 + 16 * z**3 + 3 * z) / 96,
         (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
     )
-    inverse = F.lit(1.0) / degrees
+    inverse = F.try_divide(F.lit(1.0), degrees)
     series = F.lit(terms[3])
     for term in reversed(terms[:3]):
         series = series * inverse + F.lit(term)
@@ -154,7 +154,7 @@ def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
         return n_rows
     if kind == "PERCENT":
         base = _count(spec.denominator)
-        return F.when(base > 0, F.round(n_rows / base * 100, spec.rounding))
+        return F.round(F.try_divide(n_rows, base) * 100, spec.rounding)
     raw = F.col(spec.input)
     x = F.when(cond, raw.cast("double"))
     n = F.count(x)
@@ -169,22 +169,22 @@ def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
     if kind == "SUM":
         return plain_sum
     if kind == "MEAN":
-        return F.when(total > 0, F.round(plain_sum / total, spec.rounding))
+        return F.round(F.try_divide(plain_sum, total), spec.rounding)
     mean, css = F.avg(x), F.var_pop(x) * n
     if kind in ("STD", "STDDEV", "VAR"):
         # sum of squares less sum squared over the row count, in a form that
         # does not cancel: css plus the effect of counted missing inputs
-        spread = css + n * mean * mean * (F.lit(1.0) - n / total)
-        value = F.when(total > 1, spread / (total - 1))
+        spread = css + n * mean * mean * (F.lit(1.0) - F.try_divide(n, total))
+        value = F.when(total > 1, F.try_divide(spread, total - 1))
         if kind != "VAR":
             value = F.sqrt(F.abs(value))
         return F.round(value, spec.rounding)
     if kind in ("SKEW", "SKEWNESS"):
-        return F.nanvl(F.skewness(x), F.lit(None).cast("double")) * F.pow((n - 1) / n, 1.5)
+        return F.nanvl(F.skewness(x), F.lit(None).cast("double")) * F.pow(F.try_divide(n - 1, n), 1.5)
     if kind in ("KURT", "KURTOSIS"):
-        shrink = F.lit(1.0) - F.lit(1.0) / n
+        shrink = F.lit(1.0) - F.try_divide(F.lit(1.0), n)
         return (F.nanvl(F.kurtosis(x), F.lit(None).cast("double")) + 3.0) * shrink * shrink - 3.0
-    error = F.stddev_samp(x) / F.sqrt(n)
+    error = F.try_divide(F.stddev_samp(x), F.sqrt(n))
     if kind == "STDERR":
         return error
     if kind == "RANGE":
@@ -194,9 +194,9 @@ def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
     if kind == "USS":
         return F.sum(x * x)
     if kind == "CV":
-        return F.when(mean != 0, F.stddev_samp(x) / mean * 100)
+        return F.try_divide(F.stddev_samp(x), mean) * 100
     if kind == "T":
-        return F.when(error > 0, mean / error)
+        return F.try_divide(mean, error)
     if kind in ("LCLM", "UCLM"):
         half = student_t_quantile(n - 1) * error
         return mean - half if kind == "LCLM" else mean + half

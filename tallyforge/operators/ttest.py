@@ -41,7 +41,7 @@ def _summaries(df: DataFrame, targets, parents, inputs: Sequence[str], t_cond: C
         total, count = F.sum(t), F.sum(n)
         merged += [
             total.alias(f"_p{i}_t"), count.alias(f"_p{i}_n"),
-            F.greatest(F.sum(css) + F.sum(F.when(n > 0, t * t / n)) - total * total / count,
+            F.greatest(F.sum(css) + F.sum(F.try_divide(t * t, n)) - F.try_divide(total * total, count),
                        F.lit(0.0)).alias(f"_p{i}_css"),
         ]
     parent = cells.where(F.col("_p_rows") > 0).groupBy(*parents).agg(*merged)
@@ -56,12 +56,13 @@ def _decision(i: int, critical: float, round_value: float) -> tuple[Column, Colu
     p_t, p_n, p_css = (F.col(f"_p{i}_{m}") for m in ("t", "n", "css"))
     rest = p_n - t_n
     numerator = F.when(p_n == t_n, F.lit(0.0)).otherwise(
-        p_css - t_css + p_t * p_t / p_n - t_t * t_t / t_n - (p_t - t_t) * (p_t - t_t) / rest)
+        p_css - t_css + F.try_divide(p_t * p_t, p_n) - F.try_divide(t_t * t_t, t_n)
+        - F.try_divide((p_t - t_t) * (p_t - t_t), rest))
     numerator = F.when(numerator > 0, numerator).otherwise(F.lit(0.0))
-    error = F.when(rest > 1, F.sqrt(numerator * rest / (rest - 1)) / p_n).otherwise(F.lit(0.0))
-    t_mean, p_mean = t_t / t_n, p_t / p_n
+    error = F.when(rest > 1, F.try_divide(F.sqrt(F.try_divide(numerator * rest, rest - 1)), p_n)).otherwise(F.lit(0.0))
+    t_mean, p_mean = F.try_divide(t_t, t_n), F.try_divide(p_t, p_n)
     value = (
-        F.when(error > 0, (t_mean - p_mean) / error)
+        F.when(error > 0, F.try_divide(t_mean - p_mean, error))
         .when((rest > 1) & (t_mean > p_mean), F.lit(10.0 * critical))
         .when((rest > 1) & (t_mean < p_mean), F.lit(-10.0 * critical))
         .otherwise(F.lit(0.0))
@@ -69,8 +70,8 @@ def _decision(i: int, critical: float, round_value: float) -> tuple[Column, Colu
     # The rounded means agree: truncation toward zero, so the test is
     # asymmetric for negative means.
     scale = 1.0 / round_value
-    agree = (F.lit(0.5) + F.lit(scale) * p_t / p_n).cast("bigint") == (
-        F.lit(0.5) + F.lit(scale) * t_t / t_n).cast("bigint")
+    agree = (F.lit(0.5) + F.lit(scale) * p_mean).cast("bigint") == (
+        F.lit(0.5) + F.lit(scale) * t_mean).cast("bigint")
     code = F.when(agree, 2).when(value < -critical, 1).when(value > critical, 3).otherwise(2)
     return code, value, error
 
@@ -99,6 +100,21 @@ def _checked(target: DataFrame, targets, parents, n_inputs: int) -> DataFrame:
     return joined.where(guard.cast("boolean"))
 
 
+def _with_parent(target: DataFrame, parent: DataFrame, parents, check: bool) -> DataFrame:
+    """Join of targets with their parents.
+
+    Under checks the join is null-safe: an ordinary one would drop targets
+    without parent before the check could see them.
+    """
+    if not check:
+        return target.join(parent, list(parents))
+    renamed = parent.withColumnsRenamed({p: f"_key_{p}" for p in parents})
+    test = F.lit(True)
+    for p in parents:
+        test = test & F.col(p).eqNullSafe(F.col(f"_key_{p}"))
+    return target.join(renamed, test)
+
+
 def ttest_level(df: DataFrame, targets: Sequence[str], parents: Sequence[str], input_col: str, output_col: str,
                 critical: float = DEFAULT_CRITICAL_VALUE, target_where: Column | None = None,
                 parent_where: Column | None = None, round_value: float = 1.0, check: bool = True,
@@ -120,10 +136,10 @@ def ttest_level(df: DataFrame, targets: Sequence[str], parents: Sequence[str], i
     columns = [F.col(k) for k in keys] + [code.cast("int").alias(output_col)]
     if details:
         columns += [value.alias("ttest_value"), error.alias("ttest_se"),
-                    (F.col("_t0_t") / F.col("_t0_n")).alias("target_mean"),
-                    (F.col("_p0_t") / F.col("_p0_n")).alias("parent_mean"),
+                    F.try_divide("_t0_t", "_t0_n").alias("target_mean"),
+                    F.try_divide("_p0_t", "_p0_n").alias("parent_mean"),
                     F.col("_t0_n").alias("target_n"), F.col("_p0_n").alias("parent_n")]
-    return target.join(parent, list(parents)).select(*columns)
+    return _with_parent(target, parent, parents, check).select(*columns)
 
 
 TTEST_COLUMNS = ("outputvar", "inputvar", "targetlevel", "targetid", "wheret", "wheret_value",
@@ -173,7 +189,8 @@ def ttest(df: DataFrame, sheet, check: bool = True) -> dict[str, DataFrame]:
                 _decision(inputs.index(source), critical, 1.0)[0].cast("int").alias(output)
                 for output, source, critical in group["rows"]
             ]
-            part = target.where(F.col(target_id).isNotNull()).join(parent, parent_id).select(target_id, *codes)
+            target = target.where(F.col(target_id).isNotNull())
+            part = _with_parent(target, parent, [parent_id], check).select(target_id, *codes)
             result = result.join(part, target_id, "left")
         out[name] = result
     return out
