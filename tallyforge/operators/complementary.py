@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..functions.keys import blank
 from ..session import checkpointed
 from .predicates import field_type, require_columns, sheet_rows, text_of
-from .skew import HOT_ROWS, hot_keys
+from .skew import HOT_ROWS, hot_keys, join_on_keys
 
 RECORD_PRIORITY_THRESHOLD = 1000
 REPORT_COLUMN = "complementary_merge_report"
@@ -393,8 +393,14 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
         F.min(F.when(F.col("_sort").isNotNull(), F.struct("_order", "_id"))).alias("_lead"),
         F.max("_rp").alias("_max_rp"))
     several = groups.where((F.col("_n") > 1) & F.col("_lead").isNotNull())
-    rows = placed.join(several.select("_cluster", F.col("_lead._id").alias("_lead_id")), "_cluster").withColumn(
-        "_lead_last", F.col("_id") != F.col("_lead_id"))
+    # A partner group is part of one primary-key group, so counting those
+    # tells whether any can be very large.
+    large = None
+    if hot_keys(narrow, [f"_p{i}" for i in range(len(rules.primary))], hot_rows) is not None:
+        large = checkpointed(groups.where(F.col("_n") > hot_rows).select("_cluster", "_max_rp"))
+    rows = join_on_keys(placed, several.select("_cluster", F.col("_lead._id").alias("_lead_id")), ["_cluster"], "inner",
+                        None if large is None else large.select("_cluster"))
+    rows = rows.withColumn("_lead_last", F.col("_id") != F.col("_lead_id"))
     # Rows that share keys with others but may not lead and found no lead.
     unled = placed.where(F.col("_cluster").isNull() & F.col("_sort").isNull()).select("_id").unionByName(
         placed.join(groups.where((F.col("_n") > 1) & F.col("_lead").isNull()).select("_cluster"),
@@ -420,12 +426,9 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
         # ``tie`` orders rows that share a step; the ordered pass has none.
         return laid.mapInPandas(ordered, schema).withColumn("tie", F.lit(None).cast(tie_type))
 
-    # A partner group is part of one primary-key group, so counting those
-    # tells whether any can be very large.
     hot = None
-    if not force_one and hot_keys(narrow, [f"_p{i}" for i in range(len(rules.primary))], hot_rows) is not None:
-        hot = groups.where((F.col("_n") > hot_rows) & (F.coalesce("_max_rp", F.lit(0.0)) < RECORD_PRIORITY_THRESHOLD))
-        hot = checkpointed(hot.select("_cluster"))
+    if large is not None and not force_one:
+        hot = large.where(F.coalesce("_max_rp", F.lit(0.0)) < RECORD_PRIORITY_THRESHOLD).select("_cluster")
     if hot is None:
         events = fold(rows)
     else:

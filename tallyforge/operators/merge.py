@@ -372,8 +372,30 @@ def read_merge_spec(left_sheet, right_sheet, left: DataFrame, right: DataFrame)
 
 # --------------------------------------------------------------- SAS merge
 
+def _full_outer(left: DataFrame, right: DataFrame, n_keys: int, hot: DataFrame | None) -> DataFrame:
+    """Full outer join of ``_lk<i>`` with ``_rk<i>``.
+
+    A full outer join cannot be split on skew, so hot keys take a left join
+    against their rows of the other side, plus the rows found only there.
+    """
+    test = reduce(lambda a, b: a & b, [F.col(f"_lk{i}") == F.col(f"_rk{i}") for i in range(n_keys)])
+    if hot is None:
+        return left.join(right, test, "full_outer")
+
+    def part(df: DataFrame, side: str, how: str) -> DataFrame:
+        keys = hot.select(*[F.col(f"_k{i}").alias(f"_h{i}") for i in range(n_keys)])
+        same = reduce(lambda a, b: a & b, [F.col(f"_{side}k{i}") == F.col(f"_h{i}") for i in range(n_keys)])
+        return df.join(F.broadcast(keys), same, how)
+
+    cold = part(left, "l", "left_anti").join(part(right, "r", "left_anti"), test, "full_outer")
+    l_hot, r_hot = part(left, "l", "left_semi"), part(right, "r", "left_semi")
+    l_keys = l_hot.select(*[f"_lk{i}" for i in range(n_keys)]).distinct()
+    only_right = r_hot.join(F.broadcast(l_keys), test, "left_anti")
+    return cold.unionByName(l_hot.join(maybe_broadcast(r_hot), test, "left")).unionByName(only_right, allowMissingColumns=True)
+
+
 def sas_merge(left: DataFrame, right: DataFrame, on: Sequence[str], keep: Sequence[str] = (),
-              drop: Sequence[str] = (), distinct: bool = False) -> DataFrame:
+              drop: Sequence[str] = (), distinct: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows of both sides; on a match the right-hand values of shared columns win."""
     if keep and drop:
         raise ValueError("give keep columns or drop columns, not both")
@@ -383,8 +405,10 @@ def sas_merge(left: DataFrame, right: DataFrame, on: Sequence[str], keep: Sequen
     l = left.select(*_prefixed("_l_", left.columns), *[F.col(k).alias(f"_lk{i}") for i, k in enumerate(on)])
     r = right.select(*_prefixed("_r_", right.columns), *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(on)],
                      F.lit(True).alias("_right"))
-    test = reduce(lambda a, b: a & b, [F.col(f"_lk{i}") == F.col(f"_rk{i}") for i in range(len(on))])
-    both = l.join(r, test, "full_outer")
+    names = [f"_k{i}" for i in range(len(on))]
+    hot = _hot_of_both(left.select(*[F.col(k).alias(n) for k, n in zip(on, names)]),
+                       right.select(*[F.col(k).alias(n) for k, n in zip(on, names)]), names, hot_rows)
+    both = _full_outer(l, r, len(on), hot)
     names_right = {c.lower(): c for c in right.columns}
     from_right = F.col("_right").isNotNull()
     columns = [F.coalesce(f"_lk{i}", f"_rk{i}").alias(k) for i, k in enumerate(on)]

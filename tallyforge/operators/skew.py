@@ -45,6 +45,39 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return cold.unionByName(warm)
 
 
+def _in_ranges(df: DataFrame, groups: Sequence[str], order: Sequence) -> DataFrame:
+    """Rows range-partitioned by group and order, with their range and place;
+    checkpointed, because a repeated sampling could move the range bounds."""
+    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    ranged = df.repartitionByRange(int(parts), *groups, *order).sortWithinPartitions(*groups, *order)
+    return checkpointed(ranged.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+
+
+def _add_range_cells(laid: DataFrame, cells: DataFrame, groups: Sequence[str]) -> DataFrame:
+    condition = F.col("a._range") == F.col("b._range")
+    for g in groups:
+        condition = condition & F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}"))
+    extra = [c for c in cells.columns if c not in (*groups, "_range")]
+    return laid.alias("a").join(maybe_broadcast(cells).alias("b"), condition).select("a.*", *[F.col(f"b.{c}").alias(c) for c in extra])
+
+
+def running_sum(df: DataFrame, value: str, groups: Sequence[str], order: Sequence, name: str,
+                group_rows_limit: int = HOT_ROWS) -> DataFrame:
+    """Running sum per group in a total order; large groups are summed per
+    range, plus the sums of the ranges before."""
+    groups = list(groups)
+    window = lambda *keys: W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    if groups and hot_keys(df, groups, group_rows_limit) is None:
+        return df.withColumn(name, F.sum(value).over(window(*groups)))
+    laid = _in_ranges(df, groups, order)
+    cells = laid.groupBy(*groups, "_range").agg(F.sum(value).alias("_sum"))
+    before = W.partitionBy(*(groups or [F.lit(1)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    joined = _add_range_cells(laid, cells, groups)
+    total = F.sum(value).over(window(*groups, "_range")) + F.col("_before")
+    return joined.withColumn(name, total).select(*df.columns, name)
+
+
 def number_rows(df: DataFrame, groups: Sequence[str], order: Sequence, name: str = "row_number",
                 group_rows_limit: int = HOT_ROWS) -> DataFrame:
     """1-based row number per group in an order that must be total.
@@ -57,15 +90,10 @@ def number_rows(df: DataFrame, groups: Sequence[str], order: Sequence, name: str
     groups = list(groups)
     if groups and hot_keys(df, groups, group_rows_limit) is None:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
-    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = df.repartitionByRange(int(parts), *groups, *order).sortWithinPartitions(*groups, *order)
-    laid = checkpointed(ranged.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    laid = _in_ranges(df, groups, order)
     cells = laid.groupBy(*groups, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
     before = W.partitionBy(*(groups or [F.lit(1)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    condition = F.col("a._range") == F.col("b._range")
-    for g in groups:
-        condition = condition & F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}"))
-    joined = laid.alias("a").join(maybe_broadcast(cells).alias("b"), condition)
-    number = F.col("b._before") + F.col("a._at") - F.col("b._first") + 1
-    return joined.select(*[F.col(f"a.{c}").alias(c) for c in df.columns], number.alias(name))
+    joined = _add_range_cells(laid, cells, groups)
+    number = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return joined.select(*df.columns, number.alias(name))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.keys import band_number
-from .skew import number_rows
+from .skew import HOT_ROWS, hot_keys, number_rows, running_sum
 
 
 def nodupkey(df: DataFrame, keys: Sequence[str], order: Sequence, condition: Column | str | None = None) -> DataFrame:
@@ -55,15 +55,27 @@ def dedupe_report_rows(df: DataFrame, keys: Sequence[str], order: Sequence) -> D
 
 
 def running_total(df: DataFrame, value: str, groups: Sequence[str], order: Sequence,
-                  name: str = "running_total") -> DataFrame:
-    window = W.partitionBy(*(list(groups) or [F.lit(1)])).orderBy(*order)
-    return df.withColumn(name, F.sum(value).over(window.rowsBetween(W.unboundedPreceding, W.currentRow)))
+                  name: str = "running_total", group_rows_limit: int = HOT_ROWS) -> DataFrame:
+    return running_sum(df, value, groups, order, name, group_rows_limit)
 
 
-def neighbor_overlap(df: DataFrame, start: str, end: str, order: Sequence, groups: Sequence[str] = ()) -> DataFrame:
-    """Rows that end after the next row starts."""
-    nxt = F.lead(start).over(W.partitionBy(*(list(groups) or [F.lit(1)])).orderBy(*order))
-    return df.withColumn("next_start", nxt).where(F.col(end) > F.col("next_start"))
+def neighbor_overlap(df: DataFrame, start: str, end: str, order: Sequence, groups: Sequence[str] = (),
+                     group_rows_limit: int = HOT_ROWS) -> DataFrame:
+    """Rows that end after the next row starts.
+
+    In large groups each row meets its successor by an equi-join on the row
+    number, which spreads a group over all tasks.
+    """
+    groups = list(groups)
+    large = hot_keys(df, groups, group_rows_limit) is not None if groups else df.count() > group_rows_limit
+    if not large:
+        nxt = F.lead(start).over(W.partitionBy(*(groups or [F.lit(1)])).orderBy(*order))
+        return df.withColumn("next_start", nxt).where(F.col(end) > F.col("next_start"))
+    numbered = number_rows(df, groups, order, "_n", group_rows_limit)
+    following = numbered.select(*groups, (F.col("_n") - 1).alias("_n"), F.col(start).alias("next_start"))
+    test = reduce(lambda a, b: a & b, [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups], F.col("a._n") == F.col("b._n"))
+    joined = numbered.alias("a").join(following.alias("b"), test).where(F.col(f"a.{end}") > F.col("b.next_start"))
+    return joined.select(*[F.col(f"a.{c}").alias(c) for c in df.columns], F.col("b.next_start").alias("next_start"))
 
 
 def group_size(df: DataFrame, groups: Sequence[str], name: str = "group_size") -> DataFrame:

@@ -142,6 +142,7 @@ def test_sas_merge_and_dimensions(spark, rows):
     l = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 1)], "k long, name string, x int")
     r = spark.createDataFrame([(2, None, 7), (3, "c", 8), (None, "m", 2)], "k long, name string, y int")
     assert rows(sas_merge(l, r, ["k"])) == sorted([(1, "a", 10, None), (2, None, 20, 7), (3, "c", None, 8), (None, "n", 1, None), (None, "m", None, 2)], key=repr)
+    assert rows(sas_merge(l, r.union(r), ["k"], hot_rows=1)) == rows(sas_merge(l, r.union(r), ["k"]))
     with pytest.raises(ValueError):
         sas_merge(l, r, ["k"], keep=["k"], drop=["x"])
     dim = spark.createDataFrame([(1, "p"), (1, "q")], "d long, county string")

@@ -11,6 +11,7 @@ from tallyforge.operators.quantiles import exact_group_quantiles
 from tallyforge.operators.skew import number_rows
 from tallyforge.operators.stats import distinct_cut, frequency_distribution, group_stats, student_t_critical
 from tallyforge.operators.ttest import ttest, ttest_level
+from tallyforge.operators.windows import neighbor_overlap, running_total
 
 
 def sheet(kinds, where="", value="", level="g"):
@@ -174,3 +175,7 @@ def test_cuts_numbers_and_frequencies(spark, rows):
     assert rows(freq, "v", "freq", "cum_freq", "cum_percent_freq") == [("s", 1, 1, 50.0), ("t", 1, 2, 100.0)]
     big = spark.range(500).select((F.col("id") % 3).alias("g"), ((F.col("id") * 37) % 500).alias("o"))
     assert number_rows(big, ["g"], ["o"]).exceptAll(number_rows(big, ["g"], ["o"], group_rows_limit=10)).count() == 0
+    assert running_total(big, "o", ["g"], ["o"]).exceptAll(running_total(big, "o", ["g"], ["o"], group_rows_limit=10)).count() == 0
+    spans = big.withColumn("e", F.col("o") + F.col("o") % 5)
+    near = neighbor_overlap(spans, "o", "e", ["o"], ["g"])
+    assert near.count() > 0 and near.exceptAll(neighbor_overlap(spans, "o", "e", ["o"], ["g"], group_rows_limit=10)).count() == 0
