@@ -220,33 +220,33 @@ WITH n AS (SELECT DISTINCT * FROM ({_NEEDLES})), h AS ({_HAYSTACK}),
 top AS (SELECT fnm, lnm FROM h ORDER BY hid LIMIT 20),
 cal AS (SELECT {_SIM.format('top', 'h')} AS sim, count(*) c FROM top, h GROUP BY 1),
 steps AS (SELECT i AS sim, pow((SELECT coalesce(sum(c), 0) FROM cal WHERE sim >= i)::DOUBLE / (SELECT sum(c) FROM cal), 1.5) AS chance FROM range(21) v(i)),
-fn AS (SELECT nation, pow(count(*)::DOUBLE / (SELECT count(*) FROM h), 1.0) f FROM h GROUP BY nation),
-fb AS (SELECT band, pow(count(*)::DOUBLE / (SELECT count(*) FROM h), 1.0) f FROM h GROUP BY band),
-fd AS (SELECT pow(1.0 / count(DISTINCT digit), 1.5) f FROM h),
+fn AS (SELECT nation, pow(count(*)::DOUBLE / (SELECT count(*) FROM h), 4.0) f FROM h GROUP BY nation),
+fb AS (SELECT band, pow(count(*)::DOUBLE / (SELECT count(*) FROM h), 4.0) f FROM h GROUP BY band),
+fd AS (SELECT pow(1.0 / count(DISTINCT digit), 4.0) f FROM h),
 p AS (SELECT n.*, hid, CASE WHEN n.nation = h.nation THEN coalesce(fn.f, 1) ELSE 1 END * CASE WHEN n.band = h.band THEN coalesce(fb.f, 1) ELSE 1 END
     * CASE WHEN n.digit = h.digit THEN fd.f ELSE 1 END AS agree, {_SIM.format('h', 'n')} AS sim
   FROM n LEFT JOIN fn ON n.nation = fn.nation LEFT JOIN fb ON n.band = fb.band, fd, h {{}}),
 q AS (SELECT p.*, agree * chance AS prob FROM p JOIN steps ON p.sim = steps.sim),
-r AS (SELECT *, rank() OVER (PARTITION BY nation, band, digit, fnm, lnm ORDER BY round(prob, 12)) AS rank FROM q WHERE prob < {{}})
-SELECT fnm AS n_fnm, hid, round(prob, 9) AS prob, rank FROM r WHERE rank <= 2"""
+r AS (SELECT *, rank() OVER (PARTITION BY nation, band, digit, fnm, lnm ORDER BY prob) AS rank FROM q WHERE prob < {{}})
+SELECT fnm AS n_fnm, hid, round(log10(prob), 6) AS log_prob, rank FROM r WHERE rank <= 2"""
 
 
 def _linked(t: Tables, cut: float, **options):
     needles = t.spark.sql(_NEEDLES.replace("FROM supplier", "FROM {x}"), x=t.supplier)
     haystack = t.spark.sql(_HAYSTACK.replace("FROM customer", "FROM {x}"), x=t.customer)
-    out = linkage.find_matches(needles, haystack, {"nation": 1.0, "band": 1.0}, {"digit": 1.5}, ("fnm", "lnm"), 1.5, "hid", cut, 2,
+    out = linkage.find_matches(needles, haystack, {"nation": 4.0, "band": 4.0}, {"digit": 4.0}, ("fnm", "lnm"), 1.5, "hid", cut, 2,
                                ["hid"], **options)
-    return out.select(F.col("N_fnm").alias("n_fnm"), "hid", F.round("prob", 9).alias("prob"), F.col("rank").cast("bigint").alias("rank"))
+    return out.select(F.col("N_fnm").alias("n_fnm"), "hid", F.round(F.log10("prob"), 6).alias("log_prob"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("find_matches", _LINK.format("", "1e-5"))
+@query("find_matches", _LINK.format("", "1e-12"))
 def find_matches(t: Tables):
-    return _linked(t, 1e-5)
+    return _linked(t, 1e-12)
 
 
-@query("find_matches_blocked", _LINK.format("WHERE n.nation = h.nation", "1e-3"))
+@query("find_matches_blocked", _LINK.format("WHERE n.nation = h.nation", "1e-12"))
 def find_matches_blocked(t: Tables):
-    return _linked(t, 1e-3, blocking=["nation"])
+    return _linked(t, 1e-12, blocking=["nation"])
 
 
 @query("nominal_frequencies", """
