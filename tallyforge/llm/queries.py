@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, media, mixture, pii
+from . import bpe, exact, license, linededup, media, mixture, neardup, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,6 +47,35 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_plan(table(spark, folder, "documents"))
 
 
+@query("op3_quality")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"))
+
+
+@query("op4_line_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.line_report(table(spark, folder, "documents"))
+
+
+@query("op5_license")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = license.scan_licenses(table(spark, folder, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    own = F.transform("matches", lambda m: m["label"])
+    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(best).alias("score"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
@@ -55,6 +84,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
+@query("op8_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.mark_near(table(spark, folder, "documents"))
+
+
 @query("op9_exact", """
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
          g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
