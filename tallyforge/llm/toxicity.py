@@ -148,14 +148,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             yield record_batch(schema, {"doc_id": cols["doc_id"], "x": [features(t, lexicon) for t in cols["text"]]})
 
     seen = checkpointed(rows.mapInArrow(look, "doc_id long, x array<double>"))
-    train = seen.join(known, "doc_id").select("part", F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features"))
+    train = seen.join(known, "doc_id").select(
+        "order", "x", "part", F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features"))
     counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     held_out = F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
     if len(counts) < 2:
         share = counts.get(1.0, 0) / max(1, sum(counts.values()))
         return seen.select("doc_id", held_out, F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"))
 
-    train = checkpointed(train.repartition(1 + sum(counts.values()) // 10_000))
+    # Rows in a fixed order and place, so that reruns grow the same trees.
+    parts = 1 + sum(counts.values()) // 10_000
+    train = checkpointed(train.repartition(parts, "order").sortWithinPartitions("order", "x").drop("order", "x"))
     fit_on = train.where("part != 4")
     if fit_on.select("label").distinct().count() < 2:
         fit_on = train
