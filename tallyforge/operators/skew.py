@@ -72,9 +72,11 @@ def running_sum(df: DataFrame, value: str, groups: Sequence[str], order: Sequenc
     laid = _in_ranges(df, groups, order)
     cells = laid.groupBy(*groups, "_range").agg(F.sum(value).alias("_sum"))
     before = W.partitionBy(*(groups or [F.lit(1)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    cells = cells.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    cells = cells.withColumn("_before", F.sum("_sum").over(before)).drop("_sum")
     joined = _add_range_cells(laid, cells, groups)
-    total = F.sum(value).over(window(*groups, "_range")) + F.col("_before")
+    within = F.sum(value).over(window(*groups, "_range"))
+    # As in one window: null until the first value of the group, which may stand in a range before.
+    total = F.when(within.isNull(), F.col("_before")).otherwise(within + F.coalesce("_before", F.lit(0)))
     return joined.withColumn(name, total).select(*df.columns, name)
 
 

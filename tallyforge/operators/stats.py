@@ -232,7 +232,8 @@ def _one_level(df, specs: Sequence[StatSpec], missing, limit, per_pass) -> DataF
     quantile_specs = [s for s in specs if s.kind in QUANTILES]
     bucketed = bool(quantile_specs) and has_large_group(rows, [level], limit)
     direct = [s for s in specs if not (bucketed and s.kind in QUANTILES)]
-    parts = []
+    # Every level that has rows is in the result, whatever its specs find there.
+    parts = [] if direct else [rows.select(level).distinct()]
     for start in range(0, len(direct), per_pass):
         chunk = direct[start:start + per_pass]
         parts.append(rows.groupBy(level).agg(*[stat_column(s, missing).alias(s.name) for s in chunk]))

@@ -61,6 +61,14 @@ def running_total(t: Tables):
     return rounded(w.running_total(rows, "v", ["o_custkey"], ["o_orderkey"]).select("o_orderkey", "running_total"))
 
 
+@query("running_total_ranges", """
+SELECT o_orderkey, cast(sum(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 100 END) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS BIGINT) AS running_total FROM orders""")
+def running_total_ranges(t: Tables):
+    """By the route of large groups, with missing values."""
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 100).alias("v"))
+    return rounded(w.running_total(rows, "v", ["o_orderstatus"], ["o_orderkey"], group_rows_limit=1).select("o_orderkey", "running_total"))
+
+
 @query("neighbor_overlap", """
 SELECT o_orderkey, next_start FROM (SELECT o_orderkey, o_orderkey % 1000 + 20 AS e, lead(o_orderkey % 1000) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS next_start FROM orders) WHERE e > next_start""")
 def neighbor_overlap(t: Tables):

@@ -42,14 +42,13 @@ def _as_date(text):
     return F.coalesce(*[F.when(text.rlike(r), F.try_to_timestamp(text, F.lit(p))) for r, p in forms])
 
 
-def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str, ColumnGuess], DataFrame]:
+def infer_column_types(df: DataFrame) -> tuple[dict[str, ColumnGuess], DataFrame]:
     """Narrowest type of each text column, and the cast table.
 
-    One aggregate pass over all rows (or the first ``rows``): text wins over
-    everything, dates mixed with numbers are text, whole numbers get the
-    narrowest range that holds them.
+    One aggregate pass over all rows, so no later cell can fail to cast: text
+    wins over everything, dates mixed with numbers are text, whole numbers get
+    the narrowest range that holds them.
     """
-    source = df.limit(rows) if rows else df
     # Each cell is parsed once, in a projection below the aggregate.
     parsed, aggs = {}, []
     for i, c in enumerate(df.columns):
@@ -58,7 +57,7 @@ def infer_column_types(df: DataFrame, rows: int | None = None) -> tuple[dict[str
         parsed[f"_num{i}"] = to_number(text)
         parsed[f"_text{i}"] = text
         parsed[f"_len{i}"] = F.length(F.col(c).cast("string"))
-    source = source.select(*[v.alias(k) for k, v in parsed.items()])
+    source = df.select(*[v.alias(k) for k, v in parsed.items()])
     second = {}
     for i in range(len(df.columns)):
         number, text = F.col(f"_num{i}"), F.col(f"_text{i}")

@@ -75,6 +75,20 @@ def test_large_groups_take_the_bucketed_way(data):
     assert {r["g"]: tuple(r)[1:] for r in plain} == {r["g"]: pytest.approx(tuple(r)[1:]) for r in bucketed}
 
 
+@pytest.mark.parametrize("limit", [1, 3, 5_000_000])
+def test_groups_without_values_stay(spark, limit):
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", 3.0, 1), ("b", None, 1), ("b", None, 1), ("c", 4.0, 0)], "g string, x double, flag int")
+    out = group_stats(df, sheet(["MEDIAN", "QRANGE"], "flag", "1"), group_rows_limit=limit)["g"]
+    assert sorted(map(tuple, out.select("g", "median").collect())) == [("a", 2.0), ("b", None), ("c", None)]
+
+
+def test_running_totals_over_missing_values(spark):
+    rows = [(i % 2, i, None if i % 3 == 0 or i < 7 else i) for i in range(60)] + [(5, 1, None), (5, 2, None)]
+    df = spark.createDataFrame(rows, "g int, o int, v int")
+    plain, ranges = (running_total(df, "v", ["g"], ["o"], group_rows_limit=n) for n in (1000, 1))
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, ranges.collect()), key=repr)
+
+
 def test_quantiles_of_one_repeated_value(spark):
     df = spark.createDataFrame([("a", 5.0)] * 50 + [("a", 7.0)] * 50 + [("b", None)], "g string, x double")
     out = exact_group_quantiles(df, ["g"], F.col("x"), [0.5, 0.25, 1.0], buckets=16).collect()
