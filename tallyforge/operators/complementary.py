@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..functions.keys import blank
 from ..session import checkpointed
 from .predicates import field_type, require_columns, sheet_rows, text_of
-from .skew import HOT_ROWS, hot_keys, join_on_keys
+
 
 RECORD_PRIORITY_THRESHOLD = 1000
 REPORT_COLUMN = "complementary_merge_report"
@@ -232,47 +232,43 @@ def _fold_batches(n_units: int, force: bool, sort_rule: str, flat_units: Sequenc
 
 # ---------------------------------------------------------- partner groups
 
-def greedy_leads(classes: Iterator[tuple], n_keys: int):
-    """Lead of each secondary-key pattern of one primary group.
+class Leads:
+    """Leads of the secondary-key patterns of one primary group.
 
     Patterns come in the order of their first row.  A pattern joins the
     earliest lead it is compatible with, else it leads; look-ups go through
-    the projections of the leads, so patterns are never compared in pairs.
+    the projections of the leads, so patterns are never compared in pairs and
+    only leads are remembered.
     """
-    masks = range(1 << n_keys)
-    seen: list[int] = []
-    first: dict[tuple, int] = {}
-    leads: list[tuple] = []
-    for key, can_lead in classes:
+
+    def __init__(self, n_keys: int):
+        self.n_keys, self.seen, self.first, self.leads = n_keys, [], {}, []
+
+    def _part(self, key: tuple, shared: int) -> tuple:
+        return tuple(key[i] for i in range(self.n_keys) if shared >> i & 1)
+
+    def place(self, key: tuple, can_lead: bool) -> tuple | None:
+        """The lead of a pattern; None if it has none and may not lead."""
         mask = sum(1 << i for i, v in enumerate(key) if v is not None)
-        best = None
-        for other in seen:
-            shared = mask & other
-            found = first.get((other, shared, tuple(key[i] for i in range(n_keys) if shared >> i & 1)))
-            if found is not None and (best is None or found < best):
-                best = found
-        if best is None and can_lead:
-            best = len(leads)
-            leads.append(key)
-            if mask not in seen:
-                seen.append(mask)
-            for other in masks:
-                shared = mask & other
-                first.setdefault((mask, shared, tuple(key[i] for i in range(n_keys) if shared >> i & 1)), best)
-        yield key, (leads[best] if best is not None else None)
+        found = (self.first.get((other, mask & other, self._part(key, mask & other))) for other in self.seen)
+        best = min((f for f in found if f is not None), default=None)
+        if best is None:
+            if not can_lead:
+                return None
+            best = len(self.leads)
+            self.leads.append(key)
+            if mask not in self.seen:
+                self.seen.append(mask)
+            for other in range(1 << self.n_keys):
+                self.first.setdefault((mask, mask & other, self._part(key, mask & other)), best)
+        return self.leads[best]
 
 
 def _assign_batches(n_primary: int, n_secondary: int):
-    """Stream over patterns sorted by primary group and first row."""
+    """Stream over patterns sorted by primary group and first row; each is placed as it comes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending, group = [], None
-
-        def flush():
-            results = greedy_leads(((k, ok) for k, ok in pending), n_secondary)
-            return [(*group, *key, *(lead if lead is not None else [None] * n_secondary), lead is not None)
-                    for key, lead in results]
-
+        group, leads = None, None
         names = ([f"_p{i}" for i in range(n_primary)] + [f"_s{i}" for i in range(n_secondary)]
                  + [f"_l{i}" for i in range(n_secondary)] + ["_led"])
         for batch in batches:
@@ -280,14 +276,12 @@ def _assign_batches(n_primary: int, n_secondary: int):
             for row in batch.itertuples(index=False):
                 row = [None if x is None or x != x else x for x in row]
                 if tuple(row[:n_primary]) != group:
-                    if pending:
-                        out += flush()
-                    pending, group = [], tuple(row[:n_primary])
-                pending.append((tuple(row[n_primary:n_primary + n_secondary]), bool(row[-1])))
+                    group, leads = tuple(row[:n_primary]), Leads(n_secondary)
+                key = tuple(row[n_primary:n_primary + n_secondary])
+                lead = leads.place(key, bool(row[-1]))
+                out.append((*group, *key, *(lead or [None] * n_secondary), lead is not None))
             if out:
                 yield pd.DataFrame(out, columns=names)
-        if pending:
-            yield pd.DataFrame(flush(), columns=names)
 
     return run
 
@@ -337,25 +331,8 @@ def _clusters(narrow: DataFrame, n_primary: int, n_secondary: int) -> DataFrame:
     return plain.unionByName(rows.select(*narrow.columns, "_cluster"))
 
 
-def _reduced_hot(rows: DataFrame, hot: DataFrame, n_units: int):
-    """Split the rows of very large partner groups (keep-both mode).
-
-    A row that repeats the priorities and unit indicators of an earlier row
-    of its group cannot change the lead: with an indicator it overlaps, with
-    none it merges and loses on priority.  Only the first row of each such
-    pattern goes through the ordered pass.
-    """
-    pattern = ["_cluster", "_rp", "_vp", *[f"_u{i}" for i in range(n_units)]]
-    inside = rows.join(F.broadcast(hot), "_cluster", "left_semi")
-    firsts = inside.groupBy(*pattern).agg(F.min(F.struct(F.col("_lead_last"), "_order", "_id")).alias("_f"))
-    marked = inside.alias("r").join(F.broadcast(firsts).alias("f"), _null_safe(pattern, "r", "f")).select(
-        "r.*", (F.col("f._f._id") == F.col("r._id")).alias("_is_first"))
-    return marked.where("_is_first").drop("_is_first"), marked.where(~F.col("_is_first")).drop("_is_first")
-
-
 def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mapping[str, DataFrame] | None = None,
-                        item_flat_id: str = "flat_table_id", item_id: str = "id", force_one: bool = False,
-                        hot_rows: int = HOT_ROWS) -> ComplementaryResult:
+                        item_flat_id: str = "flat_table_id", item_id: str = "id", force_one: bool = False) -> ComplementaryResult:
     """Merge complementary records; see the module text for the method.
 
     Returns the flat table with a report column, the item tables, the event
@@ -387,19 +364,13 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
         rp.alias("_rp"), F.col(rules.variable_priority).try_cast(number).alias("_vp"),
         *[F.col(rules.indicators[u]).try_cast(number).alias(f"_u{i}") for i, u in enumerate(units)],
     )
-    placed = _clusters(narrow, len(rules.primary), len(rules.secondary))
+    # Groups, rows and leaderless rows all read the narrow placement, so it is stored once.
+    placed = checkpointed(_clusters(narrow, len(rules.primary), len(rules.secondary)))
     groups = placed.where(F.col("_cluster").isNotNull()).groupBy("_cluster").agg(
         F.count("*").alias("_n"),
-        F.min(F.when(F.col("_sort").isNotNull(), F.struct("_order", "_id"))).alias("_lead"),
-        F.max("_rp").alias("_max_rp"))
+        F.min(F.when(F.col("_sort").isNotNull(), F.struct("_order", "_id"))).alias("_lead"))
     several = groups.where((F.col("_n") > 1) & F.col("_lead").isNotNull())
-    # A partner group is part of one primary-key group, so counting those
-    # tells whether any can be very large.
-    large = None
-    if hot_keys(narrow, [f"_p{i}" for i in range(len(rules.primary))], hot_rows) is not None:
-        large = checkpointed(groups.where(F.col("_n") > hot_rows).select("_cluster", "_max_rp"))
-    rows = join_on_keys(placed, several.select("_cluster", F.col("_lead._id").alias("_lead_id")), ["_cluster"], "inner",
-                        None if large is None else large.select("_cluster"))
+    rows = placed.join(several.select("_cluster", F.col("_lead._id").alias("_lead_id")), "_cluster")
     rows = rows.withColumn("_lead_last", F.col("_id") != F.col("_lead_id"))
     # Rows that share keys with others but may not lead and found no lead.
     unled = placed.where(F.col("_cluster").isNull() & F.col("_sort").isNull()).select("_id").unionByName(
@@ -426,54 +397,11 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
         # ``tie`` orders rows that share a step; the ordered pass has none.
         return laid.mapInPandas(ordered, schema).withColumn("tie", F.lit(None).cast(tie_type))
 
-    hot = None
-    if large is not None and not force_one:
-        hot = large.where(F.coalesce("_max_rp", F.lit(0.0)) < RECORD_PRIORITY_THRESHOLD).select("_cluster")
-    if hot is None:
-        events = fold(rows)
-    else:
-        first_rows, repeats = _reduced_hot(rows, hot, len(units))
-        events = fold(rows.join(F.broadcast(hot), "_cluster", "left_anti").unionByName(first_rows))
-        events = events.unionByName(_repeat_events(events, first_rows, repeats, hot, len(units)))
     # Six consumers read the events, so the ordered pass is stored once.
-    events = checkpointed(events)
+    events = checkpointed(fold(rows))
     return _resolve(flat, dict(items or {}), rules, units, id_col, item_flat_id, item_id, events, unled)
 
 
-def _repeat_events(events: DataFrame, first_rows: DataFrame, repeats: DataFrame, hot: DataFrame,
-                   n_units: int) -> DataFrame:
-    """Events of the repeated rows of very large groups, without an ordered pass.
-
-    Each repeat looks up the lead's sort value at its own place among the few
-    states its group went through.
-    """
-    leads = events.where("role = 'lead'").join(F.broadcast(hot), "_cluster", "left_semi").select(
-        "_cluster", F.col("kept_id").alias("_base"))
-    states = first_rows.join(events.select("_id", "lead_sort", "lead_seq", "role"), "_id").select(
-        "_cluster", F.struct("_lead_last", F.col("_order").isNotNull().alias("has"), "_order", "_id",
-                             F.when(F.col("role") == "lead", F.col("_sort")).otherwise(F.col("lead_sort")).alias("s"),
-                             F.when(F.col("role") == "lead", F.lit(0)).otherwise(F.col("lead_seq")).alias("n")
-                             ).alias("state"))
-    states = states.groupBy("_cluster").agg(F.array_sort(F.collect_list("state")).alias("_states")).join(leads, "_cluster")
-    joined = repeats.join(F.broadcast(states), "_cluster")
-    mine = F.struct(F.col("_lead_last"), F.col("_order").isNotNull().alias("has"), F.col("_order"), F.col("_id"))
-    before = F.filter("_states", lambda s: F.struct(s["_lead_last"], s["has"], s["_order"], s["_id"]) < mine)
-    joined = joined.withColumn("_state", F.element_at(before, -1)).withColumn("_now", F.col("_state.s"))
-    overlap = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_u{i}") == 1, F.lit(False)) for i in range(n_units)],
-                     F.lit(False))
-    text = F.concat(F.lit(" Records ["), F.coalesce("_sort", F.lit("None")), F.lit("] and ["),
-                    F.coalesce("_now", F.lit("None")), F.lit("] have an overlapping attempt indicator column."))
-    return joined.select(
-        "_id", F.when(overlap, "kept").otherwise("merged").alias("role"),
-        F.when(overlap, F.col("_id")).otherwise(F.col("_base")).alias("kept_id"),
-        F.when(overlap, F.lit(0)).otherwise(F.col("_state.n")).cast("bigint").alias("seq"), F.lit(False).alias("prio"),
-        F.array(*[F.lit(False)] * n_units).cast(T.ArrayType(T.BooleanType())).alias("units"),
-        F.when(overlap, text).alias("report"), overlap.alias("overlap"), F.lit(False).alias("forced"),
-        F.lit(False).alias("picked"), F.lit(None).cast("bigint").alias("lost_id"),
-        F.col("_now").alias("lead_sort"), F.col("_state.n").cast("bigint").alias("lead_seq"), "_cluster",
-        F.struct(F.col("_order").isNotNull().alias("has"), F.col("_order").alias("at"), F.col("_id").alias("id")).alias("tie"))
-
-
 def _truthy(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return F.coalesce(value != "", F.lit(False))

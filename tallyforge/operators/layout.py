@@ -205,9 +205,6 @@ def apply_layout_types(df: DataFrame, layout, line: str = "line_number") -> Type
 
 # --------------------------------------------------------------- recoding
 
-INLINE_CODES = 200
-
-
 def layout_codes(layout) -> dict[str, tuple[str, dict[str, str | None]]]:
     """Per variable: (type, {original code: standard code}) of a full layout."""
     out: dict[str, tuple[str, dict]] = {}

@@ -139,11 +139,16 @@ def itemize(t: Tables):
     return rounded(lo.itemize(wide, "id", lo.detect_item_columns(wide.columns, _PATTERN)))
 
 
-@query("detect_item_columns", "SELECT o_orderkey AS id, 2 AS families, 10 AS columns FROM orders")
+@query("detect_item_columns", f"WITH w AS ({_WIDE}) SELECT id, family, item, value FROM (" + " UNION ALL ".join(
+    f"SELECT id, '{family}' AS family, {i} AS item, uprx_{kind}_item_{i}::VARCHAR AS value FROM w"
+    for kind, family in (("raw", "uprx_raw_item"), ("score", "uprx_score_item")) for i in range(1, 6)) + ")")
 def detect_item_columns(t: Tables):
+    """The values of the families that were found, as long rows."""
     wide = _wide(t)
     families = lo.detect_item_columns(wide.columns, _PATTERN)
-    return rounded(wide.select("id", F.lit(len(families)).alias("families"), F.lit(sum(map(len, families.values()))).alias("columns")))
+    cells = F.array(*[F.struct(F.lit(stem).alias("family"), F.lit(i).alias("item"), F.col(c).cast("string").alias("value"))
+                      for stem, columns in families.items() for i, c in enumerate(columns, start=1)])
+    return rounded(wide.select("id", F.inline(cells)))
 
 
 @query("attach_open_ended", f"WITH w AS ({_WIDE}) " + " UNION ALL ".join(

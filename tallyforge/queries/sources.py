@@ -28,8 +28,7 @@ SELECT row_number() OVER (ORDER BY c_custkey) AS line_number, c_custkey::VARCHAR
   rtrim(left(c_mktsegment, 9)) AS c_mktsegment FROM customer""")
 def read_fixed_width(t: Tables):
     path = t.scratch()
-    one_file = t.customer.repartition(1).sortWithinPartitions("c_custkey")
-    sources.export_fixed_width(one_file, path, _CUSTOMER_LAYOUT)
+    sources.export_fixed_width(t.customer.orderBy("c_custkey"), path, _CUSTOMER_LAYOUT)  # many files, in order
     return rounded(sources.read_fixed_width(t.spark, path, _CUSTOMER_LAYOUT).data)
 
 
@@ -37,7 +36,7 @@ def read_fixed_width(t: Tables):
 SELECT o_orderkey + 1 AS line_number, 'b' AS variable FROM orders WHERE length(o_orderstatus || left(o_orderpriority, (o_orderkey % 4 + 1)::INT)) < 4""")
 def read_fixed_width_short_lines(t: Tables):
     path = t.scratch()
-    lines = t.orders.repartition(1).sortWithinPartitions("o_orderkey").select(
+    lines = t.orders.orderBy("o_orderkey").select(
         F.concat("o_orderstatus", F.substring("o_orderpriority", F.lit(1), (F.col("o_orderkey") % 4 + 1).cast("int"))).alias("value"))
     lines.write.text(path)
     out = sources.read_fixed_width(t.spark, path, [{"varname": "a", "length": 1}, {"varname": "b", "length": 3}])
@@ -58,12 +57,13 @@ SELECT row_number() OVER (ORDER BY c_custkey) + 1 AS line_number, c_custkey::VAR
 def read_delimited(t: Tables):
     path = t.scratch()
     k = F.col("c_custkey")
-    rows = t.customer.repartition(1).sortWithinPartitions("c_custkey").select(
+    rows = t.customer.select(
         F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit(', ""x",')).alias("a"),
-        F.when(k % 6 == 0, ".").when(k % 6 == 1, " ").otherwise(F.col("c_name")).alias("b"), k.cast("string").alias("c"))
-    lines = rows.select(F.concat(F.col("a"), F.col("b"), F.lit(","), F.col("c")).alias("value"))
-    head = t.spark.range(1, numPartitions=1).select(F.lit("segment,name,id").alias("value"))
-    head.union(lines).coalesce(1).write.text(path)
+        F.when(k % 6 == 0, ".").when(k % 6 == 1, " ").otherwise(F.col("c_name")).alias("b"), k.cast("string").alias("c"), k.alias("k"))
+    lines = rows.select("k", F.concat(F.col("a"), F.col("b"), F.lit(","), F.col("c")).alias("value"))
+    head = t.spark.range(1).select(F.lit(None).cast("long").alias("k"), F.lit("segment,name,id").alias("value"))
+    # Many files in order; the first one begins with the names.
+    head.union(lines).orderBy(F.col("k").asc_nulls_first()).select("value").write.text(path)
     layout = [{"varname": n} for n in ("id", "name", "segment")]
     data = sources.read_delimited(t.spark, path, layout).data
     return rounded(data.select("line_number", "id", F.regexp_replace("segment", '""', '"').alias("segment"), "name"))
