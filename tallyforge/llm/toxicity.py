@@ -26,6 +26,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -55,9 +56,10 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine i
 _SIGNS = str.maketrans("013457@$!|*+", "oieastasiiat")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[^\W\d_]+[@$*0-9!|+]+[^\W\d_]+")
-_DRAWN = re.compile(r"([^\W\d_])\1\1")
+_SIGN = re.compile(r"(?<=[^\W\d_])[@$*0-9!|+]+(?=[^\W\d_])")
+_MASKED = re.compile(r"[^\W_@$*!|+]*[^\W_][\w@$*!|+]*")
 _PUNCTUATION = b"\"#%&'()*,-./:;<=>@[]^_`{|}~"
+_CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 FEATURES = ("lexicon_density", "lexicon_hits", "lexicon_distinct", "lexicon_strongest", "seed_density", "seed_hits", "near_second_person",
             "second_person", "capitals", "exclamations", "questions", "punctuation", "masked", "masked_seeds", "drawn_out", "length")
@@ -71,44 +73,72 @@ def terms_of(word: str) -> Iterator[str]:
             yield word[:n] + "-"
 
 
-def features(text: str, lexicon: dict[str, float]) -> list[float]:
-    words = _WORD.findall(text.lower())
-    n = max(1, len(words))
-    data = text.encode()
-    hits, seeds, persons, total, strongest, distinct = [], 0, [], 0.0, 0.0, set()
-    for i, word in enumerate(words):
-        if word in SECOND_PERSON:
-            persons.append(i)
+class Reader:
+    """Computes features with one lexicon; remembers what words it has met."""
+
+    #: Words remembered before the memory is emptied.
+    MEMORY = 300_000
+
+    def __init__(self, lexicon: dict[str, float]):
+        self.lexicon, self.met = lexicon, {}
+
+    def weight(self, word: str) -> tuple[float, bool] | None:
+        """Lexicon weight and whether the word is a seed; None if neither."""
         seed = word in SEEDS
-        seeds += seed
-        weight = max([lexicon.get(t, 0.0) for t in terms_of(word)]) if len(word) > 2 else 0.0
-        if weight or seed:
-            hits.append(i)
-            total += weight
-            strongest = max(strongest, weight)
-            distinct.add(word)
-    near, p = 0, 0
-    for i in hits:
-        while p < len(persons) and persons[p] < i - PROXIMITY:
-            p += 1
-        near += p < len(persons) and persons[p] <= i + PROXIMITY
-    masked = _MASKED.findall(text.lower())
-    upper = sum(map(str.isupper, text)) if not text.islower() else 0
-    return [total / n, math.log1p(len(hits)), math.log1p(len(distinct)), strongest, seeds / n, math.log1p(seeds),
-            near / n, len(persons) / n, upper / max(1, len(text)), data.count(b"!") / n, data.count(b"?") / n,
-            (len(data) - len(data.translate(None, _PUNCTUATION))) / n, len(masked) / n,
-            sum(m.translate(_SIGNS) in SEEDS for m in masked) / n, len(_DRAWN.findall(text)) / n, math.log1p(len(words))]
+        weight = max(self.lexicon.get(t, 0.0) for t in terms_of(word)) if len(word) > 2 else 0.0
+        return (weight, seed) if weight or seed else None
+
+    def features(self, text: str) -> list[float]:
+        lower = text.lower()
+        words = _WORD.findall(lower)
+        n = max(1, len(words))
+        data = text.encode()
+        met = self.met
+        if len(met) > self.MEMORY:
+            met.clear()
+        marked = {}
+        for word in set(words):
+            if word not in met:
+                met[word] = self.weight(word)
+            if met[word]:
+                marked[word] = met[word]
+        total, strongest, seeds, near, hits = 0.0, 0.0, 0, 0, 0
+        persons = sum(map(words.count, SECOND_PERSON.intersection(words)))
+        if marked:
+            at = [i for i, w in enumerate(words) if w in SECOND_PERSON]
+            p = 0
+            for i, word in enumerate(words):
+                if word in marked:
+                    weight, seed = marked[word]
+                    hits, total, strongest, seeds = hits + 1, total + weight, max(strongest, weight), seeds + seed
+                    while p < len(at) and at[p] < i - PROXIMITY:
+                        p += 1
+                    near += p < len(at) and at[p] <= i + PROXIMITY
+        masked = masked_seeds = 0
+        for m in _SIGN.finditer(lower):
+            masked += 1
+            window = max(0, m.start() - 40)
+            start = lower.rfind(" ", window, m.start())
+            token = _MASKED.search(lower, start + 1 if start >= 0 else window, m.end() + 40)
+            masked_seeds += token is not None and token[0].rstrip("!|+*").translate(_SIGNS) in SEEDS
+        letters = np.frombuffer(data, np.uint8)
+        same = letters[1:] == letters[:-1]
+        drawn = int((same[1:] & same[:-1] & (letters[2:] > 64)).sum()) if len(letters) > 2 else 0
+        return [total / n, math.log1p(hits), math.log1p(len(marked)), strongest, seeds / n, math.log1p(seeds),
+                near / n, persons / n, (len(data) - len(data.translate(None, _CAPITALS))) / max(1, len(data)),
+                data.count(b"!") / n, data.count(b"?") / n, (len(data) - len(data.translate(None, _PUNCTUATION))) / n,
+                masked / n, masked_seeds / n, drawn / n, math.log1p(len(words))]
 
 
 def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def learn_lexicon(labelled: DataFrame, rows: int = LEXICON_ROWS, size: int = LEXICON_SIZE) -> dict[str, float]:
-    """Terms (word, or beginning with '-') and weights from text, toxic, order; at most ``size`` terms."""
-    last = labelled.select("order").orderBy("order").limit(rows).agg(F.max("order")).first()[0]
-    if last is None:
-        return {}
+def learn_lexicon(rows: DataFrame, known: DataFrame, sample_rows: int = LEXICON_ROWS, size: int = LEXICON_SIZE) -> dict[str, float]:
+    """Terms (word, or beginning with '-') and weights, at most ``size``, from doc_id, text and doc_id, toxic, order."""
+    # The sample is bounded by sample_rows, so its narrow rows are broadcast and no text is shuffled.
+    chosen = known.orderBy("order", "doc_id").limit(sample_rows).select("doc_id", "toxic")
+    sample = rows.join(F.broadcast(chosen), "doc_id")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("term", pa.string()), ("toxic", pa.int64())])
@@ -118,10 +148,9 @@ def learn_lexicon(labelled: DataFrame, rows: int = LEXICON_ROWS, size: int = LEX
                 if found:
                     yield record_batch(schema, {"term": list(found), "toxic": [toxic] * len(found)})
 
-    sample = labelled.where(F.col("order") <= F.lit(last))
     counts = sample.select("text", "toxic").mapInArrow(split, "term string, toxic long").groupBy("term").agg(
         F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("all"))
-    totals = sample.agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("all")).first()
+    totals = chosen.agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("all")).first()
     pos, neg = totals["pos"] or 0, totals["all"] - (totals["pos"] or 0)
     if not pos or not neg:
         return {}
@@ -139,13 +168,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     truth = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("long").alias("toxic"))
     truth = truth.where((remainder(F.col("doc_id")) != 0) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = checkpointed(truth.select("doc_id", "toxic", F.xxhash64("doc_id").alias("order"), remainder(F.col("doc_id")).alias("part")))
-    lexicon = learn_lexicon(rows.join(known.where("part != 4").select("doc_id", "toxic", "order"), "doc_id"), lexicon_rows)
+    lexicon = learn_lexicon(rows, known.where("part != 4"), lexicon_rows)
 
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(lexicon)
         for cols in columns_of(batches):
-            yield record_batch(schema, {"doc_id": cols["doc_id"], "x": [features(t, lexicon) for t in cols["text"]]})
+            yield record_batch(schema, {"doc_id": cols["doc_id"], "x": [reader.features(t) for t in cols["text"]]})
 
     seen = checkpointed(rows.mapInArrow(look, "doc_id long, x array<double>"))
     train = seen.join(known, "doc_id").select(
@@ -158,7 +188,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     # Rows in a fixed order and place, so that reruns grow the same trees.
     parts = 1 + sum(counts.values()) // 10_000
-    train = checkpointed(train.repartition(parts, "order").sortWithinPartitions("order", "x").drop("order", "x"))
+    placed = train.repartitionById(parts, F.pmod("order", F.lit(parts)).cast("int"))
+    train = checkpointed(placed.sortWithinPartitions("order", "x").drop("order", "x"))
     fit_on = train.where("part != 4")
     if fit_on.select("label").distinct().count() < 2:
         fit_on = train

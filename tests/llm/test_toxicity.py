@@ -27,7 +27,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_features_see_insults_signs_and_second_persons():
-    plain, rude = (dict(zip(toxicity.FEATURES, toxicity.features(t, {}))) for t in ("a calm text", "you are an IDIOT, 1d10t!!!"))
+    plain, rude = (dict(zip(toxicity.FEATURES, toxicity.Reader({}).features(t))) for t in ("a calm text", "you are an IDIOT, 1d10t!!!"))
     assert plain["seed_hits"] == 0 and rude["seed_hits"] > 0 and rude["near_second_person"] > 0
     assert rude["masked_seeds"] > 0 and rude["capitals"] > 0 and rude["exclamations"] > 0
 
