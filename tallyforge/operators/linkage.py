@@ -5,19 +5,18 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_names, clean_similarity
-from ..session import maybe_broadcast
+from ..session import checkpointed
 from .windows import rank_in_group
 
 SIMILARITY_STEPS = 20
+# Names that name_calibration compares with the whole haystack, unless told otherwise.
 CALIBRATION_NAMES = 20
-# Needles that may be compared with every haystack row when no column can
-# narrow the search without losing pairs.
-FULL_SCAN_NEEDLES = 1000
 
 
 def nominal_frequencies(haystack: DataFrame, column: str, weight: float) -> DataFrame:
@@ -36,21 +35,22 @@ def big_nominal_frequency(haystack: DataFrame, column: str, weight: float, appro
     return (1.0 / n) ** weight if n else 1.0
 
 
-def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weight: float) -> list[float]:
+def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weight: float,
+                     names: int = CALIBRATION_NAMES) -> list[float]:
     """Chance of a similarity at least as high, for the steps 0..20.
 
-    The 20 first names by the key are compared with every haystack name; the
-    comparisons are counted per step on the map side.
+    The first ``names`` names by the key are compared with every haystack
+    name; the comparisons are counted per step on the map side.
     """
     sample = (
         haystack.where(F.col(key).isNotNull()).orderBy(F.col(key), F.col(first), F.col(last))
-        .select(first, last).limit(CALIBRATION_NAMES).collect()
+        .select(first, last).limit(names).collect()
     )
-    names = _constant([list(r) for r in sample], "array<array<string>>")
+    chosen = _constant([list(r) for r in sample], "array<array<string>>")
     straight, _ = clean_names(first, last)
     # cleaned once per row and once per sample name, not once per comparison
     rows = haystack.select(straight.alias("_h")).withColumn("_s", F.explode(
-        F.transform(names, lambda r: F.struct(*[c.alias(n) for c, n in zip(clean_names(r[0], r[1]), "sx")]))))
+        F.transform(chosen, lambda r: F.struct(*[c.alias(n) for c, n in zip(clean_names(r[0], r[1]), "sx")]))))
     counts = rows.groupBy(_step(F.col("_s.s"), F.col("_s.x"), F.col("_h")).alias("step")).count().collect()
     by_step = {int(r["step"]): r["count"] for r in counts}
     total, upto, out = sum(by_step.values()), 0, [0.0] * (SIMILARITY_STEPS + 1)
@@ -86,22 +86,26 @@ def _name_only_limit(n: DataFrame, calibration: Sequence[float], cut: float) ->
 def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str, float],
                  big_nominal: Mapping[str, float], name: tuple[str, str], name_weight: float, calibrate_key: str,
                  cut: float = 1e-16, count: int = 2, out_columns: Sequence[str] = (),
-                 blocking: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
+                 blocking: Sequence[str] | None = None, approximate: bool = False,
+                 calibration_names: int = CALIBRATION_NAMES) -> DataFrame:
     """Best haystack rows per needle by the product of agreement frequencies.
 
     The score of a pair is the product of the frequencies of the values the
     two rows share and of the chance of their name similarity; pairs below
     ``cut`` are kept, the best ``count`` per needle by rank.
 
-    No pair is lost and no all-pairs join is made: if the product must fall
-    below ``cut``, at least one shared value must contribute an even share of
-    what the names cannot, so candidates come from an equi-join on values
-    that rare.  Common values (and hot keys with them) never form join keys.
-    ``blocking`` restricts the search to rows equal in those columns instead.
+    No pair is lost.  What the names cannot contribute must come from shared
+    values, so a pair below ``cut`` agrees on at least one *minimal set* of
+    columns: a set whose weights reach the needed product while no smaller
+    part of it does.  Candidates come from an equi-join on the values of such
+    sets.  Where names alone can reach the cut, pairs of near names join them,
+    found by equal name segments: of the distance + 1 segments of one name, at
+    least one stands unchanged, and little moved, in the other.  ``blocking``
+    restricts the search to rows equal in those columns as well.
     """
     columns = [*big_nominal, *nominal]
     first, last = name
-    calibration = name_calibration(haystack, first, last, calibrate_key, name_weight)
+    calibration = name_calibration(haystack, first, last, calibrate_key, name_weight, calibration_names)
     big = {c: big_nominal_frequency(haystack, c, w, approximate) for c, w in big_nominal.items()}
     used = list(dict.fromkeys([*columns, first, last]))
     n = needles.select(*[F.col(c).alias(f"N_{c}") for c in used]).distinct()
@@ -132,28 +136,12 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
     need = -math.log(cut) + min((math.log(p) for p in calibration if p > 0), default=0.0)
     if min(calibration) <= 0:
         need = 0.0
-    if blocking is not None:
-        test = None
-        for c in blocking:
-            equal = F.col(f"N_{c}") == F.col(f"H_{c}")
-            test = equal if test is None else test & equal
-        pairs = h.join(maybe_broadcast(n), test)
-    elif need > 0 and columns:
-        share = math.exp(-need / len(columns))
-        pairs = _rare_value_pairs(n, h, columns, share)
+    if not columns and blocking is None:
+        pairs = _near_name_pairs(n, h, [], limit)
+    elif need > 0 or blocking is not None:
+        pairs = _minimal_set_pairs(n, h, columns, list(blocking or ()), need)
     else:
-        listed = n.limit(FULL_SCAN_NEEDLES + 1).toJSON().collect()
-        if len(listed) > FULL_SCAN_NEEDLES:
-            raise ValueError(
-                f"more than {FULL_SCAN_NEEDLES} needles and a cut that names alone can reach: "
-                "give blocking columns or a smaller cut")
-        # Each haystack row filters the bounded needle list in place; only
-        # pairs that pass leave the row.
-        needle_list = _constant([json.loads(r) for r in listed], f"array<{n.schema.simpleString()}>")
-        # The scan is bound by the comparisons, so it is spread over all cores.
-        h = h.repartition(haystack.sparkSession.sparkContext.defaultParallelism)
-        found = F.filter(needle_list, lambda x: score(lambda c: x[c], F.col) < F.lit(cut))
-        pairs = h.withColumn("_n", F.explode(found)).select(*h.columns, "_n.*")
+        pairs = _minimal_set_pairs(n, h, columns, [], 0.0, smallest=1).unionByName(_near_name_pairs(n, h, columns, limit))
     scored = pairs.withColumn("prob", score(F.col, F.col)).where(F.col("prob") < cut)
     needle_columns = [f"N_{c}" for c in used]
     best = rank_in_group(scored, needle_columns, [F.col("prob")], count)
@@ -164,28 +152,94 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
                        *[F.col(f"H_{c}").alias(c) for c in out_columns], "prob", "rank")
 
 
-def _rare_value_pairs(n: DataFrame, h: DataFrame, columns: Sequence[str], share: float) -> DataFrame:
-    """Pairs that agree on at least one value of weight ``share`` or less.
+def _agreeing(columns: Sequence[str]) -> Column:
+    """Bit i is set where the pair agrees on column i."""
+    bits = [F.when(F.col(f"N_{c}").cast("string") == F.col(f"H_{c}").cast("string"), F.lit(1 << i)).otherwise(F.lit(0))
+            for i, c in enumerate(columns)]
+    return reduce(lambda a, b: a + b, bits, F.lit(0))
 
-    A pair agreeing on several such values is made by the first of them only,
-    so no distinct is needed afterwards.
-    """
 
-    def values(prefix: str) -> Column:
-        return F.array(*[
-            F.struct(F.lit(i).alias("_c"), F.col(f"{prefix}_{c}").cast("string").alias("_v"))
-            for i, c in enumerate(columns)])
-
-    rare = [F.when(F.col(f"_w_{c}") <= share * (1 + 1e-9), F.col(f"N_{c}").cast("string")) for c in columns]
-    needle_values = F.array(*[F.struct(F.lit(i).alias("_c"), r.alias("_v")) for i, r in enumerate(rare)])
-    n_long = n.select("*", F.inline(needle_values)).where(F.col("_v").isNotNull())
-    wanted = maybe_broadcast(n_long.select("_c", "_v").distinct())
-    h_long = h.select("*", F.inline(values("H"))).where(F.col("_v").isNotNull()).join(wanted, ["_c", "_v"], "left_semi")
-    joined = h_long.join(maybe_broadcast(n_long), ["_c", "_v"])
-    earlier = F.lit(None).cast("int")
-    for i in reversed(range(len(columns))):
-        c = columns[i]
-        agrees = (F.col(f"_w_{c}") <= share * (1 + 1e-9)) & (
-            F.col(f"N_{c}").cast("string") == F.col(f"H_{c}").cast("string"))
-        earlier = F.when(agrees, F.lit(i)).otherwise(earlier)
-    return joined.where(F.col("_c") == earlier).drop("_c", "_v")
+def _minimal_set_pairs(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], need: float,
+                       smallest: int = 0) -> DataFrame:
+    """Pairs that agree on a minimal set of columns (bits of a mask) for their needle.
+
+    A pair is made by the first minimal set it agrees on, so no distinct is
+    needed.  Sets have ``smallest`` columns at least; all needle and haystack
+    rows meet through equal keys of mask and values.
+    """
+    gain = [F.when(F.col(f"N_{c}").isNotNull(), -F.log(f"_w_{c}")).otherwise(F.lit(0.0)) for c in columns]
+
+    def reaches(mask: int) -> Column:
+        inside = [g for i, g in enumerate(gain) if mask >> i & 1]
+        return reduce(lambda a, b: a + b, inside, F.lit(0.0)) >= F.lit(need - 1e-9)
+
+    def minimal(mask: int) -> Column:
+        present = [F.col(f"N_{c}").isNotNull() for i, c in enumerate(columns) if mask >> i & 1]
+        smaller = [mask & ~(1 << i) for i in range(len(columns)) if mask >> i & 1]
+        tests = present + [reaches(mask)] + [~reaches(m) for m in smaller if m.bit_count() >= smallest]
+        return reduce(lambda a, b: a & b, tests)
+
+    masks = sorted((m for m in range(1 << len(columns)) if m.bit_count() >= smallest), key=lambda m: (m.bit_count(), m))
+    found = F.filter(F.array(*[F.when(minimal(m), F.lit(m)) for m in masks]), lambda m: m.isNotNull())
+    n = n.withColumn("_masks", found)
+    used = [r[0] for r in n.select(F.explode("_masks").alias("m")).distinct().collect()]  # at most one per set of columns
+
+    def keys(prefix: str) -> Column:
+        def key(mask: int) -> Column:
+            names = [*blocking, *[c for i, c in enumerate(columns) if mask >> i & 1]]
+            values = [F.col(f"{prefix}_{c}").cast("string") for c in names]
+            full = reduce(lambda a, b: a & b, [v.isNotNull() for v in values], F.lit(True))
+            return F.when(full, F.struct(F.lit(mask).alias("_mask"), F.to_json(F.array(*values, F.lit(""))).alias("_key")))
+
+        return F.filter(F.array(*[key(m) for m in sorted(used)]), lambda k: k.isNotNull())
+
+    if not used:
+        return h.join(n.drop("_masks"), F.lit(False))
+    n_long = n.select("*", F.inline(keys("N"))).where(F.array_contains("_masks", F.col("_mask")))
+    h_long = h.select("*", F.inline(keys("H")))
+    joined = h_long.join(n_long, ["_mask", "_key"])
+    mask = _agreeing(columns)
+    first = F.element_at(F.filter("_masks", lambda m: m.bitwiseAND(mask) == m), 1)
+    return joined.where(F.col("_mask") == first).drop("_mask", "_key", "_masks")
+
+
+def _near_name_pairs(n: DataFrame, h: DataFrame, columns: Sequence[str], distance: int) -> DataFrame:
+    """Pairs that agree on no column and whose names differ by ``distance`` edits at most.
+
+    A haystack name of more than ``distance`` letters is cut into distance + 1
+    segments; a needle name lists, for every length the other may have, what
+    could be such a segment, moved by at most ``distance``.  Shorter names
+    meet by their length.
+    """
+    n = checkpointed(n.withColumn("_n_id", F.monotonically_increasing_id()))
+    h = checkpointed(h.withColumn("_h_id", F.monotonically_increasing_id()))
+    parts = distance + 1
+
+    def start(i: Column, length: Column) -> Column:
+        return F.floor(i * length / F.lit(parts)).cast("int")
+
+    def width(i: Column, length: Column) -> Column:
+        return start(i + 1, length) - start(i, length)
+
+    number = F.sequence(F.lit(0), F.lit(distance))
+    size = F.length("_hs")
+    cut = F.transform(number, lambda i: F.struct(
+        size.alias("size"), i.alias("i"), F.substring(F.col("_hs"), start(i, size) + 1, width(i, size)).alias("part")))
+    whole = F.array(F.struct(size.alias("size"), F.lit(-1).alias("i"), F.lit("").alias("part")))
+    h_keys = h.select("_h_id", "_hs", F.inline(F.when(size > distance, cut).otherwise(whole)))
+
+    names = n.select("_n_id", "_ns", "_nx", F.explode(F.array_distinct(F.array("_ns", "_nx"))).alias("name"))
+    own = F.length("name")
+    sizes = F.sequence(F.greatest(F.lit(0), own - distance), own + distance)
+    names = names.select("_n_id", "_ns", "_nx", "name", F.explode(sizes).alias("size"))
+    at = names.where(F.col("size") > distance).select("*", F.explode(number).alias("i")).select(
+        "*", F.explode(F.sequence(F.greatest(F.lit(0), start(F.col("i"), F.col("size")) - distance),
+                                  F.greatest(F.lit(0), start(F.col("i"), F.col("size")) + distance))).alias("at"))
+    at = at.where(F.col("at") + width(F.col("i"), F.col("size")) <= F.length("name"))
+    moved = at.select("_n_id", "_ns", "_nx", "size", "i", F.substring(F.col("name"), F.col("at") + 1, width(F.col("i"), F.col("size"))).alias("part"))
+    short = names.where(F.col("size") <= distance).select("_n_id", "_ns", "_nx", "size", F.lit(-1).alias("i"), F.lit("").alias("part"))
+    n_keys = moved.unionByName(short).distinct()
+    near = [F.levenshtein(F.col(x), F.col("_hs"), distance) >= 0 for x in ("_ns", "_nx")]
+    found = h_keys.join(n_keys, ["size", "i", "part"]).where(near[0] | near[1]).select("_n_id", "_h_id").distinct()
+    pairs = found.join(h, "_h_id").join(n, "_n_id").drop("_n_id", "_h_id")
+    return pairs.where(_agreeing(columns) == 0) if columns else pairs

@@ -1,8 +1,11 @@
 """Id checks, comparisons, scores, erasures on small frames."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.functions.text import clean_names, clean_similarity
 from tallyforge.operators import attempts, erasure, linkage, quality, scoring
 
 BOOK = "`item position` int, form_values string, `numeric key` int, `item format` string, role string, subject_values string, grade_values string"
@@ -131,8 +134,24 @@ def test_search_without_blocking_loses_no_pair(spark, cut):
     assert got == wanted and (cut < 5e-3 or got)
 
 
-def test_full_scan_refuses_many_needles(spark, monkeypatch):
-    needles, hay = linkage_frames(spark)
-    monkeypatch.setattr(linkage, "FULL_SCAN_NEEDLES", 2)
-    with pytest.raises(ValueError, match="blocking"):
-        linkage.find_matches(needles, hay, {"g": 1.0}, {}, ("f", "l"), 1.5, "hid", 0.5, 2, ["hid"])
+def test_many_needles_and_a_cut_that_names_reach(spark):
+    """Against plain Python over all pairs, with more needles than any list in a plan would hold."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcde") for _ in range(n))
+    hay = [(i, f"g{i % 50}", word(rng.randrange(3, 6)), word(rng.randrange(4, 8))) for i in range(150)]
+    needles = [(f"g{i % 60}", *(rng.choice(hay)[2:] if i % 3 else (word(4), word(6)))) for i in range(1200)]
+    n = spark.createDataFrame(needles, "g string, f string, l string").distinct()
+    h = spark.createDataFrame(hay, "hid int, g string, f string, l string")
+    out = linkage.find_matches(n, h, {"g": 1.0}, {}, ("f", "l"), 1.5, "hid", 1e-3, 10_000, ["hid"])
+    got = sorted((r["N_g"], r["N_f"], r["N_l"], r["hid"], round(r["prob"], 12)) for r in out.collect())
+    chances = linkage.name_calibration(h, "f", "l", "hid", 1.5)
+    share = {r["value"]: r["freq"] for r in linkage.nominal_frequencies(h, "g", 1.0).collect()}
+    pairs = n.selectExpr("g AS ng", "f AS nf", "l AS nl").join(h.withColumnRenamed("g", "hg"), F.lit(True))
+    straight, swapped = clean_names("nf", "nl")
+    step = F.round(F.lit(20.0) * clean_similarity(straight, swapped, clean_names("f", "l")[0]), 0).cast("int")
+    wanted = []
+    for r in pairs.withColumn("step", step).collect():
+        prob = (share[r["ng"]] if r["ng"] == r["hg"] else 1.0) * chances[r["step"]]
+        if prob < 1e-3:
+            wanted.append((r["ng"], r["nf"], r["nl"], r["hid"], round(prob, 12)))
+    assert got == sorted(wanted) and len(got) > 300
