@@ -42,7 +42,9 @@ def erasure_counts(items: DataFrame, keys: DataFrame, sheets: DataFrame) -> Data
     """
     raw, second = decode_intensity("raw_intensity"), decode_intensity("second_inten")
     editor, dark, answer = (to_number_or_zero(c) for c in ("raw_editor", "second_dark", "raw_item"))
-    rows = items.select(
+    # Items that no key names go before their marks are decoded and before any shuffle.
+    named = items.join(maybe_broadcast(keys.select("subject", "item_position").distinct()), ["subject", "item_position"], "left_semi")
+    rows = named.select(
         "sheet", "subject", "item_position", raw.alias("raw"), second.alias("second"), (editor == 1).alias("edited"),
         dark.alias("dark"), answer.alias("answer"), to_number_or_zero("score_item").alias("score"))
     joined = rows.join(sheets.select("sheet", "subject", "form"), ["sheet", "subject"]).join(

@@ -17,14 +17,16 @@ NO_CLASS = "CLASS ASSIGNMENT UNKNOWN"
 
 def generate_ids(df: DataFrame, subjects: Mapping[str, tuple[str, str, str]], test_date: str, grade: str = "grade",
                  district: str = "dcrxid_attend", school: str = "bcrxid_attend", prefix: str = "ID",
+                 tokens: tuple[str, str] = ("T", "C"),
                  names: Mapping[str, tuple[str, str, str, str]] | None = None) -> DataFrame:
     """Add teacher and class labels and ids per subject.
 
     ``subjects`` maps a subject letter to its (teacher, class, section)
     columns; ``names`` to the output columns (teacher label, teacher id,
     class label, class id).  Ids number the distinct keys in sorted order over
-    all subjects: ``<prefix><date>OATI<grade:2><n:7>`` for teachers and
-    ``<prefix><date>OATT<subject><grade:2><n:6>`` for classes.  Keys without
+    all subjects: ``<prefix><date><token><grade:2><n:7>`` for teachers and
+    ``<prefix><date><token><subject><grade:2><n:6>`` for classes, with
+    ``tokens`` (teachers, classes) as a report's readers expect them.  Keys without
     a teacher (or without any class part) get a label but no id, and do not
     take part in the numbering.
     """
@@ -37,11 +39,11 @@ def generate_ids(df: DataFrame, subjects: Mapping[str, tuple[str, str, str]], te
     keys = df.select(*place, F.inline(cells)).distinct()
     teacher_key = ["g", "d", "b", "t"]
     teachers = number_rows(keys.where(F.col("t") != "").select(*teacher_key).distinct(), [], [F.col(k) for k in teacher_key], "i")
-    teachers = teachers.withColumn("tid", F.format_string(prefix + test_date + "OATI%02d%07d", "g", "i")).drop("i")
+    teachers = teachers.withColumn("tid", F.format_string(prefix + test_date + tokens[0] + "%02d%07d", "g", "i")).drop("i")
     class_key = ["g", "d", "b", "t", "c", "n", "s"]
     has_part = (F.col("t") != "") | (F.col("c") != "") | (F.col("n") != "")
     classes = number_rows(keys.where(has_part), [], [F.col(k) for k in class_key], "i")
-    classes = classes.withColumn("cid", F.format_string(prefix + test_date + "OATT%s%02d%06d", "s", "g", "i")).drop("i")
+    classes = classes.withColumn("cid", F.format_string(prefix + test_date + tokens[1] + "%s%02d%06d", "s", "g", "i")).drop("i")
     out = df
     for s, (t, c, n) in subjects.items():
         label, teacher_id, class_label, class_id = names[s]

@@ -111,9 +111,9 @@ k AS (SELECT g, dist::VARCHAR d, sch::VARCHAR b, t1 t, c1 c, n1 n, 'm' s, c_cust
 tk AS (SELECT *, row_number() OVER (ORDER BY g, d, b, t) AS i FROM (SELECT DISTINCT g, d, b, t FROM k WHERE t <> '')),
 ck AS (SELECT *, row_number() OVER (ORDER BY g, d, b, t, c, n, s) AS i FROM (SELECT DISTINCT g, d, b, t, c, n, s FROM k WHERE t <> '' OR c <> '' OR n <> ''))
 SELECT k.c_custkey, k.s AS subject, CASE WHEN k.t = '' THEN 'NO NAME' ELSE k.t END AS teacher_label,
-  CASE WHEN tk.i IS NOT NULL THEN 'ID0310OATI' || lpad(k.g::VARCHAR, 2, '0') || lpad(tk.i::VARCHAR, 7, '0') END AS teacher_id,
+  CASE WHEN tk.i IS NOT NULL THEN 'ID0310T' || lpad(k.g::VARCHAR, 2, '0') || lpad(tk.i::VARCHAR, 7, '0') END AS teacher_id,
   CASE WHEN ck.i IS NULL THEN 'CLASS ASSIGNMENT UNKNOWN' ELSE concat_ws(' - ', CASE WHEN k.t = '' THEN 'NO NAME' ELSE k.t END, nullif(k.c, ''), nullif(k.n, '')) END AS class_label,
-  CASE WHEN ck.i IS NOT NULL THEN 'ID0310OATT' || k.s || lpad(k.g::VARCHAR, 2, '0') || lpad(ck.i::VARCHAR, 6, '0') END AS class_id
+  CASE WHEN ck.i IS NOT NULL THEN 'ID0310C' || k.s || lpad(k.g::VARCHAR, 2, '0') || lpad(ck.i::VARCHAR, 6, '0') END AS class_id
 FROM k LEFT JOIN tk ON k.g = tk.g AND k.d = tk.d AND k.b = tk.b AND k.t = tk.t
 LEFT JOIN ck ON k.g = ck.g AND k.d = ck.d AND k.b = ck.b AND k.t = ck.t AND k.c = ck.c AND k.n = ck.n AND k.s = ck.s"""
 

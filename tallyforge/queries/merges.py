@@ -153,16 +153,86 @@ def _partial_records(t: Tables):
         *[f"CASE WHEN event_type IN {k} THEN value END AS s{i}" for i, k in kinds.items()])
 
 
-@query("complementary_merge")
+_UNITS = {1: "('click', 'error')", 2: "('view')", 3: "('purchase', 'signup')"}
+
+
+def _folded_sql(force: bool, counters: bool = False) -> str:
+    """The same rules as an ordered fold: partner groups by room, then one recursive step per record of a group."""
+    def each(form: str, sep: str = ", ") -> str:
+        return sep.join(form.replace("#", str(i)) for i in _UNITS)
+
+    columns = "id, person, room, barcode, vp, rp, u1, u2, u3, s1, s2, s3"
+    boxed = "arg_max({'v': %s}, seq) FILTER (%s)"
+
+    def last(column: str, test: str) -> str:
+        return f"coalesce({boxed % (column, test)}, {boxed % (column, 'base')}).v AS {column}"
+
+    counted = """
+SELECT count(*) AS matching_rows_read, (SELECT count(*) FROM leads) + count(*) FILTER (role = 'kept') AS matching_rows_written,
+  count(*) FILTER (role = 'merged') AS merged_records, count(*) FILTER (overlapped) AS overlapping_records,
+  count(*) FILTER (overlapped AND role <> 'kept') AS forced_records, count(*) FILTER (role IN ('base', 'picked_out')) AS picked_records,
+  (SELECT count(*) FROM g WHERE cluster IS NULL OR n > 1 AND first_id IS NULL) AS missing_sort_keys FROM f"""
+    return f"""
+WITH RECURSIVE e AS (SELECT event_id AS id, user_id || '-' || strftime(ts, '%Y%m%d%H') AS person,
+    CASE WHEN event_id % 3 = 0 THEN NULL ELSE (event_id % 2)::VARCHAR END AS room, CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id END AS barcode,
+    event_id % 4 AS vp, CASE WHEN event_id % 40 = 0 THEN 1000 + event_id % 7 ELSE event_id % 5 END AS rp,
+    {", ".join(f"CASE WHEN event_type IN {k} THEN 1 ELSE 0 END AS u{i}" for i, k in _UNITS.items())},
+    {", ".join(f"CASE WHEN event_type IN {k} THEN value END AS s{i}" for i, k in _UNITS.items())} FROM events),
+pat AS (SELECT person, room, min(barcode) AS fb FROM e GROUP BY person, room),
+per AS (SELECT person, count(*) > 1 AND bool_or(room IS NULL) AS mixed, arg_min(coalesce(room, '~'), fb) AS lead FROM pat GROUP BY person),
+cl AS (SELECT pat.person, room, CASE WHEN NOT mixed THEN person || '|' || coalesce(room, '') WHEN lead IS NULL THEN NULL WHEN lead = '~' THEN person || '|'
+    WHEN room IS NULL THEN person || '|' || lead WHEN fb IS NOT NULL THEN person || '|' || room END AS cluster FROM pat JOIN per USING (person)),
+g AS (SELECT e.*, cluster, count(*) OVER (PARTITION BY cluster) AS n, min(barcode) OVER (PARTITION BY cluster) AS first_id
+    FROM e JOIN cl ON e.person = cl.person AND e.room IS NOT DISTINCT FROM cl.room),
+r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY id <> first_id, barcode NULLS FIRST, id) AS rn FROM g
+    WHERE cluster IS NOT NULL AND n > 1 AND first_id IS NOT NULL),
+f AS (
+  SELECT cluster, n, rn, id AS base, barcode AS sort, rp, vp, u1, u2, u3, '' AS report, 0 AS seq, id AS row_id, 'lead' AS role, id AS kept_id,
+    FALSE AS prio, {each("FALSE AS f#")}, '' AS own, FALSE AS overlapped FROM r WHERE rn = 1
+  UNION ALL
+  SELECT cluster, n, rn, CASE role WHEN 'base' THEN nid ELSE base END, CASE WHEN takes THEN nsort ELSE sort END, CASE WHEN takes THEN nrp ELSE rp END,
+    CASE WHEN takes THEN nvp ELSE vp END, {each("CASE WHEN role = 'base' OR role = 'merged' AND n# > 0 THEN n# ELSE u# END")},
+    CASE role WHEN 'base' THEN ' Picked one. (B)' || forced WHEN 'picked_out' THEN report || ' Picked one. (A)' || forced
+      WHEN 'kept' THEN report || ' Records [' || st || '] and [' || nt || '] have an overlapping attempt indicator column.'
+      ELSE report || ' Merged [' || st || '] with  [' || nt || '].' END,
+    CASE role WHEN 'base' THEN 0 WHEN 'merged' THEN seq + 1 ELSE seq END, nid, role, CASE role WHEN 'merged' THEN base ELSE nid END,
+    role = 'merged' AND second, {each("role = 'merged' AND (n# > 0 OR u# = 0 AND n# = 0 AND second)")},
+    ' Records [' || nt || '] and [' || st || '] have an overlapping attempt indicator column.', overlap
+  FROM (SELECT *, role = 'base' OR role = 'merged' AND second AS takes, CASE WHEN overlap THEN ' Forced.' ELSE '' END AS forced,
+      coalesce(sort::VARCHAR, 'None') AS st, coalesce(nsort::VARCHAR, 'None') AS nt
+    FROM (SELECT * EXCLUDE (role), CASE WHEN high OR overlap AND {force} THEN CASE WHEN rp < nrp THEN 'base' ELSE 'picked_out' END
+        WHEN overlap THEN 'kept' ELSE 'merged' END AS role
+      FROM (SELECT f.* EXCLUDE (rn), r.rn, r.id AS nid, r.barcode AS nsort, r.rp AS nrp, r.vp AS nvp, {each("r.u# AS n#")}, r.vp > f.vp AS second,
+          f.rp >= 1000 OR r.rp >= 1000 AS high, NOT (f.rp >= 1000 OR r.rp >= 1000) AND ({each("f.u# = 1 AND r.u# = 1", " OR ")}) AS overlap
+        FROM f JOIN r ON r.cluster = f.cluster AND r.rn = f.rn + 1)))),
+leads AS (SELECT base, nullif(report, '') AS report FROM f WHERE rn = n),
+m AS (SELECT leads.base AS owner, 0 AS seq, TRUE AS base, FALSE AS prio, {each("FALSE AS f#")}, leads.base AS mid FROM leads
+  UNION ALL SELECT kept_id, seq, FALSE, prio, f1, f2, f3, row_id FROM f WHERE role = 'merged' AND kept_id IN (SELECT base FROM leads)),
+merged AS (SELECT owner AS id, any_value(person) AS person,
+    coalesce(arg_max(room, seq) FILTER (prio AND room IS NOT NULL), arg_min(room, seq) FILTER (room IS NOT NULL)) AS room,
+    {", ".join(last(c, "prio") for c in ("barcode", "vp", "rp"))}, {", ".join(last(f"u{i}", f"NOT base AND u{i} > 0") for i in _UNITS)},
+    {", ".join(last(f"s{i}", f"f{i}") for i in _UNITS)} FROM m JOIN e ON e.id = m.mid GROUP BY owner)
+""" + (counted if counters else f"""
+SELECT {columns.replace("id,", "merged.id,", 1)}, report AS complementary_merge_report FROM merged JOIN leads ON leads.base = merged.id
+UNION ALL SELECT {columns}, own FROM e JOIN (SELECT row_id, own FROM f WHERE role = 'kept') ON row_id = id
+UNION ALL SELECT {columns}, CASE WHEN n > 1 OR cluster IS NULL THEN ' Missing sort key.' END FROM g WHERE cluster IS NULL OR n = 1 OR first_id IS NULL""")
+
+
+@query("complementary_merge", _folded_sql(False))
 def complementary_merge(t: Tables):
     return rounded(complementary.complementary_merge(_partial_records(t), _RULES).flat)
 
 
-@query("complementary_merge_forced")
+@query("complementary_merge_forced", _folded_sql(True))
 def complementary_merge_forced(t: Tables):
     return rounded(complementary.complementary_merge(_partial_records(t), _RULES, force_one=True).flat)
 
 
+@query("complementary_merge_counters", _folded_sql(True, counters=True))
+def complementary_merge_counters(t: Tables):
+    return rounded(complementary.complementary_merge(_partial_records(t), _RULES, force_one=True).counters)
+
+
 @query("complementary_merge_pairs", """
 WITH e AS (SELECT event_id AS id, 'u' || user_id || event_type AS person, value AS v, event_type AS kind,
     row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events)
