@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 
 from ..functions.numbers import to_number
 from .predicates import field_type, sheet_rows, text_of
+from .skew import carried_forward, next_value
 
 REQUIRED_COLUMNS = ("start", "end", "type", "min", "max", "nominal_values", "std_code", "variable_name",
                     "description", "comments", "counts_needed")
@@ -38,13 +39,10 @@ def check_layout(layout: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
         F.col("import_order").cast("bigint").alias("import_order"), name.alias("variable_name"),
         text["start"].alias("start_text"), start.alias("start"), end.alias("end"), text["type"].alias("type"),
         text["nominal_values"].alias("nominal"), text["comments"].alias("comments"), text["std_code"].alias("code"))
-    # A layout is a hand-written table, so its ordered windows are tiny.
-    order = W.partitionBy(F.lit(1)).orderBy("import_order")
     named = F.col("variable_name") != ""
-    rows = rows.withColumns({
-        "_dups": F.when(named, F.count("*").over(W.partitionBy("variable_name"))),
-        "_vartype": F.lower(F.last(F.nullif("type", F.lit("")), ignorenulls=True).over(order)),
-    })
+    rows = rows.withColumn("_own", F.nullif("type", F.lit("")))
+    rows = carried_forward(rows, "_own", ["import_order"], "_vartype").withColumns({
+        "_dups": F.when(named, F.count("*").over(W.partitionBy("variable_name"))), "_vartype": F.lower("_vartype")})
     has_start = F.col("start").isNotNull()
     numeric = (F.col("_vartype").isin("integer", "real") | F.col("_vartype").startswith("id")) & (F.col("type") == "")
     bad_code = ~F.col("code").rlike(r"^(-?\d+(\.\d*)?|\.[A-Z]?)$") & (F.col("code") != "")
@@ -66,7 +64,7 @@ def check_layout(layout: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
         F.when(F.coalesce(t, F.lit(False)), F.struct(F.lit(r).alias("rule"), d.alias("detail"))) for r, t, d in tests])
     single = rows.select("import_order", "variable_name", F.inline(F.filter(found, lambda x: x.isNotNull())))
     fields = rows.where(named)
-    overlap = fields.withColumn("_next", F.lead("start").over(order)).where(F.col("end") > F.col("_next")).select(
+    overlap = next_value(fields, "start", ["import_order"], "_next").where(F.col("end") > F.col("_next")).select(
         "import_order", "variable_name", F.lit("overlaps next").alias("rule"),
         F.concat(F.col("end").cast("int").cast("string"), F.lit(" > "), F.col("_next").cast("int").cast("string")).alias("detail"))
     return single.unionByName(overlap).select("rule", "import_order", "variable_name", "detail")

@@ -99,3 +99,25 @@ def number_rows(df: DataFrame, groups: Sequence[str], order: Sequence, name: str
     joined = _add_range_cells(laid, cells, groups)
     number = F.col("_before") + F.col("_at") - F.col("_first") + 1
     return joined.select(*df.columns, number.alias(name))
+
+
+def carried_forward(df: DataFrame, value: str, order: Sequence, name: str) -> DataFrame:
+    """The last value present up to each row of a total order over all rows.
+
+    Rows stay in ranges of the order; a range that begins without a value
+    takes the last one of the ranges before.
+    """
+    laid = _in_ranges(df, [], order)
+    cells = laid.groupBy("_range").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_at"))).alias("_last"))
+    before = W.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)).drop("_last")
+    joined = _add_range_cells(laid, cells, [])
+    within = F.last(value, ignorenulls=True).over(W.partitionBy("_range").orderBy("_at").rowsBetween(W.unboundedPreceding, 0))
+    return joined.withColumn(name, F.coalesce(within, F.col("_carry"))).select(*df.columns, name)
+
+
+def next_value(df: DataFrame, value: str, order: Sequence, name: str) -> DataFrame:
+    """The value of the following row in a total order over all rows, by a join on row numbers."""
+    numbered = number_rows(df, [], order, "_n")
+    following = numbered.select((F.col("_n") - 1).alias("_n"), F.col(value).alias(name))
+    return numbered.join(following, "_n", "left").select(*df.columns, name)

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from .predicates import equals_value, field_type, sheet_rows, spec_predicate, split_conditions, text_of
 from .quantiles import GROUP_ROWS_LIMIT, exact_group_quantiles, has_large_group, quantile_name
+from .skew import running_sum
 
 DEFAULT_ROUNDING = 12
 MAX_NAME_LENGTH = 128
@@ -258,14 +259,17 @@ def frequency_distribution(df: DataFrame, value: str, groups: Sequence[str] = ()
     """
     groups = list(groups)
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("freq"))
-    part = W.partitionBy(*(groups or [F.lit(1)]))
-    upto = part.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
-    total = F.sum("freq").over(part)
+    if groups:
+        part = W.partitionBy(*groups)
+        upto = part.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+        counts = counts.withColumns({"_total": F.sum("freq").over(part), "cum_freq": F.sum("freq").over(upto)})
+    else:  # levels may be many: ranges of them are summed, never all in one task
+        total = counts.agg(F.sum("freq").alias("_total")).withColumn("_one", F.lit(1))
+        counts = running_sum(counts, "freq", [], [value], "cum_freq").withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
     return counts.select(
         *groups, value, "freq",
-        (F.col("freq") / total * 100).alias("percent_freq"),
-        F.sum("freq").over(upto).alias("cum_freq"),
-        (F.sum("freq").over(upto) / total * 100).alias("cum_percent_freq"),
+        (F.col("freq") / F.col("_total") * 100).alias("percent_freq"), "cum_freq",
+        (F.col("cum_freq") / F.col("_total") * 100).alias("cum_percent_freq"),
     )
 
 

@@ -103,6 +103,15 @@ def frequency_distribution(t: Tables):
     return rounded(stats.frequency_distribution(t.orders, "o_orderpriority", ["o_orderstatus"]))
 
 
+@query("frequency_distribution_all", """
+WITH c AS (SELECT o_totalprice, count(*) AS freq FROM orders GROUP BY ALL)
+SELECT o_totalprice, freq, round(freq * 100.0 / sum(freq) OVER (), 6) AS percent_freq, cast(sum(freq) OVER (ORDER BY o_totalprice) AS BIGINT) AS cum_freq,
+  round(sum(freq) OVER (ORDER BY o_totalprice) * 100.0 / sum(freq) OVER (), 6) AS cum_percent_freq FROM c""")
+def frequency_distribution_all(t: Tables):
+    """Without groups, and with many levels."""
+    return rounded(stats.frequency_distribution(t.orders, "o_totalprice"))
+
+
 _CELLS = """
 WITH u AS (SELECT 0 AS s, o_orderstatus b, o_orderpriority v FROM orders WHERE o_orderkey % 2 = 0
   UNION ALL SELECT 1, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 2 <> 0),
