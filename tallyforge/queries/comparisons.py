@@ -106,7 +106,41 @@ def erasure_counts(t: Tables):
     return rounded(_erasure_counts(t))
 
 
-@query("erasure_analysis", _ERASURES + " SELECT sheet, erased, w_r FROM c WHERE erased > 4 AND w_r >= itemcount * 0.5")
+# Sheets: one per order, in two vertical parts; wide items, blank where an order has no such line.
+_SHEET = {
+    "lithocode": "o_orderkey", "studentid": "o_custkey", "ssid": "concat('SS', cast(o_custkey AS STRING))", "grade": "'10'",
+    "dcrxid_attend": "lpad(cast(o_custkey % 25 AS STRING), 6, '0')", "dcrxnm_attend": "concat('district ', cast(o_custkey % 25 AS STRING))",
+    "bcrxid_attend": "lpad(cast(o_custkey % 120 AS STRING), 6, '0')", "bcrxnm_attend": "concat('school ', cast(o_custkey % 120 AS STRING))",
+    "schtype_attend": "CASE WHEN o_orderkey % 11 = 0 THEN 'H' ELSE 'P' END",
+    "upmxraw": "CASE WHEN o_orderkey % 13 = 0 THEN 'A' WHEN o_orderkey % 17 = 0 THEN 'I' ELSE '20' END",
+    "upmxlev": "cast(o_orderkey % 6 AS STRING)",
+}
+_MEASURES = {"raw_intensity": "raw_intensity", "second_inten": "second_inten", "raw_editor": "raw_editor", "second_dark": "second_dark",
+             "raw_item": "answer", "score_item": "score"}
+_SHEET_SQL = "SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _SHEET.items()) + ", CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS form FROM orders"
+
+
+@query("erasure_analysis", f"""
+WITH i AS (SELECT flat_table_id, id, {', '.join(f'max({c}) AS {c}' for c in _MEASURES.values())} FROM ({ITEMS_SQL}) GROUP BY ALL), b AS ({BOOKMAP_SQL}), s AS ({_SHEET_SQL}),
+x AS (SELECT lithocode AS sheet, coalesce({_DECODE.format('raw_intensity')}, 0) AS r, coalesce({_DECODE.format('second_inten')}, 0) AS s2,
+    coalesce(raw_editor = '1', FALSE) AS ed, coalesce(second_dark::DOUBLE, 0) AS dark, coalesce(try_cast(answer AS DOUBLE), 0) AS ans,
+    coalesce(try_cast(score AS DOUBLE), 0) AS sc, "numeric key"::DOUBLE AS k
+  FROM s JOIN b ON b.form_values = s.form AND b."item format" = 'MC' LEFT JOIN i ON i.flat_table_id = s.lithocode AND i.id = b."item position"
+  WHERE schtype_attend <> 'H'),
+y AS (SELECT *, (r > 10 AND s2 > 10) AS m1, (r >= 5 AND r - s2 < 3) AS m2 FROM x),
+z AS (SELECT *, (r >= 5 AND s2 >= 3 AND NOT m1 AND NOT m2)::INT + (m1 AND ed)::INT + (m2 AND ed)::INT AS times FROM y),
+c AS (SELECT sheet, sum(times)::BIGINT AS erased, sum(CASE WHEN dark <> k AND ans = k THEN times ELSE 0 END)::BIGINT AS w_r,
+  sum(CASE WHEN dark <> k AND ans <> k THEN times ELSE 0 END)::BIGINT AS w_w, sum(CASE WHEN dark = k AND ans <> k THEN times ELSE 0 END)::BIGINT AS r_w,
+  sum(sc) AS raw, count(*) AS itemcount FROM z GROUP BY sheet)
+SELECT lithocode, studentid, ssid, grade, dcrxid_attend, dcrxnm_attend, bcrxid_attend, bcrxnm_attend,
+  CASE upmxlev WHEN '1' THEN 'L' WHEN '2' THEN 'B' WHEN '3' THEN 'P' WHEN '4' THEN 'A' WHEN '5' THEN 'AD' ELSE '' END AS pass_fail, 'm' AS subject, raw, erased, w_r, w_w, r_w
+FROM s JOIN c ON s.lithocode = c.sheet WHERE upmxraw NOT IN ('A', 'I') AND erased > 4 AND w_r >= itemcount * 0.5""")
 def erasure_analysis(t: Tables):
-    # the writing limits, because an order has few line numbers
-    return rounded(erasure.flag_erasures(_erasure_counts(t), writing_subjects=("m",)).select("sheet", "erased", "w_r"))
+    """The whole analysis of one subject; the writing limits, because an order has few line numbers."""
+    wide = t.derived("lineitem", ITEMS).groupBy(F.col("flat_table_id").alias("lithocode")).agg(*[
+        F.max(F.when(F.col("id") == i, F.col(c))).alias(f"upmx_{m}_{i}") for m, c in _MEASURES.items() for i in range(1, 8)])
+    sheets = t.derived("orders", _SHEET).withColumn("form_m", F.when(F.col("lithocode") % 2 == 0, "A").otherwise("B"))
+    part1 = sheets.drop("upmxlev", "form_m")
+    part2 = sheets.select("lithocode", "upmxlev", "form_m", "grade").join(wide, "lithocode", "left")
+    out = erasure.erasure_analysis(part1, part2, bookmap(t), ["m", "q"], writing_subjects=("m",))
+    return rounded(out)
