@@ -89,10 +89,11 @@ def time_of(share: Column, tilt: Column) -> Column:
 def _assigned(docs: DataFrame, size: Column, source: Column, order_by: list[Column], weights, tilts, max_repeat) -> DataFrame:
     """``docs`` with _size, _source_size, _target, _taken, _before, _tilt and _position."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.xxhash64(*order_by)
-    bucket = F.floor((F.shiftrightunsigned(order, 33) * F.lit(buckets)) / F.lit(float(1 << 31))).cast("int")
+    # 60 bits of a hash of the id; buckets are equal ranges of it.
+    order = F.conv(F.substring(F.md5(F.coalesce(order_by[0].cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+    bucket = F.floor(order * F.lit(buckets / (1 << 60))).cast("int")
     key = F.coalesce(F.concat(F.lit("="), source), F.lit(""))  # never null, so join and window share one shuffle
-    rows = docs.withColumns({"_size": size, "_source": key, "_bucket": bucket, "_order": F.shiftrightunsigned(order, 1)})
+    rows = docs.withColumns({"_size": size, "_source": key, "_bucket": bucket, "_order": order})
     # Few rows: sources times buckets.
     parts = checkpointed(rows.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_words")))
     before = F.sum("_words").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +43,28 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(text_of(base), 256).alias("base_sha256"), text_of(F.col("spans")).alias("spans"))
 
 
-@query("op2_mixture")
+@query("op2_mixture", r"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                      ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS o FROM documents),
+         t AS (SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM d GROUP BY source),
+         c AS (SELECT *, 3.0::DOUBLE * s AS cap, (1 + nth % 3)::DOUBLE AS w, [0.5, 0.0, -0.5][nth % 3 + 1]::DOUBLE AS tilt,
+                      sum(s) OVER ()::DOUBLE AS total FROM t),
+         l AS (SELECT *, (total - coalesce(sum(cap) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+               FROM c WINDOW before AS (ORDER BY cap / w, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+         k AS (SELECT arg_min(level, (cap / w, nth)) AS level FROM l WHERE level <= cap / w),
+         g AS (SELECT source, s, tilt, least(cap, coalesce(k.level * w, cap)) AS target FROM l, k),
+         r AS (SELECT doc_id, size, s, tilt, target, round(target)::BIGINT AS budget,
+                      sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id)::BIGINT - size AS b
+               FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+         x AS (SELECT *, (CASE WHEN s > 0 THEN size * (budget // s) + least(greatest(budget % s - b, 0), size) ELSE 0 END)::BIGINT AS taken FROM r),
+         y AS (SELECT *, least((b + least(taken, size) / 2) / target, 1) AS share FROM x)
+    SELECT doc_id, size, s AS source_size, round(target, 6) AS target, taken,
+           round(CASE WHEN taken > 0 THEN CASE WHEN tilt = 0 THEN share
+               ELSE (tilt + 1 - sqrt((tilt + 1) * (tilt + 1) - 4 * tilt * share)) / (2 * tilt) END END, 6) AS position
+    FROM y""")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    return mixture.mix_plan(table(spark, folder, "documents"))
+    return mixture.mix_plan(table(spark, folder, "documents")).withColumns(
+        {"target": F.round("target", 6), "position": F.round("position", 6)})
 
 
 @query("op3_quality")
@@ -57,7 +77,34 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.line_report(table(spark, folder, "documents"))
 
 
-@query("op5_license")
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_LICENSE_SQL = r"""
+    WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+         w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
+         p(label, words) AS (VALUES {phrases}),
+         tpl(label, words, need) AS (VALUES {templates}),
+         placed AS (
+             SELECT doc_id, label, i - 1 AS start FROM w, p, range(1, len(ws) - len(words) + 2) AS r(i)
+             WHERE list_contains(ws, words[1]) AND ws[i:i + len(words) - 1] = words),
+         base AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+                         list(DISTINCT label) AS labels FROM placed GROUP BY doc_id),
+         blocks AS (SELECT doc_id, unnest(string_split(regexp_replace(t, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10))) AS b FROM w),
+         sets AS (SELECT doc_id, list_distinct(regexp_extract_all(b, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS bs FROM blocks WHERE b <> ''),
+         shared AS (SELECT doc_id, label, len(list_intersect(bs, words)) AS n, len(words) AS size, need FROM sets, tpl),
+         own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(n / size) AS score FROM shared WHERE n >= need GROUP BY doc_id)
+    SELECT w.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ','), '') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(own.score, 0.0) END::DOUBLE AS score
+    FROM w LEFT JOIN base ON base.doc_id = w.doc_id LEFT JOIN own ON own.doc_id = w.doc_id""".replace("{phrases}", ", ".join(f"('{label}', {_sql_list(phrase.split())})" for phrase, label in license.PHRASES.items())).replace(
+    "{templates}", ", ".join(f"('{label}', {_sql_list(w)}, {math.ceil(license.THRESHOLD * len(w) - 1e-9)})"
+                             for label, w in ((label, license.template_words(t)) for label, t in license.TEMPLATES.items())))
+
+
+@query("op5_license", _LICENSE_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = license.scan_licenses(table(spark, folder, "documents"))
     starts = F.transform("places", lambda p: p["start"])
@@ -84,7 +131,18 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
-@query("op8_near_dedup")
+@query("op8_near_dedup", r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+         s AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 3 THEN w ELSE w[i:i + 2] END, ' ') AS g
+               FROM d, range(1, greatest(len(w) - 1, 2)) AS r(i) WHERE len(w) > 0),
+         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+         pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+         links AS MATERIALIZED (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+         reach(doc_id, other) AS (SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+         c AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.other, d.doc_id)) AS component_id,
+           d.doc_id = least(d.doc_id, coalesce(c.other, d.doc_id)) AS kept
+    FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id""")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.mark_near(table(spark, folder, "documents"))
 
