@@ -15,10 +15,12 @@ from ..functions.numbers import to_number
 from .predicates import field_type, sheet_rows, text_of
 from .skew import carried_forward, next_value
 
+# Columns and types of a layout sheet, the longest name, and the form of a numeric code.
 REQUIRED_COLUMNS = ("start", "end", "type", "min", "max", "nominal_values", "std_code", "variable_name",
                     "description", "comments", "counts_needed")
 LAYOUT_TYPES = r"(?i)^(INTEGER|STRING|REAL|NOMINAL|NOMINAL_N|ID[0-9]|NOMINAL_ID[0-9])$"
 MAX_NAME = 28
+NUMERIC_CODE = r"^(-?\d+(\.\d*)?|\.[A-Z]?)$"
 
 
 def check_layout(layout: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -45,7 +47,7 @@ def check_layout(layout: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
         "_dups": F.when(named, F.count("*").over(W.partitionBy("variable_name"))), "_vartype": F.lower("_vartype")})
     has_start = F.col("start").isNotNull()
     numeric = (F.col("_vartype").isin("integer", "real") | F.col("_vartype").startswith("id")) & (F.col("type") == "")
-    bad_code = ~F.col("code").rlike(r"^(-?\d+(\.\d*)?|\.[A-Z]?)$") & (F.col("code") != "")
+    bad_code = ~F.col("code").rlike(NUMERIC_CODE) & (F.col("code") != "")
     tests = [
         ("blank row", (F.col("start_text") == "") & (F.col("nominal") == "") & (F.col("comments") == ""), F.lit("")),
         ("name has a space", named & F.col("variable_name").contains(" "), F.col("variable_name")),

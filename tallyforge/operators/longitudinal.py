@@ -81,6 +81,10 @@ def longitudinal_compare(time0: DataFrame, time1: DataFrame, sheet) -> DataFrame
         kind = text_of(row["tolerancetype"]).lower()
         if kind not in ("absolute", "stat"):
             raise ValueError(f"line {number}: unknown tolerance type {kind!r}")
+        if text_of(row["treatas"]).lower() not in ("", "nominal"):
+            raise ValueError(f"line {number}: cannot treat a variable as {text_of(row['treatas'])!r}")
+        if text_of(row["matchalgorithm"]).lower() != "proportion":
+            raise ValueError(f"line {number}: unknown match algorithm {text_of(row['matchalgorithm'])!r}")
         by = text_of(row["by"]).lower()
         reports.append({
             "number": number, "by": None if by == "(all)" else by, "name": text_of(row["variable"]).lower(),

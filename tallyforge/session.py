@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tallyforge-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)  # made here, so removed here
     context.setCheckpointDir(configured)
     return configured
 

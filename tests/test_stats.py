@@ -180,6 +180,15 @@ def test_longitudinal_blank_levels_and_order(spark):
     assert c["diff"] == pytest.approx(-np.log(0.75**3 * 0.25 / 0.25))
 
 
+@pytest.mark.parametrize("change", [{"matchalgorithm": "mean"}, {"treatas": "interval"}, {"tolerancetype": "x"}])
+def test_unknown_words_of_a_comparison_sheet(spark, change):
+    df = spark.createDataFrame([("1",)], "level string")
+    row = {"variable": "level", "by": "(all)", "treatas": "nominal", "matchalgorithm": "proportion", "tolerance": 0,
+           "tolerancetype": "absolute", "missing_counted": "yes", "max_bad": 9, **change}
+    with pytest.raises(ValueError, match="line 1"):
+        longitudinal_compare(df, df, [row])
+
+
 def test_cuts_numbers_and_frequencies(spark, rows):
     df = spark.createDataFrame([("a", 2, "s"), ("a", 1, "t"), ("b", 1, None)], "k string, o int, v string")
     assert rows(distinct_cut(df, ["k"], ["v"], ["o"])) == [("a", "t"), ("b", None)]
