@@ -122,7 +122,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np
 
 # ------------------------------------------------------------------ sketches
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.binary()),
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("set_key", pa.binary()),
                      ("bands", pa.list_(pa.int64()))])
 
 
@@ -136,7 +136,7 @@ def _sketch(width: int):
                 out["doc_id"].append(doc_id)
                 out["text_hash"].append(text_hash)
                 out["n"].append(len(hashes))
-                out["node"].append(xxhash.xxh3_128_digest(hashes.tobytes()) if some else None)
+                out["set_key"].append(xxhash.xxh3_128_digest(hashes.tobytes()) if some else None)
                 out["bands"].append(registers(hashes).view(np.int64) if some else [])
             yield record_batch(_SKETCH, out)
 
@@ -149,13 +149,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def sketches(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, n (set size), node (key of the set, null if empty) and bands (packed registers)."""
+    """doc_id, text_hash, n (set size), set_key (128-bit hash of the set, null if empty) and bands (packed registers)."""
     bounded_batches(docs.sparkSession)
     return _keyed(docs, id_col, text_col).mapInArrow(
-        _sketch(width), "doc_id long, text_hash long, n long, node binary, bands array<long>")
+        _sketch(width), "doc_id long, text_hash long, n long, set_key binary, bands array<long>")
 
 
-_SET = pa.schema([("node", pa.binary()), ("hashes", pa.list_(pa.int64()))])
+_SET = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
 
 def _sets(width: int):
@@ -173,9 +173,6 @@ def _checked_broadcast(frame: DataFrame, row_bytes: int) -> DataFrame:
 
 # ---------------------------------------------------------------- candidates
 
-_PAIR = "pivot binary, node binary, n_pivot long, n long, inter long, delta array<long>"
-
-
 def _estimated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in frames:
         if len(rows):
@@ -189,7 +186,7 @@ def _with_estimates(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs a, b with n_a, n_b and the estimated similarity."""
     side = {s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bands").alias(f"bands_{s}")) for s in "ab"}
     return pairs.select("a", "b").join(side["b"], "b").join(side["a"], "a").mapInPandas(
-        _estimated, "a binary, b binary, n_a long, n_b long, estimate double")
+        _estimated, "a long, b long, n_a long, n_b long, estimate double")
 
 
 def _verified(with_delta: bool):
@@ -214,7 +211,7 @@ def _verified(with_delta: bool):
 def _verify(pairs: DataFrame, sets: DataFrame, with_delta: bool) -> DataFrame:
     """Exact intersections of pairs a, b (with n_a, n_b) on full sets."""
     side = {s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab"}
-    schema = "a binary, b binary, n_a long, n_b long, inter long" + ", delta array<long>" * with_delta
+    schema = "a long, b long, n_a long, n_b long, inter long" + ", delta array<long>" * with_delta
     return pairs.select("a", "b", "n_a", "n_b").join(side["b"], "b").join(side["a"], "a").mapInPandas(_verified(with_delta), schema)
 
 
@@ -233,22 +230,24 @@ def _delta_pairs(members: DataFrame, above: int) -> DataFrame:
     Two members that differ little enough must share part of their deltas.  At
     least one member of a pair is open (not linked to the group's pivot).
     """
-    tokens = members.select("grp", "node", "n", "open", F.size("delta").alias("d"), F.explode("delta").alias("tok"))
-    shared = tokens.groupBy("grp", "tok").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("grp", "node").orderBy("df", "tok")
-    # 'left': elements of the delta from this one on, rarest first.
-    ranked = tokens.join(shared, ["grp", "tok"]).withColumn("left", F.col("d") - F.row_number().over(order) + 1)
     most = F.col("n") + F.floor(F.col("n") * 100 / above)
-    prefix = checkpointed(ranked.where((F.col("df") > 1) & (F.col("left") >= F.greatest(F.lit(1), F.col("d") - _slack(most, above)))))
-    x = prefix.where("open").select("grp", "tok", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "d", "left")])
-    y = prefix.select("grp", "tok", "open", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "d", "left")])
+    members = checkpointed(members.select(
+        F.monotonically_increasing_id().alias("member"), "grp", "node", "n", "open", F.size("delta").alias("d"), "delta"))
+    least = F.greatest(F.lit(1), F.col("d") - _slack(most, above)).cast("int")
+    tokens = members.select("member", least.alias("least"), F.explode("delta").alias("tok"), "grp").select(
+        "member", "least", F.xxhash64("grp", "tok").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # 'left': shared elements of the member from this one on, rarest first; elements of its own come before them all.
+    order = Window.partitionBy("member").orderBy(F.desc("df"), "token")
+    prefix = tokens.join(shared, "token").withColumn("left", F.row_number().over(order)).where("left >= least").select("member", "token", "left")
+    prefix = checkpointed(prefix.join(members.select("member", "node", "n", "d", "open"), "member"))
+    x = prefix.where("open").select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "d", "left")])
+    y = prefix.select("token", "open", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "d", "left")])
     need = F.greatest(F.lit(1), F.ceil((F.col("d_a") + F.col("d_b") - _slack(F.col("n_a") + F.col("n_b"), above)) / 2))
-    fits = (F.least("left_a", "left_b") >= need) & (
-        F.least("n_a", "n_b") * 100 >= F.lit(above) * F.greatest("n_a", "n_b"))
+    fits = (F.least("left_a", "left_b") >= need) & (F.least("n_a", "n_b") * 100 >= F.lit(above) * F.greatest("n_a", "n_b"))
     # Of two open members the pair is made once.
     once = F.when(F.col("open"), F.col("node_a") < F.col("node_b")).otherwise(F.col("node_a") != F.col("node_b"))
-    return x.join(y, ["grp", "tok"]).where(once & fits).select(
-        F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b").distinct()
+    return x.join(y, "token").where(once & fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b").distinct()
 
 
 def find_links(docs: DataFrame, nodes: DataFrame, width: int, above: int, id_col: str, text_col: str) -> DataFrame:
@@ -258,17 +257,18 @@ def find_links(docs: DataFrame, nodes: DataFrame, width: int, above: int, id_col
     sizes = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = checkpointed(bands.join(sizes, "bucket"))
     company = members.groupBy("node").agg(F.sum("size").alias("company"))
-    pivots = members.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("best")).select(
-        "bucket", F.col("best.node").alias("a"))
-    starred = members.join(pivots, "bucket").where("node != a").select("bucket", "a", F.col("node").alias("b"), "size")
-    near_or_far = checkpointed(_with_estimates(starred.select("a", "b").distinct(), nodes))
+    # Stored, so that the join below has two plain exchanges and a hot bucket can be split.
+    pivots = checkpointed(members.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("best")).select(
+        "bucket", F.col("best.node").alias("a")))
+    starred = members.join(pivots, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    near_or_far = checkpointed(_with_estimates(starred, nodes))
 
     # Full sets of the nodes that have company; the texts come from one row of each.
     wanted = checkpointed(nodes.join(company, "node", "left_semi").select("node", "doc_id", "text_hash"))
     rows = _keyed(docs, id_col, text_col)
     small = _checked_broadcast(wanted.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash"), 64)
     found = rows.join(small, (rows["text_hash"] == F.col("_hash")) & rows["doc_id"].eqNullSafe(F.col("_id"))).select("node", "text")
-    sets = checkpointed(found.mapInArrow(_sets(width), "node binary, hashes array<long>").dropDuplicates(["node"]))
+    sets = checkpointed(found.mapInArrow(_sets(width), "node long, hashes array<long>").dropDuplicates(["node"]))
 
     near = checkpointed(_verify(near_or_far.where(F.col("estimate") >= NEAR), sets, with_delta=True))
     direct = near.where(_linked(above)).select("a", "b")
@@ -276,15 +276,13 @@ def find_links(docs: DataFrame, nodes: DataFrame, width: int, above: int, id_col
     groups = near.groupBy(F.col("a").alias("grp")).agg(F.count(F.lit(1)).alias("all"), F.count_if(~_linked(above)).alias("open"))
     around_pivots = near.withColumn("grp", F.col("a")).join(groups.where("all > 1 AND open > 0").select("grp"), "grp").select(
         "grp", F.col("b").alias("node"), F.col("n_b").alias("n"), (~_linked(above)).alias("open"), "delta")
-    # Buckets with members far from their pivot: those members and all that might be linked to them.
-    far = starred.join(near_or_far.where(F.col("estimate") < NEAR).select("a", "b", F.col("n_b").alias("n")), ["a", "b"]).select(
-        F.unhex(F.hex("bucket")).alias("grp"), F.col("b").alias("node"), "n", F.lit(True).alias("open"))
-    # Linked sets are at most 1 - above / 100 nearer or farther.
+    # Members far from their pivot, with all members of the pivot's buckets that might be linked to them;
+    # linked sets are at most 1 - above / 100 nearer or farther.
+    member = [(-1 - F.col("a")).alias("grp"), F.col("b").alias("node"), F.col("n_b").alias("n")]
+    far = near_or_far.where(F.col("estimate") < NEAR).select(*member, F.lit(True).alias("open"))
     middle = near.where(F.col("inter") < F.lit(HIDDEN + 1 - above / 100 + 0.05) * (F.col("n_a") + F.col("n_b") - F.col("inter")))
-    beside = starred.join(middle.select("a", "b", F.col("n_b").alias("n")), ["a", "b"]).select(
-        F.unhex(F.hex("bucket")).alias("grp"), F.col("b").alias("node"), "n", F.lit(False).alias("open"))
-    apart = far.unionByName(beside.join(far.select("grp").distinct(), "grp", "left_semi"))
-    apart = apart.join(sets.withColumnRenamed("hashes", "delta"), "node").select("grp", "node", "n", "open", "delta")
+    beside = middle.select(*member, F.lit(False).alias("open")).join(far.select("grp").distinct(), "grp", "left_semi")
+    apart = far.unionByName(beside).join(sets.withColumnRenamed("hashes", "delta"), "node").select("grp", "node", "n", "open", "delta")
 
     more = checkpointed(_delta_pairs(around_pivots.unionByName(apart), above))
     # The estimate's last word before verification, six deviations below the threshold.
@@ -309,27 +307,30 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, width: int = 3, above: int = ABOVE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Checkpointed rows with their group: doc_id, text_hash, n, node, first_id, first_hash.
+    """Rows with their group: doc_id, text_hash, n, set_key, first_id, first_hash.
 
     ``first_id`` and ``first_hash`` name the group's row with the smallest id.
     """
     rows = checkpointed(sketches(docs, width, id_col, text_col))
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash")))
     any_row = F.min(F.struct("doc_id", "text_hash"))
-    nodes = checkpointed(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.max("n").alias("n"), F.first("bands").alias("bands"), F.coalesce(first, any_row).alias("one")).select(
-        "node", "n", "bands", F.col("one.doc_id").alias("doc_id"), F.col("one.text_hash").alias("text_hash")))
+    nodes = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
+        F.max("n").alias("n"), F.first("bands").alias("bands"), F.coalesce(first, any_row).alias("one"))
+    # Numbers are stable from the checkpoint on, and lighter than 128-bit keys in every later join.
+    nodes = checkpointed(nodes.select(
+        F.monotonically_increasing_id().alias("node"), "set_key", "n", "bands", F.col("one.doc_id").alias("doc_id"),
+        F.col("one.text_hash").alias("text_hash")))
     labels = connected(find_links(docs, nodes, width, above, id_col, text_col))
     grouped = nodes.join(labels, "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("one"))
-    firsts = grouped.groupBy("label").agg(F.min("one").alias("first"))
-    by_node = grouped.join(firsts, "label").select("node", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
-    return rows.select("doc_id", "text_hash", "n", "node").join(by_node, "node", "left")
+        "set_key", F.coalesce("label", "node").alias("label"), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("one"))
+    firsts = checkpointed(grouped.groupBy("label").agg(F.min("one").alias("first")))
+    by_node = grouped.join(firsts, "label").select("set_key", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    return rows.select("doc_id", "text_hash", "n", "set_key").join(by_node, "set_key", "left")
 
 
 def mark_near(docs: DataFrame, width: int = 3, above: int = ABOVE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first_id"))
+    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("first_id"))
     return near_groups(docs, width, above, id_col, text_col).select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -337,8 +338,8 @@ def mark_near(docs: DataFrame, width: int = 3, above: int = ABOVE, id_col: str =
 def drop_near(docs: DataFrame, width: int = 3, above: int = ABOVE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without near copies: all columns, one row of each group and every row without words."""
     marked = near_groups(docs, width, above, id_col, text_col)
-    stay = marked.where(F.col("node").isNull() | (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))))
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("node").isNull().alias("_empty")).distinct()
+    stay = marked.where(F.col("set_key").isNull() | (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))))
+    stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("set_key").isNull().alias("_empty")).distinct()
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     key, text = F.col(names[id_col]).cast("long"), whole_text(names[text_col])
