@@ -291,8 +291,17 @@ def find_links(docs: DataFrame, nodes: DataFrame, width: int, above: int, id_col
     return direct.unionByName(rest)
 
 
+def thinned(links: DataFrame) -> DataFrame:
+    """Fewer links a, b with the same components: b keeps its first partner, which stands for b towards the others."""
+    first = F.min("a").over(Window.partitionBy("b"))
+    chosen = links.withColumn("first", first)
+    return chosen.select(F.col("first").alias("a"), "b").unionByName(
+        chosen.where("a != first").select(F.col("first").alias("a"), F.col("a").alias("b"))).distinct()
+
+
 def connected(links: DataFrame) -> DataFrame:
     """Components of links a, b: node and label (the smallest node of its component)."""
+    links = checkpointed(thinned(links))
     edges = checkpointed(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
         "node", F.least("node", "m").alias("label")))
