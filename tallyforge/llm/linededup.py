@@ -147,8 +147,9 @@ def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     owner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     # One entry per line and map task reaches the shuffle, however common the line is.
     firsts = lines.groupBy("line").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).where("first != last").select("line", "first")
+    firsts = checkpointed(firsts)  # so that the joins on lines have two plain exchanges and a hot line can be split
     shared = checkpointed(lines.join(firsts, "line").withColumn("own", owner == F.col("first")))
-    held = shared.where("own").groupBy("line").agg(F.collect_list("pos").alias("held_at"))
+    held = checkpointed(shared.where("own").groupBy("line").agg(F.collect_list("pos").alias("held_at")))
     pairs = shared.where("NOT own").join(held, "line").groupBy("doc_id", "key", "first").agg(
         F.collect_list(F.struct("pos", "words", "line", "held_at")).alias("shared"))
     aligned = pairs.select("doc_id", "key", "shared").mapInPandas(
