@@ -127,10 +127,11 @@ def mark_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                fan_in: int = 8) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     groups = merge_runs(docs, id_col, text_col, keep, fan_in).select(*KEY, "keep_id", F.col("rows").alias("group_size"))
-    rows = _keyed(docs, id_col, text_col).join(groups, KEY)
-    nth = F.row_number().over(Window.partitionBy("doc_id", *KEY).orderBy("group_size"))
+    # Repeated rows are numbered before the join: a window above it would keep a hot text's rows in one task.
+    nth = F.row_number().over(Window.partitionBy("doc_id", *KEY).orderBy(F.lit(0)))
+    rows = _keyed(docs, id_col, text_col).withColumn("nth", nth).join(groups, KEY)
     return rows.select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (nth == 1)).alias("kept"),
+        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
