@@ -6,7 +6,7 @@ context list within ``WINDOW`` characters before or after a span raise its
 confidence; words that deny it lower it.  The base kinds (email, ip, card,
 phone) are reported whenever their validator accepts.  The added kinds (iban,
 ssn, local phone numbers) are reported at ``THRESHOLD`` confidence or more:
-an IBAN by its mod-97 checksum, the others only near a context word.
+an IBAN by its mod-97 checksum at the length of its country, the others only near a context word.
 
 Whole texts are scanned in linear time: the email pattern is anchored at its
 ``@`` signs and the number patterns cannot restart inside a run of digits.
@@ -39,7 +39,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){1,30}")
+_ALNUM = re.compile(r"[A-Za-z0-9]")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+)(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\x20][0-9]{4}(?![0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -54,6 +56,12 @@ CONTEXT = {
 }
 DENIAL = {"ip": "version release section", "card": "order invoice serial tracking isbn", "phone": "serial version",
           "local_phone": "order invoice serial", "ssn": "order invoice serial part"}
+#: Lengths of the IBAN registry, by country code.
+IBAN_LENGTHS = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
 
 
 def _words(text: str) -> re.Pattern:
@@ -95,6 +103,33 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def _iban_end(text: str, start: int) -> int | None:
+    """End of the IBAN that starts here, of the token ends that its characters may have.
+
+    A country of the registry decides the length.  Else, and if that length
+    fails, the longest candidate counts; without a registered length the
+    shorter ones are tried after it.
+    """
+    rest = _IBAN_REST.match(text, start + 4)
+    lengths = {e: e - start - text.count(" ", start, e) for e in range(start + 5, rest.end() + 1)
+               if text[e - 1] != " " and not _ALNUM.match(text, e)}
+    ends = [e for e in sorted(lengths, reverse=True) if lengths[e] >= 15]
+    fixed = IBAN_LENGTHS.get(text[start:start + 2])
+    if fixed:
+        ends = [e for e in ends if lengths[e] == fixed] + ends[:1]
+    return next((e for e in ends if mod97(text[start:e])), None)
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Starts are tried one by one, so a failed one hides no other; an accepted IBAN is not searched again."""
+    m = _IBAN.search(text)
+    while m:
+        end = _iban_end(text, m.start())
+        if end:
+            yield m.start(), end
+        m = _IBAN.search(text, end or m.end())
+
+
 def _byte(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and int(part or "0") <= 255
@@ -120,9 +155,8 @@ def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
             yield "card", start, end
     for start, end, _ in _number(text, _PHONE, 9, 15):
         yield "phone", start, end
-    for m in _IBAN.finditer(text):
-        if mod97(m[0]):
-            yield "iban", m.start(), m.end()
+    for start, end in _ibans(text):
+        yield "iban", start, end
     for m in _LOCAL_PHONE.finditer(text):
         yield "local_phone", m.start(), m.end()
     for m in _SSN.finditer(text):

@@ -50,6 +50,21 @@ def test_context_decides_added_kinds():
     assert near[3] > far[3]
 
 
+def test_ibans_end_at_the_token_that_fits():
+    def ibans(text):
+        return [text[s:e] for k, s, e, _ in pii.find_spans(text) if k == "iban"]
+
+    gb, de = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"
+    assert ibans(f"{gb} BIC DEUTDEFF") == [gb] and ibans("DE89370400440532013000 USD 500") == ["DE89370400440532013000"]
+    assert ibans(f"{de} 2024-01-01") == [de] and ibans(f"{gb} {de} NO93 8601 1117 947 A") == [gb, de, "NO93 8601 1117 947"]
+    assert ibans(f"AB12 {gb} X") == [gb] and ibans(f"{gb}, {de}.") == [gb, de]  # a failed start hides no other
+    assert ibans("GB82 WEST 1234 5698 7654 33 BIC") == [] and ibans("GB82 WEST 1234 5698 7654 32x") == []
+    start = time.time()
+    for text in ("AB12 " * 80_000, "A" * 400_000, "GB82" * 100_000):
+        ibans(text)
+    assert time.time() - start < 20
+
+
 def test_very_long_texts_take_linear_time():
     start = time.time()
     for text in ("a" * 400_000 + " x@", "1" * 400_000, "1." * 200_000, "+1" + " " * 400_000, "a@" * 200_000):
