@@ -14,6 +14,13 @@ documents they were aligned with.  Blocks of ``MIN_BLOCK_WORDS`` words or more
 are deleted.  The first holder of a line always keeps it, so no content is
 lost.
 
+With ``passages=True`` (the query) what first holders cannot show is deleted
+too: every passage of two or more neighbouring lines and ``MIN_BLOCK_WORDS``
+words that stands in any earlier document, wherever and however often.  Such
+passages are the unions of their shortest windows, from each line on and back
+from each line; a window names its first holder by one hash, so no partner is
+left out and no pairs are made.
+
 Order of documents: by id (null last), then by a hash of the text.
 
 Defined cases: null text is the empty text, of one empty line; rows with equal
@@ -24,17 +31,19 @@ result; a document may lose all its lines and then has the empty text.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..session import checkpointed
-from .common import whole_text
+from .common import bounded_batches, columns_of, record_batch, whole_text
 
 MIN_LINE_WORDS = 3
 MIN_BLOCK_WORDS = 8
@@ -117,7 +126,7 @@ def _blocks(min_words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
             cut = []
-            for aligned in rows["aligned"]:
+            for aligned, held in zip(rows["aligned"], rows["held"]):
                 words = {r["pos"]: r["words"] for r in aligned}
                 gone: list[int] = []
                 block: list[int] = []
@@ -127,15 +136,86 @@ def _blocks(min_words: int):
                         block = []
                     block.append(p)
                 gone += block if block and sum(words[q] for q in block) >= min_words else []
-                cut.append(gone)
+                cut.append(sorted({*gone, *(p for r in held for p in range(r["start"], r["end"]))}) if len(held) else gone)
             rows["gone"] = cut
             yield rows.loc[[bool(c) for c in cut], ["doc_id", "key", "gone"]]
 
     return run
 
 
+def windows(words: list[int], least: int, min_line_words: int) -> set[tuple[int, int]]:
+    """First and last line of the shortest windows of two or more lines and ``least`` words, from and up to each line.
+
+    words: of each line.  Lines under ``min_line_words`` end a window.
+    """
+    out: set[tuple[int, int]] = set()
+    at: list[int] = []
+    for i, n in enumerate([*words, 0]):
+        if n >= min_line_words:
+            at.append(i)
+            continue
+        out |= _windows(at, words, least)
+        at = []
+    return out
+
+
+def _windows(at: list[int], words: list[int], least: int) -> set[tuple[int, int]]:
+    """Windows of the lines ``at``."""
+    upto = [0]
+    for i in at:
+        upto.append(upto[-1] + words[i])
+    out: set[tuple[int, int]] = set()
+    end = back = 0
+    for k in range(len(at) - 1):
+        end = max(end, k + 1)
+        while end < len(at) and upto[end + 1] - upto[k] < least:
+            end += 1
+        if end < len(at):
+            out.add((at[k], at[end]))
+        while back < k and upto[k + 2] - upto[back + 1] >= least:
+            back += 1
+        if upto[k + 2] - upto[back] >= least:
+            out.add((at[back], at[k + 1]))
+    return out
+
+
+_WINDOW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("window", pa.binary())])
+
+
+def _cut_windows(min_line_words: int, min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in columns_of(batches):
+            out: dict[str, list] = {f.name: [] for f in _WINDOW}
+            for doc_id, key, text in zip(rows["doc_id"], rows["key"], rows["text"]):
+                lines = text.split(b"\n")
+                found = windows([len(x.split()) for x in lines], min_words, min_line_words) if len(lines) > 1 else ()
+                digests = [hashlib.md5(x).digest() for x in lines] if found else []
+                for a, b in found:
+                    out["doc_id"].append(doc_id)
+                    out["key"].append(key)
+                    out["start"].append(a)
+                    out["end"].append(b + 1)
+                    out["window"].append(hashlib.md5(b"".join(digests[a:b + 1])).digest())
+            yield record_batch(_WINDOW, out)
+
+    return run
+
+
+def _held_passages(docs: DataFrame, id_col: str, text_col: str, min_line_words: int, min_block_words: int) -> DataFrame:
+    """doc_id, key and held (array of start, end): windows of lines that an earlier document holds."""
+    bounded_batches(docs.sparkSession)
+    text = whole_text(text_col)
+    # Cut twice rather than stored: texts hold about as many windows as lines.
+    cut = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text")).mapInArrow(
+        _cut_windows(min_line_words, min_block_words), "doc_id long, key long, start long, end long, window binary")
+    owner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    firsts = checkpointed(cut.groupBy("window").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).where("first != last").select("window", "first"))
+    return cut.join(firsts, "window").where(owner != F.col("first")).groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("start", "end")).alias("held"))
+
+
 def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_line_words: int = MIN_LINE_WORDS,
-                          min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+                          min_block_words: int = MIN_BLOCK_WORDS, passages: bool = False) -> DataFrame:
     """Of documents that lose lines: doc_id, key (hash of the text), gone (array of line numbers from 0)."""
     text = whole_text(text_col)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"),
@@ -154,12 +234,18 @@ def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.collect_list(F.struct("pos", "words", "line", "held_at")).alias("shared"))
     aligned = pairs.select("doc_id", "key", "shared").mapInPandas(
         _align, "doc_id long, key long, aligned array<struct<pos:long,words:long>>")
-    merged = aligned.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("aligned")).alias("aligned"))
+    aligned = aligned.withColumn("held", F.expr("cast(array() as array<struct<start:long,end:long>>)"))
+    if passages:
+        held = _held_passages(docs, id_col, text_col, min_line_words, min_block_words)
+        aligned = aligned.unionByName(held.withColumn("aligned", F.expr("cast(array() as array<struct<pos:long,words:long>>)")))
+    merged = aligned.groupBy("doc_id", "key").agg(
+        F.flatten(F.collect_list("aligned")).alias("aligned"), F.flatten(F.collect_list("held")).alias("held"))
     return merged.mapInPandas(_blocks(min_block_words), "doc_id long, key long, gone array<long>")
 
 
-def _with_positions(docs: DataFrame, id_col: str, text_col: str, min_line_words: int, min_block_words: int) -> tuple[DataFrame, dict[str, str]]:
-    gone = checkpointed(shared_line_positions(docs, id_col, text_col, min_line_words, min_block_words))
+def _with_positions(docs: DataFrame, id_col: str, text_col: str, min_line_words: int, min_block_words: int,
+                    passages: bool) -> tuple[DataFrame, dict[str, str]]:
+    gone = checkpointed(shared_line_positions(docs, id_col, text_col, min_line_words, min_block_words, passages))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("gone").alias("_gone"))
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
@@ -184,16 +270,16 @@ def _kept_text(text_col: str) -> Column:
 
 
 def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_line_words: int = MIN_LINE_WORDS,
-                         min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+                         min_block_words: int = MIN_BLOCK_WORDS, passages: bool = False) -> DataFrame:
     """The documents with their deleted blocks gone from the text; all other columns as they are."""
-    rows, names = _with_positions(docs, id_col, text_col, min_line_words, min_block_words)
+    rows, names = _with_positions(docs, id_col, text_col, min_line_words, min_block_words, passages)
     return rows.select(*[(_kept_text(n) if c == text_col else F.col(n)).alias(c) for c, n in names.items()])
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_line_words: int = MIN_LINE_WORDS,
-                min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+                min_block_words: int = MIN_BLOCK_WORDS, passages: bool = False) -> DataFrame:
     """One row per document: doc_id, n_lines, n_deleted, deleted (line numbers, comma-joined), kept_sha256."""
-    rows, names = _with_positions(docs, id_col, text_col, min_line_words, min_block_words)
+    rows, names = _with_positions(docs, id_col, text_col, min_line_words, min_block_words, passages)
     text = names[text_col]
     return rows.select(
         F.col(names[id_col]).cast("long").alias("doc_id"), F.size(F.split(whole_text(text), "\n")).cast("long").alias("n_lines"),

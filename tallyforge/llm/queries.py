@@ -74,7 +74,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_line_dedup")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return linededup.line_report(table(spark, folder, "documents"))
+    return linededup.line_report(table(spark, folder, "documents"), passages=True)
 
 
 def _sql_list(words: list[str]) -> str:

@@ -83,6 +83,47 @@ def test_random_documents_with_a_very_common_line(frame):
         assert r.kept_sha256 == hashlib.sha256(left.encode()).hexdigest() and r.n_lines == len(text.split("\n"))
 
 
+def held_before(rows, min_block=8):
+    """Lines of every run of two or more lines, with words on its first and last, that stands in an earlier document."""
+    docs = sorted({(i is None, i if i is not None else 0, t or "") for i, t in rows})
+    seen, out = set(), {}
+    for d in docs:
+        lines = d[2].split("\n")
+        size = [len(x.split()) for x in lines]
+        runs = [(a, b) for a in range(len(lines)) for b in range(a + 2, len(lines) + 1)
+                if size[a] and size[b - 1] and sum(size[a:b]) >= min_block]
+        out[d[1:]] = {p for a, b in runs if tuple(lines[a:b]) in seen for p in range(a, b)}
+        seen |= {tuple(lines[a:b]) for a, b in runs}
+    return out
+
+
+def query_rows(spark, folder, tmp_path, df):
+    from tallyforge.llm.queries import QUERIES
+
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    return {r.doc_id: r.deleted for r in QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect()}
+
+
+def test_passages_whose_lines_an_older_text_holds_in_another_order(spark, folder, frame, tmp_path):
+    lines = [f"line {i} of the passage" for i in range(20)]
+    shuffled = random.Random(1).sample(lines, 20)
+    texts = ["\n".join(shuffled), "start of b\n" + "\n".join(lines), "other start of c\n" + "\n".join(lines), "\n".join(lines[:4] * 3), "\n".join(lines[:4] * 2)]
+    got = query_rows(spark, folder, tmp_path, frame(texts))
+    assert got[0] == "" and got[2] == ",".join(map(str, range(1, 21))) and got[4] == "0,1,2,3,4,5,6,7"
+    assert "0" not in got[1].split(",") and len(got[1].split(",")) < 20  # b keeps what no earlier text has in its order
+
+
+def test_query_equals_all_runs_of_lines(spark, folder, frame, tmp_path):
+    rng = random.Random(11)
+    pool = ["a b c", "d e f", "g h i j", "k l m", "n o p q r s t u", "v w x"]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(9))) for _ in range(120)]
+    rows = list(enumerate(texts))
+    aligned, held = brute(rows), held_before(rows)
+    got = query_rows(spark, folder, tmp_path, frame(texts))
+    for key in aligned:
+        assert got[key[0]] == ",".join(map(str, sorted({*map(int, filter(None, aligned[key].split(","))), *held[key]})))
+
+
 def test_no_line_is_lost(documents):
     before = {line for r in documents.collect() for line in r.text.split("\n")}
     after = {line for r in linededup.without_shared_lines(documents).collect() for line in r.text.split("\n")}
