@@ -19,7 +19,9 @@ too: every passage of two or more neighbouring lines and ``MIN_BLOCK_WORDS``
 words that stands in any earlier document, wherever and however often.  Such
 passages are the unions of their shortest windows, from each line on and back
 from each line; a window names its first holder by one hash, so no partner is
-left out and no pairs are made.
+left out and no pairs are made.  Lines of one or two words count in a passage
+like all others, and the blank lines between its lines belong to it, if the
+earlier document has the same ones; blank lines around it stay.
 
 Order of documents: by id (null last), then by a hash of the text.
 
@@ -143,24 +145,12 @@ def _blocks(min_words: int):
     return run
 
 
-def windows(words: list[int], least: int, min_line_words: int) -> set[tuple[int, int]]:
+def windows(words: list[int], least: int) -> set[tuple[int, int]]:
     """First and last line of the shortest windows of two or more lines and ``least`` words, from and up to each line.
 
-    words: of each line.  Lines under ``min_line_words`` end a window.
+    words: of each line.  Lines without words neither begin nor end a window, but one may reach across them.
     """
-    out: set[tuple[int, int]] = set()
-    at: list[int] = []
-    for i, n in enumerate([*words, 0]):
-        if n >= min_line_words:
-            at.append(i)
-            continue
-        out |= _windows(at, words, least)
-        at = []
-    return out
-
-
-def _windows(at: list[int], words: list[int], least: int) -> set[tuple[int, int]]:
-    """Windows of the lines ``at``."""
+    at = [i for i, n in enumerate(words) if n]
     upto = [0]
     for i in at:
         upto.append(upto[-1] + words[i])
@@ -182,13 +172,13 @@ def _windows(at: list[int], words: list[int], least: int) -> set[tuple[int, int]
 _WINDOW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("window", pa.binary())])
 
 
-def _cut_windows(min_line_words: int, min_words: int):
+def _cut_windows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in columns_of(batches):
             out: dict[str, list] = {f.name: [] for f in _WINDOW}
             for doc_id, key, text in zip(rows["doc_id"], rows["key"], rows["text"]):
                 lines = text.split(b"\n")
-                found = windows([len(x.split()) for x in lines], min_words, min_line_words) if len(lines) > 1 else ()
+                found = windows([len(x.split()) for x in lines], min_words) if len(lines) > 1 else ()
                 digests = [hashlib.md5(x).digest() for x in lines] if found else []
                 for a, b in found:
                     out["doc_id"].append(doc_id)
@@ -201,13 +191,13 @@ def _cut_windows(min_line_words: int, min_words: int):
     return run
 
 
-def _held_passages(docs: DataFrame, id_col: str, text_col: str, min_line_words: int, min_block_words: int) -> DataFrame:
+def _held_passages(docs: DataFrame, id_col: str, text_col: str, min_block_words: int) -> DataFrame:
     """doc_id, key and held (array of start, end): windows of lines that an earlier document holds."""
     bounded_batches(docs.sparkSession)
     text = whole_text(text_col)
     # Cut twice rather than stored: texts hold about as many windows as lines.
     cut = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text")).mapInArrow(
-        _cut_windows(min_line_words, min_block_words), "doc_id long, key long, start long, end long, window binary")
+        _cut_windows(min_block_words), "doc_id long, key long, start long, end long, window binary")
     owner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     firsts = checkpointed(cut.groupBy("window").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).where("first != last").select("window", "first"))
     return cut.join(firsts, "window").where(owner != F.col("first")).groupBy("doc_id", "key").agg(
@@ -236,7 +226,7 @@ def shared_line_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str
         _align, "doc_id long, key long, aligned array<struct<pos:long,words:long>>")
     aligned = aligned.withColumn("held", F.expr("cast(array() as array<struct<start:long,end:long>>)"))
     if passages:
-        held = _held_passages(docs, id_col, text_col, min_line_words, min_block_words)
+        held = _held_passages(docs, id_col, text_col, min_block_words)
         aligned = aligned.unionByName(held.withColumn("aligned", F.expr("cast(array() as array<struct<pos:long,words:long>>)")))
     merged = aligned.groupBy("doc_id", "key").agg(
         F.flatten(F.collect_list("aligned")).alias("aligned"), F.flatten(F.collect_list("held")).alias("held"))

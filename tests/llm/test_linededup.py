@@ -113,9 +113,24 @@ def test_passages_whose_lines_an_older_text_holds_in_another_order(spark, folder
     assert "0" not in got[1].split(",") and len(got[1].split(",")) < 20  # b keeps what no earlier text has in its order
 
 
+def test_passages_of_short_and_blank_lines(spark, folder, frame, tmp_path):
+    words = "\n".join(f"item{i}" if i % 3 else f"two item{i}" for i in range(50))
+    verse = "\n\n".join(f"verse line number {i}" for i in range(6))
+    texts = [f"a list\n{words}\nend", f"start\nof another\n{words}", f"{verse}\nend of a", f"before it\n\n{verse}\n\nafter it", verse.replace("\n\n", "\n \n")]
+    got = query_rows(spark, folder, tmp_path, frame(texts))
+    assert got == {0: "", 1: ",".join(map(str, range(2, 52))), 2: "", 3: ",".join(map(str, range(2, 13))), 4: ""}
+
+
+def test_query_equals_all_runs_with_short_lines(spark, folder, frame, tmp_path):
+    check_all_runs(spark, folder, frame, tmp_path, ["a b c", "d e f", "g h i j", "n o p q r s t u", "one", "two", "three", "five six", "", " "])
+
+
 def test_query_equals_all_runs_of_lines(spark, folder, frame, tmp_path):
+    check_all_runs(spark, folder, frame, tmp_path, ["a b c", "d e f", "g h i j", "k l m", "n o p q r s t u", "v w x"])
+
+
+def check_all_runs(spark, folder, frame, tmp_path, pool):
     rng = random.Random(11)
-    pool = ["a b c", "d e f", "g h i j", "k l m", "n o p q r s t u", "v w x"]
     texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(9))) for _ in range(120)]
     rows = list(enumerate(texts))
     aligned, held = brute(rows), held_before(rows)
