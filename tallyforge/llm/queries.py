@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, license, linededup, media, mixture, neardup, pii, quality, toxicity
+from . import bpe, divergence, exact, license, linededup, media, mixture, neardup, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -163,3 +163,28 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return media.media_columns(table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature",
         "width", "height")
+
+
+@query("op11_divergence", r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+                      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+         o AS (SELECT lang, source, doc, unnest(w) AS term FROM d),
+         k AS (SELECT lang, term, count(*)::HUGEINT AS total FROM o GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+         c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+         v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM k GROUP BY lang),
+         g AS (SELECT a.lang, a.source, coalesce(sum(c.n), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d) a
+               LEFT JOIN c ON c.lang = a.lang AND c.source = a.source GROUP BY a.lang, a.source),
+         f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.n + v.v) AS p,
+                      1 + 1000000000 * (k.total + 1) // (v.n + v.v) AS q
+               FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+               LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+         pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+                   FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+         parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+                   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                   LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+                   UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM f WHERE n > 0 AND p > q),
+         r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
