@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, exact, license, linededup, media, mixture, neardup, pii, quality, toxicity
+from . import bpe, divergence, exact, importance, license, linededup, media, mixture, neardup, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -188,3 +188,37 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200""")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(table(spark, folder, "documents"))
+
+
+def _half_byte(value: int) -> int:
+    for _ in range(4):
+        value = value >> 1 ^ 0xEDB88320 * (value & 1)
+    return value
+
+
+#: CRC-32 of distinct features by half bytes, the low one of each byte first.
+_IMPORTANCE_SQL = r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+         m AS (SELECT row_number() OVER () AS doc, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+         runs AS (SELECT doc, array_to_string(w[i:i + k], ' ') AS g FROM d, range(3) AS x(k), range(1, len(w) - k + 1) AS r(i)),
+         goal AS (SELECT array_to_string(w[i:i + k], ' ') AS g FROM m, range(3) AS x(k), range(1, len(w) - k + 1) AS r(i)),
+         hexed AS (SELECT g, hex(encode(g)) AS h FROM (SELECT g FROM runs UNION SELECT g FROM goal)),
+         hashed AS MATERIALIZED (SELECT g, (xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(len(h)),
+                           lambda i: (instr('0123456789ABCDEF', h[i + 2 - 2 * (i % 2)]) - 1)::UBIGINT)),
+                       lambda c, x: xor(c >> 4, {table}[(xor(c, x) & 15)::INT + 1]::UBIGINT)), 4294967295::UBIGINT) % 10000)::INT AS b FROM hexed),
+         s AS (SELECT b, count(*) AS s FROM runs JOIN hashed USING (g) GROUP BY b),
+         t AS (SELECT b, count(*) AS t FROM goal JOIN hashed USING (g) GROUP BY b),
+         gains AS (SELECT s.b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE
+                       / ((s + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t ON t.b = s.b),
+         f AS (SELECT doc, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM runs JOIN hashed USING (g) JOIN gains USING (b) GROUP BY doc),
+         z AS (SELECT doc_id, doc, len(w) >= 20 AS large, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+                      + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+               FROM d LEFT JOIN f USING (doc)),
+         r AS (SELECT *, row_number() OVER (PARTITION BY large ORDER BY score DESC, doc_id NULLS FIRST) AS nth, 5 * count(*) OVER (PARTITION BY large) // 100 AS k FROM z)
+    SELECT doc_id, n_features, weight, score, CASE WHEN large AND nth <= k THEN nth END AS rank FROM r""".replace(
+    "{table}", "[" + ", ".join(str(_half_byte(i)) for i in range(16)) + "]")
+
+
+@query("op12_importance", _IMPORTANCE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
