@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, exact, importance, license, linededup, media, mixture, neardup, pii, quality, toxicity
+from . import bpe, divergence, exact, importance, license, linededup, media, mixture, neardup, pii, quality, tokenfiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -222,3 +222,10 @@ _IMPORTANCE_SQL = r"""
 @query("op12_importance", _IMPORTANCE_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_token_files")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenfiles.token_index(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
