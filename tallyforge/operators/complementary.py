@@ -7,12 +7,16 @@ merging those it does not overlap.
 
 What is decided row by row needs only a few narrow columns (sort value,
 priorities, unit indicators), and partners are grouped by the distinct
-secondary-key patterns, not by pairs.  The decisions come back as an event
+secondary-key patterns, not by pairs.  Rows are folded in ranges of about equal
+size, whatever groups they belong to: a range is first summed up as a function
+of the lead that enters it (``foldstate``), leads are handed over along the
+ranges of a group, and then all ranges are folded at once.  The decisions come back as an event
 table; wide values and item rows are then resolved by ordinary aggregates.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -26,10 +30,10 @@ from pyspark.sql import types as T
 
 from ..functions.keys import blank
 from ..session import checkpointed
+from .foldstate import RECORD_PRIORITY_THRESHOLD, FoldRules, LeadState, RangeSummary, apply_summary
 from .predicates import field_type, require_columns, sheet_rows, text_of
 
 
-RECORD_PRIORITY_THRESHOLD = 1000
 REPORT_COLUMN = "complementary_merge_report"
 
 # The resolution rules of the rule sheet.
@@ -184,52 +188,136 @@ EVENT_FIELDS = [
 ]
 
 
-def _fold_batches(n_units: int, force: bool, sort_rule: str, flat_units: Sequence[bool]):
-    """Stream over rows sorted by cluster; holds one lead at a time."""
+def _value(x) -> float | None:
+    return None if x is None or x != x else float(x)
 
-    def value(x):
-        return None if x is None or x != x else float(x)
+
+def _fold_rows(batches: Iterator[pd.DataFrame], n_units: int) -> Iterator[list[tuple]]:
+    """Per batch: (range, cluster, (id, sort, record priority, variable priority, units))."""
+    for batch in batches:
+        yield [
+            (row[0], row[1], (int(row[2]), None if row[3] is None or row[3] != row[3] else row[3], _value(row[4]), _value(row[5]),
+                              [_value(u) for u in row[6:6 + n_units]]))
+            for row in batch.itertuples(index=False)]
+
+
+def _no_event(n_units: int) -> dict:
+    return {"seq": 0, "prio": False, "units": [False] * n_units, "report": None, "overlap": False, "forced": False,
+            "picked": False, "lost_id": None}
+
+
+def _fold_batches(n_units: int, rules: FoldRules, incoming: Mapping[int, LeadState], going_on: Mapping[str, int]):
+    """Stream over a range of rows sorted by cluster; holds one lead at a time.
+
+    ``incoming`` has the lead of the first cluster of a range that an earlier
+    range began, ``going_on`` the last range of each cluster that has several.
+    A lead that goes on leaves the part of its report made here.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cluster, lead, closing = None, None, []
+        cluster, lead, at = None, None, None
 
-        def close():
-            if lead is not None:
-                closing.append({
-                    "_id": lead.base, "role": "lead", "kept_id": lead.base, "seq": 0, "prio": False,
-                    "units": [False] * n_units, "report": lead.report or None, "overlap": False,
-                    "forced": False, "picked": False, "lost_id": None, "lead_sort": lead.sort,
-                    "lead_seq": lead.seq, "_cluster": cluster})
+        def close() -> list[dict]:
+            if lead is None:
+                return []
+            role = "part" if going_on.get(cluster, at) > at else "lead"
+            return [{"_id": lead.base, "role": role, "kept_id": lead.base, **_no_event(n_units), "report": lead.report or None,
+                     "lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster, "_range": at}]
 
-        for batch in batches:
+        for rows in _fold_rows(batches, n_units):
             out = []
-            for row in batch.itertuples(index=False):
-                units = [value(u) for u in row[5:5 + n_units]]
-                sort = None if row[2] is None or row[2] != row[2] else row[2]
-                row_id, rp, vp = int(row[1]), value(row[3]), value(row[4])
-                if row[0] != cluster:
-                    close()
-                    cluster, lead = row[0], Lead(row_id, sort, rp, vp, units)
-                    continue
-                event = absorb(lead, row_id, sort, rp, vp, units, force, sort_rule, flat_units)
+            for here, own, row in rows:
+                if own != cluster:
+                    out += close()
+                    before = incoming.get(here) if cluster is None else None
+                    cluster, at = own, here
+                    if before is None:
+                        lead = Lead(*row)
+                        continue
+                    lead = Lead(before.base, before.sort, before.rp, before.vp, before.units)
+                    lead.seq = before.seq
+                event = absorb(lead, *row, rules.force, rules.sort_rule, rules.flat_units)
+                state = {"lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster, "_range": at}
                 if event["role"] != "base":
-                    out.append({"_id": row_id, "lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster, **event})
+                    out.append({"_id": row[0], **state, **event})
                 if event["lost_id"] is not None:
-                    out.append({"_id": event["lost_id"], "role": "picked_out", "kept_id": None, "seq": 0,
-                                "prio": False, "units": [False] * n_units, "report": None,
-                                "overlap": event["overlap"], "forced": event["forced"], "picked": True,
-                                "lost_id": None, "lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster})
-            out += closing
-            closing = []
+                    out.append({"_id": event["lost_id"], "role": "picked_out", "kept_id": None, **_no_event(n_units), **state,
+                                "overlap": event["overlap"], "forced": event["forced"], "picked": True})
             if out:
                 yield pd.DataFrame(out)
-        close()
-        if closing:
-            yield pd.DataFrame(closing)
+        if last := close():
+            yield pd.DataFrame(last)
 
     return run
 
 
+def _piece_batches(n_units: int, rules: FoldRules, first_range: Mapping[str, int]):
+    """What each range does to the lead of a cluster that has several ranges: the lead itself where it begins, a
+    decision tree (``foldstate``) behind."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cluster, at, lead, tree = None, None, None, None
+
+        def close():
+            if cluster is not None:
+                what = tree.tree() if tree else LeadState(lead.base, lead.sort, lead.rp, lead.vp, tuple(lead.units), lead.seq)
+                yield pd.DataFrame({"_cluster": [cluster], "_range": [at], "_piece": [pickle.dumps(what)]})
+
+        for rows in _fold_rows(batches, n_units):
+            for here, own, row in rows:
+                if own != cluster:
+                    yield from close()
+                    cluster, at, lead, tree = own, here, None, None
+                    if first_range[own] == here:
+                        lead = Lead(*row)
+                        continue
+                    tree = RangeSummary(n_units, rules)
+                if tree:
+                    tree.add(*row)
+                else:
+                    absorb(lead, *row, rules.force, rules.sort_rule, rules.flat_units)
+        yield from close()
+
+    return run
+
+
+def _hand_over(pieces: pd.DataFrame) -> pd.DataFrame:
+    """Leads that reach the later ranges of one cluster."""
+    pieces = pieces.sort_values("_range")
+    lead, out = pickle.loads(pieces["_piece"].iloc[0]), []
+    for at, piece in zip(pieces["_range"].iloc[1:], pieces["_piece"].iloc[1:]):
+        out.append((at, pickle.dumps(lead)))
+        lead = apply_summary(pickle.loads(piece), lead)
+    return pd.DataFrame(out, columns=["_range", "_lead"])
+
+
+def _fold(rows: DataFrame, n_units: int, rules: FoldRules, schema: T.StructType, ranges: int | None = None) -> DataFrame:
+    """Events of all partner groups, folded in ranges of rows of about equal size.
+
+    Rows are laid out by ranges of (cluster, order), so a cluster of any size is
+    spread over tasks.  Only a range's first cluster can have begun earlier;
+    its lead is handed over from range to range, by one small piece per range.
+    """
+    wanted = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # NULL sort values come first among the partners, the lead before all.
+    order = [F.col("_cluster").asc(), F.col("_lead_last").asc(), F.col("_order").asc_nulls_first(), F.col("_id").asc()]
+    columns = ["_range", "_cluster", "_id", "_sort", "_rp", "_vp", *[f"_u{i}" for i in range(n_units)]]
+    # The layout is stored: a sampling that ran again could move the bounds.
+    laid = checkpointed(rows.repartitionByRange(wanted, *order).sortWithinPartitions(*order).withColumn(
+        "_range", F.spark_partition_id()).select(*columns))
+    several = {r["_cluster"]: (r["a"], r["b"]) for r in laid.groupBy("_cluster").agg(
+        F.min("_range").alias("a"), F.max("_range").alias("b")).where("a < b").collect()}  # fewer than ranges
+    incoming: dict[int, LeadState] = {}
+    if several:
+        pieces = laid.where(F.col("_cluster").isin(list(several))).mapInPandas(
+            _piece_batches(n_units, rules, {c: a for c, (a, _) in several.items()}), "_cluster string, _range int, _piece binary")
+        handed = pieces.groupBy("_cluster").applyInPandas(_hand_over, "_range int, _lead binary")
+        incoming = {r["_range"]: pickle.loads(r["_lead"]) for r in handed.collect()}  # at most one for each range
+    run = _fold_batches(n_units, rules, incoming, {c: b for c, (_, b) in several.items()})
+    names = [f.name for f in schema.fields]
+    return laid.mapInPandas(lambda batches: (out[names] for out in run(batches)), schema)
+
+
 # ---------------------------------------------------------- partner groups
 
 class Leads:
@@ -332,14 +420,15 @@ def _clusters(narrow: DataFrame, n_primary: int, n_secondary: int) -> DataFrame:
 
 
 def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mapping[str, DataFrame] | None = None,
-                        item_flat_id: str = "flat_table_id", item_id: str = "id", force_one: bool = False) -> ComplementaryResult:
+                        item_flat_id: str = "flat_table_id", item_id: str = "id", force_one: bool = False, ranges: int | None = None) -> ComplementaryResult:
     """Merge complementary records; see the module text for the method.
 
     Returns the flat table with a report column, the item tables, the event
     table (one row per record that met a partner) and the counters.  Item
     rows of merged records are resolved over all merges in order; item ids
     the base record does not have are not added, as in the reference.
-    ``id_col`` must be a unique whole number.
+    ``id_col`` must be a unique whole number.  ``ranges`` is the number of
+    ranges of rows that are folded apart (spark.sql.shuffle.partitions).
     """
     rules = rules if isinstance(rules, MergeRules) else read_merge_rules(rules, force_one)
     if force_one and rules.record_priority is None:
@@ -377,28 +466,14 @@ def complementary_merge(flat: DataFrame, rules, id_col: str = "id", items: Mappi
         placed.join(groups.where((F.col("_n") > 1) & F.col("_lead").isNull()).select("_cluster"),
                     "_cluster", "left_semi").select("_id"))
 
-    order_rule = rules.rules[rules.sort]
-    fold_columns = ["_cluster", "_id", "_sort", "_rp", "_vp", *[f"_u{i}" for i in range(len(units))]]
-    schema = T.StructType([T.StructField("_id", T.LongType())] + EVENT_FIELDS + [T.StructField("_cluster", T.StringType())])
-
+    schema = T.StructType([T.StructField("_id", T.LongType())] + EVENT_FIELDS + [
+        T.StructField("_cluster", T.StringType()), T.StructField("_range", T.IntegerType())])
+    fold_rules = FoldRules(force_one, rules.rules[rules.sort], tuple(flat_units))
+    # ``tie`` orders rows that share a step; the ordered pass has none.
     tie_type = T.StructType([
         T.StructField("has", T.BooleanType()), T.StructField("at", field_type(flat, rules.sort)), T.StructField("id", T.LongType())])
-
-    def fold(frame: DataFrame) -> DataFrame:
-        # NULL sort values come first among the partners, the lead before all.
-        laid = frame.repartition("_cluster").sortWithinPartitions(
-            "_cluster", "_lead_last", F.col("_order").asc_nulls_first(), "_id").select(*fold_columns)
-        run = _fold_batches(len(units), force_one, order_rule, flat_units)
-
-        def ordered(batches):
-            for out in run(batches):
-                yield out[[f.name for f in schema.fields]]
-
-        # ``tie`` orders rows that share a step; the ordered pass has none.
-        return laid.mapInPandas(ordered, schema).withColumn("tie", F.lit(None).cast(tie_type))
-
     # Six consumers read the events, so the ordered pass is stored once.
-    events = checkpointed(fold(rows))
+    events = checkpointed(_fold(rows, len(units), fold_rules, schema, ranges).withColumn("tie", F.lit(None).cast(tie_type)))
     return _resolve(flat, dict(items or {}), rules, units, id_col, item_flat_id, item_id, events, unled)
 
 
@@ -471,8 +546,10 @@ def _resolve(flat, items, rules, units, id_col, item_flat_id, item_id, events, u
     # A merged record replaced by a higher priority later is not a lead, so
     # its members are only in ``gone``.
     plain = wide.join(touched, "_id", "left_anti").select(*flat.columns)
-    reports = events.where("role in ('lead', 'kept')").select(
-        F.col("kept_id").alias("_rid"), F.col("report").alias(REPORT_COLUMN))
+    # A lead's report is made in the ranges it went through; the parts of a lead that was replaced belong to a row that is gone.
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("_range", "report"))), lambda part: part["report"])
+    reports = events.where("role in ('lead', 'kept', 'part')").groupBy(F.col("kept_id").alias("_rid")).agg(
+        F.nullif(F.array_join(texts, ""), F.lit("")).alias(REPORT_COLUMN))
     reports = reports.unionByName(unled.select(F.col("_id").alias("_rid"), F.lit(" Missing sort key.").alias(REPORT_COLUMN)))
     everything = plain.unionByName(merged)
     out = everything.join(reports, F.col(id_col).cast("bigint") == F.col("_rid"), "left").select(
@@ -492,7 +569,7 @@ def _resolve(flat, items, rules, units, id_col, item_flat_id, item_id, events, u
         ])
         item_out[name] = untouched.unionByName(resolved)
 
-    tally = events.select("role", "overlap", "forced", "picked").unionByName(
+    tally = events.where("role <> 'part'").select("role", "overlap", "forced", "picked").unionByName(
         unled.select(F.lit("unled").alias("role"), *[F.lit(False).alias(c) for c in ("overlap", "forced", "picked")]))
     counters = tally.agg(
         F.count(F.when(F.col("role") != "unled", 1)).alias("matching_rows_read"),
@@ -503,4 +580,4 @@ def _resolve(flat, items, rules, units, id_col, item_flat_id, item_id, events, u
         F.count(F.when(F.col("picked"), 1)).alias("picked_records"),
         F.count(F.when(F.col("role") == "unled", 1)).alias("missing_sort_keys"),
     )
-    return ComplementaryResult(out, item_out, events, counters)
+    return ComplementaryResult(out, item_out, events.where("role <> 'part'"), counters)

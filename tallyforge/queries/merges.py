@@ -140,12 +140,17 @@ _RULES = [
 ]
 
 
-def _partial_records(t: Tables):
+# A third of the users are one person; the others as in ``_partial_records``.
+_CROWD = "CASE WHEN user_id % 3 = 0 THEN 'crowd' ELSE {} END"
+
+
+def _partial_records(t: Tables, crowd: bool = False):
     """Events as partial records: a person is a user within an hour, the unit
     is the event type, the room is missing on some records."""
+    person = "concat(cast(user_id AS STRING), '-', date_format(ts, 'yyyyMMddHH'))"
     kinds = {1: "('click', 'error')", 2: "('view')", 3: "('purchase', 'signup')"}
     return t.events.selectExpr(
-        "event_id AS id", "concat(cast(user_id AS STRING), '-', date_format(ts, 'yyyyMMddHH')) AS person",
+        "event_id AS id", f"{_CROWD.format(person) if crowd else person} AS person",
         "CASE WHEN event_id % 3 = 0 THEN NULL ELSE cast(event_id % 2 AS STRING) END AS room",
         "CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id END AS barcode", "cast(event_id % 4 AS INT) AS vp",
         "CASE WHEN event_id % 40 = 0 THEN 1000 + cast(event_id % 7 AS INT) ELSE cast(event_id % 5 AS INT) END AS rp",
@@ -153,10 +158,14 @@ def _partial_records(t: Tables):
         *[f"CASE WHEN event_type IN {k} THEN value END AS s{i}" for i, k in kinds.items()])
 
 
+# Items of a record: an answer, a note and a mark that is missing on some.
+_PART_ITEMS = ("SELECT event_id AS flat_table_id, k AS id, concat(event_type, '-', cast((event_id * k) % 11 AS VARCHAR(20))) AS answer, "
+               "cast((event_id + k) % 7 AS VARCHAR(20)) AS note, CASE WHEN (event_id * k) % 3 = 0 THEN '' ELSE concat('m', cast(event_id % 13 AS VARCHAR(20))) END AS mark")
+
 _UNITS = {1: "('click', 'error')", 2: "('view')", 3: "('purchase', 'signup')"}
 
 
-def _folded_sql(force: bool, counters: bool = False) -> str:
+def _folded_sql(force: bool, what: str = "flat", crowd: bool = False) -> str:
     """The same rules as an ordered fold: partner groups by room, then one recursive step per record of a group."""
     def each(form: str, sep: str = ", ") -> str:
         return sep.join(form.replace("#", str(i)) for i in _UNITS)
@@ -172,8 +181,15 @@ SELECT count(*) AS matching_rows_read, (SELECT count(*) FROM leads) + count(*) F
   count(*) FILTER (role = 'merged') AS merged_records, count(*) FILTER (overlapped) AS overlapping_records,
   count(*) FILTER (overlapped AND role <> 'kept') AS forced_records, count(*) FILTER (role IN ('base', 'picked_out')) AS picked_records,
   (SELECT count(*) FROM g WHERE cluster IS NULL OR n > 1 AND first_id IS NULL) AS missing_sort_keys FROM f"""
+    items = f"""
+SELECT owner AS flat_table_id, id, {last("answer", "f1")}, {last("note", "prio")},
+  coalesce(arg_min({{'v': mark}}, seq) FILTER (mark <> ''), arg_max({{'v': mark}}, seq)).v AS mark
+FROM m JOIN ({_PART_ITEMS} FROM events, range(1, 4) t(k) WHERE (event_id + k) % 5 <> 0) i ON i.flat_table_id = m.mid GROUP BY owner, id HAVING bool_or(base)
+UNION ALL SELECT flat_table_id, id, answer, note, mark FROM ({_PART_ITEMS} FROM events, range(1, 4) t(k) WHERE (event_id + k) % 5 <> 0) i
+WHERE flat_table_id IN (SELECT row_id FROM f WHERE role = 'kept' UNION ALL SELECT id FROM g WHERE cluster IS NULL OR n = 1 OR first_id IS NULL)"""
+    person = "user_id || '-' || strftime(ts, '%Y%m%d%H')"
     return f"""
-WITH RECURSIVE e AS (SELECT event_id AS id, user_id || '-' || strftime(ts, '%Y%m%d%H') AS person,
+WITH RECURSIVE e AS (SELECT event_id AS id, {_CROWD.format(person) if crowd else person} AS person,
     CASE WHEN event_id % 3 = 0 THEN NULL ELSE (event_id % 2)::VARCHAR END AS room, CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id END AS barcode,
     event_id % 4 AS vp, CASE WHEN event_id % 40 = 0 THEN 1000 + event_id % 7 ELSE event_id % 5 END AS rp,
     {", ".join(f"CASE WHEN event_type IN {k} THEN 1 ELSE 0 END AS u{i}" for i, k in _UNITS.items())},
@@ -212,7 +228,7 @@ merged AS (SELECT owner AS id, any_value(person) AS person,
     coalesce(arg_max(room, seq) FILTER (prio AND room IS NOT NULL), arg_min(room, seq) FILTER (room IS NOT NULL)) AS room,
     {", ".join(last(c, "prio") for c in ("barcode", "vp", "rp"))}, {", ".join(last(f"u{i}", f"NOT base AND u{i} > 0") for i in _UNITS)},
     {", ".join(last(f"s{i}", f"f{i}") for i in _UNITS)} FROM m JOIN e ON e.id = m.mid GROUP BY owner)
-""" + (counted if counters else f"""
+""" + (counted if what == "counters" else items if what == "items" else f"""
 SELECT {columns.replace("id,", "merged.id,", 1)}, report AS complementary_merge_report FROM merged JOIN leads ON leads.base = merged.id
 UNION ALL SELECT {columns}, own FROM e JOIN (SELECT row_id, own FROM f WHERE role = 'kept') ON row_id = id
 UNION ALL SELECT {columns}, CASE WHEN n > 1 OR cluster IS NULL THEN ' Missing sort key.' END FROM g WHERE cluster IS NULL OR n = 1 OR first_id IS NULL""")
@@ -228,11 +244,29 @@ def complementary_merge_forced(t: Tables):
     return rounded(complementary.complementary_merge(_partial_records(t), _RULES, force_one=True).flat)
 
 
-@query("complementary_merge_counters", _folded_sql(True, counters=True))
+@query("complementary_merge_counters", _folded_sql(True, "counters"))
 def complementary_merge_counters(t: Tables):
     return rounded(complementary.complementary_merge(_partial_records(t), _RULES, force_one=True).counters)
 
 
+@query("complementary_merge_ranges", _folded_sql(False, crowd=True))
+def complementary_merge_ranges(t: Tables):
+    """One person holds a third of all records, whose partner groups are folded in many ranges."""
+    return rounded(complementary.complementary_merge(_partial_records(t, crowd=True), _RULES, ranges=24).flat)
+
+
+@query("complementary_merge_items", _folded_sql(False, "items", crowd=True))
+def complementary_merge_items(t: Tables):
+    """Item rows of merged records, by a unit rule, a common one and an 'or'."""
+    rules = _RULES + [{"variable_name": "answer", "resolution_rule": "test unit 1", "keys": ""},
+                      {"variable_name": "note", "resolution_rule": "common", "keys": ""},
+                      {"variable_name": "mark", "resolution_rule": "or", "keys": ""}]
+    items = t.spark.sql(
+        f"{_PART_ITEMS} FROM (SELECT *, explode(sequence(1L, 3L)) AS k FROM {{e}}) WHERE (event_id + k) % 5 <> 0", e=t.events)
+    out = complementary.complementary_merge(_partial_records(t, crowd=True), rules, items={"m": items})
+    return rounded(out.items["m"])
+
+
 @query("complementary_merge_pairs", """
 WITH e AS (SELECT event_id AS id, 'u' || user_id || event_type AS person, value AS v, event_type AS kind,
     row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events)

@@ -1,10 +1,12 @@
 """Complementary merge against a row-by-row model of its rules."""
 
+import pickle
 import random
 
 import pytest
 
-from tallyforge.operators.complementary import Leads, complementary_merge, read_merge_rules
+from tallyforge.operators.complementary import Lead, Leads, absorb, complementary_merge, read_merge_rules
+from tallyforge.operators.foldstate import FoldRules, LeadState, RangeSummary, apply_summary
 
 RULES = [
     {"variable_name": "person", "resolution_rule": "common", "keys": "primary"},
@@ -199,3 +201,49 @@ def test_forcing_needs_a_record_priority():
     sheet = [r for r in RULES if r["resolution_rule"] != "record priority"]
     with pytest.raises(ValueError, match="record priority"):
         read_merge_rules(sheet, force_one=True)
+
+
+def test_range_summaries_equal_the_ordered_fold():
+    r = random.Random(4)
+    for _ in range(400):
+        n = r.randrange(4)
+        rules = FoldRules(r.random() < 0.5, r.choice(["common", "common, non-missing", "or", "variable priority"]), tuple(r.random() < 0.7 for _ in range(n)))
+
+        def rp():
+            return r.choice([None, 0, 1, 2, 3, 5]) if r.random() < 0.85 else r.choice([1000, 1001, 1002])
+
+        def units():
+            return [r.choice([None, 0.0, 1.0, 2.0]) if r.random() < 0.3 else 0.0 for _ in range(n)]
+
+        rows = [(100 + i, r.choice([None, "", f"s{i}"]), rp(), r.choice([None, 0, 1, 2, 3, i]), units()) for i in range(r.randrange(25))]
+        summary = RangeSummary(n, rules)
+        for row in rows:
+            summary.add(*row)
+        tree = pickle.loads(pickle.dumps(summary.tree()))
+        for _ in range(8):
+            start = LeadState(1, r.choice(["", "z", None]), rp(), r.choice([None, 0, 1, 2, 3, 10]), tuple(units()), r.randrange(5))
+            lead = Lead(*start[:5])
+            lead.seq = start.seq
+            for row in rows:
+                absorb(lead, *row, rules.force, rules.sort_rule, rules.flat_units)
+            assert apply_summary(tree, start) == LeadState(lead.base, lead.sort, lead.rp, lead.vp, tuple(lead.units), lead.seq)
+
+
+def test_summaries_stay_small_when_priorities_rise():
+    summary = RangeSummary(2, FoldRules(False, "common", (True, True)))
+    for i in range(5000):
+        summary.add(i, str(i), float(i % 900), float(i), [0.0, 0.0])
+    assert len(summary.alive) <= 3 and len(summary.tree()) <= 10
+
+
+@pytest.mark.parametrize("force", [False, True])
+def test_one_person_in_many_ranges(spark, force):
+    data = [(d[0], "p", *d[2:]) for d in records(8, n=150)]
+    items = item_rows(data, 8)
+    flat = spark.createDataFrame(data, SCHEMA)
+    item_df = spark.createDataFrame([(i["flat_table_id"], i["id"], i["answer"]) for i in items], "flat_table_id bigint, id int, answer string")
+    wanted, wanted_items = model(data, items, force)
+    for ranges in (1, 17):
+        result = complementary_merge(flat, RULES, items={"m": item_df}, force_one=force, ranges=ranges)
+        assert {r["id"]: tuple(r) for r in result.flat.collect()} == {w["id"]: tuple(w[c] for c in COLUMNS) + (rep,) for w, rep in wanted}
+        assert sorted(tuple(r) for r in result.items["m"].collect()) == sorted((i["flat_table_id"], i["id"], i["answer"]) for i in wanted_items)
