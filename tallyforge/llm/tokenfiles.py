@@ -34,12 +34,14 @@ has no shard and gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -55,60 +57,115 @@ from .media import store_uri
 SEQUENCE, BATCH_SEQUENCES = 2048, 128
 END_ID = 2
 #: Pieces whose ids a worker keeps, twice (the older half goes).
-KEPT_PIECES = 250_000
+KEPT_PIECES = 350_000
 
 _BLANK = re.compile(r"(?<=[^\s᠎])(?= )")
 #: White space before a blank: there the text is cut with care.
 _SPACED = re.compile(r"[\s᠎] ")
-#: Between a letter or digit and a mark behind it the pattern always ends a match.
-_MARK = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?\n])")
-#: Characters of a piece that is kept.
-LONGEST_KEPT = 64
+#: The pattern always ends a match between a letter or digit and a mark behind it, and between a single line end and what follows.
+_MARK = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?\n])|(?<=\S\n)(?=\S)")
+#: Words encoded as one text.
+WORDS_TOGETHER = 5_000
 
 
-class Encoder(dict):
-    """Ids of pieces as bytes; the worker keeps a bounded number of them."""
+def _bare(word: str) -> bool:
+    """Is there no white space (by any reading) at either end?"""
+    return bool(word) and not (word[0].isspace() or word[-1].isspace() or word[0] == "\u180e" or word[-1] == "\u180e")
 
-    def __init__(self, tokenizer, dtype: np.dtype):
-        super().__init__()
-        self.tokenizer, self.dtype, self.older = tokenizer, dtype, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
-        if found is None:  # several parts, each of them known or long
-            found = b"".join([self.get(part) or self._encoded([part])[0] for part in _MARK.split(piece)])
-        if len(piece) < LONGEST_KEPT:
-            self[piece] = found
-        return found
+class Encoder:
+    """A tokenizer and the ids, as bytes, of a bounded number of pieces that a worker has met.
 
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
+    ``known`` holds pieces that follow a blank (which is left out of the key), ``starts`` parts that follow none.
+    """
+
+    def __init__(self, tokenizer, kind: str):
+        self.tokenizer, self.dtype = tokenizer, np.dtype(kind)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
+        vocabulary = tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token)  # a character of the byte-level alphabet is a byte
+
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def _together(self, words: list[str], blank: bool) -> list[bytes]:
+        """Ids of bare words, each behind a blank or at the beginning of a line, from one text.
+
+        The tokens of the text end where the words end; the lengths of tokens and words in bytes tell which they are.
+        """
+        text = " " + " ".join(words) if blank else "\n".join(words) + "\n"
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        ends = np.cumsum(self.token_bytes[ids])
+        wanted = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)) + 1)
+        at = np.r_[0, np.searchsorted(ends, wanted) + 1]
+        if at[-1] != len(ids) or not np.array_equal(ends[at[1:] - 1], wanted):
+            return self._one_by_one([" " + word for word in words] if blank else words)  # it has joined words
+        size = self.dtype.itemsize
+        data, line_end = ids.tobytes(), 0 if blank else size
+        return [data[i:j - line_end] for i, j in pairwise((at * size).tolist())]
+
+    def _encoded(self, pieces: Iterable[str], blank: bool) -> dict[str, bytes]:
+        bare = list(filter(_bare, pieces))
+        out: dict[str, bytes] = {}
+        for i in range(0, len(bare), WORDS_TOGETHER):
+            out.update(zip(bare[i:i + WORDS_TOGETHER], self._together(bare[i:i + WORDS_TOGETHER], blank)))
+        rest = list(filterfalse(out.__contains__, pieces))
+        return out | dict(zip(rest, self._one_by_one([" " * blank + piece for piece in rest])))
+
     def _learn(self, pieces: set[str]) -> None:
-        if len(self) > KEPT_PIECES:
-            self.older = dict(self)
-            self.clear()
-        parts = {part for piece in pieces if piece not in self.older for part in _MARK.split(piece)}
-        new = [part for part in parts if len(part) < LONGEST_KEPT and part not in self]
-        for part in new:
-            if part in self.older:
-                self[part] = self.older[part]
-        new = [part for part in new if part not in self]
-        self.update(zip(new, self._encoded(new)))
+        """Make the pieces known; parts at marks are encoded apart, so a word is encoded once whatever mark follows."""
+        known, older = self.known, self.older
+        kept = older.keys() & pieces
+        known.update(zip(kept, map(older.__getitem__, kept)))
+        pieces = pieces - kept
+        words = set(filter(str.isalnum, pieces))
+        tails: set[str] = set()
+        split: list[tuple[str, list[str]]] = []
+        for piece in pieces - words:
+            parts = _MARK.split(piece)
+            words.add(parts[0])
+            if len(parts) > 1:
+                split.append((piece, parts))
+                tails.update(parts[1:])
+        known.update(self._encoded(list(filterfalse(known.__contains__, words)), True))
+        starts = self.starts
+        starts.update(self._encoded(list(filterfalse(starts.__contains__, tails)), False))
+        for piece, parts in split:
+            known[piece] = known[parts[0]] + b"".join([starts[part] for part in parts[1:]])
 
     def encode(self, texts_: list[str]) -> Iterator[bytes]:
         split = [pieces_of(text) for text in texts_]
-        self._learn(set().union(*split).difference(self.keys()))
-        for pieces in split:
-            yield b"".join(map(self.__getitem__, pieces))
-
-
-def pieces_of(text: str) -> list[str]:
-    """The text cut before blanks at which no match of the tokenizer's pattern goes on."""
+        unknown: set[str] = set()
+        for _, rest in split:
+            unknown.update(filterfalse(self.known.__contains__, rest))
+        gc.disable()  # nothing here is cyclic, and the dictionaries are large
+        try:
+            self._learn(unknown)
+        finally:
+            gc.enable()
+        firsts = self._encoded({first for first, _ in split}, False)
+        for first, rest in split:
+            yield firsts[first] + b"".join(map(self.known.__getitem__, rest))
+        if len(self.known) > KEPT_PIECES:
+            self.older, self.known = self.known, {}
+        if len(self.starts) > KEPT_PIECES:
+            self.starts = {}
+
+
+def pieces_of(text: str) -> tuple[str, list[str]]:
+    """What stands before the first cut, and the pieces behind the blank at each cut.
+
+    Cuts are made before blanks at which no match of the tokenizer's pattern goes on.
+    """
     if _SPACED.search(text):
-        return _BLANK.split(text)
+        first, *rest = _BLANK.split(text)
+        return first, [piece[1:] for piece in rest]
     first, *rest = text.split(" ")
-    return [first] * bool(first) + [" " + piece for piece in rest]
+    return first, rest
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +176,7 @@ def encoder(path: str) -> Encoder:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return Encoder(tokenizer, np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4"))
+    return Encoder(tokenizer, "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
 
 class _ShardWriter:
