@@ -320,58 +320,51 @@ def _fold(rows: DataFrame, n_units: int, rules: FoldRules, schema: T.StructType,
 
 # ---------------------------------------------------------- partner groups
 
-class Leads:
-    """Leads of the secondary-key patterns of one primary group.
-
-    Patterns come in the order of their first row.  A pattern joins the
-    earliest lead it is compatible with, else it leads; look-ups go through
-    the projections of the leads, so patterns are never compared in pairs and
-    only leads are remembered.
+def place_patterns(patterns: DataFrame, ps: Sequence[str], ss: Sequence[str]) -> DataFrame:
+    """The lead of each secondary-key pattern: ``ps``, ``ss``, ``_l0``... and ``_led``.
+
+    In the order of ``_first`` a pattern joins the earliest lead it is
+    compatible with, else it leads; one without ``_first`` may only join.  This
+    is the lexicographically first independent set, found in rounds: a pattern
+    looks for the earliest one among the leads and the patterns still open that
+    it is compatible with.  If that is itself, it leads; if that is a lead, it
+    joins; otherwise it waits.  The look-up goes through projections: for every
+    set of present keys that another pattern may have, the keys both have.  So
+    patterns are never compared in pairs, and a primary group of any size is
+    spread by its projections.
     """
-
-    def __init__(self, n_keys: int):
-        self.n_keys, self.seen, self.first, self.leads = n_keys, [], {}, []
-
-    def _part(self, key: tuple, shared: int) -> tuple:
-        return tuple(key[i] for i in range(self.n_keys) if shared >> i & 1)
-
-    def place(self, key: tuple, can_lead: bool) -> tuple | None:
-        """The lead of a pattern; None if it has none and may not lead."""
-        mask = sum(1 << i for i, v in enumerate(key) if v is not None)
-        found = (self.first.get((other, mask & other, self._part(key, mask & other))) for other in self.seen)
-        best = min((f for f in found if f is not None), default=None)
-        if best is None:
-            if not can_lead:
-                return None
-            best = len(self.leads)
-            self.leads.append(key)
-            if mask not in self.seen:
-                self.seen.append(mask)
-            for other in range(1 << self.n_keys):
-                self.first.setdefault((mask, mask & other, self._part(key, mask & other)), best)
-        return self.leads[best]
-
-
-def _assign_batches(n_primary: int, n_secondary: int):
-    """Stream over patterns sorted by primary group and first row; each is placed as it comes."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, leads = None, None
-        names = ([f"_p{i}" for i in range(n_primary)] + [f"_s{i}" for i in range(n_secondary)]
-                 + [f"_l{i}" for i in range(n_secondary)] + ["_led"])
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                row = [None if x is None or x != x else x for x in row]
-                if tuple(row[:n_primary]) != group:
-                    group, leads = tuple(row[:n_primary]), Leads(n_secondary)
-                key = tuple(row[n_primary:n_primary + n_secondary])
-                lead = leads.place(key, bool(row[-1]))
-                out.append((*group, *key, *(lead or [None] * n_secondary), lead is not None))
-            if out:
-                yield pd.DataFrame(out, columns=names)
-
-    return run
+    n = len(ss)
+    mask = reduce(lambda a, b: a + b, [F.when(F.col(s).isNotNull(), 1 << i).otherwise(0) for i, s in enumerate(ss)])
+    known = patterns.withColumns({"_mask": mask, "_can": F.col("_first").isNotNull()})
+
+    def part(shared: Column) -> Column:
+        return F.array(*[F.when(shared.bitwiseAND(F.lit(1 << i)) != 0, F.col(s)) for i, s in enumerate(ss)])
+
+    open_ = checkpointed(known)
+    masks = sorted(r[0] for r in open_.select("_mask").distinct().collect())  # at most 2 ** secondary keys
+    leads, done = None, []
+    while not open_.isEmpty():
+        may_lead = open_.where("_can").withColumn("_leads", F.lit(False))
+        offers = may_lead if leads is None else may_lead.unionByName(leads)
+        offers = offers.withColumn("_shared", F.explode(F.array(*map(F.lit, range(1 << n))))).where(
+            F.col("_shared").bitwiseAND(F.col("_mask")) == F.col("_shared"))
+        offers = offers.groupBy(*ps, F.col("_mask").alias("_other"), "_shared", part(F.col("_shared")).alias("_part")).agg(
+            F.min(F.struct("_first", "_leads", *ss)).alias("_offer"))
+        seek = open_.withColumn("_other", F.explode(F.array(*map(F.lit, masks)))).withColumn("_shared", F.col("_mask").bitwiseAND(F.col("_other")))
+        found = seek.withColumn("_part", part(F.col("_shared"))).alias("k").join(
+            offers.alias("o"), _null_safe([*ps, "_other", "_shared", "_part"], "k", "o"), "left").groupBy(*[F.col(f"k.{c}").alias(c) for c in (*ps, *ss)]).agg(
+            F.first("k._mask").alias("_mask"), F.first("k._first").alias("_first"), F.first("k._can").alias("_can"), F.min("o._offer").alias("_offer"))
+        own = F.col("_first").isNotNull() & (F.col("_offer._first") == F.col("_first"))
+        state = F.when(F.col("_offer").isNull(), "alone").when(own, "leads").when(F.col("_offer._leads"), "joins").otherwise("waits")
+        step = checkpointed(found.withColumn("_state", state))
+        done.append(step.where("_state <> 'waits'").select(
+            *ps, *ss, *[F.col(f"_offer.{s}").alias(f"_l{i}") for i, s in enumerate(ss)], (F.col("_state") != "alone").alias("_led")))
+        fresh = step.where("_state = 'leads'").select(*known.columns, F.lit(True).alias("_leads"))
+        leads = fresh if leads is None else leads.unionByName(fresh)
+        open_ = step.where("_state = 'waits'").select(*known.columns)
+    if not done:
+        return open_.select(*ps, *ss, *[F.col(s).alias(f"_l{i}") for i, s in enumerate(ss)], F.col("_can").alias("_led"))
+    return reduce(DataFrame.unionByName, done)
 
 
 def _null_safe(names: Sequence[str], left: str, right: str) -> Column:
@@ -399,18 +392,7 @@ def _clusters(narrow: DataFrame, n_primary: int, n_secondary: int) -> DataFrame:
     mixed = patterns.groupBy(*ps).agg(
         F.count("*").alias("_n"), F.max(has_blank.cast("int")).alias("_b")
     ).where((F.col("_n") > 1) & (F.col("_b") == 1)).select(*ps)
-    ordered = (
-        patterns.join(mixed, ps, "left_semi")
-        .withColumn("_can", F.col("_first").isNotNull())
-        .repartition(*[F.col(p) for p in ps])
-        .sortWithinPartitions(*ps, F.col("_first").asc_nulls_last(), *ss)
-        .select(*ps, *ss, "_can")
-    )
-    text = T.StringType()
-    schema = T.StructType(
-        [T.StructField(n, text) for n in ps + ss + [f"_l{i}" for i in range(n_secondary)]]
-        + [T.StructField("_led", T.BooleanType())])
-    assigned = ordered.mapInPandas(_assign_batches(n_primary, n_secondary), schema)
+    assigned = place_patterns(patterns.join(mixed, ps, "left_semi"), ps, ss)
     plain = narrow.join(mixed, ps, "left_anti").withColumn("_cluster", cluster_text(ss))
     rows = narrow.join(mixed, ps, "left_semi").alias("r").join(assigned.alias("a"), _null_safe(ps + ss, "r", "a"))
     rows = rows.select(

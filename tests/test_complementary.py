@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from tallyforge.operators.complementary import Lead, Leads, absorb, complementary_merge, read_merge_rules
+from tallyforge.operators.complementary import Lead, absorb, complementary_merge, place_patterns, read_merge_rules
 from tallyforge.operators.foldstate import FoldRules, LeadState, RangeSummary, apply_summary
 
 RULES = [
@@ -169,6 +169,53 @@ def test_indicators_above_one(spark):
     assert sorted(r["id"] for r in out.collect()) == [1, 2]
 
 
+class Leads:
+    """Model: leads of the patterns of one primary group, one pattern after the other."""
+
+    def __init__(self, n_keys: int):
+        self.n_keys, self.seen, self.first, self.leads = n_keys, [], {}, []
+
+    def _part(self, key: tuple, shared: int) -> tuple:
+        return tuple(key[i] for i in range(self.n_keys) if shared >> i & 1)
+
+    def place(self, key: tuple, can_lead: bool) -> tuple | None:
+        """The lead of a pattern; None if it has none and may not lead."""
+        mask = sum(1 << i for i, v in enumerate(key) if v is not None)
+        found = (self.first.get((other, mask & other, self._part(key, mask & other))) for other in self.seen)
+        best = min((f for f in found if f is not None), default=None)
+        if best is None:
+            if not can_lead:
+                return None
+            best = len(self.leads)
+            self.leads.append(key)
+            if mask not in self.seen:
+                self.seen.append(mask)
+            for other in range(1 << self.n_keys):
+                self.first.setdefault((mask, mask & other, self._part(key, mask & other)), best)
+        return self.leads[best]
+
+
+@pytest.mark.parametrize("seed,keys", [(1, 1), (2, 2), (3, 3), (4, 3)])
+def test_places_equal_the_ordered_pass(spark, seed, keys):
+    r = random.Random(seed)
+    ss = [f"_s{i}" for i in range(keys)]
+    seen, rows = set(), []
+    for i in range(260):
+        key = (r.choice(["hot", "hot", "a", "b"]), *[r.choice(["x", "y", "z", "w", None]) for _ in ss])
+        if key not in seen:
+            seen.add(key)
+            rows.append((*key, None if r.random() < 0.15 else (r.randrange(50), i)))
+    df = spark.createDataFrame(rows, "_p0 string, " + ", ".join(f"{s} string" for s in ss) + ", _first struct<_order: int, _id: int>")
+    want = {}
+    for person in ("hot", "a", "b"):
+        leads = Leads(keys)
+        for row in sorted((x for x in rows if x[0] == person), key=lambda x: (x[-1] is None, x[-1] or 0, repr(x))):
+            want[row[:-1]] = leads.place(row[1:-1], row[-1] is not None)
+    got = {tuple(x)[:1 + keys]: (tuple(x)[1 + keys:-1] if x[-1] else None) for x in place_patterns(df, ["_p0"], ss).collect()}
+    assert got == want
+    assert place_patterns(df.limit(0), ["_p0"], ss).collect() == []
+
+
 def test_leads_follow_first_rows():
     order = [(("a", None), True), (("a", "x"), True), (("b", "x"), True), ((None, "x"), True), ((None, None), True), (("c", "y"), False)]
     leads = Leads(2)
