@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -15,15 +14,17 @@ from ..session import checkpointed
 from .windows import rank_in_group
 
 SIMILARITY_STEPS = 20
+# Up to this distance names narrow the search by equal segments.
+NEAR_EDITS = 3
 # Names that name_calibration compares with the whole haystack, unless told otherwise.
 CALIBRATION_NAMES = 20
 
 
-def nominal_frequencies(haystack: DataFrame, column: str, weight: float) -> DataFrame:
+def nominal_frequencies(haystack: DataFrame, column: str, weight: float, total: int | None = None) -> DataFrame:
     """(value, freq): share of the value among present values, to the weight."""
     counts = haystack.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).count()
-    total = float(haystack.agg(F.count(column)).first()[0])
-    return counts.select("value", F.pow(F.col("count") / F.lit(total), F.lit(float(weight))).alias("freq"))
+    total = haystack.agg(F.count(column)).first()[0] if total is None else total
+    return counts.select("value", F.pow(F.col("count") / F.lit(float(total)), F.lit(float(weight))).alias("freq"))
 
 
 def big_nominal_frequency(haystack: DataFrame, column: str, weight: float, approximate: bool = False) -> float:
@@ -35,6 +36,16 @@ def big_nominal_frequency(haystack: DataFrame, column: str, weight: float, appro
     return (1.0 / n) ** weight if n else 1.0
 
 
+def _statistics(haystack: DataFrame, nominal: Mapping[str, float], big_nominal: Mapping[str, float],
+                name: tuple[str, str], approximate: bool) -> tuple[dict[str, int], dict[str, float], int]:
+    """Present values of the nominal columns, frequencies of the big ones and the longest name, from one aggregate."""
+    distinct = F.approx_count_distinct if approximate else F.countDistinct
+    wanted = [F.count(c).alias(f"n_{c}") for c in nominal] + [distinct(F.col(c)).alias(f"d_{c}") for c in big_nominal]
+    row = haystack.agg(F.max(F.length(clean_names(*name)[0])).alias("longest"), *wanted).first()
+    return ({c: row[f"n_{c}"] for c in nominal},
+            {c: (1.0 / row[f"d_{c}"]) ** w if row[f"d_{c}"] else 1.0 for c, w in big_nominal.items()}, row["longest"] or 0)
+
+
 def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weight: float,
                      names: int = CALIBRATION_NAMES) -> list[float]:
     """Chance of a similarity at least as high, for the steps 0..20.
@@ -69,20 +80,6 @@ def _constant(values, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(values, default=str)), schema)
 
 
-def _name_only_limit(n: DataFrame, calibration: Sequence[float], cut: float) -> int:
-    """Largest edit distance at which names alone can reach the cut.
-
-    Similarity s and distance d of a name of length L satisfy
-    d <= (1 - s) / s * L, whatever the length of the other name.
-    """
-    longest = n.agg(F.max(F.length("_ns"))).first()[0] or 0
-    step = next((i for i, p in enumerate(calibration) if p < cut), None)
-    if step is None:
-        return 0
-    least = max((step - 0.5) / SIMILARITY_STEPS, 1e-9)
-    return min(int((1 - least) / least * longest) + 1, 2 * longest + 1)
-
-
 def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str, float],
                  big_nominal: Mapping[str, float], name: tuple[str, str], name_weight: float, calibrate_key: str,
                  cut: float = 1e-16, count: int = 2, out_columns: Sequence[str] = (),
@@ -94,23 +91,26 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
     two rows share and of the chance of their name similarity; pairs below
     ``cut`` are kept, the best ``count`` per needle by rank.
 
-    No pair is lost.  What the names cannot contribute must come from shared
-    values, so a pair below ``cut`` agrees on at least one *minimal set* of
-    columns: a set whose weights reach the needed product while no smaller
-    part of it does.  Candidates come from an equi-join on the values of such
-    sets.  Where names alone can reach the cut, pairs of near names join them,
-    found by equal name segments: of the distance + 1 segments of one name, at
-    least one stands unchanged, and little moved, in the other.  ``blocking``
-    restricts the search to rows equal in those columns as well.
+    No pair is lost.  For a set of columns on which a pair agrees (and no
+    others), the product says which chance is left to the names, so how similar
+    they must be, so how many edits may lie between them.  Where that is more
+    than ``NEAR_EDITS``, names do not narrow the search and the values do:
+    candidates come from an equi-join on *minimal* such sets, which no smaller
+    such set is part of.  All other sets are joined on their values and on name
+    segments: of the distance + 1 segments of one name, at least one stands
+    unchanged, and little moved, in the other.  So rows that share only a
+    frequent value, or nothing, meet only if their names are near, however
+    lenient the cut or large the haystack.  ``blocking`` restricts the search to
+    rows equal in those columns as well.
     """
     columns = [*big_nominal, *nominal]
     first, last = name
     calibration = name_calibration(haystack, first, last, calibrate_key, name_weight, calibration_names)
-    big = {c: big_nominal_frequency(haystack, c, w, approximate) for c, w in big_nominal.items()}
+    totals, big, longest = _statistics(haystack, nominal, big_nominal, name, approximate)
     used = list(dict.fromkeys([*columns, first, last]))
     n = needles.select(*[F.col(c).alias(f"N_{c}") for c in used]).distinct()
     for c, w in nominal.items():
-        freq = nominal_frequencies(haystack, c, w).select(F.col("value").alias(f"N_{c}"), F.col("freq").alias(f"_w_{c}"))
+        freq = nominal_frequencies(haystack, c, w, totals[c]).select(F.col("value").alias(f"N_{c}"), F.col("freq").alias(f"_w_{c}"))
         n = n.join(freq, f"N_{c}", "left").withColumn(f"_w_{c}", F.coalesce(f"_w_{c}", F.lit(1.0)))
     n = n.withColumns({f"_w_{c}": F.lit(f) for c, f in big.items()})
     straight, swapped = clean_names(f"N_{first}", f"N_{last}")
@@ -119,8 +119,6 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
     h = h.withColumn("_hs", clean_names(f"H_{first}", f"H_{last}")[0])
     least_chance = min(calibration)
 
-    limit = _name_only_limit(n, calibration, cut)
-
     def score(get_n, get_h) -> Column:
         """Product of a pair; names are compared only as far as they matter."""
         product = F.lit(1.0)
@@ -128,20 +126,9 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
             product = product * F.when(get_n(f"N_{c}") == get_h(f"H_{c}"), get_n(f"_w_{c}")).otherwise(F.lit(1.0))
         chances = F.array(*[F.lit(p) for p in calibration])
         step = _step(get_n("_ns"), get_n("_nx"), get_h("_hs"))
-        near = [F.levenshtein(get_n(x), get_h("_hs"), limit) >= 0 for x in ("_ns", "_nx")]
-        # without any shared value the names must be this close (banded distance)
-        hopeless = (product == 1.0) & ~(near[0] | near[1])
-        return F.when((product * F.lit(least_chance) < F.lit(cut)) & ~hopeless, product * F.element_at(chances, step + 1))
-
-    need = -math.log(cut) + min((math.log(p) for p in calibration if p > 0), default=0.0)
-    if min(calibration) <= 0:
-        need = 0.0
-    if not columns and blocking is None:
-        pairs = _near_name_pairs(n, h, [], limit)
-    elif need > 0 or blocking is not None:
-        pairs = _minimal_set_pairs(n, h, columns, list(blocking or ()), need)
-    else:
-        pairs = _minimal_set_pairs(n, h, columns, [], 0.0, smallest=1).unionByName(_near_name_pairs(n, h, columns, limit))
+        return F.when(product * F.lit(least_chance) < F.lit(cut), product * F.element_at(chances, step + 1))
+
+    pairs = _candidates(n, h, columns, list(blocking or ()), calibration, cut, longest)
     scored = pairs.withColumn("prob", score(F.col, F.col)).where(F.col("prob") < cut)
     needle_columns = [f"N_{c}" for c in used]
     best = rank_in_group(scored, needle_columns, [F.col("prob")], count)
@@ -159,87 +146,103 @@ def _agreeing(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, bits, F.lit(0))
 
 
-def _minimal_set_pairs(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], need: float,
-                       smallest: int = 0) -> DataFrame:
-    """Pairs that agree on a minimal set of columns (bits of a mask) for their needle.
+def _set_of(columns: Sequence[str], mask: int) -> list[str]:
+    return [c for i, c in enumerate(columns) if mask >> i & 1]
+
 
-    A pair is made by the first minimal set it agrees on, so no distinct is
-    needed.  Sets have ``smallest`` columns at least; all needle and haystack
-    rows meet through equal keys of mask and values.
+def _edits(n_columns: Sequence[str], calibration: Sequence[float], cut: float, longest: int) -> Column:
+    """Edits that may lie between the names of a pair that agrees on these columns; NULL: no names are near enough.
+
+    Similarity s and distance d of a name of length L satisfy d <= (1 - s) / s * L, whatever the length of the other.
     """
-    gain = [F.when(F.col(f"N_{c}").isNotNull(), -F.log(f"_w_{c}")).otherwise(F.lit(0.0)) for c in columns]
-
-    def reaches(mask: int) -> Column:
-        inside = [g for i, g in enumerate(gain) if mask >> i & 1]
-        return reduce(lambda a, b: a + b, inside, F.lit(0.0)) >= F.lit(need - 1e-9)
-
-    def minimal(mask: int) -> Column:
-        present = [F.col(f"N_{c}").isNotNull() for i, c in enumerate(columns) if mask >> i & 1]
-        smaller = [mask & ~(1 << i) for i in range(len(columns)) if mask >> i & 1]
-        tests = present + [reaches(mask)] + [~reaches(m) for m in smaller if m.bit_count() >= smallest]
-        return reduce(lambda a, b: a & b, tests)
-
-    masks = sorted((m for m in range(1 << len(columns)) if m.bit_count() >= smallest), key=lambda m: (m.bit_count(), m))
-    found = F.filter(F.array(*[F.when(minimal(m), F.lit(m)) for m in masks]), lambda m: m.isNotNull())
-    n = n.withColumn("_masks", found)
-    used = [r[0] for r in n.select(F.explode("_masks").alias("m")).distinct().collect()]  # at most one per set of columns
-
-    def keys(prefix: str) -> Column:
-        def key(mask: int) -> Column:
-            names = [*blocking, *[c for i, c in enumerate(columns) if mask >> i & 1]]
-            values = [F.col(f"{prefix}_{c}").cast("string") for c in names]
-            full = reduce(lambda a, b: a & b, [v.isNotNull() for v in values], F.lit(True))
-            return F.when(full, F.struct(F.lit(mask).alias("_mask"), F.to_json(F.array(*values, F.lit(""))).alias("_key")))
-
-        return F.filter(F.array(*[key(m) for m in sorted(used)]), lambda k: k.isNotNull())
-
-    if not used:
-        return h.join(n.drop("_masks"), F.lit(False))
-    n_long = n.select("*", F.inline(keys("N"))).where(F.array_contains("_masks", F.col("_mask")))
-    h_long = h.select("*", F.inline(keys("H")))
-    joined = h_long.join(n_long, ["_mask", "_key"])
-    mask = _agreeing(columns)
-    first = F.element_at(F.filter("_masks", lambda m: m.bitwiseAND(mask) == m), 1)
+    product = reduce(lambda a, b: a * b, [F.col(f"_w_{c}") for c in n_columns], F.lit(1.0))
+    # The rounding of the product must not lose a pair at the cut.
+    steps = reduce(lambda a, b: a + b, [(product * F.lit(p) * (1 - 1e-9) >= F.lit(cut)).cast("int") for p in calibration])
+    least = (steps - F.lit(0.5)) / F.lit(float(SIMILARITY_STEPS))
+    most = F.greatest(F.length("_ns"), F.lit(longest), F.lit(NEAR_EDITS + 1))  # no two names are further apart
+    reach = F.floor((1 - least) / least * F.length("_ns") + F.lit(1e-6)).cast("int")
+    return F.when(steps == 0, most).when(steps < len(calibration), F.least(reach, most))
+
+
+def _candidates(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], calibration: Sequence[float],
+                cut: float, longest: int) -> DataFrame:
+    """Pairs that may lie below the cut, each once; see ``find_matches``."""
+    masks = sorted(range(1 << len(columns)), key=lambda m: (m.bit_count(), m))
+    here = {m: reduce(lambda a, b: a & b, [F.col(f"N_{c}").isNotNull() for c in [*blocking, *_set_of(columns, m)]], F.lit(True)) for m in masks}
+    n = n.withColumns({f"_d{m}": F.when(here[m], _edits(_set_of(columns, m), calibration, cut, longest)) for m in masks})
+    # Without any value to join on, only names can find a partner.
+    by_values = [m for m in masks if m or blocking]
+    n = n.withColumns({f"_d{m}_alone": F.coalesce(F.col(f"_d{m}") > NEAR_EDITS, F.lit(False)) for m in by_values})
+    minimal = {m: reduce(lambda a, b: a & ~b, [F.col(f"_d{m & ~(1 << i)}_alone") for i in range(len(columns))
+                                               if m >> i & 1 and m & ~(1 << i) in by_values], F.col(f"_d{m}_alone")) for m in by_values}
+    near = {m: F.col(f"_d{m}").isNotNull() & ~F.col(f"_d{m}_alone") if m in by_values else F.col(f"_d{m}").isNotNull() for m in masks}
+    n = checkpointed(n.withColumn("_n_id", F.monotonically_increasing_id()))
+    known = n.agg(*[F.max(minimal[m]).alias(f"v{m}") for m in by_values], *[F.max(F.when(near[m], F.col(f"_d{m}"))).alias(f"d{m}") for m in masks]).first()
+    narrow = [c for c in n.columns if not c.startswith("_d")]
+    found = []
+    if alone := [m for m in by_values if known[f"v{m}"]]:
+        wanted = F.filter(F.array(*[F.when(minimal[m], F.lit(m)) for m in alone]), lambda m: m.isNotNull())
+        found.append(_by_values(n.select(*narrow, wanted.alias("_masks")), h, columns, blocking, alone).drop("_n_id"))
+    if distances := {m: known[f"d{m}"] for m in masks if known[f"d{m}"] is not None}:
+        wanted = F.array(*[F.when(near[m], F.lit(m)) for m in distances])
+        found.append(_near_names(n.select(*narrow, wanted.alias("_masks")), h, columns, blocking, distances))
+    return reduce(DataFrame.unionByName, found) if found else h.join(n.select(*narrow).drop("_n_id"), F.lit(False))
+
+
+def _keys(prefix: str, columns: Sequence[str], blocking: Sequence[str], masks: Sequence[int]) -> Column:
+    """For each mask the blocking values and those of its columns; a row without one of them has no key for the mask."""
+    def key(mask: int) -> Column:
+        values = [F.col(f"{prefix}_{c}").cast("string") for c in [*blocking, *_set_of(columns, mask)]]
+        full = reduce(lambda a, b: a & b, [v.isNotNull() for v in values], F.lit(True))
+        return F.when(full, F.struct(F.lit(mask).alias("_mask"), F.to_json(F.array(*values, F.lit(""))).alias("_key")))
+
+    return F.filter(F.array(*[key(m) for m in sorted(masks)]), lambda k: k.isNotNull())
+
+
+def _by_values(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], masks: Sequence[int]) -> DataFrame:
+    """Pairs that agree on one of the needle's ``_masks``; a pair is made by the first of them, so no distinct is needed."""
+    n_long = n.select("*", F.inline(_keys("N", columns, blocking, masks))).where(F.array_contains("_masks", F.col("_mask")))
+    joined = h.select("*", F.inline(_keys("H", columns, blocking, masks))).join(n_long, ["_mask", "_key"])
+    agreed = _agreeing(columns)
+    first = F.element_at(F.filter("_masks", lambda m: m.bitwiseAND(agreed) == m), 1)
     return joined.where(F.col("_mask") == first).drop("_mask", "_key", "_masks")
 
 
-def _near_name_pairs(n: DataFrame, h: DataFrame, columns: Sequence[str], distance: int) -> DataFrame:
-    """Pairs that agree on no column and whose names differ by ``distance`` edits at most.
+def _near_names(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], distances: Mapping[int, int]) -> DataFrame:
+    """Pairs that agree on a mask's columns and no others and whose names differ by the mask's distance at most.
 
     A haystack name of more than ``distance`` letters is cut into distance + 1
     segments; a needle name lists, for every length the other may have, what
     could be such a segment, moved by at most ``distance``.  Shorter names
     meet by their length.
     """
-    n = checkpointed(n.withColumn("_n_id", F.monotonically_increasing_id()))
     h = checkpointed(h.withColumn("_h_id", F.monotonically_increasing_id()))
-    parts = distance + 1
-
-    def start(i: Column, length: Column) -> Column:
-        return F.floor(i * length / F.lit(parts)).cast("int")
-
-    def width(i: Column, length: Column) -> Column:
-        return start(i + 1, length) - start(i, length)
-
-    number = F.sequence(F.lit(0), F.lit(distance))
-    size = F.length("_hs")
-    cut = F.transform(number, lambda i: F.struct(
-        size.alias("size"), i.alias("i"), F.substring(F.col("_hs"), start(i, size) + 1, width(i, size)).alias("part")))
-    whole = F.array(F.struct(size.alias("size"), F.lit(-1).alias("i"), F.lit("").alias("part")))
-    h_keys = h.select("_h_id", "_hs", F.inline(F.when(size > distance, cut).otherwise(whole)))
-
-    names = n.select("_n_id", "_ns", "_nx", F.explode(F.array_distinct(F.array("_ns", "_nx"))).alias("name"))
-    own = F.length("name")
-    sizes = F.sequence(F.greatest(F.lit(0), own - distance), own + distance)
-    names = names.select("_n_id", "_ns", "_nx", "name", F.explode(sizes).alias("size"))
-    at = names.where(F.col("size") > distance).select("*", F.explode(number).alias("i")).select(
-        "*", F.explode(F.sequence(F.greatest(F.lit(0), start(F.col("i"), F.col("size")) - distance),
-                                  F.greatest(F.lit(0), start(F.col("i"), F.col("size")) + distance))).alias("at"))
-    at = at.where(F.col("at") + width(F.col("i"), F.col("size")) <= F.length("name"))
-    moved = at.select("_n_id", "_ns", "_nx", "size", "i", F.substring(F.col("name"), F.col("at") + 1, width(F.col("i"), F.col("size"))).alias("part"))
-    short = names.where(F.col("size") <= distance).select("_n_id", "_ns", "_nx", "size", F.lit(-1).alias("i"), F.lit("").alias("part"))
-    n_keys = moved.unionByName(short).distinct()
-    near = [F.levenshtein(F.col(x), F.col("_hs"), distance) >= 0 for x in ("_ns", "_nx")]
-    found = h_keys.join(n_keys, ["size", "i", "part"]).where(near[0] | near[1]).select("_n_id", "_h_id").distinct()
-    pairs = found.join(h, "_h_id").join(n, "_n_id").drop("_n_id", "_h_id")
-    return pairs.where(_agreeing(columns) == 0) if columns else pairs
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in distances.items() for x in pair]), F.col("_mask"))
+    d, size, i = F.col("_d"), F.col("size"), F.col("i")
+
+    def start(nth: Column) -> Column:
+        return F.floor(nth * size / (d + 1)).cast("int")
+
+    width = start(i + 1) - start(i)
+    values = [f"{{}}_{c}" for c in dict.fromkeys([*blocking, *columns])]
+    h_keys = h.select("_h_id", "_hs", *[v.format("H") for v in values], F.inline(_keys("H", columns, blocking, list(distances)))).withColumns(
+        {"_d": limit, "size": F.length("_hs")})
+    number = F.when(size > d, F.sequence(F.lit(0), d)).otherwise(F.array(F.lit(-1)))
+    h_keys = h_keys.withColumn("i", F.explode(number)).withColumn(
+        "part", F.when(i < 0, F.lit("")).otherwise(F.expr("substring(_hs, 1 + cast(floor(i * size / (_d + 1)) AS INT), "
+                                                         "cast(floor((i + 1) * size / (_d + 1)) AS INT) - cast(floor(i * size / (_d + 1)) AS INT))")))
+
+    names = n.select("_n_id", "_ns", "_nx", "_masks", *[v.format("N") for v in values], F.inline(_keys("N", columns, blocking, list(distances)))).where(
+        F.array_contains("_masks", F.col("_mask"))).drop("_masks").withColumn("_d", limit)
+    names = names.withColumn("name", F.explode(F.array_distinct(F.array("_ns", "_nx")))).withColumn("own", F.length("name"))
+    names = names.withColumn("size", F.explode(F.sequence(F.greatest(F.lit(0), F.col("own") - d), F.col("own") + d)))
+    at = names.where(size > d).withColumn("i", F.explode(F.sequence(F.lit(0), d)))
+    at = at.withColumn("at", F.explode(F.sequence(F.greatest(F.lit(0), start(i) - d), F.greatest(F.lit(0), start(i) + d))))
+    at = at.where(F.col("at") + width <= F.col("own")).withColumn("_width", width)
+    moved = at.withColumn("part", F.expr("substring(name, at + 1, _width)")).drop("at", "_width")
+    short = names.where(size <= d).withColumns({"i": F.lit(-1), "part": F.lit("")})
+    n_keys = moved.unionByName(short.select(*moved.columns)).drop("name", "own", "_d").distinct()
+    near = [F.coalesce(F.levenshtein(F.col(x), F.col("_hs")) <= d, F.lit(False)) for x in ("_ns", "_nx")]
+    met = h_keys.join(n_keys, ["_mask", "_key", "size", "i", "part"])
+    found = met.where((near[0] | near[1]) & (_agreeing(columns) == F.col("_mask"))).select("_n_id", "_h_id").distinct()
+    return found.join(h, "_h_id").join(n.drop("_masks"), "_n_id").drop("_n_id", "_h_id")
