@@ -29,13 +29,10 @@ QUANTILES = {
 }
 PLAIN = {
     "N", "MEAN", "SUM", "MIN", "MAX", "NMISS", "STD", "STDDEV", "VAR", "SKEW", "SKEWNESS", "KURT",
-    "KURTOSIS", "STDERR", "RANGE", "CSS", "USS", "CV", "T", "LCLM", "UCLM",
-}
-UNDEFINED = {
-    "SUMWGT": "the control sheet has no weight column",
-    "PROBT": "needs the distribution function of Student's t",
-    "CLM": "stands for two values: ask for LCLM and UCLM",
+    "KURTOSIS", "STDERR", "RANGE", "CSS", "USS", "CV", "T", "LCLM", "UCLM", "PROBT", "SUMWGT",
 }
+# A statistic that stands for two: endings of the output names, and what they are.
+TWO_VALUED = {"CLM": {"_lclm": "LCLM", "_uclm": "UCLM"}}
 ROUNDED = {"MEAN", "STD", "STDDEV", "VAR", "PERCENT"}
 
 
@@ -76,17 +73,15 @@ def compile_stat_specs(df: DataFrame, sheet=(), percent_sheet=()) -> list[StatSp
         kind = text_of(row.get("type")).upper()
         if not kind:
             continue
-        if kind in UNDEFINED:
-            raise NotImplementedError(f"line {line}: statistic {kind} {UNDEFINED[kind]}")
-        if kind not in PLAIN and kind not in QUANTILES:
+        if kind not in PLAIN and kind not in QUANTILES and kind not in TWO_VALUED:
             raise ValueError(f"line {line}: {kind} is not a known statistic")
         source = text_of(row.get("inputvar"))
         if kind != "N":
             field_type(df, source)
-        specs.append(StatSpec(
-            _check_name(text_of(row["variable_name"])), text_of(row["levelvar"]), kind, source,
+        specs += [StatSpec(
+            _check_name(text_of(row["variable_name"]) + ending), text_of(row["levelvar"]), one, source,
             spec_predicate(df, row.get("wherevar"), row.get("wherevalue")), None,
-            _rounding(row.get("rdvalue"), line)))
+            _rounding(row.get("rdvalue"), line)) for ending, one in TWO_VALUED.get(kind, {"": kind}).items()]
     for line, row in enumerate(sheet_rows(percent_sheet), start=1):
         specs.append(StatSpec(
             _check_name(text_of(row["variable_name"])), text_of(row["levelvar"]), "PERCENT", "",
@@ -146,6 +141,70 @@ def student_t_quantile(degrees: Column, two_sided: float = 0.05) -> Column:
     return F.when(degrees.between(1, 100), F.try_element_at(table, degrees.cast("int"))).when(degrees > 100, series)
 
 
+# Beyond these degrees of freedom the distribution is that of this many (tail areas differ by less than 1e-6).
+MOST_DEGREES = 1_000_000
+
+
+def _log_gamma(z: Column) -> Column:
+    """Stirling's series behind eight steps of the recurrence; z > 0."""
+    shifted = z + 8
+    inverse = F.lit(1.0) / shifted
+    square = inverse * inverse
+    series = inverse * (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square * (1 / 1680))))
+    steps = F.log(z)
+    for i in range(1, 8):
+        steps = steps + F.log(z + i)
+    return (shifted - 0.5) * F.log(shifted) - shifted + 0.5 * math.log(2 * math.pi) + series - steps
+
+
+def _beta_fraction(x: Column, a: Column, b: Column, steps: Column) -> Column:
+    """Continued fraction of the incomplete beta function by convergents' ratios, two terms a step."""
+    tiny = 1e-300
+
+    def turn(state: Column, factor: Column) -> Column:
+        c = F.lit(1.0) + F.try_divide(factor, state["c"])
+        d = F.lit(1.0) + factor * state["d"]
+        c, d = (F.when(F.abs(v) < tiny, F.lit(tiny)).otherwise(v) for v in (c, d))
+        d = F.lit(1.0) / d
+        return F.struct(c.alias("c"), d.alias("d"), (state["h"] * c * d).alias("h"))
+
+    def step(state: Column, m: Column) -> Column:
+        even = m * (b - m) * x / ((a + m * 2 - 1) * (a + m * 2))
+        odd = -(a + m) * (a + b + m) * x / ((a + m * 2) * (a + m * 2 + 1))
+        return turn(turn(state, even), odd)
+
+    d = F.lit(1.0) - (a + b) * x / (a + 1)
+    d = F.lit(1.0) / F.when(F.abs(d) < tiny, F.lit(tiny)).otherwise(d)
+    start = F.struct(F.lit(1.0).alias("c"), d.alias("d"), d.alias("h"))
+    return F.aggregate(F.transform(F.sequence(F.lit(1), steps), lambda m: m.cast("double")), start, step, lambda state: state["h"])
+
+
+def _with(values: dict[str, Column], formula) -> Column:
+    """A formula over values that are computed once (and kept out of the generated code, which it would overfill)."""
+    bound = F.array(F.struct(*[v.alias(n) for n, v in values.items()]))
+    return F.element_at(F.transform(bound, lambda s: formula(**{n: s[n] for n in values})), 1)
+
+
+def incomplete_beta(x: Column, a: Column, b: Column) -> Column:
+    """The regularised incomplete beta function for 0 <= x <= 1; the number of steps grows with the root of a + b."""
+    return _with({"x": x, "a": a, "b": b}, _incomplete_beta)
+
+
+def _incomplete_beta(x: Column, a: Column, b: Column) -> Column:
+    front = F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(x) + b * F.log(F.lit(1.0) - x))
+    steps = (F.lit(25.0) + F.sqrt(a + b) * 2).cast("int")
+    near = x < (a + 1) / (a + b + 2)
+    inside = F.when(near, front * _beta_fraction(x, a, b, steps) / a).otherwise(
+        F.lit(1.0) - front * _beta_fraction(F.lit(1.0) - x, b, a, steps) / b)
+    return F.when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(inside)
+
+
+def student_t_tails(t: Column, degrees: Column) -> Column:
+    """Chance that Student's t lies at least as far from zero as ``t``."""
+    return _with({"t": t, "v": F.least(degrees.cast("double"), F.lit(float(MOST_DEGREES)))}, lambda t, v: F.when(
+        v > 0, incomplete_beta(v / (v + t * t), v / 2, F.lit(0.5))))
+
+
 def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
     """Aggregate expression of one spec (everything except percentages of
     quantile kind, which use the built-in exact percentile)."""
@@ -162,6 +221,8 @@ def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
     total = n if missing == "skip" else n_rows
     if kind == "NMISS":
         return _count(cond & raw.isNull())
+    if kind == "SUMWGT":
+        return n.cast("double")  # the sheet has no weights, so each value weighs one
     if kind == "MIN":
         return F.min(F.when(cond, raw))
     if kind == "MAX":
@@ -198,6 +259,8 @@ def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
         return F.try_divide(F.stddev_samp(x), mean) * 100
     if kind == "T":
         return F.try_divide(mean, error)
+    if kind == "PROBT":
+        return student_t_tails(F.try_divide(mean, error), n - 1)
     if kind in ("LCLM", "UCLM"):
         half = student_t_quantile(n - 1) * error
         return mean - half if kind == "LCLM" else mean + half

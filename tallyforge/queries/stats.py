@@ -69,6 +69,31 @@ def group_stats_limits(t: Tables):
     return rounded(stats.group_stats(data, _sheet("l_returnflag", "x", "", "", ("LCLM", "UCLM")))["l_returnflag"], 2)
 
 
+# Tail areas for whole degrees of freedom v by the finite trigonometric series, whose terms are running products.
+@query("group_stats_tails", """
+WITH d AS (SELECT c_nationkey, CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal - 4400 END AS x FROM customer),
+g AS (SELECT c_nationkey, count(x) - 1 AS v, avg(x) / (stddev_samp(x) / sqrt(count(x))) AS t, count(x)::DOUBLE AS w,
+    avg(x) AS m, stddev_samp(x) / sqrt(count(x)) AS e FROM d GROUP BY c_nationkey),
+a AS (SELECT *, atan(abs(t) / sqrt(v)) AS angle, v % 2 AS odd FROM g),
+k AS (SELECT c_nationkey, i, 1 + odd + 2 * i AS k, odd, angle FROM (SELECT *, unnest(range(0, v // 2 + 1)) AS i FROM a) WHERE 1 + odd + 2 * i < v),
+p AS (SELECT c_nationkey, exp(CASE WHEN odd = 1 THEN ln(cos(angle)) ELSE 0 END + coalesce(sum(2 * ln(cos(angle)) + ln(k::DOUBLE / (k + 1)))
+    OVER (PARTITION BY c_nationkey ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS term FROM k),
+s AS (SELECT c_nationkey, sum(term) AS series FROM p GROUP BY c_nationkey)
+SELECT a.c_nationkey, round(1 - CASE WHEN odd = 1 THEN 2 / pi() * (angle + sin(angle) * coalesce(series, 0)) ELSE sin(angle) * series END, 7) AS probt, w AS sumwgt
+FROM a LEFT JOIN s ON s.c_nationkey = a.c_nationkey""")
+def group_stats_tails(t: Tables):
+    data = t.customer.withColumn("x", F.when(F.col("c_custkey") % 10 != 0, F.col("c_acctbal") - 4400))
+    return rounded(stats.group_stats(data, _sheet("c_nationkey", "x", "", "", ("PROBT", "SUMWGT")))["c_nationkey"], 7)
+
+
+@query("group_stats_clm", f"""
+WITH d AS (SELECT l_returnflag, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice END AS x FROM lineitem)
+SELECT l_returnflag, round(avg(x) - {_HALF}, 2) AS clm_lclm, round(avg(x) + {_HALF}, 2) AS clm_uclm FROM d GROUP BY l_returnflag""")
+def group_stats_clm(t: Tables):
+    data = t.lineitem.withColumn("x", F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")))
+    return rounded(stats.group_stats(data, _sheet("l_returnflag", "x", "", "", ("CLM",)))["l_returnflag"], 2)
+
+
 @query("group_stats_skip_missing", """
 WITH d AS (SELECT l_suppkey, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice END AS x FROM lineitem)
 SELECT l_suppkey, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std FROM d GROUP BY l_suppkey""")

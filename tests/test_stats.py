@@ -1,5 +1,7 @@
 """Statistics against numpy and small hand-made groups."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from tallyforge.operators.longitudinal import longitudinal_compare
 from tallyforge.operators.predicates import spec_predicate
 from tallyforge.operators.quantiles import exact_group_quantiles
 from tallyforge.operators.skew import number_rows
-from tallyforge.operators.stats import distinct_cut, frequency_distribution, group_stats, student_t_critical
+from tallyforge.operators.stats import distinct_cut, frequency_distribution, group_stats, student_t_critical, student_t_tails
 from tallyforge.operators.ttest import ttest, ttest_level
 from tallyforge.operators.windows import neighbor_overlap, running_total
 
@@ -96,7 +98,7 @@ def test_quantiles_of_one_repeated_value(spark):
 
 
 @pytest.mark.parametrize("row,error", [
-    ({"type": "SUMWGT"}, NotImplementedError), ({"type": "PROBT"}, NotImplementedError), ({"type": "MODE"}, ValueError), ({"rdvalue": -1}, ValueError),
+    ({"type": "MODE"}, ValueError), ({"rdvalue": -1}, ValueError),
     ({"wherevar": "flag", "wherevalue": "1 2"}, ValueError), ({"variable_name": "1bad"}, ValueError), ({"inputvar": "nope"}, ValueError)])
 def test_sheet_errors(data, row, error):
     with pytest.raises(error):
@@ -202,3 +204,24 @@ def test_cuts_numbers_and_frequencies(spark, rows):
     spans = big.withColumn("e", F.col("o") + F.col("o") % 5)
     near = neighbor_overlap(spans, "o", "e", ["o"], ["g"])
     assert near.count() > 0 and near.exceptAll(neighbor_overlap(spans, "o", "e", ["o"], ["g"], group_rows_limit=10)).count() == 0
+
+
+def test_tail_areas_of_students_t(spark):
+    """At tabulated critical values, at the closed forms of one and two degrees, and near the normal distribution."""
+    cases = [(v, student_t_critical(v, p), p) for v in (1, 2, 3, 7, 30, 99, 400) for p in (0.5, 0.05, 1e-4)]
+    cases += [(1, 3.0, 1 - 2 / math.pi * math.atan(3.0)), (2, 1.5, 1 - 1.5 / math.sqrt(2 + 1.5 ** 2)), (5, 0.0, 1.0)]
+    cases += [(v, t, math.erfc(t / math.sqrt(2))) for v in (10**6, 10**9) for t in (0.3, 1.96, 4.0)]
+    df = spark.createDataFrame([(v, s * t, p) for v, t, p in cases for s in (1.0, -1.0)], "v long, t double, p double")
+    for r in df.withColumn("got", student_t_tails(F.col("t"), F.col("v"))).collect():
+        assert r["got"] == pytest.approx(r["p"], abs=1e-6 if r["v"] >= 10**6 else 1e-10), r
+    assert spark.range(1).select(student_t_tails(F.lit(1.0), F.lit(0))).first()[0] is None
+
+
+def test_two_limits_and_weights(spark):
+    rows = [("a", x) for x in (1.0, 2.0, 4.0, None)] + [("b", 5.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    sheet = [{"variable_name": n, "levelvar": "g", "inputvar": "x", "wherevar": "", "wherevalue": "", "type": t, "rdvalue": None}
+             for n, t in (("c", "CLM"), ("lo", "LCLM"), ("hi", "UCLM"), ("w", "SUMWGT"), ("p", "PROBT"))]
+    got = {r["g"]: r for r in group_stats(df, sheet)["g"].collect()}
+    assert (got["a"]["c_lclm"], got["a"]["c_uclm"], got["a"]["w"]) == (got["a"]["lo"], got["a"]["hi"], 3.0)
+    assert got["a"]["p"] == pytest.approx(0.1181, abs=1e-3) and got["b"]["p"] is None and got["b"]["w"] == 1.0
