@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.text import name_similarity
 from ..session import checkpointed, maybe_broadcast
 from .predicates import field_type, sheet_rows, text_of
-from .skew import HOT_ROWS, hot_keys, join_on_keys
+from .skew import HOT_ROWS, grid_join, hot_on_either, join_on_keys, listed
 from .windows import common_columns, nodupkey
 
 DEFAULT_SIMILARITY_THRESHOLD = 0.8
@@ -99,7 +99,7 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     ``left_id`` and ``right_id`` are unique row ids.  Everything before the
     final meld works on ids and keys only; wide rows are joined once, by id.
     Counts per key decide duplicates, so no key group is gathered; keys above
-    ``hot_rows`` rows are joined apart (see ``join_on_keys``).
+    ``hot_rows`` rows on a side are joined in a grid (see ``join_on_keys``).
     """
     if join_type not in ("I", "L", "R", "F"):
         raise ValueError("join_type must be I, L, R or F")
@@ -157,9 +157,12 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         "_matched": left_usable & right_usable,
     })
 
-    hot = _hot_of_both(l_ok, r_ok, keys, hot_rows)
+    hot = hot_on_either(l_ok, r_ok, keys, hot_rows)
+    single = {"l": None, "r": None}  # against one row a key, only a side's own rows count
+    if hot is not None:
+        single = {"l": hot.withColumn("_nr", F.lit(1)), "r": hot.withColumn("_nl", F.col("_nr")).withColumn("_nr", F.lit(1))}
     matched = info.where("_matched").select(*keys)
-    pairs = join_on_keys(join_on_keys(l_ok, matched, keys, "inner", hot), r_ok, keys, "inner", hot)
+    pairs = join_on_keys(join_on_keys(l_ok, matched, keys, single["l"], hot_rows), r_ok, keys, hot, hot_rows)
 
     def shown(column: str) -> Column:
         return F.coalesce(F.col(column).cast("string"), F.lit("{NULL}"))
@@ -245,7 +248,7 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         rejects = nk.where(absent).select(key_id, F.lit(missing_text).alias("merge_report"))
         by_key = info.where(F.col(reason_col).isNotNull()).select(*keys, F.col(reason_col).alias("merge_report"))
         rejects = rejects.unionByName(
-            join_on_keys(usable, by_key, keys, "inner", hot).select(key_id, "merge_report"))
+            join_on_keys(usable, by_key, keys, single[side], hot_rows).select(key_id, "merge_report"))
         rejects = rejects.unionByName(
             pairs.where(F.col("_reason").isNotNull()).select(key_id, F.col("_reason").alias("merge_report")))
         wide_side = df.withColumn(key_id, F.col(row_id)).join(rejects, key_id)
@@ -266,13 +269,6 @@ def _prefixed(prefix: str, names: Sequence[str | None]) -> list[Column]:
     return [F.col(n).alias(prefix + n) for n in dict.fromkeys(n for n in names if n)]
 
 
-def _hot_of_both(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    lists = [h for h in (hot_keys(left, keys, limit), hot_keys(right, keys, limit)) if h is not None]
-    if not lists:
-        return None
-    return checkpointed(reduce(lambda a, b: a.unionByName(b), lists).distinct())
-
-
 # --------------------------------------------------------------- merge spec
 
 _KEY_RULE = re.compile(r"(primary|required|secondary|optional|fuzzy)\s*(\d+)\Z")
@@ -372,26 +368,29 @@ def read_merge_spec(left_sheet, right_sheet, left: DataFrame, right: DataFrame)
 
 # --------------------------------------------------------------- SAS merge
 
-def _full_outer(left: DataFrame, right: DataFrame, n_keys: int, hot: DataFrame | None) -> DataFrame:
+def _full_outer(left: DataFrame, right: DataFrame, n_keys: int, hot: DataFrame | None, cell_rows: int) -> DataFrame:
     """Full outer join of ``_lk<i>`` with ``_rk<i>``.
 
-    A full outer join cannot be split on skew, so hot keys take a left join
-    against their rows of the other side, plus the rows found only there.
+    A full outer join cannot be split on skew.  The counts of a hot key tell
+    whether both sides have it: then its rows meet in a grid, and all find a
+    partner; otherwise they stand alone.
     """
     test = reduce(lambda a, b: a & b, [F.col(f"_lk{i}") == F.col(f"_rk{i}") for i in range(n_keys)])
     if hot is None:
         return left.join(right, test, "full_outer")
+    names = [f"_k{i}" for i in range(n_keys)]
 
-    def part(df: DataFrame, side: str, how: str) -> DataFrame:
-        keys = hot.select(*[F.col(f"_k{i}").alias(f"_h{i}") for i in range(n_keys)])
+    def part(df: DataFrame, side: str, how: str, keys: DataFrame) -> DataFrame:
         same = reduce(lambda a, b: a & b, [F.col(f"_{side}k{i}") == F.col(f"_h{i}") for i in range(n_keys)])
-        return df.join(F.broadcast(keys), same, how)
+        return df.join(listed(keys.select(*[F.col(n).alias(f"_h{i}") for i, n in enumerate(names)])), same, how)
+
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        return df.withColumns({n: F.col(f"_{side}k{i}") for i, n in enumerate(names)})
 
-    cold = part(left, "l", "left_anti").join(part(right, "r", "left_anti"), test, "full_outer")
-    l_hot, r_hot = part(left, "l", "left_semi"), part(right, "r", "left_semi")
-    l_keys = l_hot.select(*[f"_lk{i}" for i in range(n_keys)]).distinct()
-    only_right = r_hot.join(F.broadcast(l_keys), test, "left_anti")
-    return cold.unionByName(l_hot.join(maybe_broadcast(r_hot), test, "left")).unionByName(only_right, allowMissingColumns=True)
+    cold = part(left, "l", "left_anti", hot).join(part(right, "r", "left_anti", hot), test, "full_outer")
+    met = grid_join(keyed(left, "l"), keyed(right, "r"), names, hot, cell_rows).drop(*names)
+    alone = [part(df, side, "left_semi", hot.where(f"{other} = 0")) for df, side, other in ((left, "l", "_nr"), (right, "r", "_nl"))]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [cold, met, *alone])
 
 
 def sas_merge(left: DataFrame, right: DataFrame, on: Sequence[str], keep: Sequence[str] = (),
@@ -406,9 +405,9 @@ def sas_merge(left: DataFrame, right: DataFrame, on: Sequence[str], keep: Sequen
     r = right.select(*_prefixed("_r_", right.columns), *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(on)],
                      F.lit(True).alias("_right"))
     names = [f"_k{i}" for i in range(len(on))]
-    hot = _hot_of_both(left.select(*[F.col(k).alias(n) for k, n in zip(on, names)]),
-                       right.select(*[F.col(k).alias(n) for k, n in zip(on, names)]), names, hot_rows)
-    both = _full_outer(l, r, len(on), hot)
+    hot = hot_on_either(left.select(*[F.col(k).alias(n) for k, n in zip(on, names)]),
+                        right.select(*[F.col(k).alias(n) for k, n in zip(on, names)]), names, hot_rows)
+    both = _full_outer(l, r, len(on), hot, hot_rows)
     names_right = {c.lower(): c for c in right.columns}
     from_right = F.col("_right").isNotNull()
     columns = [F.coalesce(f"_lk{i}", f"_rk{i}").alias(k) for i, k in enumerate(on)]

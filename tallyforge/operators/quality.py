@@ -33,7 +33,10 @@ def check_unique_key(df: DataFrame, column: str, row_id: str, hot_rows: int = HO
     """Every row whose value occurs at least twice."""
     rows = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_k"), F.col(row_id).alias("id"))
     repeated = rows.groupBy("_k").count().where(F.col("count") >= 2).select("_k")
-    bad = join_on_keys(rows, repeated, ["_k"], "inner", hot_keys(rows, ["_k"], hot_rows))
+    hot = hot_keys(rows, ["_k"], hot_rows)
+    if hot is not None:
+        hot = hot.select("_k", F.col("_rows").alias("_nl"), F.lit(1).alias("_nr"))
+    bad = join_on_keys(rows, repeated, ["_k"], hot, hot_rows)
     return bad.select(
         F.lit(column).alias("bad_variable"), F.col("_k").cast("string").alias("bad_value"),
         F.lit("not unique").alias("bad_reason"), "id", F.lit("").alias("bad_label"))

@@ -15,34 +15,74 @@ from ..session import checkpointed, maybe_broadcast
 HOT_ROWS = 1_000_000
 
 
+# Hot keys a broadcast may carry; a longer list is joined by shuffle.
+HOT_LIST_ROWS = 1_000_000
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """Keys of more than ``limit`` rows, or None when there is none.
+    """Keys of more than ``limit`` rows with their ``_rows``, or None when there is none.
 
     One narrow job: counts combine on the map side before the shuffle.
     """
-    known = df
+    hot = _present(df, keys).groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
+    return None if hot.isEmpty() else checkpointed(hot)
+
+
+def _present(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     for k in keys:
-        known = known.where(F.col(k).isNotNull())
-    hot = known.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
+def hot_on_either(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
+    """Keys of more than ``limit`` rows on a side, with their rows on both (``_nl``, ``_nr``), or None."""
+    counts = [_present(df, keys).groupBy(*keys).agg(F.count("*").alias(n)) for df, n in ((left, "_nl"), (right, "_nr"))]
+    both = counts[0].join(counts[1], list(keys), "full_outer").na.fill(0, ["_nl", "_nr"])
+    hot = both.where((F.col("_nl") > limit) | (F.col("_nr") > limit))
     return None if hot.isEmpty() else checkpointed(hot)
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                 hot: DataFrame | None = None) -> DataFrame:
-    """Equi-join in which the rows of hot keys are not shuffled by their key.
+def listed(hot: DataFrame, *columns: str) -> DataFrame:
+    """A stored list of hot keys, broadcast if its rows, which are counted, are few."""
+    frame = hot.select(*columns) if columns else hot
+    return F.broadcast(frame) if hot.count() <= HOT_LIST_ROWS else frame
+
+
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame, cell_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of the rows of ``hot`` keys, cut into cells.
 
-    Cold keys take the ordinary join.  Rows of hot keys meet the matching
-    rows of the other side by broadcast when those are small, which they are
-    whenever that side is unique on the key; both parts are then stacked.
+    The left rows of a key are dealt over as many lines of a grid as they fill,
+    the right rows over columns; a left row goes to every column of its line, a
+    right row to every line of its column, so each pair meets in one cell of
+    about ``cell_rows`` rows a side.  A row's line follows from its content, so
+    a task that runs again deals it alike.
+    """
+    keys = list(keys)
+    sizes = listed(hot.select(*keys, F.ceil(F.col("_nl") / cell_rows).cast("int").alias("_lines"),
+                              F.ceil(F.col("_nr") / cell_rows).cast("int").alias("_columns")))
+
+    def dealt(df: DataFrame, own: str, other: str, at: str, over: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int")
+        wide = df.join(sizes, keys).where((F.col(own) > 0) & (F.col(other) > 0))
+        return wide.withColumns({at: place, over: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}).drop("_lines", "_columns")
+
+    return dealt(left, "_lines", "_columns", "_line", "_column").join(
+        dealt(right, "_columns", "_lines", "_column", "_line"), [*keys, "_line", "_column"]).drop("_line", "_column")
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None = None,
+                 cell_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner equi-join in which no key's rows, however many on either side, meet in one task.
+
+    Cold keys take the ordinary join, the keys of ``hot`` (from
+    ``hot_on_either``) the grid; both parts are then stacked.
     """
     keys = list(keys)
     if hot is None:
-        return left.join(right, keys, how)
-    small = F.broadcast(hot)
-    cold = left.join(small, keys, "left_anti").join(right.join(small, keys, "left_anti"), keys, how)
-    warm = left.join(small, keys, "left_semi").join(
-        maybe_broadcast(right.join(small, keys, "left_semi")), keys, how)
-    return cold.unionByName(warm)
+        return left.join(right, keys)
+    names = listed(hot, *keys)
+    cold = left.join(names, keys, "left_anti").join(right.join(names, keys, "left_anti"), keys)
+    return cold.unionByName(grid_join(left, right, keys, hot, cell_rows))
 
 
 def _in_ranges(df: DataFrame, groups: Sequence[str], order: Sequence) -> DataFrame:
@@ -81,16 +121,17 @@ def running_sum(df: DataFrame, value: str, groups: Sequence[str], order: Sequenc
 
 
 def number_rows(df: DataFrame, groups: Sequence[str], order: Sequence, name: str = "row_number",
-                group_rows_limit: int = HOT_ROWS) -> DataFrame:
+                group_rows_limit: int | None = HOT_ROWS) -> DataFrame:
     """1-based row number per group in an order that must be total.
 
-    Without large groups this is the window function.  Otherwise (and for a
+    Without large groups this is the window function (``group_rows_limit`` None:
+    none is looked for).  Otherwise (and for a
     numbering over all rows) rows are range-partitioned by group and order,
     the layout is checkpointed so that it cannot change, and numbers are made
     of the place inside a range plus the rows of the ranges before it.
     """
     groups = list(groups)
-    if groups and hot_keys(df, groups, group_rows_limit) is None:
+    if groups and (group_rows_limit is None or hot_keys(df, groups, group_rows_limit) is None):
         return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
     laid = _in_ranges(df, groups, order)
     cells = laid.groupBy(*groups, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))

@@ -37,9 +37,10 @@ def nodupkey2(df: DataFrame, first_keys: Sequence[str], second_keys: Sequence[st
 
 
 def number_in_group(df: DataFrame, groups: Sequence[str], order: Sequence, name: str = "count",
-                    page: str | None = "page", page_size: int = 5, page_cap: int = 10) -> DataFrame:
-    """Row number per group and the page it falls on."""
-    out = number_rows(df, groups, order, name)
+                    page: str | None = "page", page_size: int = 5, page_cap: int = 10,
+                    group_rows_limit: int | None = HOT_ROWS) -> DataFrame:
+    """Row number per group and the page it falls on; no limit: the groups are known to be small."""
+    out = number_rows(df, groups, order, name, group_rows_limit)
     return out if page is None else out.withColumn(page, band_number(F.col(name), page_size, page_cap))
 
 

@@ -69,6 +69,40 @@ def keyed_merge_right_remainder(t: Tables):
     return rounded(_merged(t).right_remainder)
 
 
+# Left keys may not repeat; names of two columns, some swapped, some changed.
+_ONE_LEFT = ("SELECT o_orderkey AS lid, CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_orderkey % 12000 END AS k, o_orderpriority AS given, "
+             "concat('c', cast(o_custkey AS VARCHAR(20))) AS family FROM orders")
+_ONE_RIGHT = ("SELECT o_orderkey AS rid, o_orderkey % 11000 AS k, CASE WHEN o_orderkey % 3 = 0 THEN concat('c', cast(o_custkey AS VARCHAR(20))) ELSE o_orderpriority END AS given, "
+              "CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority WHEN o_orderkey % 4 = 0 THEN concat('x', cast(o_custkey * 7 AS VARCHAR(20))) "
+              "WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('c', cast(o_custkey AS VARCHAR(20))) END AS family FROM orders WHERE o_orderkey % 10 < 7")
+_ONE_SIDE = f"""
+WITH l AS ({_ONE_LEFT}), r AS ({_ONE_RIGHT}),
+lc AS (SELECT k, count(*) AS nl FROM l WHERE k IS NOT NULL GROUP BY k), rc AS (SELECT k, count(*) AS nr FROM r GROUP BY k),
+p AS (SELECT l.lid, r.rid, l.k, l.given, l.family, r.given AS rg, r.family AS rf, upper(l.given) || ' ' || upper(l.family) AS a, upper(l.family) || ' ' || upper(l.given) AS b,
+    upper(r.given) || ' ' || coalesce(upper(r.family), 'NULL') AS c FROM l JOIN lc ON lc.k = l.k AND nl = 1 JOIN r ON r.k = l.k),
+t AS (SELECT *, 1.0 - least(levenshtein(a, c), levenshtein(b, c))::DOUBLE / greatest(length(a), length(c)) AS sim FROM p),
+bad AS (SELECT *, 'Fuzzy key mismatch ("' || given || ' ' || family || '" vs "' || rg || ' ' || coalesce(rf, '{{NULL}}') || '")' AS reason FROM t WHERE sim <= 0.8)
+SELECT 'output' AS part, lid, rid, NULL AS reason FROM t WHERE sim > 0.8
+UNION ALL SELECT 'left', lid, NULL, 'Missing required key on left' FROM l WHERE k IS NULL
+UNION ALL SELECT 'left', lid, NULL, CASE WHEN nl > 1 THEN 'Duplicate required key on left' ELSE 'No required key match' END
+  FROM l JOIN lc ON lc.k = l.k LEFT JOIN rc ON rc.k = l.k WHERE nl > 1 OR nr IS NULL
+UNION ALL SELECT 'right', NULL, rid, 'No required key match' FROM r LEFT JOIN lc ON lc.k = r.k WHERE nl IS NULL OR nl > 1
+UNION ALL SELECT 'left', lid, NULL, reason FROM bad UNION ALL SELECT 'right', NULL, rid, reason FROM bad""".replace("{{", "{").replace("}}", "}")
+
+
+@query("keyed_merge_one_sided_duplicates", _ONE_SIDE)
+def keyed_merge_one_sided_duplicates(t: Tables):
+    """Output and both remainders where a repeated left key is rejected and names have two columns."""
+    left, right = (t.spark.sql(x.replace("FROM orders", "FROM {o}").replace("VARCHAR(20)", "STRING"), o=t.orders) for x in (_ONE_LEFT, _ONE_RIGHT))
+    out = merge.keyed_merge(left, right, "lid", "rid", ["k"], [], [["given", "family"]], 0.8, [merge.MergeField("k", "k", "k", "L")],
+                            allow_dups_left=False, allow_dups_right=True)
+    none = F.lit(None).cast("bigint")
+    parts = [out.output.select(F.lit("output").alias("part"), F.col("fk_left").alias("lid"), F.col("fk_right").alias("rid"), F.lit(None).cast("string").alias("reason")),
+             out.left_remainder.select(F.lit("left").alias("part"), F.col("fk_left").alias("lid"), none.alias("rid"), F.col("merge_report").alias("reason")),
+             out.right_remainder.select(F.lit("right").alias("part"), none.alias("lid"), F.col("fk_right").alias("rid"), F.col("merge_report").alias("reason"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("keyed_merge_fuzzy_report", _MERGE + """
 SELECT k, lid AS fk_left, rid AS fk_right, round(sim, 6) AS similarity_1, pr AS lfuzzykey_1_1, cast(NULL AS VARCHAR) AS lfuzzykey_1_2, rpr AS rfuzzykey_1_1,
   cast(NULL AS VARCHAR) AS rfuzzykey_1_2 FROM t WHERE r1 IS NULL""")

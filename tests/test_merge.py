@@ -4,8 +4,10 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.operators.merge import MergeField, attach_dimension, keyed_merge, missing_from_dimension, read_merge_spec, sas_merge
+from tallyforge.operators.skew import grid_join, hot_on_either, join_on_keys
 
 FIELDS = [MergeField("k", "k", "k", "L"), MergeField("code", "code", "code", "LN"), MergeField("num", "num", "num", "R"),
           MergeField("a", "a", None, "LO"), MergeField("b", None, "b", "RO")]
@@ -98,6 +100,27 @@ def test_hot_keys_take_another_way_to_the_same_rows(sides):
         assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
 
 
+def test_a_key_hot_on_both_sides_is_spread_over_a_grid(spark):
+    left = spark.range(2000).selectExpr("IF(id < 1800, 'hot', concat('k', id)) AS k", "id AS a")
+    right = spark.range(600).selectExpr("IF(id < 500, 'hot', concat('k', 1500 + id)) AS k", "id AS b")
+    hot = hot_on_either(left, right, ["k"], 100)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 1800, 500)]
+    met = grid_join(left, right, ["k"], hot, 100)
+    assert met.count() == met.distinct().count() == 1800 * 500
+    cells = join_on_keys(left, right, ["k"], hot, 100)
+    assert cells.where("k <> 'hot'").count() == 0 and cells.count() == left.join(right, "k").count()
+    # 18 x 5 cells of about 100 rows a side: no cell has much more than its share of the pairs
+    lines = left.where("k = 'hot'").groupBy(F.pmod(F.xxhash64("k", "a"), F.lit(18))).count().agg(F.max("count")).first()[0]
+    assert lines < 160
+    for keys in (("k",), ("k", "k2")):
+        l, r = (df.withColumn("k2", F.lit(1)).withColumn("n", F.lit(s)) for df, s in ((left, "l"), (right, "r")))
+        l = l.unionByName(spark.createDataFrame([("lonely", i, 1, "l") for i in range(150)], l.schema))
+        r = r.unionByName(spark.createDataFrame([("other", i, 1, "r") for i in range(150)], r.schema))
+        plain, split = (sas_merge(l, r, list(keys), hot_rows=h) for h in (10**6, 100))
+        assert split.groupBy("k", "n").agg(F.count("*"), F.sum("a"), F.sum("b")).exceptAll(
+            plain.groupBy("k", "n").agg(F.count("*"), F.sum("a"), F.sum("b"))).isEmpty() and plain.count() == split.count()
+
+
 def test_meld_priorities_and_reasons(spark):
     l = spark.createDataFrame([(1, "a", "1", "", 5.0), (2, None, "1", "x", 5.0), (3, "c", "1", "x", 5.0)], "id long, k string, g string, code string, num double")
     r = spark.createDataFrame([(9, "a", None, "R", 6.0), (8, "c", "", "R", 6.0)], "id long, k string, g string, code string, num double")
