@@ -25,12 +25,15 @@ def _recoded(df: DataFrame) -> DataFrame:
 def report_tables(district: DataFrame, state: DataFrame, school: DataFrame, school_intervention: DataFrame,
                   student: DataFrame, subjects: Sequence[str] = ("r", "m", "w", "s", "c"),
                   intervention_types: Sequence[str] = INTERVENTION_TYPES) -> dict[str, DataFrame]:
-    """All report tables by name; each is lazy."""
+    """All report tables by name; each is lazy, and no job runs before one is read.
+
+    Schools are numbered in their district by a window: a district has as many rows as schools and grades.
+    """
     from_district = F.substring("g_dcrxid", 4, 6)
     kinds = list(intervention_types)
     names = list_distinct([district, student], ["dcrxid", "dcrxnm"])
-    pages = number_in_group(_recoded(school), ["g_dcrxid"], [F.col("g_bcrxid"), F.col("bcrxid"), F.col("schtype")],
-                            "count", "reportnum")
+    pages = number_in_group(_recoded(school), ["g_dcrxid"], [F.col(c) for c in ("g_bcrxid", "bcrxid", "schtype", "rgrade", "bcrxnm")],
+                            "count", "reportnum", group_rows_limit=None)
     page_text = F.lpad(F.col("reportnum").cast("string"), 2, "0")
     pages = pages.withColumns({
         "reportnum_s": page_text, "g_dcrxid_n": F.concat_ws("_", F.trim("g_dcrxid"), page_text), "dcrxid": from_district})

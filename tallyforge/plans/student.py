@@ -13,7 +13,7 @@ from ..functions.keys import composite_key, grade_or_default
 from ..functions.numbers import to_number
 from ..functions.text import compose_name, proper_case_words
 from ..operators.predicates import drop_unattempted, split_by_flag
-from ..operators.stats import distinct_cut
+from ..session import checkpointed
 
 SUBJECTS = ("r", "m", "w", "s", "c")
 SPECIAL_SCHOOLS = ("000001", "000002", "000003")
@@ -140,13 +140,51 @@ def home_district_rows(df: DataFrame) -> DataFrame:
     return doubled.withColumns({k: at_home(k, v) for k, v in changed.items()}).select(*df.columns)
 
 
-def reporting_cuts(df: DataFrame, order: Sequence[str] = ("lithocode", "dummy_record_flag")) -> dict[str, DataFrame]:
-    """District, state, school and intervention tables of the student rows."""
-    schools = df.where((F.col("bcrxid") != "") & (F.upper(F.trim(F.coalesce("schtype", F.lit("")))) != "H"))
-    return {
-        "district": distinct_cut(df, ["g_dcrxid"], ["g_scrxid", "dcrxid", "dcrxnm", "grade", "rgrade"], order),
-        "state": distinct_cut(df, ["g_scrxid", "grade", "rgrade"]),
-        "school": distinct_cut(schools, ["g_bcrxid", "g_dcrxid", "g_scrxid", "bcrxid", "bcrxnm", "grade", "rgrade", "schtype"]),
-        "school_intervention": distinct_cut(
-            schools, ["bcrxid_attend", "bcrxnm_attend", "dcrxid_attend", "dcrxnm_attend", "scrxid", "schtype"]),
-    }
+# The columns that make a row of each cut, and those taken from its first row.
+CUT_KEYS = {
+    "district": ("g_dcrxid",),
+    "state": ("g_scrxid", "grade", "rgrade"),
+    "school": ("g_bcrxid", "g_dcrxid", "g_scrxid", "bcrxid", "bcrxnm", "grade", "rgrade", "schtype"),
+    "school_intervention": ("bcrxid_attend", "bcrxnm_attend", "dcrxid_attend", "dcrxnm_attend", "scrxid", "schtype"),
+}
+CUT_FIRST = {"district": ("g_scrxid", "dcrxid", "dcrxnm", "grade", "rgrade")}
+
+
+def cut_rows(df: DataFrame, order: Sequence[str] = ("lithocode", "dummy_record_flag")) -> DataFrame:
+    """The rows of all cuts in one pass over the student rows.
+
+    A row is repeated for each cut it belongs to, with that cut's keys alone,
+    and all are grouped at once, combined on the map side.  ``cut`` names the
+    cut; columns it does not have are NULL.
+    """
+    in_school = (F.col("bcrxid") != "") & (F.upper(F.trim(F.coalesce("schtype", F.lit("")))) != "H")
+    names = list(dict.fromkeys(c for cut, keys in CUT_KEYS.items() for c in (*keys, *CUT_FIRST.get(cut, ()))))
+    kinds = dict(df.dtypes)
+
+    def keys_of(cut: str) -> Column:
+        values = [F.col(c) if c in CUT_KEYS[cut] else F.lit(None).cast(kinds[c]) for c in names]
+        return F.struct(F.lit(cut).alias("cut"), *[v.alias(c) for v, c in zip(values, names)])
+
+    everywhere, schools = [c for c in CUT_KEYS if not c.startswith("school")], [c for c in CUT_KEYS if c.startswith("school")]
+    cuts = F.when(in_school, F.array(*map(keys_of, everywhere + schools))).otherwise(F.array(*map(keys_of, everywhere)))
+    first = list(dict.fromkeys(c for columns in CUT_FIRST.values() for c in columns))
+    carried = F.struct(*[F.col(c).alias(c) for c in first]).alias("_first")
+    long = df.select(carried, F.struct(*order).alias("_order"), F.explode(cuts).alias("_k")).select("_k.*", "_first", "_order")
+    grouped = long.groupBy("cut", *names).agg(F.min_by("_first", "_order").alias("_first"))
+
+    def value(c: str) -> Column:
+        taken = [cut for cut, columns in CUT_FIRST.items() if c in columns]
+        return F.when(F.col("cut").isin(taken), F.col(f"_first.{c}")).otherwise(F.col(c)) if taken else F.col(c)
+
+    return grouped.select("cut", *[value(c).alias(c) for c in names])
+
+
+def reporting_cuts(df: DataFrame, order: Sequence[str] = ("lithocode", "dummy_record_flag"), store: bool = True) -> dict[str, DataFrame]:
+    """District, state, school and intervention tables of the student rows.
+
+    The cuts are made in one pass and stored (they are small), so that none of
+    the four reads the students again; ``store=False`` leaves all lazy.
+    """
+    rows = cut_rows(df, order)
+    rows = checkpointed(rows) if store else rows
+    return {cut: rows.where(F.col("cut") == cut).select(*keys, *CUT_FIRST.get(cut, ())) for cut, keys in CUT_KEYS.items()}

@@ -1,5 +1,8 @@
 """Student records, reports, extracts, ids, whole workflows."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import plans
@@ -59,31 +62,59 @@ def home_district_rows(t: Tables):
     return rounded(plans.home_district_rows(_derived(t)).select("id", "dummy_record_flag", "dcrxid", "dcrxnm", "g_dcrxid", "g_bcrxid", "schtype"))
 
 
-def _cuts(t: Tables):
-    return plans.reporting_cuts(plans.home_district_rows(_derived(t)))
-
-
 @query("reporting_cuts", _HOME + """
 SELECT 'district' AS cut, g AS key, dn AS name FROM (SELECT grade || '_' || d AS g, dn, lithocode, flag FROM h) QUALIFY row_number() OVER (PARTITION BY g ORDER BY lithocode, flag) = 1
 UNION ALL SELECT DISTINCT 'state', grade || '_1', rgrade FROM h
 UNION ALL SELECT 'school', g_bcrxid, bcrxnm FROM (SELECT DISTINCT g_bcrxid, grade || '_' || d, bcrxid, bcrxnm, grade, rgrade, schtype FROM h)
 UNION ALL SELECT 'intervention', bcrxid_attend, dcrxnm_attend FROM (SELECT DISTINCT bcrxid_attend, bcrxnm_attend, dcrxid_attend, dcrxnm_attend, schtype FROM h)""")
 def reporting_cuts(t: Tables):
-    cuts = _cuts(t)
-    return (cuts["district"].select(F.lit("district").alias("cut"), F.col("g_dcrxid").alias("key"), F.col("dcrxnm").alias("name"))
-            .unionByName(cuts["state"].select(F.lit("state").alias("cut"), F.col("g_scrxid").alias("key"), F.col("rgrade").alias("name")))
-            .unionByName(cuts["school"].select(F.lit("school").alias("cut"), F.col("g_bcrxid").alias("key"), F.col("bcrxnm").alias("name")))
-            .unionByName(cuts["school_intervention"].select(F.lit("intervention").alias("cut"), F.col("bcrxid_attend").alias("key"), F.col("dcrxnm_attend").alias("name"))))
-
-
-@query("report_tables", _HOME + """,
-sc AS (SELECT DISTINCT g_bcrxid, grade || '_' || d AS g_dcrxid, bcrxid, bcrxnm, grade, rgrade, schtype FROM h)
-SELECT g_dcrxid || '_' || lpad(least(ceil(row_number() OVER (PARTITION BY g_dcrxid ORDER BY g_bcrxid, bcrxid, schtype, rgrade) / 5.0), 10)::INT::VARCHAR, 2, '0') AS g_dcrxid_n, g_bcrxid, schtype,
-  nullif(grade, '99') AS grade_recoded, substr(g_dcrxid, 4, 6) AS dcrxid FROM sc""")
+    rows = plans.cut_rows(plans.home_district_rows(_derived(t)))
+    shown = {"district": ("g_dcrxid", "dcrxnm"), "state": ("g_scrxid", "rgrade"), "school": ("g_bcrxid", "bcrxnm"), "school_intervention": ("bcrxid_attend", "dcrxnm_attend")}
+
+    def pick(i: int):
+        return F.coalesce(*[F.when(F.col("cut") == cut, F.col(columns[i])) for cut, columns in shown.items()])
+
+    return rows.select(F.replace("cut", F.lit("school_"), F.lit("")).alias("cut"), pick(0).alias("key"), pick(1).alias("name"))
+
+
+_TYPES = "schtype IN ('J', 'D', 'Y')"
+
+
+@query("report_tables", _HOME + f""",
+sc AS (SELECT DISTINCT g_bcrxid, grade || '_' || d AS g_dcrxid, bcrxid, bcrxnm, grade, rgrade, schtype FROM h),
+it AS (SELECT DISTINCT bcrxid_attend, bcrxnm_attend, dcrxid_attend, dcrxnm_attend, schtype FROM h),
+di AS (SELECT grade || '_' || d AS g_dcrxid, grade, d, dn FROM h QUALIFY row_number() OVER (PARTITION BY grade || '_' || d ORDER BY lithocode, flag) = 1),
+hd AS (SELECT *, d <> dcrxid_home AND trim(dcrxid_home) <> '' AND schtype <> 'Y' AS away FROM h)
+SELECT 'districtnames' AS tbl, d AS a, dn AS b, NULL AS c FROM (SELECT DISTINCT d, dn FROM h)
+UNION ALL SELECT 'state', g, nullif(grade, '99'), nullif(rgrade, '99') FROM (SELECT DISTINCT grade || '_1' AS g, grade, rgrade FROM h)
+UNION ALL SELECT 'school_repnum', g_dcrxid || '_' || lpad(least(ceil(row_number() OVER (PARTITION BY g_dcrxid ORDER BY g_bcrxid, bcrxid, schtype, rgrade, bcrxnm) / 5.0), 10)::INT::VARCHAR, 2, '0'), g_bcrxid, schtype FROM sc
+UNION ALL SELECT 'school', g_bcrxid, substr(g_dcrxid, 4, 6), nullif(grade, '99') FROM sc
+UNION ALL SELECT 'school_intervention', bcrxid_attend, dcrxid_attend, schtype FROM it
+UNION ALL SELECT 'school_intervention_jd', bcrxid_attend, dcrxid_attend, schtype FROM it WHERE {_TYPES}
+UNION ALL SELECT 'alldistricts', d, d, NULL FROM (SELECT DISTINCT d FROM di)
+UNION ALL SELECT 'all_districts', d, d, NULL FROM (SELECT DISTINCT d FROM di)
+UNION ALL SELECT 'all_districts', d, ' ', NULL FROM (SELECT DISTINCT d FROM h WHERE schtype = 'H')
+UNION ALL SELECT 'allschools', x, bcrxid, NULL FROM (SELECT DISTINCT substr(g_dcrxid, 4, 6) AS x, bcrxid FROM sc)
+UNION ALL SELECT 'allschools_jd', bcrxid, schtype, NULL FROM (SELECT DISTINCT bcrxid, schtype FROM sc WHERE {_TYPES})
+UNION ALL SELECT 'district', g_dcrxid, nullif(grade, '99'), dn FROM di
+UNION ALL SELECT 'student', lithocode || '-' || flag, d || bcrxid, nullif(grade, '99') FROM h
+UNION ALL SELECT 'studenthomedistrict', lithocode || '-' || flag, CASE WHEN away THEN grade || '_' || dcrxid_home ELSE grade || '_' || d END, CASE WHEN away THEN dcrxid_home ELSE d END FROM hd""")
 def report_tables(t: Tables):
-    cuts = _cuts(t)
-    out = plans.report_tables(cuts["district"], cuts["state"], cuts["school"], cuts["school_intervention"], plans.home_district_rows(_derived(t)))
-    return out["school_repnum"].select("g_dcrxid_n", "g_bcrxid", "schtype", "grade_recoded", "dcrxid")
+    """Three telling columns of each of the thirteen tables."""
+    people = plans.home_district_rows(_derived(t))
+    cuts = plans.reporting_cuts(people)
+    out = plans.report_tables(cuts["district"], cuts["state"], cuts["school"], cuts["school_intervention"], people)
+    row = F.concat_ws("-", "lithocode", "dummy_record_flag")
+    none = F.lit(None)
+    shown = {"districtnames": ("dcrxid", "dcrxnm", none), "state": ("g_scrxid", "grade_recoded", "grade_r_recoded"),
+             "school_repnum": ("g_dcrxid_n", "g_bcrxid", "schtype"), "school": ("g_bcrxid", "dcrxid", "grade_recoded"),
+             "school_intervention": ("bcrxid_attend", "dcrxid_recoded", "schtype"), "school_intervention_jd": ("bcrxid_attend", "dcrxid_recoded", "schtype"),
+             "alldistricts": ("dcrxid", "mergeid", none), "all_districts": ("dcrxid", "mergeid", none), "allschools": ("dcrxid", "bcrxid", none),
+             "allschools_jd": ("bcrxid", "schtype", none), "district": ("g_dcrxid", "grade_recoded", "dcrxnm"),
+             "student": (row, "labelid", "grade_recoded"), "studenthomedistrict": (row, "g_dcrxid", "dcrxid")}
+    parts = [out[name].select(F.lit(name).alias("tbl"), *[(F.col(c) if isinstance(c, str) else c).cast("string").alias(x) for c, x in zip(columns, "abc")])
+             for name, columns in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("extract_rows", f"""
