@@ -9,9 +9,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from ..functions.numbers import to_number
+from ..session import maybe_broadcast
 from .predicates import field_type, sheet_rows, text_of
 from .skew import carried_forward, next_value
 
@@ -43,8 +43,12 @@ def check_layout(layout: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS)
         text["nominal_values"].alias("nominal"), text["comments"].alias("comments"), text["std_code"].alias("code"))
     named = F.col("variable_name") != ""
     rows = rows.withColumn("_own", F.nullif("type", F.lit("")))
-    rows = carried_forward(rows, "_own", ["import_order"], "_vartype").withColumns({
-        "_dups": F.when(named, F.count("*").over(W.partitionBy("variable_name"))), "_vartype": F.lower("_vartype")})
+    rows = carried_forward(rows, "_own", ["import_order"], "_vartype").withColumn("_vartype", F.lower("_vartype"))
+    # Names are counted without the rows that have none, and a repeated name's rows are found by its count.
+    repeated = layout.select(name.alias("variable_name")).where(named).groupBy(F.col("variable_name").alias("_key")).agg(
+        F.count("*").alias("_dups")).where("_dups > 1")
+    key = F.when(named, F.col("variable_name")).otherwise(F.concat(F.lit("\n"), F.col("import_order").cast("string")))
+    rows = rows.withColumn("_key", key).join(maybe_broadcast(repeated), "_key", "left").drop("_key")
     has_start = F.col("start").isNotNull()
     numeric = (F.col("_vartype").isin("integer", "real") | F.col("_vartype").startswith("id")) & (F.col("type") == "")
     bad_code = ~F.col("code").rlike(NUMERIC_CODE) & (F.col("code") != "")

@@ -69,6 +69,21 @@ def read_delimited(t: Tables):
     return rounded(data.select("line_number", "id", F.regexp_replace("segment", '""', '"').alias("segment"), "name"))
 
 
+@query("read_delimited_errors", """
+SELECT line_number, variable, value, reason AS point_of_failure FROM (
+  SELECT 1 AS line_number, 'extra' AS variable, 'extra' AS value, 'Variable Not Found In Layout' AS reason
+  UNION ALL SELECT row_number() OVER (ORDER BY c_custkey) + 1, NULL, c_name || ',x,' || c_custkey || CASE WHEN c_custkey % 7 = 0 THEN ',more' ELSE '' END,
+    CASE WHEN c_custkey % 7 = 0 THEN 'More columns than specified in layout' END FROM customer) WHERE reason IS NOT NULL""")
+def read_delimited_errors(t: Tables):
+    """A name the layout lacks, and lines with more cells than names."""
+    path = t.scratch()
+    more = F.when(F.col("c_custkey") % 7 == 0, ",more").otherwise("")
+    lines = t.customer.select(F.col("c_custkey").alias("k"), F.concat("c_name", F.lit(",x,"), F.col("c_custkey").cast("string"), more).alias("value"))
+    head = t.spark.range(1).select(F.lit(None).cast("long").alias("k"), F.lit("name,extra,id").alias("value"))
+    head.union(lines).orderBy(F.col("k").asc_nulls_first()).select("value").write.text(path)
+    return rounded(sources.read_delimited(t.spark, path, [{"varname": n} for n in ("id", "name")]).errors)
+
+
 @query("read_typed_pair", "SELECT o_orderkey, o_custkey::DOUBLE AS o_custkey, o_orderstatus FROM orders")
 def read_typed_pair(t: Tables):
     values, types = t.scratch(), t.scratch()
