@@ -157,7 +157,8 @@ def _edits(n_columns: Sequence[str], calibration: Sequence[float], cut: float, l
     """
     product = reduce(lambda a, b: a * b, [F.col(f"_w_{c}") for c in n_columns], F.lit(1.0))
     # The rounding of the product must not lose a pair at the cut.
-    steps = reduce(lambda a, b: a + b, [(product * F.lit(p) * (1 - 1e-9) >= F.lit(cut)).cast("int") for p in calibration])
+    chances = F.array(*[F.lit(float(p)) for p in calibration])
+    steps = F.size(F.filter(chances, lambda p: product * p * (1 - 1e-9) >= F.lit(cut)))
     least = (steps - F.lit(0.5)) / F.lit(float(SIMILARITY_STEPS))
     most = F.greatest(F.length("_ns"), F.lit(longest), F.lit(NEAR_EDITS + 1))  # no two names are further apart
     reach = F.floor((1 - least) / least * F.length("_ns") + F.lit(1e-6)).cast("int")

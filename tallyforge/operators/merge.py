@@ -93,13 +93,15 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                 optional: Sequence = (), fuzzy: Sequence = (), thresholds=DEFAULT_SIMILARITY_THRESHOLD,
                 fields: Sequence[MergeField] | None = None, join_type: str = "I", allow_dups_left: bool = False,
                 allow_dups_right: bool = False, allow_dups_both: bool = False, null_as_text: bool = True,
-                hot_rows: int = HOT_ROWS) -> MergeResult:
+                hot_rows: int = HOT_ROWS, store: bool = False) -> MergeResult:
     """Merge two tables on required keys, then test optional and fuzzy keys.
 
     ``left_id`` and ``right_id`` are unique row ids.  Everything before the
     final meld works on ids and keys only; wide rows are joined once, by id.
     Counts per key decide duplicates, so no key group is gathered; keys above
     ``hot_rows`` rows on a side are joined in a grid (see ``join_on_keys``).
+    ``store`` keeps the decisions (row ids, keys, reason) in the checkpoint
+    folder, so that the outputs of one merge share one evaluation of its joins.
     """
     if join_type not in ("I", "L", "R", "F"):
         raise ValueError("join_type must be I, L, R or F")
@@ -157,6 +159,7 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         "_matched": left_usable & right_usable,
     })
 
+    info = checkpointed(info) if store else info
     hot = hot_on_either(l_ok, r_ok, keys, hot_rows)
     single = {"l": None, "r": None}  # against one row a key, only a side's own rows count
     if hot is not None:
@@ -183,7 +186,6 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
             F.lit('" vs "'), *joined_text([shown(f"_ropt{i}") for i in range(len(optional))]), F.lit('")'))
         reason = F.when(mismatch, text)
     pairs = pairs.withColumn("_reason", reason)
-    report = None
     if fuzzy:
         def part(side: str, i: int, j: int) -> Column:
             return F.col(f"_{side}fz{i}_{j}") if j < len(fuzzy[i]) else F.lit(None).cast("string")
@@ -193,13 +195,7 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                                         null_as_text)
             for i in range(len(fuzzy))
         })
-        columns = []
-        for i in range(len(fuzzy)):
-            columns.append(F.col(f"_sim{i}").alias(f"similarity_{i + 1}"))
-            columns += [part(s, i, j).alias(f"{s}fuzzykey_{i + 1}_{j + 1}") for s in "lr" for j in (0, 1)]
-        report = pairs.where(F.col("_reason").isNull()).select(
-            *[F.col(n).alias(k[0]) for n, k in zip(keys, required)],
-            F.col("_lid").alias("fk_left"), F.col("_rid").alias("fk_right"), *columns)
+        pairs = pairs.withColumn("_compared", F.col("_reason").isNull())
 
         def names(side: str) -> list[Column]:
             return joined_text([
@@ -213,6 +209,16 @@ def keyed_merge(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
             low, F.when(F.col("_reason").isNull(), text).otherwise(F.concat("_reason", F.lit("; "), text))
         ).otherwise(F.col("_reason")))
 
+    pairs = checkpointed(pairs) if store else pairs
+    report = None
+    if fuzzy:
+        columns = []
+        for i in range(len(fuzzy)):
+            columns.append(F.col(f"_sim{i}").alias(f"similarity_{i + 1}"))
+            columns += [part(s, i, j).alias(f"{s}fuzzykey_{i + 1}_{j + 1}") for s in "lr" for j in (0, 1)]
+        report = pairs.where("_compared").select(
+            *[F.col(n).alias(k[0]) for n, k in zip(keys, required)],
+            F.col("_lid").alias("fk_left"), F.col("_rid").alias("fk_right"), *columns)
     accepted = pairs.where(F.col("_reason").isNull()).select("_lid", "_rid", *keys)
     l_wide = left.select(F.col(left_id).alias("_lid"), *_prefixed("_l_", [f.left for f in fields]))
     r_wide = right.select(F.col(right_id).alias("_rid"), *_prefixed("_r_", [f.right for f in fields]))

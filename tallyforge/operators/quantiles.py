@@ -1,105 +1,86 @@
-"""Exact group quantiles that do not hold a group in one task."""
+"""Exact group quantiles by radix selection: no group, however large, meets in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import checkpointed
+# Bits of a value's fraction in its order key, and of the key left out by the first and the second digit.
+FRACTION_BITS, FIRST_SHIFT, SECOND_SHIFT = 36, 30, 16
+EXPONENT_OFFSET = 1100
 
-# Rows per group up to which the built-in percentile aggregate is used.
-GROUP_ROWS_LIMIT = 5_000_000
 
+def quantile_name(probability: float) -> str:
+    return "q" + format(probability, ".4f").replace(".", "_")
 
-def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = GROUP_ROWS_LIMIT) -> bool:
-    """One narrow counting job: does any group exceed the limit?"""
-    return not df.groupBy(*keys).count().where(F.col("count") > limit).isEmpty()
 
+def order_key(x: Column) -> Column:
+    """A whole number that never falls as the value rises: sign, binary exponent, leading bits of the fraction.
+
+    The exponent may come out one too high next to a power of two; the
+    fraction is then cut to zero, so that the order holds.
+    """
+    size = F.abs(x)
+    exponent = F.floor(F.log2(size))
+    fraction = size / F.pow(F.lit(2.0), exponent.cast("double")) - 1
+    bits = F.least(F.greatest(F.floor(fraction * float(1 << FRACTION_BITS)), F.lit(0)), F.lit((1 << FRACTION_BITS) - 1))
+    key = (exponent + EXPONENT_OFFSET) * (1 << FRACTION_BITS) + bits
+    endless = F.lit(2 * EXPONENT_OFFSET << FRACTION_BITS).cast("long")
+    key = F.when(F.isnan(x), endless + 1).when(size == float("inf"), endless).when(size > 0, key).otherwise(F.lit(0).cast("long"))
+    return F.when(x < 0, -key).otherwise(key)
 
-def quantile_name(probability: float) -> str:
-    return "q" + format(probability, ".4f").replace(".", "_")
 
+def _same(names: Sequence[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names])
 
-def exact_group_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float],
-                          buckets: int = 1000) -> DataFrame:
+
+def exact_group_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float]) -> DataFrame:
     """Interpolated (type 7) quantiles per group, one column per probability.
 
-    Each group's value range is cut at approximate quantiles into buckets of
-    about equal size.  The cuts are checkpointed, so both later passes see
-    the same buckets and the result does not depend on their quality.  Bucket
-    counts locate the buckets holding the wanted ranks; only those rows are
-    ranked, spread over (group, bucket).
+    Values of a group are counted by the first digit of their order key, which
+    tells the digits of the wanted ranks; values with those digits are counted
+    by the next one, and only what shares both is ranked, by distinct value.
+    All counts combine on the map side, and the passes behind the first one
+    keep few rows: those that share a digit with a wanted rank.
     """
     keys = list(keys)
     data = df.select(*keys, value.cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = checkpointed(
-        data.groupBy(*keys).agg(
-            F.percentile_approx("_x", fractions, F.lit(10 * buckets)).alias("_cuts"),
-            F.count("_x").alias("_n"),
-        ).withColumn("_cuts", F.array_sort(F.array_distinct("_cuts")))
-    )
-    matches = [F.col("d." + k).eqNullSafe(F.col("c." + k)) for k in keys]
-    condition = matches[0]
-    for m in matches[1:]:
-        condition = condition & m
-    bucketed = data.alias("d").join(cuts.alias("c"), condition).select(
-        *[F.col("d." + k).alias(k) for k in keys], "_x", "_n", "_cuts", F.lit(0).alias("_b"))
-    # Number of cuts below the value by binary search: one projection per
-    # halving, so a row costs log2(buckets) comparisons.
-    step = 1 << max(buckets - 1, 1).bit_length() - 1
-    while step:
-        higher = F.try_element_at("_cuts", F.col("_b") + step) < F.col("_x")
-        bucketed = bucketed.withColumn("_b", F.col("_b") + F.when(higher, step).otherwise(0))
-        step >>= 1
-    bucketed = bucketed.drop("_cuts")
-    totals = bucketed.groupBy(*keys, "_b").agg(F.count("_x").alias("_bn"), F.first("_n").alias("_n"))
-    running = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = totals.withColumn("_before", F.sum("_bn").over(running) - F.col("_bn"))
-    positions = F.array(*[
-        F.struct(
-            F.lit(i).alias("q"), F.lit(side).alias("side"),
-            (F.floor(F.lit(p) * (F.col("_n") - 1)) + F.lit(side)).alias("rank"),
-            (F.lit(p) * (F.col("_n") - 1) - F.floor(F.lit(p) * (F.col("_n") - 1))).alias("share"),
-        )
-        for i, p in enumerate(probabilities) for side in (0, 1)
-    ])
-    wanted = (
-        totals.withColumn("_w", F.explode(positions))
-        .withColumn("_rank", F.least(F.col("_w.rank"), F.col("_n") - 1))
-        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_bn")))
-        .select(*keys, "_b", "_before", "_rank", "_w.q", "_w.side", "_w.share")
-    )
-    places = wanted.select(*keys, "_b", "_before").distinct()
-    values = bucketed.alias("d").join(
-        places.alias("p"),
-        _null_safe(keys + ["_b"], "d", "p"),
-    ).select(*[F.col("d." + k).alias(k) for k in keys], F.col("d._b").alias("_b"), "_x", "_before")
-    values = values.groupBy(*keys, "_b", "_before", "_x").count()
-    order = W.partitionBy(*keys, "_b").orderBy("_x").rowsBetween(W.unboundedPreceding, W.currentRow)
-    values = values.withColumn("_upto", F.col("_before") + F.sum("count").over(order)).withColumn(
-        "_from", F.col("_upto") - F.col("count"))
-    picked = values.alias("v").join(
-        wanted.alias("w"),
-        _null_safe(keys + ["_b"], "v", "w")
-        & (F.col("w._rank") >= F.col("v._from")) & (F.col("w._rank") < F.col("v._upto")),
-    ).select(*[F.col("v." + k).alias(k) for k in keys], F.col("v._x").alias("_x"), "q", "side", "share")
+    data = data.withColumn("_key", order_key(F.col("_x"))).select(
+        *keys, "_x", F.shiftright("_key", FIRST_SHIFT).alias("_first"), F.shiftright("_key", SECOND_SHIFT).alias("_second"))
+
+    def located(counts: DataFrame, wanted: DataFrame, within: Sequence[str], digit: str) -> DataFrame:
+        """The wanted ranks with their digit; ranks count from the beginning of what shares it."""
+        upto = W.partitionBy(*keys, *within).orderBy(digit).rowsBetween(W.unboundedPreceding, W.currentRow)
+        counts = counts.withColumn("_upto", F.sum("_rows").over(upto))
+        found = counts.alias("c").join(wanted.alias("w"), _same([*keys, *within], "c", "w") & (F.col("w._rank") < F.col("c._upto"))
+                                       & (F.col("w._rank") >= F.col("c._upto") - F.col("c._rows")))
+        return found.select(*[F.col(f"c.{k}").alias(k) for k in keys], F.col(f"c.{digit}").alias(digit), "q", "share", "side",
+                            (F.col("w._rank") - F.col("c._upto") + F.col("c._rows")).alias("_rank"))
+
+    def sharing(wanted: DataFrame, digit: str) -> DataFrame:
+        """Values that share the digit of a wanted rank."""
+        places = wanted.select(*keys, digit).distinct()
+        return data.alias("d").join(places.alias("p"), _same([*keys, digit], "d", "p"), "left_semi")
+
+    counts = data.groupBy(*keys, "_first").agg(F.count("*").alias("_rows"))
+    place = F.col("_p.p") * (F.col("_n") - 1)
+    wanted = counts.groupBy(*keys).agg(F.sum("_rows").alias("_n")).withColumn(
+        "_p", F.explode(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])))
+    wanted = wanted.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+        *keys, "_p.q", "side", (place - F.floor(place)).alias("share"), F.least(F.floor(place) + F.col("side"), F.col("_n") - 1).alias("_rank"))
+    wanted = located(counts, wanted, [], "_first")
+    second = sharing(wanted, "_first").groupBy(*keys, "_first", "_second").agg(F.count("*").alias("_rows"))
+    wanted = located(second, wanted, ["_first"], "_second")
+    last = sharing(wanted, "_second").groupBy(*keys, "_second", "_x").agg(F.count("*").alias("_rows"))
+    picked = located(last, wanted, ["_second"], "_x")
     out = []
     for i, p in enumerate(probabilities):
-        here = F.col("q") == i
-        low = F.max(F.when(here & (F.col("side") == 0), F.col("_x")))
-        high = F.max(F.when(here & (F.col("side") == 1), F.col("_x")))
-        share = F.max(F.when(here, F.col("share")))
-        out.append((low + share * (high - low)).alias(quantile_name(p)))
+        low, high = (F.max(F.when((F.col("q") == i) & (F.col("side") == side), F.col("_x"))) for side in (0, 1))
+        share = F.max(F.when(F.col("q") == i, F.col("share")))
+        # No difference is taken of equal ends, which may be infinite.
+        out.append(F.when(low == high, low).otherwise(low + share * (high - low)).alias(quantile_name(p)))
     return picked.groupBy(*keys).agg(*out)
-
-
-def _null_safe(names: Sequence[str], left: str, right: str) -> Column:
-    tests = [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names]
-    condition = tests[0]
-    for t in tests[1:]:
-        condition = condition & t
-    return condition

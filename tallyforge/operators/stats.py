@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .predicates import equals_value, field_type, sheet_rows, spec_predicate, split_conditions, text_of
-from .quantiles import GROUP_ROWS_LIMIT, exact_group_quantiles, has_large_group, quantile_name
+from .quantiles import exact_group_quantiles, quantile_name
 from .skew import running_sum
 
 DEFAULT_ROUNDING = 12
@@ -206,8 +206,7 @@ def student_t_tails(t: Column, degrees: Column) -> Column:
 
 
 def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
-    """Aggregate expression of one spec (everything except percentages of
-    quantile kind, which use the built-in exact percentile)."""
+    """Aggregate expression of one spec (quantiles have a way of their own)."""
     cond, kind = spec.condition, spec.kind
     n_rows = _count(cond)
     if kind == "N":
@@ -264,20 +263,18 @@ def stat_column(spec: StatSpec, missing: str = "reference") -> Column:
     if kind in ("LCLM", "UCLM"):
         half = student_t_quantile(n - 1) * error
         return mean - half if kind == "LCLM" else mean + half
-    lows = [F.percentile(x, p) for p in QUANTILES[kind]]
-    return lows[0] if len(lows) == 1 else lows[1] - lows[0]
+    raise ValueError(f"{kind} is not an aggregate")
 
 
 def group_stats(df: DataFrame, sheet=(), percent_sheet=(), missing: str = "reference",
-                group_rows_limit: int = GROUP_ROWS_LIMIT,
                 aggregates_per_pass: int = AGGREGATES_PER_PASS) -> dict[str, DataFrame]:
     """One output per level variable, one column per spec row.
 
     All specs of a level are conditional aggregates of one ``groupBy``, which
     combines on the map side whatever the skew of the level.  ``missing``
     chooses the divisor of MEAN, STD and VAR: ``reference`` counts missing
-    inputs, ``skip`` does not.  Quantiles of groups above
-    ``group_rows_limit`` rows take the bucketed route.
+    inputs, ``skip`` does not.  Quantiles are found by radix selection, all of a
+    level at once.
     """
     if missing not in ("reference", "skip"):
         raise ValueError("missing must be 'reference' or 'skip'")
@@ -285,35 +282,44 @@ def group_stats(df: DataFrame, sheet=(), percent_sheet=(), missing: str = "refer
     for spec in compile_stat_specs(df, sheet, percent_sheet):
         levels.setdefault(spec.level.lower(), []).append(spec)
     return {
-        specs[0].level: _one_level(df, specs, missing, group_rows_limit, aggregates_per_pass)
+        specs[0].level: _one_level(df, specs, missing, aggregates_per_pass)
         for specs in levels.values()
     }
 
 
-def _one_level(df, specs: Sequence[StatSpec], missing, limit, per_pass) -> DataFrame:
+def _one_level(df, specs: Sequence[StatSpec], missing, per_pass) -> DataFrame:
     level = specs[0].level
     rows = df.where(F.col(level).isNotNull())
     quantile_specs = [s for s in specs if s.kind in QUANTILES]
-    bucketed = bool(quantile_specs) and has_large_group(rows, [level], limit)
-    direct = [s for s in specs if not (bucketed and s.kind in QUANTILES)]
+    direct = [s for s in specs if s.kind not in QUANTILES]
     # Every level that has rows is in the result, whatever its specs find there.
     parts = [] if direct else [rows.select(level).distinct()]
     for start in range(0, len(direct), per_pass):
         chunk = direct[start:start + per_pass]
         parts.append(rows.groupBy(level).agg(*[stat_column(s, missing).alias(s.name) for s in chunk]))
-    if bucketed:
-        for s in quantile_specs:
-            probs = QUANTILES[s.kind]
-            q = exact_group_quantiles(rows, [level], F.when(s.condition, F.col(s.input)), probs)
-            low = F.col(quantile_name(probs[0]))
-            value = low if len(probs) == 1 else F.col(quantile_name(probs[1])) - low
-            parts.append(q.select(level, value.alias(s.name)))
+    if quantile_specs:
+        parts.append(_quantiles(rows, level, quantile_specs))
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part, level, "left")
     return out.select(level, *[s.name for s in specs])
 
 
+def _quantiles(rows: DataFrame, level: str, specs: Sequence[StatSpec]) -> DataFrame:
+    """One selection for all specs: a row is repeated for each different condition and input."""
+    values = {(str(s.condition), s.input.lower()): F.when(s.condition, F.col(s.input).cast("double")) for s in specs}
+    number = {key: i for i, key in enumerate(values)}
+    tagged = F.array(*[F.struct(F.lit(number[key]).alias("_of"), v.alias("_v")) for key, v in values.items()])
+    long = rows.select(F.col(level), F.inline(tagged)).where(F.col("_v").isNotNull())
+    found = exact_group_quantiles(long, [level, "_of"], F.col("_v"), sorted({p for s in specs for p in QUANTILES[s.kind]}))
+
+    def value(s: StatSpec) -> Column:
+        ends = [F.max(F.when(F.col("_of") == number[str(s.condition), s.input.lower()], F.col(quantile_name(p)))) for p in QUANTILES[s.kind]]
+        return ends[0] if len(ends) == 1 else ends[1] - ends[0]
+
+    return found.groupBy(level).agg(*[value(s).alias(s.name) for s in specs])
+
+
 def frequency_distribution(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Count, percent, running count and running percent of non-missing levels.
 

@@ -51,7 +51,7 @@ def record_change_pipeline(scores: DataFrame, registration: DataFrame, master: D
     """
     clean = clean_registration(registration)
     merged = keyed_merge(scores, clean, score_id, registration_id, spec.required, spec.optional, spec.fuzzy,
-                         thresholds, spec.fields, "I", allow_dups_both=False)
+                         thresholds, spec.fields, "I", allow_dups_both=False, store=True)
     rows = union_all([merged.output.drop("fk_left", "fk_right"), merged.left_remainder.drop("fk_left", "merge_report")])
     if district_map:
         table = F.create_map(*[F.lit(x) for pair in district_map.items() for x in pair])

@@ -51,10 +51,10 @@ SELECT o_custkey, round(quantile_cont(x, 0.5) FILTER (WHERE o_orderstatus = 'F')
   round(quantile_cont(x, 0.75) FILTER (WHERE o_orderstatus = 'F') - quantile_cont(x, 0.25) FILTER (WHERE o_orderstatus = 'F'), 4) AS qrange
 FROM d GROUP BY o_custkey""")
 def group_stats_ranges(t: Tables):
-    """Quantiles alone, all by the route of large groups; some groups have no value."""
+    """Quantiles alone; some groups have no value."""
     data = t.orders.withColumn("x", F.when((F.col("o_custkey") % 5 != 0) & (F.col("o_orderkey") % 7 != 0), F.col("o_totalprice")))
     sheet = _sheet("o_custkey", "x", "o_orderstatus", "f", ("MEDIAN", "QRANGE"))
-    return rounded(stats.group_stats(data, sheet, group_rows_limit=1)["o_custkey"], 4)
+    return rounded(stats.group_stats(data, sheet)["o_custkey"], 4)
 
 
 # Student's t for thousands of degrees of freedom by its expansion around the normal quantile.
@@ -115,7 +115,7 @@ def group_stats_percent(t: Tables):
 SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90
 FROM lineitem GROUP BY l_returnflag""")
 def group_quantiles_bucketed(t: Tables):
-    out = quantiles.exact_group_quantiles(t.lineitem, ["l_returnflag"], F.col("l_extendedprice"), [0.5, 0.9], buckets=64)
+    out = quantiles.exact_group_quantiles(t.lineitem, ["l_returnflag"], F.col("l_extendedprice"), [0.5, 0.9])
     return rounded(out.select("l_returnflag", F.col("q0_5000").alias("median"), F.col("q0_9000").alias("p90")), 4)
 
 

@@ -155,3 +155,23 @@ def test_many_needles_and_a_cut_that_names_reach(spark):
         if prob < 1e-3:
             wanted.append((r["ng"], r["nf"], r["nl"], r["hid"], round(prob, 12)))
     assert got == sorted(wanted) and len(got) > 300
+
+
+def test_a_frequent_value_makes_no_candidates_of_its_own(spark):
+    """At a cut that names alone can reach, rows that share only a value of every third row must have near names."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    args = ({"g": 1.0}, {"code": 1.0}, ("f", "l"), 1.5, "hid", 1e-3, 10_000, ["hid"])
+    for size in (400, 800):
+        hay = [(i, f"g{i % 3}", f"c{i}", word(6), word(8)) for i in range(size)]
+        needles = [(g, c, *(rng.choice(hay)[3:])) for g, c in ((f"g{i % 3}", f"c{i * 7}") for i in range(50))]
+        h = spark.createDataFrame(hay, "hid int, g string, code string, f string, l string")
+        n = spark.createDataFrame(needles, "g string, code string, f string, l string")
+        seen = []
+        plain = linkage._candidates
+        try:
+            linkage._candidates = lambda *a: seen.append(plain(*a)) or seen[-1]
+            got = linkage.find_matches(n, h, *args)
+        finally:
+            linkage._candidates = plain
+        assert got.count() >= 50 and seen[0].count() < 50 * size / 20

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators.cascade import cascade, regression_residual_t
 from tallyforge.operators.longitudinal import longitudinal_compare
 from tallyforge.operators.predicates import spec_predicate
-from tallyforge.operators.quantiles import exact_group_quantiles
+from tallyforge.operators.quantiles import exact_group_quantiles, order_key
 from tallyforge.operators.skew import number_rows
 from tallyforge.operators.stats import distinct_cut, frequency_distribution, group_stats, student_t_critical, student_t_tails
 from tallyforge.operators.ttest import ttest, ttest_level
@@ -69,21 +69,49 @@ def test_skip_missing_divides_by_present_values(data):
     assert r["g0"] == pytest.approx(np.mean([x for g, x, *_ in rows if g == "g0" and x is not None]))
 
 
-def test_large_groups_take_the_bucketed_way(data):
-    _, df = data
-    kinds = ["N", "MEDIAN", "P90", "QRANGE"]
-    plain = group_stats(df, sheet(kinds, "flag", "1"))["g"].collect()
-    bucketed = group_stats(df, sheet(kinds, "flag", "1"), group_rows_limit=3)["g"].collect()
-    assert {r["g"]: tuple(r)[1:] for r in plain} == {r["g"]: pytest.approx(tuple(r)[1:]) for r in bucketed}
-
-
-@pytest.mark.parametrize("limit", [1, 3, 5_000_000])
-def test_groups_without_values_stay(spark, limit):
+def test_groups_without_values_stay(spark):
     df = spark.createDataFrame([("a", 1.0, 1), ("a", 3.0, 1), ("b", None, 1), ("b", None, 1), ("c", 4.0, 0)], "g string, x double, flag int")
-    out = group_stats(df, sheet(["MEDIAN", "QRANGE"], "flag", "1"), group_rows_limit=limit)["g"]
+    out = group_stats(df, sheet(["MEDIAN", "QRANGE"], "flag", "1"))["g"]
     assert sorted(map(tuple, out.select("g", "median").collect())) == [("a", 2.0), ("b", None), ("c", None)]
 
 
+def test_quantiles_under_several_conditions(data):
+    rows, df = data
+    specs = sheet(["MEDIAN", "P90"], "flag", "1") + [{**s, "variable_name": "all_" + s["variable_name"]} for s in sheet(["MEDIAN", "QRANGE"])]
+    got = {r["g"]: r for r in group_stats(df, specs)["g"].collect()}
+    for g, r in got.items():
+        some = [row[1] for row in rows if row[0] == g and row[1] is not None]
+        if not some:
+            assert r["all_median"] is None and r["all_qrange"] is None
+            continue
+        assert r["all_median"] == pytest.approx(np.quantile(some, 0.5)) and r["all_qrange"] == pytest.approx(np.subtract(*np.quantile(some, [0.75, 0.25])))
+    plain = {r["g"]: r for r in group_stats(df.where("flag = 1"), sheet(["MEDIAN", "P90"]))["g"].collect()}
+    assert {g: (r["median"], r["p90"]) for g, r in got.items() if r["median"] is not None} == {g: (r["median"], r["p90"]) for g, r in plain.items() if r["median"] is not None}
+
+
+def test_order_keys_never_fall(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.normal(size=300) * 10.0 ** rng.integers(-300, 300, 300), 2.0 ** np.arange(-1074, 1024, 7), np.nextafter(2.0 ** np.arange(-60, 60), 0),
+                             [0.0, -0.0, 5e-324, 1.7976931348623157e308, np.inf, -np.inf, 1, 3, 1 + 2**-52]])
+    values = np.concatenate([values, -values])
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = [r["k"] for r in df.select("x", order_key(F.col("x")).alias("k")).orderBy("x").collect()]
+    assert got == sorted(got) and len(set(got)) > 800
+
+
+def test_quantiles_of_values_far_apart_and_close_by(spark):
+    rng = np.random.default_rng(5)
+    groups = {"wide": rng.normal(size=301) * 10.0 ** rng.integers(-30, 30, 301), "near": 1e6 + np.arange(500) * 1e-9, "ends": np.array([-np.inf, -1.0, 0.0, 2.0, np.inf]),
+              "ties": np.repeat([1.0, -2.0, 1e300], [50, 3, 7]), "one": np.array([7.5])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, x double").repartition(5)
+    probabilities = [0.0, 0.01, 0.25, 0.5, 0.77, 1.0]
+    for r in exact_group_quantiles(df, ["g"], F.col("x"), probabilities).collect():
+        with np.errstate(invalid="ignore"):
+            want = np.quantile(groups[r["g"]], probabilities)
+        for got, w in zip(r[1:], want):
+            assert got == pytest.approx(w, rel=1e-12) or (r["g"] == "ends" and not np.isfinite(w))
+
+
 def test_running_totals_over_missing_values(spark):
     rows = [(i % 2, i, None if i % 3 == 0 or i < 7 else i) for i in range(60)] + [(5, 1, None), (5, 2, None)]
     df = spark.createDataFrame(rows, "g int, o int, v int")
@@ -93,7 +121,7 @@ def test_running_totals_over_missing_values(spark):
 
 def test_quantiles_of_one_repeated_value(spark):
     df = spark.createDataFrame([("a", 5.0)] * 50 + [("a", 7.0)] * 50 + [("b", None)], "g string, x double")
-    out = exact_group_quantiles(df, ["g"], F.col("x"), [0.5, 0.25, 1.0], buckets=16).collect()
+    out = exact_group_quantiles(df, ["g"], F.col("x"), [0.5, 0.25, 1.0]).collect()
     assert [tuple(r) for r in out] == [("a", 6.0, 5.0, 7.0)]
 
 
