@@ -82,9 +82,6 @@ def test_sequences_are_views_of_the_file(spark, frame, rows, whole, length):
     for row in shards.orderBy("shard").collect():
         shard = tokenfiles.TokenShard(row.path)
         here = []
-        low, size = shard.files[0].size(), shard.files[0].size()
-        buffer = pa.memory_map(f"{row.path}.arrow").read_buffer()
-        assert low == size == buffer.size
         for i in range(len(shard)):
             ids, mask = shard[i]
             assert len(ids) == len(mask) == length
@@ -100,7 +97,7 @@ def test_sequences_are_views_of_the_file(spark, frame, rows, whole, length):
         shard.close()
     want = [t for text in texts for t in [*whole(text), 2]]
     assert found == want and checked
-    assert rows(tokenfiles.read_tokens(shards, folder)) == sorted(brute(list(enumerate(texts)), whole))
+    assert sorted(rows(tokenfiles.read_tokens(shards, folder)), key=repr) == brute(list(enumerate(texts)), whole)
 
 
 def test_a_shard_with_other_ids_than_documents_fails(spark, frame):
