@@ -109,7 +109,8 @@ class Encoder:
         return [data[i:j - line_end] for i, j in pairwise((at * size).tolist())]
 
     def _encoded(self, pieces: Iterable[str], blank: bool) -> dict[str, bytes]:
-        bare = list(filter(_bare, pieces))
+        bare = list(filter(str.isalnum, pieces))
+        bare += filter(_bare, filterfalse(str.isalnum, pieces))
         out: dict[str, bytes] = {}
         for i in range(0, len(bare), WORDS_TOGETHER):
             out.update(zip(bare[i:i + WORDS_TOGETHER], self._together(bare[i:i + WORDS_TOGETHER], blank)))
@@ -164,8 +165,8 @@ def pieces_of(text: str) -> tuple[str, list[str]]:
     if _SPACED.search(text):
         first, *rest = _BLANK.split(text)
         return first, [piece[1:] for piece in rest]
-    first, *rest = text.split(" ")
-    return first, rest
+    pieces = text.split(" ")
+    return pieces.pop(0), pieces
 
 
 @lru_cache(maxsize=2)
