@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import blank
 from ..functions.numbers import to_number
-from ..session import maybe_broadcast
+from ..session import checkpointed, maybe_broadcast
 from .predicates import field_type, require_columns, sheet_rows, text_of
 from .skew import HOT_ROWS, hot_keys, join_on_keys
 from .windows import common_columns, nodupkey
@@ -97,56 +97,99 @@ def _differs(left: Column, right: Column, kind_l: T.DataType, kind_r: T.DataType
     return ~F.trim(left.cast("string")).eqNullSafe(F.trim(right.cast("string")))
 
 
+def _digest(df: DataFrame, names: Sequence[str], kinds: Sequence[T.DataType | None]) -> Column:
+    """128 bits of a row's compared values; rows whose digests are equal have equal values.
+
+    A kind of None marks a column whose values must be compared whatever they
+    are; text compares without outer blanks.
+    """
+    parts = [F.lit(0)]
+    for name, kind in zip(names, kinds):
+        value = F.col(name) if kind is None else F.col(name).cast(kind)
+        value = F.trim(value) if isinstance(kind, T.StringType) else value
+        parts += [value, value.isNull()]  # hashes pass over nulls
+    return F.struct(F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts))
+
+
 def compare_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], exclude: Sequence[str] = (),
                    tolerance: float = 1e-8, testers: Mapping[str, object] | None = None,
-                   detail_limit: int | None = None) -> TableComparison:
+                   detail_limit: int | None = None, store: bool = False) -> TableComparison:
     """Keyed comparison of two tables.
 
+    Rows meet as keys and digests first; only rows of keys with unlike digests
+    meet with all their values, so what is equal in both tables is never
+    shuffled.  ``store`` keeps both meetings in the checkpoint folder, for
+    callers that read several of the outputs.
+
     ``testers`` maps a column to a function ``(left, right) -> Column`` that is
-    true where the values differ.  ``detail_limit`` caps the detail rows per
-    column; by default all are returned.
+    true where the values differ (equal values of one type must not).
+    ``detail_limit`` caps the detail rows per column; by default all are
+    returned.
     """
     sets = common_columns(left, right)
     skip = {c.lower() for c in (*keys, *exclude)}
     compared = [c for c in sets.common if c.lower() not in skip]
     names_right = {c.lower(): c for c in right.columns}
-    l = left.select(*[F.col(k).alias(f"_lk{i}") for i, k in enumerate(keys)],
-                    *[F.col(c).alias(f"l_{c}") for c in compared], F.lit(True).alias("_in_l"))
-    r = right.select(*[F.col(names_right[k.lower()]).alias(f"_rk{i}") for i, k in enumerate(keys)],
-                     *[F.col(names_right[c.lower()]).alias(f"r_{c}") for c in compared], F.lit(True).alias("_in_r"))
-    test = reduce(lambda a, b: a & b, [F.col(f"_lk{i}") == F.col(f"_rk{i}") for i in range(len(keys))])
-    joined = l.join(r, test, "full_outer").select(
-        *[F.coalesce(f"_lk{i}", f"_rk{i}").alias(k) for i, k in enumerate(keys)], "*")
-    both = F.col("_in_l").isNotNull() & F.col("_in_r").isNotNull()
     custom = {k.lower(): v for k, v in (testers or {}).items()}
+    kinds = {c: (field_type(left, c), field_type(right, c)) for c in compared}
+
+    def digest_kind(c: str) -> T.DataType | None:
+        a, b = kinds[c]
+        if a == b and (c.lower() in custom or not isinstance(a, T.StringType)):
+            return None
+        return T.DoubleType() if isinstance(a, T.NumericType) and isinstance(b, T.NumericType) else T.StringType()
+
+    def hashable(kind: T.DataType) -> bool:
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    # A tester may tell apart what other types share, and maps have no digest: such columns are compared for every row.
+    digests = [c for c in compared if kinds[c][0] == kinds[c][1] or c.lower() not in custom]
+    every = len(digests) < len(compared) or not all(hashable(k) for c in compared for k in kinds[c])
+    k = [f"_k{i}" for i in range(len(keys))]
+
+    def side(df: DataFrame, tag: str, names: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+        own = [F.col(names[key.lower()]).alias(n) for key, n in zip(keys, k)]
+        columns = [names[c.lower()] for c in compared]
+        digest = F.lit(tag) if every else _digest(df, columns, [digest_kind(c) for c in compared])
+        return (df.select(*own, digest.alias(f"_{tag}"), F.lit(True).alias(f"_in_{tag}")),
+                df.select(*own, *[F.col(c).alias(f"{tag}_{n}") for c, n in zip(columns, compared)]))
+
+    (l, l_wide), (r, r_wide) = side(left, "l", {c.lower(): c for c in left.columns}), side(right, "r", names_right)
+    met = l.join(r, k, "full_outer")
+    met = checkpointed(met) if store else met
+    both = F.col("_in_l").isNotNull() & F.col("_in_r").isNotNull()
+    unlike = met.where(both & (F.lit(True) if every else ~F.col("_l").eqNullSafe(F.col("_r")))).select(*k).distinct()
     flags = []
     for c in compared:
         a, b = F.col(f"l_{c}"), F.col(f"r_{c}")
         rule = custom.get(c.lower())
-        differs = rule(a, b) if rule else _differs(a, b, field_type(left, c), field_type(right, c), tolerance)
-        flags.append(F.when(both & differs, F.struct(
+        differs = rule(a, b) if rule else _differs(a, b, *kinds[c], tolerance)
+        flags.append(F.when(differs, F.struct(
             F.lit(c).alias("variable"), a.cast("string").alias("left_value"), b.cast("string").alias("right_value"))))
-    joined = joined.withColumn("_bad", F.filter(F.array(*flags), lambda x: x.isNotNull()))
-    differences = joined.select(*keys, F.inline("_bad"))
+    wide = l_wide.join(unlike, k, "left_semi").join(r_wide.join(unlike, k, "left_semi"), k)
+    wide = wide.select(*[F.col(n).alias(key) for n, key in zip(k, keys)], F.filter(F.array(*flags), lambda x: x.isNotNull()).alias("_bad"))
+    wide = checkpointed(wide.where(F.size("_bad") > 0)) if store else wide
+    differences = wide.select(*keys, F.inline("_bad"))
     if detail_limit is not None:
         from .windows import worst_n_per_report
 
         differences = worst_n_per_report(
             differences.withColumn("_one", F.lit(1)), ["variable"], "_one", detail_limit, keys).drop("_one")
-    summary = joined.agg(
+    summary = met.agg(
         F.count("_in_l").alias("rows_left"), F.count("_in_r").alias("rows_right"),
         F.count(F.when(both, 1)).alias("rows_matched"),
         F.count(F.when(F.col("_in_r").isNull(), 1)).alias("rows_only_left"),
-        F.count(F.when(F.col("_in_l").isNull(), 1)).alias("rows_only_right"),
-        F.count(F.when(F.size("_bad") > 0, 1)).alias("rows_unequal"),
-        F.sum(F.size("_bad")).alias("values_unequal"))
+        F.count(F.when(F.col("_in_l").isNull(), 1)).alias("rows_only_right")).withColumn("_one", F.lit(1)).join(
+        wide.agg(F.count(F.when(F.size("_bad") > 0, 1)).alias("rows_unequal"), F.coalesce(F.sum(F.size("_bad")), F.lit(0)).alias("values_unequal"))
+        .withColumn("_one", F.lit(1)), "_one").drop("_one")  # one row each
     types_l = {f.name.lower(): f.dataType.simpleString() for f in left.schema.fields}
     types_r = {f.name.lower(): f.dataType.simpleString() for f in right.schema.fields}
     schema = [(c, types_l.get(c), types_r.get(c)) for c in dict.fromkeys([*types_l, *types_r])
               if types_l.get(c) != types_r.get(c)]
+    named = [F.col(n).alias(key) for n, key in zip(k, keys)]
     return TableComparison(
-        differences, joined.where(F.col("_in_r").isNull()).select(*keys),
-        joined.where(F.col("_in_l").isNull()).select(*keys), summary, schema)
+        differences, met.where(F.col("_in_r").isNull()).select(*named),
+        met.where(F.col("_in_l").isNull()).select(*named), summary, schema)
 
 
 def differs_as_integer(left: Column, right: Column) -> Column:

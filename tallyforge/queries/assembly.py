@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import plans
 from ..operators.merge import MergeField, MergeSpec
-from .registry import MASTER_SQL, STRANDS, STUDENTS_SQL, SUBJECTS, Tables, master, query, rounded, students
+from .registry import BOOKMAP_SQL, ITEMS, ITEMS_SQL, MASTER_SQL, STRANDS, STUDENTS_SQL, SUBJECTS, Tables, bookmap, master, query, rounded, students
 
 _LEVELS = ("3", "4", "5")
 _KEPT = ("schtype_attend <> 'H' AND NOT (" + " AND ".join(f"uf{s}x_attempt = '0'" for s in SUBJECTS) + ")")
@@ -189,6 +189,41 @@ def intake_pipeline_failures(t: Tables):
     return rounded(result.failure_counts)
 
 
+_CHECKS = f"""
+WITH s AS ({STUDENTS_SQL}), i AS ({ITEMS_SQL}),
+k AS (SELECT "item position" AS item, form_values AS form, "numeric key" AS key FROM ({BOOKMAP_SQL}) WHERE "item format" = 'MC'),
+r AS (SELECT flat_table_id AS id, CASE WHEN ucmx_form = 'BR' THEN 'breach' ELSE 'regular' END AS kind, CASE WHEN ucmx_form = 'BR' THEN 'B' ELSE 'A' END AS form, i.id AS item,
+    CASE WHEN answer IN ('', '-', '*') THEN 99 ELSE answer::INT END AS ans, CASE WHEN i.score = '' THEN 99 ELSE try_cast(i.score AS INT) END AS sc FROM i JOIN s ON s.id = flat_table_id),
+j AS (SELECT r.*, key, CASE WHEN key = ans THEN 1 ELSE 0 END AS correct FROM r LEFT JOIN k ON k.form = r.form AND k.item = r.item),
+tab AS (SELECT p_size::DOUBLE - 1 AS raw, (max(p_partkey) % 5)::DOUBLE AS v FROM part WHERE p_size % 10 <> 4 GROUP BY p_size),
+c AS (SELECT id, CASE WHEN ucrx_form = 'BR' THEN 'breach' ELSE 'regular' END AS kind, try_cast(uprxlev AS DOUBLE) AS lev, v FROM s LEFT JOIN tab ON tab.raw = uprxraw::DOUBLE)
+SELECT 'rescore' AS test, kind, id, item::VARCHAR AS what, CASE WHEN sc IS NULL THEN 'score' WHEN key IS NULL THEN 'item' ELSE 'wrong' END AS finding FROM j WHERE sc IS NULL OR key IS NULL OR sc <> correct
+UNION ALL SELECT 'conversion', kind, id, CASE WHEN v IS NOT NULL THEN 'uprxlev' END, CASE WHEN v IS NULL THEN 'no' ELSE 'value' END FROM c WHERE v IS NULL OR lev IS NULL OR lev <> v
+UNION ALL SELECT 'scores', kind, id, item::VARCHAR, correct::VARCHAR FROM j WHERE sc IS NOT NULL AND key IS NOT NULL"""
+
+
+@query("intake_pipeline_checks", _CHECKS)
+def intake_pipeline_checks(t: Tables):
+    """Rescoring and conversion of the whole workflow, apart for breach and regular forms."""
+    items = t.derived("lineitem", ITEMS).select("flat_table_id", "id", F.col("answer").alias("upmx_finalraw_item"), F.col("score").alias("upmx_score_item"))
+    key = bookmap(t).where("`item format` = 'MC'").select(
+        F.col("form_values").alias("form_id"), F.col("item position").alias("item_id"), F.col("numeric key").alias("numeric_key"), F.col("point value").alias("point_value"))
+    table = t.part.where("p_size % 10 <> 4").groupBy("p_size").agg((F.max("p_partkey") % 5).cast("double").alias("value")).select(
+        F.lit("uprxraw").alias("raw_variable"), (F.col("p_size") - 1).cast("double").alias("raw_score"), F.lit("level").alias("measure"), "value")
+    out = plans.intake_pipeline(students(t), master(t), item_tables={"m": items}, answer_keys={"m": key},
+                                conversions={"r": (table, {"uprxraw": {"uprxlev": "level"}})}, subjects=("r", "m"))
+    parts = []
+    for kind in ("breach", "regular"):
+        scored, converted = out.rescore["m", kind], out.conversion["r", kind]
+        message = F.col("message")
+        parts += [
+            scored.report.select(F.lit("rescore").alias("test"), F.lit(kind).alias("kind"), F.col("test_id").alias("id"), F.col("item_id").cast("string").alias("what"),
+                                 F.when(message.startswith("score_item"), "score").when(message.startswith("item"), "item").otherwise("wrong").alias("finding")),
+            scored.output.select(F.lit("scores"), F.lit(kind), "test_id", F.col("item_id").cast("string"), F.col("score_item").cast("string")),
+            converted.report.select(F.lit("conversion"), F.lit(kind), "id", "variable", F.substring_index(message, " ", 1))]
+    return rounded(reduce(DataFrame.union, parts))
+
+
 _CHANGE = f"""
 WITH s AS ({STUDENTS_SQL}), m AS ({MASTER_SQL}),
 md AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY dcrxid_c ORDER BY bcrxid_c) = 1),

@@ -47,6 +47,45 @@ def test_compare_tables(spark, rows):
     assert quality.compare_to_specimen(a, b, ["k"], {"v": quality.differs_as_integer, "t": quality.differs_as_mixed}).differences.count() == 2
 
 
+@pytest.mark.parametrize("store", [False, True])
+def test_comparison_equals_all_pairs_of_a_key(spark, rows, store):
+    """Repeated and missing keys, values that change places with nulls, blanks, numbers of other types."""
+    rng = random.Random(6)
+
+    def table(changes):
+        out = []
+        for i in range(120):
+            row = [None if i % 31 == 0 else i // 2 if i < 60 else i, rng2.choice(["x", "x ", "y", None]), rng2.choice(["x", None, "y"]), rng2.choice([1.0, 2.0, 0.0, -0.0, float("nan"), None])]
+            if rng.random() < changes:
+                row[rng.randrange(1, 3)] = rng.choice(["y", None, " x"])
+            if rng.random() >= changes / 2:
+                out.append(tuple(row))
+        return out
+
+    rng2 = random.Random(1)
+    a = table(0.2)
+    rng2 = random.Random(1)
+    b = table(0.2)
+    left = spark.createDataFrame(a, "k int, s string, t string, v double")
+    right = spark.createDataFrame(b, "k long, s string, t string, v double").withColumn("v", F.col("v").cast("float"))
+    out = quality.compare_tables(left, right, ["k"], store=store)
+
+    def trimmed(x):
+        return x if x is None else x.strip(" ")
+
+    def same(x, y):
+        return x == y or (x is not None and y is not None and x != x and y != y)
+
+    pairs = [(p, q) for p in a for q in b if p[0] is not None and p[0] == q[0]]
+    wanted = sorted([(p[0], n) for p, q in pairs for n, i in (("s", 1), ("t", 2)) if trimmed(p[i]) != trimmed(q[i])]
+                    + [(p[0], "v") for p, q in pairs if not same(p[3], q[3])])
+    assert rows(out.differences, "k", "variable") == sorted(wanted, key=repr)
+    lone = lambda x, y: sorted([(p[0],) for p in x if p[0] is None or p[0] not in {q[0] for q in y}], key=repr)
+    assert rows(out.only_left) == lone(a, b) and rows(out.only_right) == lone(b, a)
+    unequal = sum(any(trimmed(p[i]) != trimmed(q[i]) for i in (1, 2)) or not same(p[3], q[3]) for p, q in pairs)
+    assert tuple(out.summary.first()) == (len(a), len(b), len(pairs), len(lone(a, b)), len(lone(b, a)), unequal, len(wanted))
+
+
 def test_rescore(spark, rows):
     key = spark.createDataFrame([("01", 1, "2.0", "1"), ("01", 2, "x", "1"), ("sv", 1, "4", "2")], "form_id string, item_id int, numeric_key string, point_value string")
     data = [(1, "01", 1, "2", "1"), (2, "01", 1, "2.0", "0"), (3, " 01 ", 1, "-", "0"), (4, "SV", 1, "4", "2"), (5, "zz", 1, "4", "2"), (6, "sv", 9, "4", "2"),
