@@ -246,3 +246,37 @@ def record_change_pipeline(t: Tables):
     spec = MergeSpec(fields, [("lithocode", "lithocode")], [], [])
     out = plans.record_change_pipeline(scores, registration, master(t), spec, "id", "rid", {"000003": "000004"})
     return rounded(out.final.select("id", "lithocode", "ucrxgen", "dcrxid_home", "dcrxnm_home", "dcrxnm_attend"))
+
+
+_CLEAN = "regexp_replace(upper(trim({})), '(\\s)\\s+', '\\1', 'g')"
+_LINES = f"""
+WITH s AS ({STUDENTS_SQL}),
+r AS (SELECT id AS rid, lithocode, CASE WHEN id % 4 = 0 THEN '1' ELSE '2' END AS g, CASE WHEN id % 5 = 0 THEN 'someone else' ELSE ucrxlnm END AS lnm, ucrxfnm AS fnm,
+    CASE WHEN id % 2 = 0 THEN ssid ELSE 'other' END AS known FROM s WHERE id % 3 <> 0),
+n AS (SELECT s.id, g, {_CLEAN.format('ucrxlnm')} || ' ' || {_CLEAN.format('ucrxfnm')} AS a, {_CLEAN.format('ucrxfnm')} || ' ' || {_CLEAN.format('ucrxlnm')} AS b,
+    {_CLEAN.format('lnm')} || ' ' || {_CLEAN.format('fnm')} AS c FROM s JOIN r ON s.lithocode = r.lithocode),
+m AS (SELECT id, g FROM n WHERE 1.0 - least(levenshtein(a, c), levenshtein(b, c))::DOUBLE / greatest(length(a), length(c)) > 0.8),
+f AS (SELECT s.lithocode, schtype_attend, coalesce(g, ucrxgen) AS gen, grade, CASE WHEN dcrxid_home = '000003' THEN '000004' ELSE dcrxid_home END AS home,
+    CASE WHEN ssid IN (SELECT known FROM r) THEN ssid ELSE '' END AS ss FROM s LEFT JOIN m ON m.id = s.id)
+SELECT 'unknown' AS part, ssid AS value FROM (SELECT DISTINCT ssid FROM s WHERE ssid <> '' AND ssid NOT IN (SELECT known FROM r))
+UNION ALL SELECT 'line', lithocode || rpad(ss, 10, ' ') || CASE gen WHEN '1' THEN 'F' WHEN '2' THEN 'M' ELSE left(gen, 1) END
+  || CASE WHEN grade = '' THEN ' .' ELSE lpad(grade::DOUBLE::INT::VARCHAR, 2, '0') END || '  ' || rpad(home, 6, ' ') FROM f WHERE schtype_attend <> 'H'"""
+
+
+@query("record_change_lines", _LINES)
+def record_change_lines(t: Tables):
+    """Names of two columns decide what the registration may change; ids it lacks are blanked and listed; fixed-width lines."""
+    names = ("id", "lithocode", "ssid", "ucrxlnm", "ucrxfnm", "ucrxgen", "studentmid", "grade", "dcrxid_home", "dcrxnm_home", "bcrxid_home", "bcrxnm_home", "distrtype_home",
+             "dcrxid_attend", "dcrxnm_attend", "bcrxid_attend", "bcrxnm_attend", "schtype_attend", "dcxx_county", "migrant")
+    scores = students(t).select(*names).withColumn("schtype_home", F.lit(""))
+    k = F.col("id")
+    registration = students(t).where("id % 3 <> 0").select(
+        k.alias("rid"), "lithocode", F.when(k % 4 == 0, "F").otherwise("M").alias("ucrxgen"), F.when(k % 5 == 0, "someone else").otherwise(F.col("ucrxlnm")).alias("lnm"),
+        F.col("ucrxfnm").alias("fnm"), F.when(k % 2 == 0, F.col("ssid")).otherwise("other").alias("ssid"), "migrant", "grade",
+        *[F.lit("").alias(c) for c in ("dcrxid_home", "bcrxid_home", "dcrxnm_home", "bcrxnm_home", "dcrxid_attend", "bcrxid_attend")])
+    fields = [MergeField(c, c, "ucrxgen" if c == "ucrxgen" else None, "R" if c == "ucrxgen" else "LO") for c in scores.columns]
+    spec = MergeSpec(fields, [("lithocode", "lithocode")], [], [[("ucrxlnm", "lnm"), ("ucrxfnm", "fnm")]])
+    layout = [{"name": n, "start": a, "end": b, "length": b - a + 1, "type": "alpha"} for n, a, b in (
+        ("lithocode", 1, 8), ("ssid", 9, 18), ("ucrxgen", 19, 19), ("grade", 20, 21), ("filler", 22, 23), ("dcrxid_home", 24, 29))]
+    out = plans.record_change_pipeline(scores, registration, master(t), spec, "id", "rid", {"000003": "000004"}, id_column="ssid", layout=layout)
+    return out.unknown_ids.select(F.lit("unknown").alias("part"), F.col("ssid").alias("value")).unionByName(out.lines.select(F.lit("line").alias("part"), "value"))
