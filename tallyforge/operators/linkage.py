@@ -98,9 +98,9 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
     candidates come from an equi-join on *minimal* such sets, which no smaller
     such set is part of.  All other sets are joined on their values and on name
     segments: of the distance + 1 segments of one name, at least one stands
-    unchanged, and little moved, in the other.  So rows that share only a
-    frequent value, or nothing, meet only if their names are near, however
-    lenient the cut or large the haystack.  ``blocking`` restricts the search to
+    unchanged, and little moved, in the other.  So a set of columns whose values are
+    frequent makes candidates of all rows that share them only where the cut
+    would accept almost any name with them.  ``blocking`` restricts the search to
     rows equal in those columns as well.
     """
     columns = [*big_nominal, *nominal]
