@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -169,6 +171,7 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by kind as listed, then start."""
     found = []
     base: list[tuple[int, int]] = []
+    reach: list[int] = []  # of the base spans in order of their start, the largest end so far
     for kind, start, end in _proposals(text):
         around = text[max(0, start - WINDOW):start] + " \n " + text[end:end + WINDOW]
         score = CONFIDENCE[kind]
@@ -179,8 +182,13 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
         score = min(1.0, max(0.0, score))
         if kind in BASE_KINDS:
             base.append((start, end))
-        elif score < THRESHOLD or any(start < e and s < end for s, e in base):
-            continue
+        else:  # all base kinds have been seen
+            if len(reach) < len(base):
+                base.sort()
+                reach = list(accumulate((e for _, e in base), max))
+            before = bisect_left(base, (end,))
+            if score < THRESHOLD or before and reach[before - 1] > start:
+                continue
         found.append((kind, start, end, round(score, 2)))
     return found
 
