@@ -14,8 +14,9 @@ that agree in all three are merged: this is the check of equality.
 
 Defined cases: null text is the empty text; all empty texts form one group; of
 repeated rows with the same id and text one is kept; a null id loses against
-any other id and is kept only if the whole group has no id.  Other columns are
-never read.  An empty table gives an empty result.
+any other id and is kept only if the whole group has no id.  A very long text
+is hashed whole where it lies and never moves; equal ids of a group tie, and one
+row of them is kept.  Other columns are never read.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -26,7 +26,9 @@ earlier document has the same ones; blank lines around it stay.
 Order of documents: by id (null last), then by a hash of the text.
 
 Defined cases: null text is the empty text, of one empty line; rows with equal
-id and text are one document and get equal results; other columns pass
+id and text are one document and get equal results; a very long text is one
+document, whose lines are compared by hash; of holders of a line the smallest id
+is the first; other columns pass
 through ``without_shared_lines`` untouched; an empty table gives an empty
 result; a document may lose all its lines and then has the empty text.
 """

@@ -16,7 +16,8 @@ The folder is reached with pyarrow's file systems, so it may be any store
 whose address they know (file, hdfs, s3, gs).
 
 Defined cases: null text is the empty text, whose payload is one row of
-padding; repeated rows share their values; other columns are not read; an
+padding; a very long text is one payload, held by its task alone; repeated rows
+share their values, so there are no ties; other columns are not read; an
 empty table writes no shard and gives an empty result.
 """
 

@@ -27,7 +27,8 @@ for each goes through one task, never their documents.
 Defined cases: null text has size 0; a document without words is taken 0
 times; null is a source of its own, last in order; repeated rows are separate
 documents of equal order whose tie is broken by text; a source without words
-has target 0; other columns pass through ``mixed_documents`` untouched.
+has target 0; a very long text is counted whole and cut only in the count of the
+last pass; equal hashes are ordered by id, size and text; other columns pass through ``mixed_documents`` untouched.
 """
 
 from __future__ import annotations

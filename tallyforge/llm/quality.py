@@ -14,7 +14,8 @@ everything else covers all documents.  The scorer sees wording that no
 heuristic names, and decides alone: ``keep`` is score >= threshold.
 
 Defined cases: null text is the empty text; a text without words gets posterior
-and score 0 and is rejected; repeated rows get equal scores; if all documents
+and score 0 and is rejected; a very long text is read whole; repeated rows and
+other ties of votes and words get equal scores; if all documents
 have one vote pattern, or the sample has one class, the score is the
 posterior; ids may repeat; other columns pass through ``good_documents``
 untouched; an empty table gives an empty result.

@@ -16,7 +16,8 @@ rest fits lexicon and trees.
 Defined cases: null text is the empty text, scored by its (zero) features; an
 id labelled more than once counts as toxic if one label says so; a null label
 or null id trains nothing; without both classes in training every score is the
-share of toxic training rows (0 without any); repeated rows get equal scores;
+share of toxic training rows (0 without any); a very long text is read whole;
+equal features, so repeated rows too, get equal scores;
 other columns are never read; an empty table gives an empty result.
 """
 
