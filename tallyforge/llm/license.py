@@ -21,8 +21,10 @@ prefix word; it, like the frequency list, is bounded by the templates.
 
 Defined cases: null text is the empty text, with no words, labels or score;
 repeated rows give repeated results; other columns are not read; null ids are
-kept; an empty table gives an empty result.  Lower case is Spark's, which
-changes no word's place: letters outside A-Z are word characters either way.
+kept; a very long text is scanned whole; labels of equal score are all listed;
+an empty table gives an empty result.  Lower case is Spark's, which changes no
+word's place: letters outside A-Z are word characters either way, and the one
+that would become an ASCII letter (the Kelvin sign) is kept apart.
 """
 
 from __future__ import annotations
@@ -87,6 +89,11 @@ def blocks_of(text: Column) -> Column:
     return F.split(F.regexp_replace(text, "([.!?])[ \\t\\r]+", "$1\n"), "\n")
 
 
+def _lowered(text: Column) -> Column:
+    """A-Z lower-cased as far as ASCII words can show: of all other letters only the Kelvin sign becomes one."""
+    return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138")))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES,
                   phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_words, places (array of label, start), matches (array of label, score)."""
@@ -94,7 +101,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     need = {label: max(1, math.ceil(threshold * len(words) - 1e-9)) for label, words in sets.items()}
     vocabulary = sorted({w for words in sets.values() for w in words})
     text = whole_text(text_col)
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(_lowered(text), F.lit(WORD), F.lit(0))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), words.alias("words"))
     named = [F.transform(_places(F.col("words"), phrase), _named(label)) for phrase, label in phrases.items()]
     looked = checkpointed(rows.select(
@@ -112,14 +119,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     index_rows = docs.sparkSession.createDataFrame(
         index, "word string, label string, t_pos int, t_size int, need int, template array<string>")
 
-    lower = F.lower(text)
+    lower = _lowered(text)
     prefix_words = sorted({row[0] for row in index})
     any_prefix = F.lit(False)
     for w in prefix_words:
         any_prefix = any_prefix | F.contains(lower, F.lit(w))
     least = min(need.values())
     # array_intersect keeps the order of its first argument: rarest words first.
-    block = F.array_intersect(_text_array(order), F.regexp_extract_all(F.lower("block"), F.lit(WORD), F.lit(0)))
+    block = F.array_intersect(_text_array(order), F.regexp_extract_all(_lowered(F.col("block")), F.lit(WORD), F.lit(0)))
     cut = docs.where(any_prefix).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.explode(blocks_of(text)).alias("block"))
     cut = cut.where(F.length("block") > 0).select("doc_id", "key", block.alias("toks")).withColumn("b_size", F.size("toks")).where(

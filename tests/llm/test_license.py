@@ -58,3 +58,13 @@ def test_documents(spark, folder, documents):
 def test_edges_and_empty(edge, none):
     assert got(edge) == want([(r[0], r[1]) for r in rows_of_edge()])
     assert license.scan_licenses(none).count() == 0
+
+
+def test_only_ascii_letters_are_lowered(frame):
+    """The Kelvin sign is no k, so a template word written with it is another word."""
+    line = license.TEMPLATES["gpl-3.0"]
+    texts = [line.upper(), line.upper().replace("K", "K")]
+    got = {r.doc_id: r for r in license.scan_licenses(frame(texts)).collect()}
+    assert got[0].n_words == got[1].n_words
+    score = {i: max((m.score for m in got[i].matches if m.label == "gpl-3.0"), default=0.0) for i in (0, 1)}
+    assert score[0] == 1.0 and score[1] == (len(license.template_words(line)) - 1) / len(license.template_words(line))
