@@ -29,7 +29,7 @@ SELECT row_number() OVER (ORDER BY c_custkey) AS line_number, c_custkey::VARCHAR
 def read_fixed_width(t: Tables):
     path = t.scratch()
     sources.export_fixed_width(t.customer.orderBy("c_custkey"), path, _CUSTOMER_LAYOUT)  # many files, in order
-    return rounded(sources.read_fixed_width(t.spark, path, _CUSTOMER_LAYOUT).data)
+    return rounded(sources.read_fixed_width(t.spark, path, _CUSTOMER_LAYOUT, one_text=True).data)
 
 
 @query("read_fixed_width_short_lines", """
@@ -39,7 +39,7 @@ def read_fixed_width_short_lines(t: Tables):
     lines = t.orders.orderBy("o_orderkey").select(
         F.concat("o_orderstatus", F.substring("o_orderpriority", F.lit(1), (F.col("o_orderkey") % 4 + 1).cast("int"))).alias("value"))
     lines.write.text(path)
-    out = sources.read_fixed_width(t.spark, path, [{"varname": "a", "length": 1}, {"varname": "b", "length": 3}])
+    out = sources.read_fixed_width(t.spark, path, [{"varname": "a", "length": 1}, {"varname": "b", "length": 3}], one_text=True)
     return rounded(out.errors.select("line_number", "variable"))
 
 
@@ -65,7 +65,7 @@ def read_delimited(t: Tables):
     # Many files in order; the first one begins with the names.
     head.union(lines).orderBy(F.col("k").asc_nulls_first()).select("value").write.text(path)
     layout = [{"varname": n} for n in ("id", "name", "segment")]
-    data = sources.read_delimited(t.spark, path, layout).data
+    data = sources.read_delimited(t.spark, path, layout, one_text=True).data
     return rounded(data.select("line_number", "id", F.regexp_replace("segment", '""', '"').alias("segment"), "name"))
 
 

@@ -32,15 +32,17 @@ def clean_cell(value):
 
 
 def read_delimited(spark: SparkSession, path, layout, delimiter: str = ",", encoding: str = "UTF-8",
-                   first_row: int = 2, names: bool = True) -> ReadResult:
+                   first_row: int = 2, names: bool = True, one_text: bool = False) -> ReadResult:
     """Text columns of a delimited file, matched to a layout by name.
 
     With ``names`` the first line names the columns in any order; an unknown
     name is an error row, a missing layout column an exception.  Cells beyond
-    the header are error rows.  All files of ``path`` share one header.
+    the header are error rows.  Each file of ``path`` begins with the same header;
+    with ``one_text`` the files are parts of one text, whose first line alone is
+    the header.
     """
     wanted = [text_of(r["varname"]) for r in sheet_rows(layout)]
-    lines = numbered_lines(spark, path, encoding)
+    lines = numbered_lines(spark, path, encoding, one_text)
     errors = []
     header = list(wanted)
     if names and first_row > 1:

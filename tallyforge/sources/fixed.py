@@ -28,13 +28,14 @@ def layout_spans(layout) -> list[tuple[str, int, int]]:
 
 
 def read_fixed_width(spark: SparkSession, path, layout, first_row: int = 1, encoding: str = "UTF-8",
-                     strip: bool = True, skip: tuple[str, ...] = ("filler",)) -> ReadResult:
+                     strip: bool = True, skip: tuple[str, ...] = ("filler",), one_text: bool = False) -> ReadResult:
     """Slices of each line as text columns; blank and lone-period cells are NULL.
 
-    A field that ends beyond its line is an error row and NULL.
+    A field that ends beyond its line is an error row and NULL.  With ``one_text``
+    the files of ``path`` are parts of one text.
     """
     spans = [s for s in layout_spans(layout) if s[0].lower() not in skip]
-    lines = numbered_lines(spark, path, encoding).where(F.col("line_number") >= first_row)
+    lines = numbered_lines(spark, path, encoding, one_text).where(F.col("line_number") >= first_row)
     length = F.length("value")
 
     def cell(first: int, last: int):

@@ -34,8 +34,13 @@ def _numbered(tagged: DataFrame, name: str, per_file: bool) -> DataFrame:
     return joined.withColumn(name, number.cast("bigint")).drop("_before", "_first", _AT, _BLOCK)
 
 
-def numbered_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
-    """Columns: value, line_number (1-based within its file), source_file."""
+def numbered_lines(spark: SparkSession, path, encoding: str = "UTF-8", one_text: bool = False) -> DataFrame:
+    """Columns: value, line_number, source_file.
+
+    Lines are numbered from 1 within their file; with ``one_text`` the files of
+    ``path`` are the parts of one text, as a job writes it, and are numbered on
+    in the order of their names.
+    """
     if encoding.upper().replace("-", "") == "UTF8":
         lines = spark.read.text(path)
     else:
@@ -43,7 +48,7 @@ def numbered_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFr
             spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .schema("value string").csv(path))
-    out = _numbered(_tagged(lines), "line_number", per_file=True).withColumnRenamed(_FILE, "source_file")
+    out = _numbered(_tagged(lines), "line_number", per_file=not one_text).withColumnRenamed(_FILE, "source_file")
     bom = (F.col("line_number") == 1) & F.col("value").startswith("\ufeff")
     return out.withColumn("value", F.when(bom, F.col("value").substr(F.lit(2), F.length("value"))).otherwise(F.col("value")))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyforge import plans, sources
 from tallyforge.operators import layout as lo
 from tallyforge.operators.predicates import conditional_update, lookup_update, split_by_flag
+from tallyforge.queries import QUERIES
 from tallyforge.queries.registry import MASTER, STRANDS, STUDENTS
 
 FULL = ["import_order", "start", "end", "type", "min", "max", "nominal_values", "std_code", "variable_name", "description", "comments", "counts_needed"]
@@ -101,6 +102,37 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_text_in_many_parts_has_one_header(spark, tmp_path, rows):
+    """Sorted rows are written as several files, of which the first alone begins with the names."""
+    folder = tmp_path / "text"
+    folder.mkdir()
+    for i, part in enumerate(["a,zzz,b\n1,q,x\n", "2,q,y\n3,q,z,more\n", "", "4,q,w\n"]):
+        (folder / f"part-{i:05d}.txt").write_text(part)
+    out = sources.read_delimited(spark, str(folder), [{"varname": "b"}, {"varname": "a"}], one_text=True)
+    assert rows(out.data) == [(2, "x", "1"), (3, "y", "2"), (4, "z", "3"), (5, "w", "4")]
+    assert rows(out.errors, "line_number", "variable") == sorted([(1, "zzz"), (4, None)], key=repr)
+    fixed = sources.read_fixed_width(spark, str(folder), [{"varname": "a", "length": 1}, {"varname": "b", "start": 5, "end": 6}], one_text=True)
+    assert rows(fixed.data, "line_number", "a") == [(i, c) for i, c in enumerate("a1234", start=1)]
+    assert rows(fixed.errors, "line_number") == [(2,), (3,), (5,)]
+
+
+@pytest.mark.parametrize("name", ["read_delimited", "read_fixed_width"])
+def test_file_queries_number_all_parts(spark, tmp_path, name):
+    customer = [(i, f"Customer#{i}", i % 5, float(i), "BUILDING") for i in range(60)]
+    spark.createDataFrame(customer, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # sorted rows stay in several partitions, as those of a large table do
+    try:
+        out = QUERIES[name](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(setting, before)
+    numbers = sorted(r["line_number"] for r in out)
+    wanted = {"read_delimited": range(2, 62), "read_delimited_errors": [1, *range(2, 62, 7)], "read_fixed_width": range(1, 61)}
+    assert numbers == list(wanted[name])
+
+
 def test_inference_and_exports(spark, tmp_path, rows):
     df = spark.createDataFrame([("1", "300", "1.5", "2011-01-02", "x", "3.0"), ("200", "-1", "", None, "4", "9")], "a string, b string, c string, d string, e string, f string")
     guess, typed = sources.infer_column_types(df)
