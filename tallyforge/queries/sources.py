@@ -81,7 +81,7 @@ def read_delimited_errors(t: Tables):
     lines = t.customer.select(F.col("c_custkey").alias("k"), F.concat("c_name", F.lit(",x,"), F.col("c_custkey").cast("string"), more).alias("value"))
     head = t.spark.range(1).select(F.lit(None).cast("long").alias("k"), F.lit("name,extra,id").alias("value"))
     head.union(lines).orderBy(F.col("k").asc_nulls_first()).select("value").write.text(path)
-    return rounded(sources.read_delimited(t.spark, path, [{"varname": n} for n in ("id", "name")]).errors)
+    return rounded(sources.read_delimited(t.spark, path, [{"varname": n} for n in ("id", "name")], one_text=True).errors)
 
 
 @query("read_typed_pair", "SELECT o_orderkey, o_custkey::DOUBLE AS o_custkey, o_orderstatus FROM orders")

@@ -116,7 +116,7 @@ def test_a_text_in_many_parts_has_one_header(spark, tmp_path, rows):
     assert rows(fixed.errors, "line_number") == [(2,), (3,), (5,)]
 
 
-@pytest.mark.parametrize("name", ["read_delimited", "read_fixed_width"])
+@pytest.mark.parametrize("name", ["read_delimited", "read_delimited_errors", "read_fixed_width"])
 def test_file_queries_number_all_parts(spark, tmp_path, name):
     customer = [(i, f"Customer#{i}", i % 5, float(i), "BUILDING") for i in range(60)]
     spark.createDataFrame(customer, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(
