@@ -114,13 +114,13 @@ class ComplementaryResult(NamedTuple):
 # ------------------------------------------------------------- decisions
 
 class Lead:
-    """State of the record that is taking in its partners."""
+    """State of the record that is taking in its partners; ``report`` lists its parts, joined once."""
 
     __slots__ = ("base", "sort", "rp", "vp", "units", "report", "seq")
 
     def __init__(self, row_id, sort, rp, vp, units):
         self.base, self.sort, self.rp, self.vp, self.units = row_id, sort, rp, vp, list(units)
-        self.report, self.seq = "", 0
+        self.report, self.seq = [], 0
 
 
 def prefers_second(a: float | None, b: float | None) -> bool:
@@ -147,14 +147,14 @@ def absorb(lead: Lead, row_id, sort, rp, vp, units, force: bool, sort_rule: str,
         if second:
             event.update(role="base", lost_id=lead.base)
             lead.__init__(row_id, sort, rp, vp, units)
-        lead.report += " Picked one. (B)" if second else " Picked one. (A)"
+        lead.report.append(" Picked one. (B)" if second else " Picked one. (A)")
         if overlap:
-            lead.report += " Forced."
+            lead.report.append(" Forced.")
         return event
     if overlap:
         text = " Records [{}] and [{}] have an overlapping attempt indicator column."
         event.update(role="kept", kept_id=row_id, report=text.format(sort, lead.sort))
-        lead.report += text.format(lead.sort, sort)
+        lead.report.append(text.format(lead.sort, sort))
         return event
     second = prefers_second(lead.vp, vp)
     lead.seq += 1
@@ -164,7 +164,7 @@ def absorb(lead: Lead, row_id, sort, rp, vp, units, force: bool, sort_rule: str,
             event["units"][i] = True
         elif a == 0 and b == 0:
             event["units"][i] = second
-    lead.report += f" Merged [{lead.sort}] with  [{sort}]."
+    lead.report.append(f" Merged [{lead.sort}] with  [{sort}].")
     for i, b in enumerate(units):
         if flat_units[i] and b is not None and b > 0:
             lead.units[i] = b
@@ -221,7 +221,7 @@ def _fold_batches(n_units: int, rules: FoldRules, incoming: Mapping[int, LeadSta
             if lead is None:
                 return []
             role = "part" if going_on.get(cluster, at) > at else "lead"
-            return [{"_id": lead.base, "role": role, "kept_id": lead.base, **_no_event(n_units), "report": lead.report or None,
+            return [{"_id": lead.base, "role": role, "kept_id": lead.base, **_no_event(n_units), "report": "".join(lead.report) or None,
                      "lead_sort": lead.sort, "lead_seq": lead.seq, "_cluster": cluster, "_range": at}]
 
         for rows in _fold_rows(batches, n_units):

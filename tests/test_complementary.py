@@ -2,6 +2,7 @@
 
 import pickle
 import random
+import time
 
 import pytest
 
@@ -294,3 +295,16 @@ def test_one_person_in_many_ranges(spark, force):
         result = complementary_merge(flat, RULES, items={"m": item_df}, force_one=force, ranges=ranges)
         assert {r["id"]: tuple(r) for r in result.flat.collect()} == {w["id"]: tuple(w[c] for c in COLUMNS) + (rep,) for w, rep in wanted}
         assert sorted(tuple(r) for r in result.items["m"].collect()) == sorted((i["flat_table_id"], i["id"], i["answer"]) for i in wanted_items)
+
+
+def test_a_long_report_takes_linear_time():
+    """A lead that meets very many partners does not copy its report for each of them."""
+    def seconds(n: int) -> float:
+        lead, begun = Lead(0, "0", 1006.0, 0.0, [1.0]), time.process_time()
+        for i in range(1, n + 1):
+            absorb(lead, i, str(i), 1.0, 0.0, [1.0], False, "or", [False])
+        assert "".join(lead.report) == " Picked one. (A)" * n
+        return time.process_time() - begun
+
+    seconds(1000)
+    assert seconds(400_000) < 40 * seconds(40_000) + 1
