@@ -150,11 +150,45 @@ CUT_KEYS = {
 CUT_FIRST = {"district": ("g_scrxid", "dcrxid", "dcrxnm", "grade", "rgrade")}
 
 
+def _place(df: DataFrame, name: str) -> Column | None:
+    """A number of fixed width in the order of the column, unlike values possibly alike; None: the type has none.
+
+    Text is placed by its first 14 bytes; NULL comes first.
+    """
+    kind, c = dict(df.dtypes)[name], F.col(name)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(c.cast("decimal(36,0)"), F.lit("-1e20").cast("decimal(36,0)"))
+    if kind != "string":
+        return None
+    digits = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 14)), 28, "0")
+    high, low = [F.conv(F.substring(digits, at, 14), 16, 10).cast("decimal(17,0)") for at in (1, 15)]
+    return F.coalesce((high * F.lit(2 ** 56).cast("decimal(17,0)") + low).cast("decimal(36,0)"), F.lit(-1).cast("decimal(36,0)"))
+
+
+def _first_of_cut(df: DataFrame, keys: Sequence[str], first: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each group by ``order``: its keys and the columns ``first``.
+
+    Text cannot be kept in a hashed aggregate, and sorting all students for it
+    would take memory in proportion to a task's rows.  So the least place of
+    each group is found by hashing, and only rows at that place are compared.
+    """
+    rows = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.struct(*[F.col(c).alias(c) for c in first]).alias("_first"),
+                     F.struct(*order).alias("_order"), *([] if (place := _place(df, order[0])) is None else [place.alias("_place")]))
+    names = [f"_k{i}" for i in range(len(keys))]
+    if place is not None:
+        least = rows.groupBy(*names).agg(F.min("_place").alias("_least")).select(*[F.col(k).alias(f"l{k}") for k in names], "_least")
+        here = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"l{k}")) for k in names], F.col("_place") == F.col("_least"))
+        rows = rows.join(least, here).select(*names, "_first", "_order")
+    return rows.groupBy(*names).agg(F.min_by("_first", "_order").alias("_first")).select(
+        *[F.col(k).alias(c) for k, c in zip(names, keys)], *[F.col(f"_first.{c}").alias(c) for c in first])
+
+
 def cut_rows(df: DataFrame, order: Sequence[str] = ("lithocode", "dummy_record_flag")) -> DataFrame:
-    """The rows of all cuts in one pass over the student rows.
+    """The rows of all cuts.
 
-    A row is repeated for each cut it belongs to, with that cut's keys alone,
-    and all are grouped at once, combined on the map side.  ``cut`` names the
+    A row is repeated for each cut that takes nothing but keys from it, with that
+    cut's keys alone, and all are made distinct at once, hashed on the map side;
+    cuts that take columns of their first row find it apart.  ``cut`` names the
     cut; columns it does not have are NULL.
     """
     in_school = (F.col("bcrxid") != "") & (F.upper(F.trim(F.coalesce("schtype", F.lit("")))) != "H")
@@ -165,24 +199,20 @@ def cut_rows(df: DataFrame, order: Sequence[str] = ("lithocode", "dummy_record_f
         values = [F.col(c) if c in CUT_KEYS[cut] else F.lit(None).cast(kinds[c]) for c in names]
         return F.struct(F.lit(cut).alias("cut"), *[v.alias(c) for v, c in zip(values, names)])
 
-    everywhere, schools = [c for c in CUT_KEYS if not c.startswith("school")], [c for c in CUT_KEYS if c.startswith("school")]
+    distinct = [c for c in CUT_KEYS if c not in CUT_FIRST]
+    everywhere, schools = [c for c in distinct if not c.startswith("school")], [c for c in distinct if c.startswith("school")]
     cuts = F.when(in_school, F.array(*map(keys_of, everywhere + schools))).otherwise(F.array(*map(keys_of, everywhere)))
-    first = list(dict.fromkeys(c for columns in CUT_FIRST.values() for c in columns))
-    carried = F.struct(*[F.col(c).alias(c) for c in first]).alias("_first")
-    long = df.select(carried, F.struct(*order).alias("_order"), F.explode(cuts).alias("_k")).select("_k.*", "_first", "_order")
-    grouped = long.groupBy("cut", *names).agg(F.min_by("_first", "_order").alias("_first"))
-
-    def value(c: str) -> Column:
-        taken = [cut for cut, columns in CUT_FIRST.items() if c in columns]
-        return F.when(F.col("cut").isin(taken), F.col(f"_first.{c}")).otherwise(F.col(c)) if taken else F.col(c)
-
-    return grouped.select("cut", *[value(c).alias(c) for c in names])
+    parts = [df.select(F.explode(cuts).alias("_k")).select("_k.*").distinct()]
+    for cut, first in CUT_FIRST.items():
+        rows = _first_of_cut(df.where(in_school) if cut.startswith("school") else df, CUT_KEYS[cut], first, order)
+        parts.append(rows.select(F.lit(cut).alias("cut"), *[(F.col(c) if c in rows.columns else F.lit(None).cast(kinds[c])).alias(c) for c in names]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def reporting_cuts(df: DataFrame, order: Sequence[str] = ("lithocode", "dummy_record_flag"), store: bool = True) -> dict[str, DataFrame]:
     """District, state, school and intervention tables of the student rows.
 
-    The cuts are made in one pass and stored (they are small), so that none of
+    The cuts are made together and stored (they are small), so that none of
     the four reads the students again; ``store=False`` leaves all lazy.
     """
     rows = cut_rows(df, order)

@@ -1,5 +1,6 @@
 """Layouts, files and report assembly on small inputs."""
 
+import random
 import re
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge import plans, sources
 from tallyforge.operators import layout as lo
 from tallyforge.operators.predicates import conditional_update, lookup_update, split_by_flag
+from tallyforge.plans.student import CUT_KEYS, cut_rows
 from tallyforge.queries import QUERIES
 from tallyforge.queries.registry import MASTER, STRANDS, STUDENTS
 
@@ -214,3 +216,28 @@ def test_every_query_has_a_plan():
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 120
     own = {q for q in entry.queries() if q != "pipeline" and not re.match(r"op\d+_", q)}
     assert own <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("order", [("lithocode", "dummy_record_flag"), ("at", "lithocode"), ("score", "at")])
+def test_first_rows_of_cuts_are_found_without_sorting_all_students(spark, order):
+    rng = random.Random(5)
+    codes = ["", None, "a", "a\0", "\u00e9t\u00e9", "z", *[f"common-prefix-of-ids-{rng.randrange(10 ** 6)}" for _ in range(30)]]
+    data = [(rng.choice(["10_1", "10_2", "11_1", None]), rng.choice(codes), rng.choice("01"), rng.choice([None, -5, 0, 2 ** 60, 7 + i]), rng.random(),
+             rng.choice(["J", "H", None]), rng.choice(["", "s1", "s2"]), i) for i in range(400)]
+    names = [c for c in dict.fromkeys(c for keys in CUT_KEYS.values() for c in keys) if c not in ("g_dcrxid", "schtype", "bcrxid")]
+    df = spark.createDataFrame(data, "g_dcrxid string, lithocode string, dummy_record_flag string, at long, score double, schtype string, bcrxid string, i int").withColumns(
+        {**{c: F.lit(c) for c in names}, "dcrxid": F.col("i").cast("string"), "dcrxnm": F.concat(F.lit("n"), "i")})
+    cuts = cut_rows(df, order).where("cut = 'district'")
+    got = sorted(((r["g_dcrxid"], r["dcrxid"], r["dcrxnm"]) for r in cuts.collect()), key=repr)
+    at = [("lithocode", "dummy_record_flag", "at", "score").index(c) + 1 for c in order]
+    place = lambda r: tuple((r[k] is not None, r[k].encode() if isinstance(r[k], str) else r[k] or 0) for k in at)
+    assert [g for g, _, _ in got] == sorted({r[0] for r in data}, key=repr)
+    for g, i, name in got:
+        assert name == f"n{i}" and place(data[int(i)]) == min(place(r) for r in data if r[0] == g)
+    if order[0] != "score":  # sorted aggregates see only the rows that a join has left
+        lines = cut_rows(df, order)._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = [len(re.match(r"[\s:+|-]*", x)[0]) for x in lines]
+        for k, line in enumerate(lines):
+            if "SortAggregate" in line:
+                below = [lines[j] for j in range(k + 1, len(lines)) if all(d > depth[k] for d in depth[k + 1:j + 1])]
+                assert any("Join" in x for x in below)
