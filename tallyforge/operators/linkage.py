@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -16,6 +17,8 @@ from .windows import rank_in_group
 SIMILARITY_STEPS = 20
 # Up to this distance names narrow the search by equal segments.
 NEAR_EDITS = 3
+# Names up to this length are cut into segments of about equal information, longer ones of equal length.
+PROFILED_LENGTH = 128
 # Names that name_calibration compares with the whole haystack, unless told otherwise.
 CALIBRATION_NAMES = 20
 
@@ -60,7 +63,7 @@ def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weigh
     chosen = _constant([list(r) for r in sample], "array<array<string>>")
     straight, _ = clean_names(first, last)
     # cleaned once per row and once per sample name, not once per comparison
-    rows = haystack.select(straight.alias("_h")).withColumn("_s", F.explode(
+    rows = _dealt(haystack.select(straight.alias("_h"))).withColumn("_s", F.explode(
         F.transform(chosen, lambda r: F.struct(*[c.alias(n) for c, n in zip(clean_names(r[0], r[1]), "sx")]))))
     counts = rows.groupBy(_step(F.col("_s.s"), F.col("_s.x"), F.col("_h")).alias("step")).count().collect()
     by_step = {int(r["step"]): r["count"] for r in counts}
@@ -71,6 +74,12 @@ def name_calibration(haystack: DataFrame, first: str, last: str, key: str, weigh
     return out
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over enough tasks for work that their bytes do not show."""
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)
+
+
 def _step(straight: Column, swapped: Column, other: Column) -> Column:
     return F.round(F.lit(float(SIMILARITY_STEPS)) * clean_similarity(straight, swapped, other), 0).cast("int")
 
@@ -91,16 +100,17 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
     two rows share and of the chance of their name similarity; pairs below
     ``cut`` are kept, the best ``count`` per needle by rank.
 
-    No pair is lost.  For a set of columns on which a pair agrees (and no
-    others), the product says which chance is left to the names, so how similar
-    they must be, so how many edits may lie between them.  Where that is more
-    than ``NEAR_EDITS``, names do not narrow the search and the values do:
-    candidates come from an equi-join on *minimal* such sets, which no smaller
-    such set is part of.  All other sets are joined on their values and on name
-    segments: of the distance + 1 segments of one name, at least one stands
-    unchanged, and little moved, in the other.  So a set of columns whose values are
-    frequent makes candidates of all rows that share them only where the cut
-    would accept almost any name with them.  ``blocking`` restricts the search to
+    No pair that counts is lost.  Pairs are searched by the columns they agree
+    on, the largest sets first.  The product of a set says which chance is left to the names, so how
+    similar they must be, so how many edits may lie between them.  What must
+    be reached is the cut, or the ``count``-th best pair that a larger set has
+    given the needle, so small sets mostly need names that are very near.
+    Where more than ``NEAR_EDITS`` are allowed, candidates come from an
+    equi-join on the values, else on the values and name segments: of the
+    distance + 1 segments of one name, at least one stands unchanged, and
+    little moved, in the other.  So a set of columns whose values are
+    frequent makes candidates of all rows that share them only where almost
+    any name with them would be among the best.  ``blocking`` restricts the search to
     rows equal in those columns as well.
     """
     columns = [*big_nominal, *nominal]
@@ -114,9 +124,9 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
         n = n.join(freq, f"N_{c}", "left").withColumn(f"_w_{c}", F.coalesce(f"_w_{c}", F.lit(1.0)))
     n = n.withColumns({f"_w_{c}": F.lit(f) for c, f in big.items()})
     straight, swapped = clean_names(f"N_{first}", f"N_{last}")
-    n = n.withColumns({"_ns": straight, "_nx": swapped})
+    n = checkpointed(n.withColumns({"_ns": straight, "_nx": swapped, "_n_id": F.monotonically_increasing_id()}))
     h = haystack.select(*[F.col(c).alias(f"H_{c}") for c in dict.fromkeys([*used, *out_columns])])
-    h = h.withColumn("_hs", clean_names(f"H_{first}", f"H_{last}")[0])
+    h = checkpointed(_dealt(h).withColumns({"_hs": clean_names(f"H_{first}", f"H_{last}")[0], "_h_id": F.monotonically_increasing_id()}))
     least_chance = min(calibration)
 
     def score(get_n, get_h) -> Column:
@@ -128,10 +138,23 @@ def find_matches(needles: DataFrame, haystack: DataFrame, nominal: Mapping[str,
         step = _step(get_n("_ns"), get_n("_nx"), get_h("_hs"))
         return F.when(product * F.lit(least_chance) < F.lit(cut), product * F.element_at(chances, step + 1))
 
-    pairs = _candidates(n, h, columns, list(blocking or ()), calibration, cut, longest)
-    scored = pairs.withColumn("prob", score(F.col, F.col)).where(F.col("prob") < cut)
     needle_columns = [f"N_{c}" for c in used]
-    best = rank_in_group(scored, needle_columns, [F.col("prob")], count)
+    best, profile = None, _Profile(h)
+    for size in range(len(columns), -1, -1):
+        masks = [m for m in range(1 << len(columns)) if m.bit_count() == size]
+        # Pairs behind the count-th best one need not be found; the rounding of a product must not lose a pair that is level with it.
+        reach = n.withColumn("_cut", F.lit(float(cut))) if best is None else n.join(
+            best.groupBy("_n_id").agg(F.count("*").alias("_found"), F.max("prob").alias("_worst")).where(F.col("_found") >= count), "_n_id", "left").withColumn(
+            "_cut", F.least(F.lit(float(cut)), F.col("_worst") * (1 + 1e-9))).drop("_found", "_worst")
+        pairs = _candidates(reach, h, columns, list(blocking or ()), calibration, longest, masks, profile)
+        if pairs is None:
+            continue
+        # The array keeps Spark from working out a score once more for the filter.
+        scored = pairs.select("_n_id", "_h_id", F.explode(F.filter(F.array(score(F.col, F.col)), lambda p: p < F.lit(cut))).alias("prob"))
+        best = checkpointed(rank_in_group(scored if best is None else best.drop("rank").unionByName(scored), ["_n_id"], [F.col("prob")], count))
+    if best is None:
+        best = n.select("_n_id").withColumns({"_h_id": F.lit(0), "prob": F.lit(0.0), "rank": F.lit(0)}).where(F.lit(False))
+    best = best.join(h, "_h_id").join(n, "_n_id")
     shared = [F.when(F.col(f"N_{c}") == F.col(f"H_{c}"), F.lit(f"{c} matches, ")).otherwise(F.lit("")) for c in columns]
     report = F.concat(*shared, F.concat_ws(" ", f"N_{first}", f"N_{last}"), F.lit(" vs. "),
                       F.concat_ws(" ", f"H_{first}", f"H_{last}"))
@@ -150,7 +173,7 @@ def _set_of(columns: Sequence[str], mask: int) -> list[str]:
     return [c for i, c in enumerate(columns) if mask >> i & 1]
 
 
-def _edits(n_columns: Sequence[str], calibration: Sequence[float], cut: float, longest: int) -> Column:
+def _edits(n_columns: Sequence[str], calibration: Sequence[float], longest: int) -> Column:
     """Edits that may lie between the names of a pair that agrees on these columns; NULL: no names are near enough.
 
     Similarity s and distance d of a name of length L satisfy d <= (1 - s) / s * L, whatever the length of the other.
@@ -158,7 +181,7 @@ def _edits(n_columns: Sequence[str], calibration: Sequence[float], cut: float, l
     product = reduce(lambda a, b: a * b, [F.col(f"_w_{c}") for c in n_columns], F.lit(1.0))
     # The rounding of the product must not lose a pair at the cut.
     chances = F.array(*[F.lit(float(p)) for p in calibration])
-    steps = F.size(F.filter(chances, lambda p: product * p * (1 - 1e-9) >= F.lit(cut)))
+    steps = F.size(F.filter(chances, lambda p: product * p * (1 - 1e-9) >= F.col("_cut")))
     least = (steps - F.lit(0.5)) / F.lit(float(SIMILARITY_STEPS))
     most = F.greatest(F.length("_ns"), F.lit(longest), F.lit(NEAR_EDITS + 1))  # no two names are further apart
     reach = F.floor((1 - least) / least * F.length("_ns") + F.lit(1e-6)).cast("int")
@@ -166,28 +189,25 @@ def _edits(n_columns: Sequence[str], calibration: Sequence[float], cut: float, l
 
 
 def _candidates(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], calibration: Sequence[float],
-                cut: float, longest: int) -> DataFrame:
-    """Pairs that may lie below the cut, each once; see ``find_matches``."""
-    masks = sorted(range(1 << len(columns)), key=lambda m: (m.bit_count(), m))
+                longest: int, masks: Sequence[int], profile: _Profile) -> DataFrame | None:
+    """Pairs that agree on exactly the columns of one of the ``masks`` and may reach ``_cut``, each once; None: there are none."""
     here = {m: reduce(lambda a, b: a & b, [F.col(f"N_{c}").isNotNull() for c in [*blocking, *_set_of(columns, m)]], F.lit(True)) for m in masks}
-    n = n.withColumns({f"_d{m}": F.when(here[m], _edits(_set_of(columns, m), calibration, cut, longest)) for m in masks})
+    n = n.withColumns({f"_d{m}": F.when(here[m], _edits(_set_of(columns, m), calibration, longest)) for m in masks})
     # Without any value to join on, only names can find a partner.
-    by_values = [m for m in masks if m or blocking]
-    n = n.withColumns({f"_d{m}_alone": F.coalesce(F.col(f"_d{m}") > NEAR_EDITS, F.lit(False)) for m in by_values})
-    minimal = {m: reduce(lambda a, b: a & ~b, [F.col(f"_d{m & ~(1 << i)}_alone") for i in range(len(columns))
-                                               if m >> i & 1 and m & ~(1 << i) in by_values], F.col(f"_d{m}_alone")) for m in by_values}
-    near = {m: F.col(f"_d{m}").isNotNull() & ~F.col(f"_d{m}_alone") if m in by_values else F.col(f"_d{m}").isNotNull() for m in masks}
-    n = checkpointed(n.withColumn("_n_id", F.monotonically_increasing_id()))
-    known = n.agg(*[F.max(minimal[m]).alias(f"v{m}") for m in by_values], *[F.max(F.when(near[m], F.col(f"_d{m}"))).alias(f"d{m}") for m in masks]).first()
+    alone = {m: F.coalesce(F.col(f"_d{m}") > NEAR_EDITS, F.lit(False)) if m or blocking else F.lit(False) for m in masks}
+    near = {m: F.col(f"_d{m}").isNotNull() & ~alone[m] for m in masks}
+    known = n.agg(*[F.max(alone[m]).alias(f"v{m}") for m in masks], *[F.max(F.when(near[m], F.col(f"_d{m}"))).alias(f"d{m}") for m in masks]).first()
     narrow = [c for c in n.columns if not c.startswith("_d")]
     found = []
-    if alone := [m for m in by_values if known[f"v{m}"]]:
-        wanted = F.filter(F.array(*[F.when(minimal[m], F.lit(m)) for m in alone]), lambda m: m.isNotNull())
-        found.append(_by_values(n.select(*narrow, wanted.alias("_masks")), h, columns, blocking, alone).drop("_n_id"))
+
+    def marked(which: Mapping[int, Column], of: Sequence[int]) -> DataFrame:
+        return n.select(*narrow, F.filter(F.array(*[F.when(which[m], F.lit(m)) for m in of]), lambda m: m.isNotNull()).alias("_masks")).where(F.size("_masks") > 0)
+
+    if by_values := [m for m in masks if known[f"v{m}"]]:
+        found.append(_by_values(marked(alone, by_values), h, columns, blocking, by_values))
     if distances := {m: known[f"d{m}"] for m in masks if known[f"d{m}"] is not None}:
-        wanted = F.array(*[F.when(near[m], F.lit(m)) for m in distances])
-        found.append(_near_names(n.select(*narrow, wanted.alias("_masks")), h, columns, blocking, distances))
-    return reduce(DataFrame.unionByName, found) if found else h.join(n.select(*narrow).drop("_n_id"), F.lit(False))
+        found.append(_near_names(marked(near, list(distances)), h, columns, blocking, distances, profile))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def _keys(prefix: str, columns: Sequence[str], blocking: Sequence[str], masks: Sequence[int]) -> Column:
@@ -201,49 +221,82 @@ def _keys(prefix: str, columns: Sequence[str], blocking: Sequence[str], masks: S
 
 
 def _by_values(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], masks: Sequence[int]) -> DataFrame:
-    """Pairs that agree on one of the needle's ``_masks``; a pair is made by the first of them, so no distinct is needed."""
-    n_long = n.select("*", F.inline(_keys("N", columns, blocking, masks))).where(F.array_contains("_masks", F.col("_mask")))
-    joined = h.select("*", F.inline(_keys("H", columns, blocking, masks))).join(n_long, ["_mask", "_key"])
-    agreed = _agreeing(columns)
-    first = F.element_at(F.filter("_masks", lambda m: m.bitwiseAND(agreed) == m), 1)
-    return joined.where(F.col("_mask") == first).drop("_mask", "_key", "_masks")
-
-
-def _near_names(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], distances: Mapping[int, int]) -> DataFrame:
+    """Pairs that agree on exactly the columns of one of the needle's ``_masks``."""
+    n_long = n.select("*", F.inline(_keys("N", columns, blocking, masks))).where(F.array_contains("_masks", F.col("_mask"))).drop("_masks")
+    joined = _dealt(h.select("*", F.inline(_keys("H", columns, blocking, masks))), "_mask", "_key").join(_dealt(n_long, "_mask", "_key"), ["_mask", "_key"])
+    return joined.where(_agreeing(columns) == F.col("_mask")).drop("_mask", "_key")
+
+
+class _Profile:
+    """How much the letters at each place tell, for the names of each length; looked up once, when names are first joined."""
+
+    def __init__(self, h: DataFrame):
+        self.h, self.weights = h, None
+
+    def segments(self, distances: Sequence[int]) -> tuple[list[int], dict[str, list[int]]]:
+        """All lengths; by ``length-distance`` the bounds of distance + 1 segments of about equal information."""
+        if self.weights is None:
+            sizes = self.h.select(F.length("_hs").alias("size"), "_hs")
+            self.lengths = sorted(r[0] for r in sizes.select("size").distinct().collect())
+            letters = sizes.where(F.col("size") <= PROFILED_LENGTH).select("size", F.posexplode(F.split("_hs", "")).alias("at", "letter"))
+            same = letters.groupBy("size", "at", "letter").count().groupBy("size", "at").agg(
+                (F.sum(F.col("count").cast("double") * F.col("count")) / F.pow(F.sum("count").cast("double"), F.lit(2.0))).alias("share"))
+            self.weights = {}
+            for r in same.collect():  # at most the square of PROFILED_LENGTH
+                self.weights.setdefault(r["size"], {})[r["at"]] = -math.log(min(r["share"], 1.0))
+        return self.lengths, {f"{size}-{d}": self._bounds(size, d, told) for size, told in self.weights.items() for d in set(distances) if size > d}
+
+    @staticmethod
+    def _bounds(size: int, d: int, told: Mapping[int, float]) -> list[int]:
+        total, bounds, upto, at = sum(told.values()), [0], 0.0, 0
+        for k in range(1, d + 1):
+            if total > 0:
+                while at < size and upto + told.get(at, 0.0) / 2 < total * k / (d + 1):
+                    upto, at = upto + told.get(at, 0.0), at + 1
+            else:
+                at = k * size // (d + 1)
+            bounds.append(min(max(at, bounds[-1] + 1), size - (d + 1 - k)))
+        return [*bounds, size]
+
+
+def _near_names(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Sequence[str], distances: Mapping[int, int], profile: _Profile) -> DataFrame:
     """Pairs that agree on a mask's columns and no others and whose names differ by the mask's distance at most.
 
     A haystack name of more than ``distance`` letters is cut into distance + 1
-    segments; a needle name lists, for every length the other may have, what
-    could be such a segment, moved by at most ``distance``.  Shorter names
-    meet by their length.
+    segments, at bounds that depend on its length alone; a needle name lists,
+    for every length the other may have, what could be such a segment.  If one
+    stands s places further on, s edits lie before it and as many as the rest
+    of the names differ in length behind it.  Shorter names meet by their length.
     """
-    h = checkpointed(h.withColumn("_h_id", F.monotonically_increasing_id()))
+    lengths, bounds = profile.segments(list(distances.values()))
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in distances.items() for x in pair]), F.col("_mask"))
     d, size, i = F.col("_d"), F.col("size"), F.col("i")
+    even = F.transform(F.sequence(F.lit(0), d + 1), lambda k: F.floor(k * size / (d + 1)).cast("int"))
+    cuts = F.coalesce(F.try_element_at(_constant(bounds, "map<string,array<int>>"), F.concat_ws("-", size, d)), even)
 
-    def start(nth: Column) -> Column:
-        return F.floor(nth * size / (d + 1)).cast("int")
+    def segments(df: DataFrame) -> DataFrame:
+        """A row for each segment: ``i``, ``at``, ``width``; -1, 0, 0 for names that are too short."""
+        each = F.transform(F.sequence(F.lit(0), d), lambda k: F.struct(k.alias("i"), F.get(cuts, k).alias("at"), (F.get(cuts, k + 1) - F.get(cuts, k)).alias("width")))
+        none = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("at"), F.lit(0).alias("width")))
+        return df.select("*", F.inline(F.when(size > d, each).otherwise(none)))
 
-    width = start(i + 1) - start(i)
     values = [f"{{}}_{c}" for c in dict.fromkeys([*blocking, *columns])]
+    meet = ["_mask", "_key", "size", "i", "part"]
     h_keys = h.select("_h_id", "_hs", *[v.format("H") for v in values], F.inline(_keys("H", columns, blocking, list(distances)))).withColumns(
         {"_d": limit, "size": F.length("_hs")})
-    number = F.when(size > d, F.sequence(F.lit(0), d)).otherwise(F.array(F.lit(-1)))
-    h_keys = h_keys.withColumn("i", F.explode(number)).withColumn(
-        "part", F.when(i < 0, F.lit("")).otherwise(F.expr("substring(_hs, 1 + cast(floor(i * size / (_d + 1)) AS INT), "
-                                                         "cast(floor((i + 1) * size / (_d + 1)) AS INT) - cast(floor(i * size / (_d + 1)) AS INT))")))
+    h_keys = segments(h_keys).withColumn("part", F.expr("substring(_hs, at + 1, width)")).drop("at", "width")
 
     names = n.select("_n_id", "_ns", "_nx", "_masks", *[v.format("N") for v in values], F.inline(_keys("N", columns, blocking, list(distances)))).where(
         F.array_contains("_masks", F.col("_mask"))).drop("_masks").withColumn("_d", limit)
     names = names.withColumn("name", F.explode(F.array_distinct(F.array("_ns", "_nx")))).withColumn("own", F.length("name"))
-    names = names.withColumn("size", F.explode(F.sequence(F.greatest(F.lit(0), F.col("own") - d), F.col("own") + d)))
-    at = names.where(size > d).withColumn("i", F.explode(F.sequence(F.lit(0), d)))
-    at = at.withColumn("at", F.explode(F.sequence(F.greatest(F.lit(0), start(i) - d), F.greatest(F.lit(0), start(i) + d))))
-    at = at.where(F.col("at") + width <= F.col("own")).withColumn("_width", width)
-    moved = at.withColumn("part", F.expr("substring(name, at + 1, _width)")).drop("at", "_width")
-    short = names.where(size <= d).withColumns({"i": F.lit(-1), "part": F.lit("")})
-    n_keys = moved.unionByName(short.select(*moved.columns)).drop("name", "own", "_d").distinct()
-    near = [F.coalesce(F.levenshtein(F.col(x), F.col("_hs")) <= d, F.lit(False)) for x in ("_ns", "_nx")]
-    met = h_keys.join(n_keys, ["_mask", "_key", "size", "i", "part"])
-    found = met.where((near[0] | near[1]) & (_agreeing(columns) == F.col("_mask"))).select("_n_id", "_h_id").distinct()
-    return found.join(h, "_h_id").join(n.drop("_masks"), "_n_id").drop("_n_id", "_h_id")
+    there = F.array(*map(F.lit, lengths))
+    names = segments(names.withColumn("size", F.explode(F.filter(there, lambda x: F.abs(x - F.col("own")) <= F.col("_d")))))
+    further = F.col("own") - size
+    spare = F.floor((d - F.abs(further)) / 2).cast("int")
+    moves = F.when(i < 0, F.array(F.lit(0))).otherwise(F.sequence(F.least(F.lit(0), further) - spare, F.greatest(F.lit(0), further) + spare))
+    moved = names.withColumn("move", F.explode(moves)).withColumn("to", F.col("at") + F.col("move")).where((F.col("to") >= 0) & (F.col("to") + F.col("width") <= F.col("own")))
+    n_keys = moved.withColumn("part", F.expr("substring(name, to + 1, width)")).drop("name", "own", "_d", "at", "width", "move", "to").distinct()
+    near = F.expr("levenshtein(_ns, _hs, _d) >= 0 OR levenshtein(_nx, _hs, _d) >= 0")
+    met = _dealt(h_keys, *meet).join(_dealt(n_keys, *meet), meet)
+    found = met.where((_agreeing(columns) == F.col("_mask")) & near).select("_n_id", "_h_id").distinct()
+    return found.join(h, "_h_id").join(n.drop("_masks"), "_n_id")

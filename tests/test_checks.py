@@ -215,3 +215,20 @@ def test_a_frequent_value_makes_no_candidates_of_its_own(spark):
         finally:
             linkage._candidates = plain
         assert got.count() >= 50 and seen[0].count() < 50 * size / 10
+
+
+def test_pairs_behind_the_best_ones_make_no_candidates(spark, monkeypatch):
+    """Two rows that share all columns with a needle leave rows that share one column no chance; none of the best is lost."""
+    rng = random.Random(4)
+    hay = [(i, f"g{i % 4}", f"b{i // 4 % 5}", f"Customer#{i:09d}", f"x{i}") for i in range(400)]
+    needles = [(f"g{i % 4}", f"b{rng.randrange(5)}", f"Customer#{rng.randrange(400):09d}", f"x{i}") for i in range(40)]
+    h = spark.createDataFrame(hay, "hid int, g string, b string, f string, l string")
+    n = spark.createDataFrame(needles, "g string, b string, f string, l string")
+    args = ({"g": 4.0, "b": 4.0}, {}, ("f", "l"), 1.0, "hid", 0.05)
+    seen, plain = [], linkage._candidates
+    monkeypatch.setattr(linkage, "_candidates", lambda *a: seen.append(plain(*a)) or seen[-1])
+    best = linkage.find_matches(n, h, *args, 2, ["hid"]).collect()
+    assert sum(s.count() for s in seen if s is not None) < 40 * 400 / 8
+    every = linkage.find_matches(n, h, *args, 10 ** 6, ["hid"]).collect()  # so many are wanted that nothing is left out
+    key = lambda r: (r["N_g"], r["N_b"], r["N_f"], r["N_l"], r["hid"], round(r["prob"], 14), r["rank"])
+    assert sorted(map(key, best)) == sorted(key(r) for r in every if r["rank"] <= 2) and len(every) > 2 * len(best)
