@@ -286,7 +286,7 @@ def _near_names(n: DataFrame, h: DataFrame, columns: Sequence[str], blocking: Se
         {"_d": limit, "size": F.length("_hs")})
     h_keys = segments(h_keys).withColumn("part", F.expr("substring(_hs, at + 1, width)")).drop("at", "width")
 
-    names = n.select("_n_id", "_ns", "_nx", "_masks", *[v.format("N") for v in values], F.inline(_keys("N", columns, blocking, list(distances)))).where(
+    names = _dealt(n).select("_n_id", "_ns", "_nx", "_masks", *[v.format("N") for v in values], F.inline(_keys("N", columns, blocking, list(distances)))).where(
         F.array_contains("_masks", F.col("_mask"))).drop("_masks").withColumn("_d", limit)
     names = names.withColumn("name", F.explode(F.array_distinct(F.array("_ns", "_nx")))).withColumn("own", F.length("name"))
     there = F.array(*map(F.lit, lengths))
